@@ -29,37 +29,32 @@ def json_value(doc: Column, path: str) -> Column:
 def extract_json(df: DataFrame, doc: str, fields: dict[str, tuple[str, str]]) -> DataFrame:
     """Add ``{output: (path, type)}`` columns from a JSON text column.
 
-    All top-level fields come out of one parse of the payload. Text that does not fit
-    the wanted type gives NULL (see ``cast_rejects`` to count those).
+    All top-level fields come out of one parse of the payload, and filters on them do not
+    parse it again. Text that does not fit the wanted type gives NULL, and so does all of
+    a malformed payload (see ``cast_rejects`` to count the former).
     """
-    top = {path: match[1] for path, _ in fields.values() if (match := _TOP_LEVEL.match(path))}
-    schema = ", ".join(f"`{name}` STRING" for name in dict.fromkeys(top.values()))
-    parsed = df
+    top = {path: f"_{match[1]}" for path, _ in fields.values() if (match := _TOP_LEVEL.match(path))}
     if top:
-        options = {"columnNameOfCorruptRecord": "_malformed"}
-        parsed = df.withColumn("_parsed", F.from_json(doc, f"{schema}, _malformed STRING", options))
+        names = [name[1:] for name in top.values()]
+        df = df.select("*", F.json_tuple(doc, *names).alias(*top.values()))
 
-    def text_at(path: str) -> Column:
-        if path not in top:
-            return json_value(F.col(doc), path)
-        value = F.when(F.col("_parsed._malformed").isNull(), F.col("_parsed").getField(top[path]))
-        return _scalar_only(value, F.col(doc), path)
+    def column(path: str, kind: str) -> Column:
+        text = F.col(top[path]) if path in top else F.get_json_object(doc, path)
+        # The text of an object or array fits no other type, so only strings need a look.
+        return _scalar_only(text, F.col(doc), path) if kind == "string" else text.try_cast(kind)
 
-    typed = {
-        name: text_at(path) if kind == "string" else text_at(path).try_cast(kind)
-        for name, (path, kind) in fields.items()
-    }
-    return parsed.withColumns(typed).drop("_parsed")
+    return df.withColumns({name: column(*spec) for name, spec in fields.items()}).drop(*top.values())
 
 
 def cast_rejects(df: DataFrame, doc: str, fields: dict[str, tuple[str, str]]) -> DataFrame:
     """Per typed field, how many payloads held text that the type refuses."""
+    typed = {name: spec for name, spec in fields.items() if spec[1] != "string"}
+    texts = extract_json(df, doc, {f"{name}_text": (path, "string") for name, (path, _) in typed.items()})
     counts = [
-        F.count_if(json_value(F.col(doc), path).isNotNull() & json_value(F.col(doc), path).try_cast(kind).isNull()).alias(name)
-        for name, (path, kind) in fields.items()
-        if kind != "string"
+        F.count_if(F.col(f"{name}_text").isNotNull() & F.col(f"{name}_text").try_cast(kind).isNull()).alias(name)
+        for name, (_, kind) in typed.items()
     ]
-    return df.agg(*counts)
+    return texts.agg(*counts)
 
 
 def last_value_of(pairs: Column, key: str) -> Column:

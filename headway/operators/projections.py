@@ -26,10 +26,9 @@ def clock(as_of: str | None) -> Column:
 
 def typed_feed(messages: DataFrame, fields: dict[str, tuple[str, str]]) -> DataFrame:
     """Enveloped messages to raw-table rows: payload fields, broker time, ingest time."""
-    envelope = messages.select(
-        F.get_json_object("value", "$.data").alias("data"),
-        F.col("timestamp").cast("timestamp_ntz").alias("event_time"),
-        to_time(F.get_json_object("value", "$.ingested_at")).alias("ingested_at"),
+    opened = messages.select("timestamp", F.json_tuple("value", "data", "ingested_at").alias("data", "ingested_at"))
+    envelope = opened.select(
+        "data", F.col("timestamp").cast("timestamp_ntz").alias("event_time"), to_time(F.col("ingested_at")).alias("ingested_at")
     )
     return extract_json(envelope, "data", fields).select(*fields, "event_time", "ingested_at")
 

@@ -17,35 +17,40 @@ def _slice(ts: str, seconds: int) -> Column:
     return F.floor(F.unix_seconds(F.col(ts).cast("timestamp")) / F.lit(seconds))
 
 
-def _with_edges(rows: DataFrame, edges: DataFrame, keys: list[str]) -> DataFrame:
-    on = [F.col(f"r.{k}").eqNullSafe(F.col(f"e.{k}")) for k in [*keys, "_slice"]]
-    return rows.alias("r").join(edges.alias("e"), on, "left").select("r.*", "e._edge")
-
-
 def with_previous(
     df: DataFrame, keys: list[str], ts: str, tiebreak: list[str], columns: list[str], seconds: int = DAY
 ) -> DataFrame:
-    """Add struct ``previous`` with some columns of the preceding row of the key."""
-    sliced = df.withColumn("_slice", _slice(ts, seconds))
+    """Add struct ``previous`` with some columns of the preceding row of the key.
+
+    Only the first row of a slice looks beyond it, to the last row of the key's slice
+    before. Both parts read the same shuffled rows.
+    """
     payload = F.struct(*columns)
     within = W.partitionBy(*keys, "_slice").orderBy(ts, *tiebreak)
-    rows = sliced.withColumn("_before", F.lag(payload).over(within))
-    last = sliced.groupBy(*keys, "_slice").agg(F.max_by(payload, F.struct(ts, *tiebreak)).alias("_last"))
-    edges = last.withColumn("_edge", F.lag("_last").over(W.partitionBy(*keys).orderBy("_slice")))
-    joined = _with_edges(rows, edges, keys)
-    return joined.withColumn("previous", F.coalesce("_before", "_edge")).drop("_before", "_edge", "_slice")
+    whole = within.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    rows = df.withColumn("_slice", _slice(ts, seconds)).withColumns(
+        {"_before": F.lag(payload).over(within), "_last": F.last(payload).over(whole)}
+    )
+    across = W.partitionBy(*keys).orderBy("_slice")
+    inner = rows.filter(F.col("_before").isNotNull()).withColumn("previous", F.col("_before"))
+    first = rows.filter(F.col("_before").isNull()).withColumn("previous", F.lag("_last").over(across))
+    return inner.unionByName(first).drop("_before", "_last", "_slice")
 
 
 def with_next_time(df: DataFrame, keys: list[str], ts: str, marked: Column, seconds: int = DAY) -> DataFrame:
-    """Add ``next_time``: the earliest time of a marked row of the key, at or after the row."""
+    """Add ``next_time``: the earliest time of a marked row of the key, at or after the row.
+
+    Each slice learns the first marked time of the slices after it; the join finds both
+    sides divided by key and slice already.
+    """
     sliced = df.withColumn("_slice", _slice(ts, seconds)).withColumn("_hit", F.when(marked, F.col(ts)))
     within = W.partitionBy(*keys, "_slice").orderBy(F.desc(ts))  # peers of equal time included
     rows = sliced.withColumn("_here", F.min("_hit").over(within))
     first = sliced.groupBy(*keys, "_slice").agg(F.min("_hit").alias("_first"))
     later = W.partitionBy(*keys).orderBy(F.desc("_slice")).rowsBetween(W.unboundedPreceding, -1)
-    edges = first.withColumn("_edge", F.min("_first").over(later))
-    joined = _with_edges(rows, edges, keys)
-    return joined.withColumn("next_time", F.coalesce("_here", "_edge")).drop("_here", "_edge", "_hit", "_slice")
+    edges = first.withColumn("_after", F.min("_first").over(later)).drop("_first")
+    joined = rows.join(edges, [*keys, "_slice"], "left")
+    return joined.withColumn("next_time", F.coalesce("_here", "_after")).select(*df.columns, "next_time")
 
 
 def mean_gap_between_starts(

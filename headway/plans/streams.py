@@ -13,24 +13,27 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from headway.operators import projections
-from headway.schemas import FEED_FIELDS
+from headway.schemas import ARRIVAL_FIELDS, LINE_STATUS_FIELDS, STATION_FIELDS
 from headway.sinks.topics import to_changelog
 from headway.streaming.jobs import append_files, fan_out, hourly_stream, latest_stream
 
-RAW_TABLES = {"bike-points": "stations", "bus-arrivals": "arrivals", "line-status": "lines"}
+# Topic -> (payload fields, raw table).
+RAW_TOPICS = {
+    "tfl.raw.bike-points": (STATION_FIELDS, "stations"),
+    "tfl.raw.bus-arrivals": (ARRIVAL_FIELDS, "arrivals"),
+    "tfl.raw.line-status": (LINE_STATUS_FIELDS, "lines"),
+}
 
 
-def _feed(event_type: str) -> Callable[[DataFrame], DataFrame]:
-    def rows(messages: DataFrame) -> DataFrame:
-        mine = F.get_json_object("value", "$.event_type") == event_type
-        return projections.typed_feed(messages.filter(mine), FEED_FIELDS[event_type])
-
-    return rows
+def _rows_of(topic: str, fields: dict[str, tuple[str, str]]) -> Callable[[DataFrame], DataFrame]:
+    return lambda messages: projections.typed_feed(messages.filter(F.col("topic") == topic), fields)
 
 
 def ingest(messages: DataFrame, root: str, checkpoint: str, trigger: str | None = None) -> DataStreamWriter:
     """Enveloped messages of all feeds to one raw table each."""
-    sinks = {kind: (_feed(kind), f"{root}/{table}") for kind, table in RAW_TABLES.items()}
+    sinks = {
+        topic: (_rows_of(topic, fields), f"{root}/{table}") for topic, (fields, table) in RAW_TOPICS.items()
+    }
     return fan_out(messages, sinks, checkpoint, trigger)
 
 

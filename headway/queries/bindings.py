@@ -9,14 +9,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from headway.constants import SEVERITIES
+from headway.functions.payload import extract_json
 from headway.sinks.topics import JSON, to_messages
 
 AS_OF = "2024-01-31 00:00:00"
 WEEK = ("2024-01-08 00:00:00", "2024-01-15 00:00:00")
 
 
+def typed(events: DataFrame) -> DataFrame:
+    """Events with the number in their payload as ``k``, parsed once per row."""
+    return extract_json(events, "props", {"k": ("$.k", "int")})
+
+
 def k() -> Column:
-    return F.get_json_object("props", "$.k").try_cast("int")
+    return F.col("k")
 
 
 def station_fields() -> list[Column]:
@@ -38,7 +44,7 @@ def station_fields() -> list[Column]:
 def stations(events: DataFrame) -> DataFrame:
     """Users as docking stations: k bikes, and as many docks as the value says."""
     ingested = F.col("ts") + F.expr("INTERVAL '2 seconds'")
-    return events.select(*station_fields(), F.col("ts").alias("event_time"), ingested.alias("ingested_at"), "event_id")
+    return typed(events).select(*station_fields(), F.col("ts").alias("event_time"), ingested.alias("ingested_at"), "event_id")
 
 
 STATIONS_SQL = """
@@ -94,7 +100,7 @@ def lines(events: DataFrame) -> DataFrame:
     texts = F.when(F.lit(False), "")
     for code, text, _ in SEVERITIES:
         texts = texts.when(severity() == code, text)
-    return events.select(
+    return typed(events).select(
         F.col("event_type").alias("line_id"),
         F.initcap("event_type").alias("line_name"),
         F.lit("tube").alias("mode_id"),
@@ -154,7 +160,7 @@ arrivals AS (
 
 def requests(events: DataFrame) -> DataFrame:
     """Events as API requests; errors are those the fallback had to answer."""
-    return events.select(
+    return typed(events).select(
         F.concat(F.lit("/k/"), F.floor(k() / F.lit(25))).alias("endpoint"),
         F.when(F.col("event_type") == "error", "fallback").otherwise("primary").alias("source"),
         F.col("ts").alias("event_time"),
@@ -204,7 +210,7 @@ def messages(events: DataFrame) -> DataFrame:
         .when(feed_kind() == "bus-arrivals", F.to_json(arrival, JSON))
         .otherwise(F.to_json(line, JSON))
     )
-    enveloped = to_messages(events, feed_kind(), data, F.col("ts") + F.expr("INTERVAL '2 seconds'"))
+    enveloped = to_messages(typed(events), feed_kind(), data, F.col("ts") + F.expr("INTERVAL '2 seconds'"))
     return enveloped.select(
         F.lit(None).cast("string").alias("key"), "value",
         F.concat(F.lit("tfl.raw."), feed_kind()).alias("topic"),

@@ -57,7 +57,7 @@ def json_extract_typed(t: Tables) -> DataFrame:
 def json_cast_rejects(t: Tables) -> DataFrame:
     number = F.when(F.col("event_type") == "error", "n/a").otherwise(b.k().cast("string"))
     doc = F.to_json(F.struct(number.alias("n"), F.col("event_type").alias("kind")))
-    return cast_rejects(t.events.select(doc.alias("doc")), "doc", {"n": ("$.n", "int"), "kind": ("$.kind", "double")})
+    return cast_rejects(b.typed(t.events).select(doc.alias("doc")), "doc", {"n": ("$.n", "int"), "kind": ("$.kind", "double")})
 
 
 @query(
@@ -219,7 +219,7 @@ def kv_array_to_map(t: Tables) -> DataFrame:
         pair("NbBikes", F.lit(-1)), pair("NbDocks", F.floor("value")), pair("NbBikes", b.k()),
         pair("Kind", F.col("event_type")), pair("Note", F.lit("n/a")),
     )
-    rows = t.events.select("event_id", pairs.alias("pairs"))
+    rows = b.typed(t.events).select("event_id", pairs.alias("pairs"))
     items = F.col("pairs")
     return rows.select(
         "event_id", int_of(items, "NbDocks").alias("docks"), int_of(items, "NbBikes").alias("bikes"),
@@ -288,7 +288,7 @@ def nested_docs_stations(t: Tables) -> DataFrame:
         F.col("value").alias("lat"), (-F.col("value")).alias("lon"),
         F.array(pair("NbDocks", F.floor("value")), pair("NbBikes", b.k())).alias("additionalProperties"),
     )
-    rows = t.events.select("ts", F.to_json(doc).alias("doc"))
+    rows = b.typed(t.events).select("ts", F.to_json(doc).alias("doc"))
     return documents.station_rows(documents.parse_documents(rows, "doc", documents.STATION_DOCUMENT), F.col("ts"))
 
 
@@ -461,5 +461,5 @@ def access_audit(t: Tables) -> DataFrame:
         F.when(b.k() < 20, "LOAD_TABLE").when(b.k() < 40, "UPDATE_TABLE").when(b.k() < 60, "CREATE_CATALOG")
         .when(b.k() < 80, "ADD_TABLE_SNAPSHOT").otherwise("CREATE_PRINCIPAL")
     )
-    rows = t.events.select("event_id", roles.alias("roles"), action.alias("action"), targets.alias("targets"))
+    rows = b.typed(t.events).select("event_id", roles.alias("roles"), action.alias("action"), targets.alias("targets"))
     return decide(rows).select("event_id", "action", "allowed")

@@ -237,7 +237,7 @@ def topic_catalog(t: Tables) -> DataFrame:
 )
 def compact_by_key(t: Tables) -> DataFrame:
     """Signups delete their key."""
-    rows = t.events.select("event_id", "user_id", "event_type", b.k().alias("k"), F.lit(None).cast("string").alias("note"))
+    rows = b.typed(t.events).select("event_id", "user_id", "event_type", b.k().alias("k"), F.lit(None).cast("string").alias("note"))
     log = to_changelog(rows, ["user_id"], ["event_type", "k", "note"], carry=["event_id", "event_type"])
     value = F.when(F.col("event_type") != "signup", F.col("value"))
     log = log.select("key", value.alias("value"), F.col("event_id").alias("offset"))

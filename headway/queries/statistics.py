@@ -225,20 +225,21 @@ def fallback_ratio(t: Tables) -> DataFrame:
     WITH {_RATIO_SQL},
     n AS (SELECT endpoint, window_start, epoch(window_start) / {SIX_HOURS}
                  - row_number() OVER (PARTITION BY endpoint ORDER BY window_start) AS run
-          FROM ratios WHERE ratio > CAST(0.05 AS DOUBLE))
+          FROM ratios WHERE ratio > CAST(0.2 AS DOUBLE))
     SELECT endpoint, min(window_start) AS since, max(window_start) AS until, count(*) AS steps
     FROM n GROUP BY endpoint, run HAVING count(*) >= 2
     """,
 )
 def sustained_breach(t: Tables) -> DataFrame:
-    return monitoring.sustained_fallback(_ratios(t), ["endpoint"], limit=0.05, step_seconds=SIX_HOURS, min_steps=2)
+    return monitoring.sustained_fallback(_ratios(t), ["endpoint"], step_seconds=SIX_HOURS, min_steps=2)
 
 
 @query(
     "silent_outage",
     f"""
     WITH {b.REQUESTS_SQL},
-    w AS (SELECT date_trunc('hour', event_time) AS window_start, count(*) FILTER (WHERE source = 'fallback') AS good
+    w AS (SELECT date_trunc('hour', event_time) AS window_start,
+                 count(*) FILTER (WHERE hour(event_time) NOT BETWEEN 2 AND 4) AS good
           FROM requests GROUP BY ALL),
     n AS (SELECT window_start, epoch(window_start) / 3600 - row_number() OVER (ORDER BY window_start) AS run
           FROM w WHERE good = 0)
@@ -247,8 +248,8 @@ def sustained_breach(t: Tables) -> DataFrame:
     """,
 )
 def silent_outage(t: Tables) -> DataFrame:
-    """Errors are the rare source here, so they stand in for the good answers."""
-    good = F.col("source") == "fallback"
+    """Requests from 02:00 to 05:00 count as answered by the fallback only."""
+    good = ~F.hour("event_time").between(2, 4)
     return monitoring.silent_outage(b.requests(t.events), good, "event_time", "1 hour", "1 hour", 3600, 2)
 
 
@@ -291,7 +292,7 @@ def reason_share(t: Tables) -> DataFrame:
     """,
 )
 def churn_by_area(t: Tables) -> DataFrame:
-    readings = t.events.select(
+    readings = b.typed(t.events).select(
         "user_id", "ts", "event_id", F.col("event_type").alias("area"), b.k().alias("bikes")
     )
     return sequences.churn(readings, "user_id", "area", F.date_trunc("hour", "ts").cast("timestamp_ntz"), "bikes", "ts", ["event_id"])

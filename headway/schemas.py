@@ -48,7 +48,6 @@ STATION_FIELDS = {
     "nb_empty_docks": ("$.nb_empty_docks", "int"),
     "nb_docks": ("$.nb_docks", "int"),
 }
-FEED_FIELDS = {"line-status": LINE_STATUS_FIELDS, "bus-arrivals": ARRIVAL_FIELDS, "bike-points": STATION_FIELDS}
 
 # Declared records: required columns are not nullable.
 TEXT, WHOLE, REAL, TIME = T.StringType(), T.IntegerType(), T.DoubleType(), T.TimestampType()
