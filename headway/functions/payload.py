@@ -22,7 +22,10 @@ def _scalar_only(text: Column, doc: Column, path: str) -> Column:
 
 
 def json_value(doc: Column, path: str) -> Column:
-    """Scalar at a path as text; NULL when missing, nested or malformed."""
+    """Scalar at a path as text; NULL when missing or nested.
+
+    A payload that breaks off may still yield what stands before the break.
+    """
     return _scalar_only(F.get_json_object(doc, path), doc, path)
 
 

@@ -13,10 +13,12 @@ from pyspark.sql import functions as F
 
 from headway.constants import LINES, UNKNOWN_LINE
 from headway.functions.text_time import slug_title
+from headway.sources.readers import small_table
 
 
 def line_dimension(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(LINES, "id STRING, name STRING, colour STRING, ink STRING, `order` INT")
+    lines = small_table(spark, ["id", "name", "colour", "ink", "order"], LINES)
+    return lines.withColumn("order", F.col("order").cast("int"))
 
 
 def _same(left: str, right: str, columns: list[str]) -> Column:

@@ -10,6 +10,7 @@ from headway.functions import measures as m
 from headway.functions.payload import extract_json
 from headway.functions.text_time import at, to_millis, to_time
 from headway.operators.filters import consistent_counts, plausible_arrivals, plausible_stations, required
+from headway.sources.readers import small_table
 
 # Columns of the hot path, a subset of the curated table.
 HOT_STATION = [
@@ -149,7 +150,7 @@ def arrival_document(arrivals: DataFrame) -> DataFrame:
 
 
 def topic_table(spark: SparkSession, topics: list[tuple] = TOPICS) -> DataFrame:
-    return spark.createDataFrame(topics, "domain STRING, label STRING, topic STRING, description STRING")
+    return small_table(spark, ["domain", "label", "topic", "description"], topics)
 
 
 def topic_catalog(topics: DataFrame) -> DataFrame:

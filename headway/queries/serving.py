@@ -14,6 +14,7 @@ from headway.queries.statistics import (
     CUSTOMER_STATUS_SQL, HOURLY_MEANS, HOURLY_OUT, HOURLY_SQL, curated_stations, customer_status, rounded,
 )
 from headway.sinks.topics import to_changelog
+from headway.sources.readers import small_table
 
 LATEST_SQL = f"""{b.CURATED_SQL},
 latest AS (SELECT * FROM curated QUALIFY row_number() OVER (PARTITION BY bike_point_id ORDER BY event_time DESC, event_id DESC) = 1)"""
@@ -270,5 +271,5 @@ SESSIONS = [("s1", "tfl.raw.view"), ("s1", "tfl.raw.error"), ("s2", "tfl.raw.err
     """,
 )
 def fan_out_join(t: Tables) -> DataFrame:
-    sessions = t.spark.createDataFrame(SESSIONS, "session_id STRING, topic STRING")
+    sessions = small_table(t.spark, ["session_id", "topic"], SESSIONS)
     return joins.deliver(t.events.select("event_id", b.topic_name().alias("topic")), sessions)

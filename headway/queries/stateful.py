@@ -12,6 +12,7 @@ from headway.queries.registry import Tables, query
 from headway.queries.statistics import HOURLY_ROUNDED_OUT, HOURLY_SQL, LOCATED_SQL, rounded
 from headway.session import run_dir
 from headway.sinks import tables
+from headway.sources.readers import small_table
 
 CUT = "2024-01-15 00:00:00"
 KEYS, TRACKED = ["o_custkey"], ["o_orderpriority", "o_orderstatus"]
@@ -182,7 +183,7 @@ def backfill_range(t: Tables) -> DataFrame:
 def layer_counts(t: Tables) -> DataFrame:
     """Rows per layer as counted by the writes themselves."""
     counts = batch.landing_to_hourly(t.spark, _land(t), run_dir(t.spark, "layers"), as_of=b.AS_OF)
-    return t.spark.createDataFrame([tuple(counts[x] for x in batch.LAYERS)], "raw BIGINT, curated BIGINT, hourly BIGINT")
+    return small_table(t.spark, list(batch.LAYERS), [tuple(counts[layer] for layer in batch.LAYERS)])
 
 
 @query(

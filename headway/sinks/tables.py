@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,12 +38,25 @@ def replace(
 ) -> None:
     """Create or replace a table from a query.
 
-    A path cannot be replaced by a query that reads it (Spark refuses); write to a new
-    path then and point readers at it.
+    A path is written beside the old one and swapped in when complete, so the query may
+    read the table it replaces and a failed write leaves the old one.
     """
-    writer = _writer(df, fmt, partition_by or [], gather).mode("overwrite")
-    writer = writer.option("partitionOverwriteMode", "static")
-    writer.save(table) if "/" in table else writer.saveAsTable(table)
+    writer = _writer(df, fmt, partition_by or [], gather)
+    if "/" not in table:
+        writer.mode("overwrite").saveAsTable(table)
+        return
+    parent, name = table.rstrip("/").rsplit("/", 1)
+    fresh = f"{parent}/_next-{uuid.uuid4().hex}-{name}"
+    writer.save(fresh)
+    _swap(df.sparkSession, fresh, table)
+
+
+def _swap(spark: SparkSession, fresh: str, path: str) -> None:
+    make_path = spark._jvm.org.apache.hadoop.fs.Path
+    files = make_path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    files.delete(make_path(path), True)
+    if not files.rename(make_path(fresh), make_path(path)):
+        raise OSError(f"{fresh} is complete but could not be moved to {path}")
 
 
 def replace_days(df: DataFrame, path: str, ts: str, fmt: str = "parquet") -> None:

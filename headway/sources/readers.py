@@ -6,6 +6,7 @@ is a folder of files with the envelope columns; with one, pass ``kafka`` and its
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +16,14 @@ from headway.schemas import TOPIC_SCHEMA
 TOPIC_COLUMNS = ["key", "value", "topic", "offset", "timestamp"]
 
 
+def small_table(spark: SparkSession, names: list[str], rows: list[tuple]) -> DataFrame:
+    """A table from constants in the code.
+
+    Built from Arrow, its exact size is known to the planner, which broadcasts it.
+    """
+    return spark.createDataFrame(pa.table(dict(zip(names, map(list, zip(*rows))))))
+
+
 def read_landing(spark: SparkSession, path: str, time_columns: tuple[str, ...] = ("event_time", "ingested_at")) -> DataFrame:
     """Landed Parquet with ISO times typed."""
     df = spark.read.parquet(path)
