@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,34 +15,44 @@ LAYERS = ("raw", "curated", "hourly")
 
 
 def landing_to_hourly(
-    spark: SparkSession, landing: str, root: str, start: str | None = None, end: str | None = None,
-    as_of: str | None = None,
+    spark: SparkSession, landing: str, root: str, as_of: str | None = None, days: tuple[str, str] | None = None
 ) -> dict[str, int]:
-    """Landed stations to raw, curated and hourly tables; returns rows written per layer.
+    """Landed stations to raw, curated and hourly tables by day; returns rows written.
 
-    With an interval only its rows are processed (a backfill), else everything.
+    Without ``days`` the tables are replaced. With a range of days (the last one
+    excluded) only those days are read and replaced.
     """
-    paths = {layer: f"{root}/{layer}" for layer in LAYERS}
-    landed = read_landing(spark, landing)
-    if start is not None:
-        landed = filters.in_interval(landed, "event_time", start, end)
-    written = {}
-    dated = tables.with_date(landed, "event_time")
-    written["raw"] = tables.write_counted(dated, paths["raw"], partition_by=["event_date"])
-
-    curated = projections.curate_stations(read_layer(spark, paths["raw"]), as_of)
-    dated = tables.with_date(curated, "event_time")
-    # Raw files hold one day each, so curated rows are in place already.
-    written["curated"] = tables.write_counted(dated, paths["curated"], partition_by=["event_date"], gather=False)
-
-    hourly = aggregates.station_hourly_batch(read_layer(spark, paths["curated"]))
-    written["hourly"] = tables.write_counted(hourly, paths["hourly"])
+    def rows(df: DataFrame, date_column: str | None = None) -> DataFrame:
+        return filters.in_interval(df, "event_time", *days, date_column) if days else df
+
+    def write(df: DataFrame, layer: str, gather: bool) -> int:
+        def into(dated: DataFrame) -> None:
+            if days:
+                tables.replace_days(dated, f"{root}/{layer}", gather=gather)
+            else:
+                tables.replace(dated, f"{root}/{layer}", partition_by=["event_date"], gather=gather)
+
+        return tables.counted(df, into)
+
+    def layer(name: str) -> DataFrame:
+        return rows(read_layer(spark, f"{root}/{name}"), "event_date").drop("event_date")
+
+    written = {"raw": write(tables.with_date(rows(read_landing(spark, landing)), "event_time"), "raw", True)}
+    # Raw files hold one day each, so curated rows are in place without a shuffle.
+    curated = projections.curate_stations(layer("raw"), as_of)
+    written["curated"] = write(tables.with_date(curated, "event_time"), "curated", False)
+    hourly = aggregates.station_hourly_batch(layer("curated"))
+    written["hourly"] = write(tables.with_date(hourly, "window_start"), "hourly", True)
     return written
 
 
-def backfill(spark: SparkSession, landing: str, root: str, start: str, end: str, as_of: str | None = None) -> dict[str, int]:
-    """Rebuild the layers for a date range only."""
-    return landing_to_hourly(spark, landing, root, start, end, as_of)
+def backfill(
+    spark: SparkSession, landing: str, root: str, first_day: str, end_day: str, as_of: str | None = None
+) -> dict[str, int]:
+    """Rebuild the layers for a range of days, leaving all other days alone."""
+    for day in (first_day, end_day):
+        date.fromisoformat(day)  # whole days only: a part of a day would replace all of it
+    return landing_to_hourly(spark, landing, root, as_of, (first_day, end_day))
 
 
 def interval_batch(
@@ -60,10 +72,13 @@ def interval_batch(
     }
 
 
-def write_interval(tables_of_interval: dict[str, DataFrame], root: str) -> None:
-    """Write an interval by whole days, so running it twice leaves one copy."""
-    for name, df in tables_of_interval.items():
-        tables.replace_days(df, f"{root}/{name}", "hour_start" if name == "hourly" else "event_time")
+def run_interval(
+    stations: DataFrame, lines: DataFrame, arrivals: DataFrame, root: str, start: str, end: str,
+    date_column: str | None = None,
+) -> None:
+    """Write the tables of one interval; running it twice leaves one copy."""
+    for name, df in interval_batch(stations, lines, arrivals, start, end, date_column).items():
+        tables.replace_interval(df, f"{root}/{name}", start)
 
 
 def incremental_enrich(raw: DataFrame, curated: DataFrame, date_column: str | None = None) -> DataFrame:
@@ -87,6 +102,6 @@ def gate_table(curated: DataFrame, key: str, ts: str, as_of: str) -> DataFrame:
 
 def smoke(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
     """Count, write, read back, count again."""
-    written = tables.write_counted(df, path)
+    written = tables.counted(df, lambda rows: tables.replace(rows, path))
     back = tables.read_back_count(spark, path)
     return back.select(F.lit(written).cast("long").alias("written"), F.col("row_count").alias("read_back"))

@@ -1,40 +1,43 @@
 """Streaming flows: topics to raw, raw to curated, curated to analytics.
 
-Each function only starts what it names. ``trigger=None`` works off what is there and
-stops; a trigger such as ``30 seconds`` keeps the stream running.
+Each function prepares the streams it names. ``trigger=None`` works off what is there
+and stops; a trigger such as ``30 seconds`` keeps a stream running. Tables are divided
+by day.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from headway.operators import projections
-from headway.schemas import ARRIVAL_FIELDS, LINE_STATUS_FIELDS, STATION_FIELDS
+from headway.schemas import ARRIVAL_FIELDS, LINE_STATUS_FIELDS, RAW_SCHEMAS, STATION_FIELDS
+from headway.sinks.tables import with_date
 from headway.sinks.topics import to_changelog
-from headway.streaming.jobs import append_files, fan_out, hourly_stream, latest_stream
+from headway.sources.readers import stream_layer
+from headway.streaming.jobs import (
+    CHECKPOINT_PACE, DISCOVERY, append_files, fan_out, hourly_stream, latest_stream, start_once,
+)
 
-# Topic -> (payload fields, raw table).
+# Topic -> (raw table, payload fields).
 RAW_TOPICS = {
-    "tfl.raw.bike-points": (STATION_FIELDS, "stations"),
-    "tfl.raw.bus-arrivals": (ARRIVAL_FIELDS, "arrivals"),
-    "tfl.raw.line-status": (LINE_STATUS_FIELDS, "lines"),
+    "tfl.raw.bike-points": ("stations", STATION_FIELDS),
+    "tfl.raw.bus-arrivals": ("arrivals", ARRIVAL_FIELDS),
+    "tfl.raw.line-status": ("lines", LINE_STATUS_FIELDS),
 }
+BY_DAY = ["event_date"]
+LINE_TIEBREAK = ["status_severity", "status_description", "reason"]
 
 
-def _rows_of(topic: str, fields: dict[str, tuple[str, str]]) -> Callable[[DataFrame], DataFrame]:
-    return lambda messages: projections.typed_feed(messages.filter(F.col("topic") == topic), fields)
-
-
-def ingest(messages: DataFrame, root: str, checkpoint: str, trigger: str | None = None) -> DataStreamWriter:
-    """Enveloped messages of all feeds to one raw table each."""
-    sinks = {
-        topic: (_rows_of(topic, fields), f"{root}/{table}") for topic, (fields, table) in RAW_TOPICS.items()
-    }
-    return fan_out(messages, sinks, checkpoint, trigger)
+def ingest(messages: DataFrame, root: str, checkpoint: str, trigger: str | None = None) -> dict[str, DataStreamWriter]:
+    """Enveloped messages to one raw table per feed, one stream each."""
+    writers = {}
+    for topic, (table, fields) in RAW_TOPICS.items():
+        rows = projections.typed_feed(messages.filter(F.col("topic") == topic), fields)
+        dated = with_date(rows, "event_time")
+        writers[table] = append_files(dated, f"{root}/{table}", f"{checkpoint}/{table}", trigger, partition_by=BY_DAY)
+    return writers
 
 
 def curate_station_stream(
@@ -49,20 +52,30 @@ def curate_station_stream(
         rows = projections.hot_stations(curated(batch))
         return to_changelog(rows, ["bike_point_id"], rows.columns)
 
-    sinks = {"table": (curated, f"{root}/stations"), "topic": (hot, f"{root}/stations_topic")}
+    sinks = {
+        "table": (lambda batch: with_date(curated(batch), "event_time"), f"{root}/stations", BY_DAY),
+        "topic": (hot, f"{root}/stations_topic", []),
+    }
     return fan_out(raw, sinks, checkpoint, trigger)
 
 
 def curate_arrival_stream(
-    raw: DataFrame, root: str, checkpoint: str, trigger: str | None = None, as_of: str | None = None
+    raw: DataFrame, root: str, checkpoint: str, trigger: str | None = None, as_of: str | None = None,
+    partition_by: list[str] = BY_DAY,
 ) -> DataStreamWriter:
-    """Raw arrivals to the curated table."""
-    return append_files(projections.curate_arrivals(raw, as_of), f"{root}/arrivals", checkpoint, trigger)
+    """Raw arrivals to the curated table.
+
+    Feeds come in time order, so a task writes to few days. For input in no order pass no
+    partition columns, or every task leaves a file in every day.
+    """
+    dated = with_date(projections.curate_arrivals(raw, as_of), "event_time")
+    return append_files(dated, f"{root}/arrivals", checkpoint, trigger, partition_by=partition_by)
 
 
 def station_analytics(curated: DataFrame, root: str, checkpoint: str, trigger: str | None = None) -> DataStreamWriter:
     """Curated stations to closed hourly windows."""
-    return append_files(hourly_stream(curated), f"{root}/station_hourly", checkpoint, trigger)
+    hourly = with_date(hourly_stream(curated), "window_start")
+    return append_files(hourly, f"{root}/station_hourly", checkpoint, trigger, partition_by=BY_DAY)
 
 
 def line_analytics(raw: DataFrame, root: str, checkpoint: str, trigger: str | None = None) -> DataStreamWriter:
@@ -79,4 +92,27 @@ def line_topic(raw: DataFrame, root: str, checkpoint: str, trigger: str | None =
     return append_files(to_changelog(rows, ["line_id"], rows.columns), f"{root}/line_topic", checkpoint, trigger)
 
 
-LINE_TIEBREAK = ["status_severity", "status_description", "reason"]
+def start_all(
+    spark: SparkSession, messages: DataFrame, root: str, checkpoint: str, commit: str = CHECKPOINT_PACE,
+    discover: str = DISCOVERY, as_of: str | None = None,
+) -> list[StreamingQuery]:
+    """Start every layer that is not running yet: topics to raw to curated to analytics."""
+    def table(name: str, schema: str) -> DataFrame:
+        return stream_layer(spark, f"{root}/{name}", schema)
+
+    def place(name: str) -> str:
+        return f"{checkpoint}/{name}"
+
+    raw, curated, analytics = f"{root}/raw", f"{root}/curated", f"{root}/analytics"
+    running = [start_once(spark, w, f"raw-{name}") for name, w in ingest(messages, raw, place("raw"), commit).items()]
+    stations, lines = table("raw/stations", RAW_SCHEMAS["stations"]), table("raw/lines", RAW_SCHEMAS["lines"])
+    arrivals = table("raw/arrivals", RAW_SCHEMAS["arrivals"])
+    curated_stations = table("curated/stations", RAW_SCHEMAS["curated_stations"])
+    later = {
+        "curated-stations": curate_station_stream(stations, curated, place("stations"), discover, as_of),
+        "curated-arrivals": curate_arrival_stream(arrivals, curated, place("arrivals"), discover, as_of),
+        "station-hourly": station_analytics(curated_stations, analytics, place("hourly"), discover),
+        "line-latest": line_analytics(lines, analytics, place("latest"), discover),
+        "line-topic": line_topic(lines, analytics, place("topic"), discover),
+    }
+    return running + [start_once(spark, writer, name) for name, writer in later.items()]

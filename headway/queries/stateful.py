@@ -159,18 +159,20 @@ def _land(t: Tables) -> str:
 def landing_to_hourly(t: Tables) -> DataFrame:
     root = run_dir(t.spark, "layers")
     batch.landing_to_hourly(t.spark, _land(t), root, as_of=b.AS_OF)
-    return t.spark.read.parquet(f"{root}/hourly")
+    return t.spark.read.parquet(f"{root}/hourly").drop("event_date")
 
 
 @query(
     "backfill_range",
     f"""WITH {HOURLY_SQL} {HOURLY_ROUNDED_OUT} FROM hourly
-    WHERE window_start >= TIMESTAMP '2024-01-10' AND window_start < TIMESTAMP '2024-01-13'""",
+    WHERE window_start >= TIMESTAMP '2024-01-10' AND window_start < TIMESTAMP '2024-01-15'""",
 )
 def backfill_range(t: Tables) -> DataFrame:
-    root = run_dir(t.spark, "backfill")
-    batch.backfill(t.spark, _land(t), root, "2024-01-10 00:00:00", "2024-01-13 00:00:00", b.AS_OF)
-    return t.spark.read.parquet(f"{root}/hourly")
+    """Two ranges that overlap; the days in both are replaced."""
+    root, landing = run_dir(t.spark, "backfill"), _land(t)
+    for first, end in (("2024-01-10", "2024-01-13"), ("2024-01-12", "2024-01-15")):
+        batch.backfill(t.spark, landing, root, first, end, b.AS_OF)
+    return t.spark.read.parquet(f"{root}/hourly").drop("event_date")
 
 
 @query(
@@ -192,14 +194,12 @@ def layer_counts(t: Tables) -> DataFrame:
     WHERE event_time >= TIMESTAMP '{b.WEEK[0]}' AND event_time < TIMESTAMP '{b.WEEK[1]}' GROUP BY ALL""",
 )
 def interval_batch(t: Tables) -> DataFrame:
-    """One week, written twice: whole days are replaced, so nothing doubles."""
+    """One week, run twice: the interval is replaced, so nothing doubles."""
     lines = b.lines(t.events).withColumnRenamed("status_description", "status")
     root = run_dir(t.spark, "interval")
     for _ in range(2):
-        batch.write_interval(
-            batch.interval_batch(b.station_batch(t.events), lines, b.arrivals(t.lineitem), *b.WEEK), root
-        )
-    hourly = t.spark.read.parquet(f"{root}/hourly").drop("event_date")
+        batch.run_interval(b.station_batch(t.events), lines, b.arrivals(t.lineitem), root, *b.WEEK)
+    hourly = t.spark.read.parquet(f"{root}/hourly").drop("interval_start")
     return rounded(hourly, "avg_occupancy_pct", "avg_available_bikes")
 
 

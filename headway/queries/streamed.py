@@ -50,13 +50,14 @@ FROM events WHERE event_type IN ('signup', 'error')"""
 def topic_to_raw(t: Tables) -> DataFrame:
     root = run_dir(t.spark, "raw")
     messages = stream_topic(t.spark, "parquet", path=_topic(t))
-    finish(streams.ingest(messages, root, run_dir(t.spark, "checkpoint")))
+    for writer in streams.ingest(messages, root, run_dir(t.spark, "checkpoint")).values():
+        finish(writer)
     columns = {
         "stations": ("bike_point_id", "nb_bikes"), "arrivals": ("arrival_id", "time_to_station"),
         "lines": ("line_id", "status_severity"),
     }
     parts = [
-        tables.read_batches(t.spark, f"{root}/{feed}").select(
+        t.spark.read.parquet(f"{root}/{feed}").select(
             F.lit(feed).alias("feed"), F.col(key).alias("id"), F.col(amount).alias("amount"), "event_time", "ingested_at"
         )
         for feed, (key, amount) in columns.items()
@@ -121,7 +122,7 @@ def stream_fan_out(t: Tables) -> DataFrame:
 def stream_arrivals(t: Tables) -> DataFrame:
     root = run_dir(t.spark, "curated")
     raw = b.arrivals(t.stream("lineitem"))
-    finish(streams.curate_arrival_stream(raw, root, run_dir(t.spark, "checkpoint"), as_of=b.AS_OF))
+    finish(streams.curate_arrival_stream(raw, root, run_dir(t.spark, "checkpoint"), as_of=b.AS_OF, partition_by=[]))
     return t.spark.read.parquet(f"{root}/arrivals").select(
         "arrival_id", "vehicle_id", "stop_id", "time_to_station_seconds", "has_arrived", "event_time"
     )

@@ -49,6 +49,23 @@ STATION_FIELDS = {
     "nb_docks": ("$.nb_docks", "int"),
 }
 
+def _raw_schema(fields: dict[str, tuple[str, str]]) -> str:
+    columns = ", ".join(f"{name} {kind}" for name, (_, kind) in fields.items())
+    return f"{columns}, event_time TIMESTAMP_NTZ, ingested_at TIMESTAMP_NTZ, event_date DATE"
+
+
+# Tables that later layers read as streams.
+RAW_SCHEMAS = {
+    "stations": _raw_schema(STATION_FIELDS),
+    "arrivals": _raw_schema(ARRIVAL_FIELDS),
+    "lines": _raw_schema(LINE_STATUS_FIELDS),
+    "curated_stations": (
+        "bike_point_id STRING, common_name STRING, lat DOUBLE, lon DOUBLE, nb_bikes INT, nb_ebikes INT, "
+        "nb_empty_docks INT, nb_docks INT, occupancy_pct DOUBLE, is_empty BOOLEAN, is_full BOOLEAN, "
+        "event_time TIMESTAMP_NTZ, processed_at TIMESTAMP_NTZ, batch_id INT, event_date DATE"
+    ),
+}
+
 # Declared records: required columns are not nullable.
 TEXT, WHOLE, REAL, TIME = T.StringType(), T.IntegerType(), T.DoubleType(), T.TimestampType()
 RECORDS = {

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -59,18 +60,40 @@ def _swap(spark: SparkSession, fresh: str, path: str) -> None:
         raise OSError(f"{fresh} is complete but could not be moved to {path}")
 
 
-def replace_days(df: DataFrame, path: str, ts: str, fmt: str = "parquet") -> None:
-    """Write whole days of an event table; running the same interval again replaces them."""
-    writer = _writer(with_date(df, ts), fmt, ["event_date"]).mode("overwrite")
+def replace_days(df: DataFrame, path: str, fmt: str = "parquet", gather: bool = True) -> None:
+    """Replace the days that occur in ``event_date``, and no others.
+
+    The rows must cover those days completely.
+    """
+    writer = _writer(df, fmt, ["event_date"], gather).mode("overwrite")
     writer.option("partitionOverwriteMode", "dynamic").save(path)
 
 
-def write_counted(
-    df: DataFrame, table: str, fmt: str = "parquet", partition_by: list[str] | None = None, gather: bool = True
-) -> int:
-    """Replace a table and return its rows, counted while writing."""
+def replace_interval(df: DataFrame, path: str, start: str, fmt: str = "parquet") -> None:
+    """Write one processing interval into its own partition; running it again replaces it.
+
+    Intervals need not start at midnight, so they are kept apart by their start.
+    """
+    labelled = df.withColumn("interval_start", F.lit(start))
+    writer = _writer(labelled, fmt, ["interval_start"], gather=False).mode("overwrite")
+    writer.option("partitionOverwriteMode", "dynamic").save(path)
+
+
+def drop_days_before(spark: SparkSession, path: str, before: str) -> list[str]:
+    """Retention of a table partitioned by day: delete whole folders, rewrite nothing."""
+    make_path = spark._jvm.org.apache.hadoop.fs.Path
+    files = make_path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [entry.getPath().getName() for entry in files.listStatus(make_path(path))]
+    old = sorted(n for n in names if n.startswith("event_date=") and n[len("event_date="):] < before)
+    for name in old:
+        files.delete(make_path(f"{path}/{name}"), True)
+    return old
+
+
+def counted(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
+    """Run a write and return its rows, counted on the way and not by a second pass."""
     seen = Observation()
-    replace(df.observe(seen, F.count(F.lit(1)).alias("rows")), table, fmt, partition_by, gather)
+    write(df.observe(seen, F.count(F.lit(1)).alias("rows")))
     return seen.get["rows"]
 
 
@@ -95,13 +118,21 @@ def merge_latest(batch: DataFrame, table: str, keys: list[str], order: str, tieb
     newest.mergeInto(table, on).whenMatched(newer).updateAll().whenNotMatched().insertAll().merge()
 
 
-# --- latest-state log ---------------------------------------------------------------
-# Plain files cannot be updated in place, so each batch adds its newest row per key in a
-# folder of its own. Writing a batch again replaces that folder.
+# --- tables written batch by batch --------------------------------------------------
+# Plain files cannot be updated in place, so each batch of a stream has a folder of its
+# own. A latest-state log holds the newest row per key of each batch.
 
 
-def write_batch(df: DataFrame, path: str, batch_id: int, fmt: str = "parquet") -> None:
-    df.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "static").save(f"{path}/batch_id={batch_id}")
+def write_batch(
+    df: DataFrame, path: str, batch_id: int, fmt: str = "parquet", partition_by: list[str] | None = None
+) -> None:
+    """Write a batch unless it is complete already, as when a stream repeats its last batch."""
+    spark, folder = df.sparkSession, f"{path}/batch_id={batch_id}"
+    done = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/_SUCCESS")
+    if done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done):
+        return
+    writer = _writer(df, fmt, partition_by or [], gather=False).mode("overwrite")
+    writer.option("partitionOverwriteMode", "static").save(folder)
 
 
 def read_batches(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:

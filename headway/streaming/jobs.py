@@ -17,8 +17,8 @@ TABLE_DISORDER = "5 minutes"
 DISCOVERY = "30 seconds"
 CHECKPOINT_PACE = "60 seconds"
 
-# A sink of a fan-out: what to do with the batch, and the folder it goes to.
-Sink = tuple[Callable[[DataFrame], DataFrame], str]
+# A sink of a fan-out: what to do with the batch, the folder it goes to, its partitions.
+Sink = tuple[Callable[[DataFrame], DataFrame], str, list[str]]
 
 
 def is_running(spark: SparkSession, name: str) -> bool:
@@ -52,26 +52,30 @@ def hourly_stream(curated: DataFrame, ts: str = "event_time", delay: str = TABLE
     return hourly.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")})
 
 
-def append_files(df: DataFrame, path: str, checkpoint: str, trigger: str | None = None, fmt: str = "parquet") -> DataStreamWriter:
-    """Append a stream to a table, exactly once."""
-    writer = df.writeStream.format(fmt).outputMode("append").option("path", path).option("checkpointLocation", checkpoint)
-    return paced(writer, trigger)
+def append_files(
+    df: DataFrame, path: str, checkpoint: str, trigger: str | None = None, fmt: str = "parquet",
+    partition_by: list[str] | None = None,
+) -> DataStreamWriter:
+    """Append a stream to a table, exactly once, also for streams that read the table."""
+    writer = df.writeStream.format(fmt).outputMode("append").option("path", path)
+    writer = writer.partitionBy(*partition_by) if partition_by else writer
+    return paced(writer.option("checkpointLocation", checkpoint), trigger)
 
 
 def fan_out(stream: DataFrame, sinks: dict[str, Sink], checkpoint: str, trigger: str | None = None) -> DataStreamWriter:
     """One read of the input for several sinks.
 
-    The sinks are not written as one transaction. Each writes a folder per batch, which a
-    repeated batch replaces, so all are right again after a restart. Batches of a paced
-    stream are kept while they are written; a backlog worked off at once may be larger
-    than the cluster's storage, so there each sink reads only the columns it needs.
+    The sinks are not written as one transaction. Each has a folder per batch, and a
+    batch repeated after a failure fills in only the folders that are not complete.
+    Batches of a paced stream are kept while they are written; a backlog worked off at
+    once may exceed the cluster's storage, so there each sink reads what it needs.
     """
 
     def deliver(batch: DataFrame, batch_id: int) -> None:
         if trigger:
             batch.persist()
-        for transform, path in sinks.values():
-            write_batch(transform(batch), path, batch_id)
+        for transform, path, partition_by in sinks.values():
+            write_batch(transform(batch), path, batch_id, partition_by=partition_by)
         if trigger:
             batch.unpersist()
 

@@ -102,7 +102,12 @@ def test_layers_are_partitioned_by_day(spark, folder):
     b.stations(Tables(spark, DATA).events).withColumns(iso).write.parquet(landing)
     counts = batch.landing_to_hourly(spark, landing, f"{folder}/all")
     assert counts["raw"] == spark.read.parquet(landing).count()
-    part = batch.backfill(spark, landing, f"{folder}/part", "2024-01-10 00:00:00", "2024-01-12 00:00:00")
+    part = batch.backfill(spark, landing, f"{folder}/part", "2024-01-10", "2024-01-12")
+    before = rows(spark.read.parquet(f"{folder}/all/hourly"))
+    batch.backfill(spark, landing, f"{folder}/all", "2024-01-10", "2024-01-12")
+    assert rows(spark.read.parquet(f"{folder}/all/hourly")) == before  # other days untouched, these rebuilt
+    with pytest.raises(ValueError):
+        batch.backfill(spark, landing, f"{folder}/all", "2024-01-10 06:00:00", "2024-01-12")
     days = spark.read.parquet(f"{folder}/part/curated").select("event_date").distinct()
     assert rows(days) == [(dt.date(2024, 1, 10),), (dt.date(2024, 1, 11),)]
     assert 0 < part["hourly"] < counts["hourly"]

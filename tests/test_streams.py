@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
 import time
 
 import pytest
@@ -14,6 +15,7 @@ from headway.plans import streams
 from headway.queries import bindings as b
 from headway.queries.registry import Tables
 from headway.sinks import tables
+from headway.sinks.topics import publish
 from headway.sources.readers import stream_layer, stream_topic, tail_topic
 from headway.streaming import jobs
 from headway.streaming.progress import ProgressLog
@@ -95,7 +97,8 @@ def test_resume_after_stop(spark, folder):
     events = Tables(spark, DATA).events
     events.repartition(8).write.parquet(f"{folder}/in")
     source = lambda: stream_layer(spark, f"{folder}/in", events.schema, maxFilesPerTrigger="2")
-    sinks = {"all": (lambda df: df, f"{folder}/all"), "errors": (lambda df: df.filter("event_type = 'error'"), f"{folder}/errors")}
+    sinks = {"all": (lambda df: df, f"{folder}/all", []),
+             "errors": (lambda df: df.filter("event_type = 'error'"), f"{folder}/errors", ["event_type"])}
     query = jobs.fan_out(source(), sinks, f"{folder}/ck", "1 second").start()
     while not query.recentProgress and query.isActive:
         time.sleep(0.2)
@@ -112,7 +115,7 @@ def test_repeated_batch_changes_nothing(spark, folder):
     events.write.parquet(f"{folder}/in")
     for checkpoint in ("ck1", "ck2"):  # a lost checkpoint delivers batch 0 again
         stream = stream_layer(spark, f"{folder}/in", events.schema)
-        jobs.finish(jobs.fan_out(stream, {"all": (lambda df: df, f"{folder}/all")}, f"{folder}/{checkpoint}"))
+        jobs.finish(jobs.fan_out(stream, {"all": (lambda df: df, f"{folder}/all", [])}, f"{folder}/{checkpoint}"))
     assert tables.read_batches(spark, f"{folder}/all").count() == events.count()
 
 
@@ -126,8 +129,9 @@ def test_three_feeds(spark, folder):
     messages = spark.createDataFrame([(None, v, t, i, T0) for i, (t, v) in enumerate(data)],
                                      "key STRING, value STRING, topic STRING, offset BIGINT, timestamp TIMESTAMP")
     messages.write.parquet(f"{folder}/topic")
-    jobs.finish(streams.ingest(stream_topic(spark, "parquet", path=f"{folder}/topic"), f"{folder}/raw", f"{folder}/ck"))
-    read = lambda t: tables.read_batches(spark, f"{folder}/raw/{t}")
+    for writer in streams.ingest(stream_topic(spark, "parquet", path=f"{folder}/topic"), f"{folder}/raw", f"{folder}/ck").values():
+        jobs.finish(writer)
+    read = lambda t: spark.read.parquet(f"{folder}/raw/{t}")
     assert rows(read("lines"), "line_id", "status_severity", "reason", "event_time", "ingested_at") == [
         ("dlr", 9, None, T0, T0 + dt.timedelta(seconds=1))]
     assert rows(read("arrivals"), "arrival_id", "vehicle_id", "time_to_station", "ingested_at") == [("7", "V", -5, None)]
@@ -192,3 +196,38 @@ def test_sessions_get_stream_messages(spark, folder):
     stream = deliver(stream_layer(spark, f"{folder}/m", "topic STRING, n INT"), sessions)
     jobs.finish(jobs.append_files(stream, f"{folder}/out", f"{folder}/ck"))
     assert rows(spark.read.parquet(f"{folder}/out"), "session_id", "n") == [("a", 1), ("b", 1)]
+
+
+def test_all_layers_live(spark, folder):
+    """Topic to raw to curated to analytics, running side by side."""
+    events = Tables(spark, DATA).events
+    publish(b.messages(events), "parquet", path=f"{folder}/topic")
+    start = lambda: streams.start_all(
+        spark, stream_topic(spark, "parquet", path=f"{folder}/topic"), folder, f"{folder}/ck", "1 second", "1 second", b.AS_OF)
+    for layer in ("raw/stations", "raw/lines", "raw/arrivals", "curated/stations"):
+        os.makedirs(f"{folder}/{layer}")
+    queries = start()
+    try:
+        assert {q.id for q in start()} == {q.id for q in queries} and len(queries) == 8
+        want = projections.curate_stations(b.stations(events.filter("event_type IN ('view', 'click')")), b.AS_OF)
+        newest = want.agg(F.max("event_time")).first()[0] - dt.timedelta(minutes=5)
+        hourly = aggregates.station_hourly_windowed(want).filter(F.col("window_end") <= F.lit(newest))
+        deadline = time.time() + 120
+        while time.time() < deadline:
+            for query in queries:
+                if query.exception():
+                    raise query.exception()
+            done = os.path.isdir(f"{folder}/analytics/station_hourly/_spark_metadata")
+            if done and spark.read.schema(hourly.schema).parquet(f"{folder}/analytics/station_hourly").count() >= hourly.count():
+                break
+            time.sleep(1)
+    finally:
+        for query in queries:
+            query.stop()
+    columns = ["bike_point_id", "window_start", "min_bikes", "max_bikes", "empty_count", "full_count", "sample_count"]
+    assert rows(spark.read.parquet(f"{folder}/analytics/station_hourly"), *columns) == rows(hourly, *columns)
+    latest = tables.read_latest(spark, f"{folder}/analytics/line_status_latest", ["line_id"], "last_updated", streams.LINE_TIEBREAK)
+    assert latest.count() == 2
+    assert spark.read.parquet(f"{folder}/analytics/line_topic").count() == events.filter("event_type IN ('signup', 'error')").count()
+    arrivals = events.filter("event_type = 'purchase'").count()
+    assert spark.read.parquet(f"{folder}/raw/arrivals").count() == arrivals

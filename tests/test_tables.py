@@ -86,14 +86,14 @@ def test_append_replace_and_count(spark, folder):
     tables.append(numbers(spark, 1, 2), path)
     tables.append(numbers(spark, 3), path)
     assert rows(readers.read_layer(spark, path)) == [(1,), (2,), (3,)]
-    assert tables.write_counted(numbers(spark, 7, 8), path) == 2
+    assert tables.counted(numbers(spark, 7, 8), lambda df: tables.replace(df, path)) == 2
     assert tables.read_back_count(spark, path).first()[0] == 2
     tables.replace(spark.read.parquet(path).filter("n > 7"), path)  # reads what it replaces
     assert rows(readers.read_layer(spark, path)) == [(8,)]
     with pytest.raises(Exception, match="DIVIDE_BY_ZERO"):
         tables.replace(spark.read.parquet(path).selectExpr("n / (n - 8) AS n"), path)
     assert rows(readers.read_layer(spark, path)) == [(8,)]  # a failed write changes nothing
-    assert tables.write_counted(numbers(spark, 1).filter("false"), path) == 0
+    assert tables.counted(numbers(spark, 1).filter("false"), lambda df: tables.replace(df, path)) == 0
 
 
 def test_catalog_table(spark):
@@ -110,11 +110,14 @@ def events(spark, *hours):
 
 def test_days_are_replaced_not_doubled(spark, folder):
     path = f"{folder}/days"
-    tables.replace_days(events(spark, 1, 25, 26, 49), path, "event_time")
-    tables.replace_days(events(spark, 27), path, "event_time")
+    dated = lambda *hours: tables.with_date(events(spark, *hours), "event_time")
+    tables.replace_days(dated(1, 25, 26, 49), path)
+    tables.replace_days(dated(27), path)
     assert rows(spark.read.parquet(path), "n") == [(1,), (27,), (49,)]
     tables.rewrite_days(spark, path, f"{folder}/closed", "2024-01-03")
     assert rows(spark.read.parquet(f"{folder}/closed"), "n") == [(1,), (27,)]
+    assert tables.drop_days_before(spark, path, "2024-01-02") == ["event_date=2024-01-01"]
+    assert rows(spark.read.parquet(path), "n") == [(27,), (49,)]
 
 
 def test_latest_log(spark, folder):
@@ -162,7 +165,7 @@ def test_interval_is_idempotent(spark, folder):
     arrivals = spark.createDataFrame([("a", "s", "S", "l", "D", 10, "2024-01-01T00:00:00Z", T0)],
         "arrival_id STRING, stop_id STRING, station_name STRING, line_name STRING, destination_name STRING, "
         "time_to_station INT, expected_arrival STRING, event_time TIMESTAMP_NTZ")
-    for _ in range(2):
-        batch.write_interval(batch.interval_batch(stations, lines, arrivals, "2024-01-01", "2024-01-02"), folder)
+    for start, end in (("2024-01-01 00:30:00", "2024-01-02 00:30:00"), ("2023-12-31 00:30:00", "2024-01-01 00:30:00")) * 2:
+        batch.run_interval(stations, lines, arrivals, folder, start, end)
     assert {t: spark.read.parquet(f"{folder}/{t}").count() for t in ("stations", "lines", "arrivals", "hourly")} == {
-        "stations": 3, "lines": 1, "arrivals": 1, "hourly": 3}
+        "stations": 4, "lines": 1, "arrivals": 1, "hourly": 4}
