@@ -177,15 +177,14 @@ def sample_rows(t: Tables) -> DataFrame:
           UNION ALL
           SELECT * FROM (SELECT *, 'empty' AS side FROM latest WHERE nb_bikes + nb_ebikes + nb_empty_docks > 0
                          ORDER BY occupancy_pct, bike_point_id LIMIT 8))
-    SELECT side, bike_point_id, occupancy_pct, least(greatest(occupancy_pct, 0), 100) AS bar_pct,
+    SELECT side, bike_point_id, common_name, occupancy_pct, nb_bikes, nb_ebikes, nb_empty_docks,
+           least(greatest(occupancy_pct, 0), 100) AS bar_pct,
            CAST(floor(least(greatest(occupancy_pct, 0), 100) + 0.5) AS BIGINT) AS label_pct
     FROM x
     """,
 )
 def dashboard_extremes(t: Tables) -> DataFrame:
-    return dashboard.station_extremes(latest_stations(t)).select(
-        "side", "bike_point_id", "occupancy_pct", "bar_pct", "label_pct"
-    )
+    return dashboard.station_extremes(latest_stations(t)).select("side", *TILE, "bar_pct", "label_pct")
 
 
 @query(
