@@ -37,18 +37,16 @@ def compacted(changelog: DataFrame, key: str = "key", value: str = "value") -> D
     return latest_by_arrival(changelog, [key]).filter(F.col(value).isNotNull())
 
 
-def last_n_per_key(
-    df: DataFrame, keys: list[str], order: list[Column], n: int = 1000, spread: int = 64,
-    spread_on: list[str] | None = None,
-) -> DataFrame:
+def last_n_per_key(df: DataFrame, keys: list[str], order: list[Column], n: int = 1000, spread: int = 256) -> DataFrame:
     """The first n rows per key in the given order.
 
-    With n rows from every map task a hot key would still be too much for one task, so
-    each key is first cut to n rows within ``spread`` slices and then to n overall.
+    Each map task sends at most n rows per key. With many tasks that would still be too
+    much for one reducer of a hot key, so tasks are dealt to ``spread`` groups, each cut
+    to n rows per key, before the key is cut as a whole.
     """
-    slices = F.pmod(F.xxhash64(*(spread_on or df.columns)), F.lit(spread))
-    sliced = _head_per_group(df.withColumn("_slice", slices), [*keys, "_slice"], order, n)
-    return _head_per_group(sliced.drop("_slice"), keys, order, n)
+    dealt = df.withColumn("_group", F.pmod(F.spark_partition_id(), F.lit(spread)))
+    cut = _head_per_group(dealt, [*keys, "_group"], order, n)
+    return _head_per_group(cut.drop("_group"), keys, order, n)
 
 
 def fullest(latest: DataFrame, n: int = 8) -> DataFrame:
@@ -87,5 +85,5 @@ def snapshot_then_live(
     """What a subscriber joining at ``cut`` receives: the last n per key, then all that follows."""
     before, since = messages.filter(F.col(ts) < at(cut)), messages.filter(F.col(ts) >= at(cut))
     order = [F.desc(ts), *[F.desc(c) for c in tiebreak]]
-    replay = last_n_per_key(before, keys, order, n, spread_on=tiebreak)
+    replay = last_n_per_key(before, keys, order, n)
     return replay.withColumn("snapshot", F.lit(True)).unionByName(since.withColumn("snapshot", F.lit(False)))

@@ -1,11 +1,14 @@
 """Looking at neighbouring rows of a key without gathering the key in one task.
 
 Rows are ordered within (key, time slice); what must cross a slice border travels as
-one edge row per slice, so a key that holds a third of the data still spreads out.
+one row per key and slice. ``slice_seconds`` picks slices narrow enough for a key that
+holds a third of the data.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -13,6 +16,19 @@ from pyspark.sql import functions as F
 DAY = 86_400
 
 
+def slice_seconds(df: DataFrame, ts: str, hot_share: float = 1 / 3, rows_per_slice: int = 100_000) -> int:
+    """Slice width that gives a key with that share of all rows about so many per slice.
+
+    Reads the time column once.
+    """
+    seconds = F.unix_seconds(F.col(ts).cast("timestamp"))
+    seen = df.agg(F.count("*").alias("rows"), F.min(seconds).alias("first"), F.max(seconds).alias("last")).first()
+    if seen["first"] is None:
+        return DAY
+    slices = max(1, math.ceil(seen["rows"] * hot_share / rows_per_slice))
+    return max(1, math.ceil((seen["last"] - seen["first"] + 1) / slices))
+
+
 def _slice(ts: str, seconds: int) -> Column:
     return F.floor(F.unix_seconds(F.col(ts).cast("timestamp")) / F.lit(seconds))
 

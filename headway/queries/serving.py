@@ -47,7 +47,7 @@ def latest_for_key(t: Tables) -> DataFrame:
 )
 def last_n_per_key(t: Tables) -> DataFrame:
     order = [F.desc("ts"), F.desc("event_id")]
-    return ranking.last_n_per_key(t.events, ["event_type"], order, 100, spread_on=["event_id"])
+    return ranking.last_n_per_key(t.events, ["event_type"], order, 100)
 
 
 @query(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from headway.functions.text_time import hour_of
 from headway.operators import aggregates, filters, joins, monitoring, projections, quality, ranking, sequences
 from headway.plans import batch
 from headway.queries import bindings as b
@@ -265,7 +266,8 @@ def silent_outage(t: Tables) -> DataFrame:
 )
 def mtbf_by_key(t: Tables) -> DataFrame:
     gaps = sequences.mean_gap_between_starts(
-        b.lines(t.events), ["line_id"], "event_time", ["event_id"], F.col("status_severity") != 10
+        b.lines(t.events), ["line_id"], "event_time", ["event_id"], F.col("status_severity") != 10,
+        sequences.slice_seconds(t.events, "ts"),
     )
     return gaps.withColumn("mean_seconds_between", F.round("mean_seconds_between", 3))
 
@@ -295,7 +297,8 @@ def churn_by_area(t: Tables) -> DataFrame:
     readings = b.typed(t.events).select(
         "user_id", "ts", "event_id", F.col("event_type").alias("area"), b.k().alias("bikes")
     )
-    return sequences.churn(readings, "user_id", "area", F.date_trunc("hour", "ts").cast("timestamp_ntz"), "bikes", "ts", ["event_id"])
+    hour, width = hour_of(F.col("ts")), sequences.slice_seconds(t.events, "ts")
+    return sequences.churn(readings, "user_id", "area", hour, "bikes", "ts", ["event_id"], width)
 
 
 @query(
@@ -310,7 +313,8 @@ def churn_by_area(t: Tables) -> DataFrame:
 def arrival_drift(t: Tables) -> DataFrame:
     """From each view to the user's next purchase, as from a prediction to the arrival."""
     rows = t.events.filter(F.col("event_type").isin("view", "purchase"))
-    timed = sequences.with_next_time(rows, ["user_id"], "ts", F.col("event_type") == "purchase")
+    width = sequences.slice_seconds(t.events, "ts")
+    timed = sequences.with_next_time(rows, ["user_id"], "ts", F.col("event_type") == "purchase", width)
     drift = (F.unix_micros(F.col("next_time").cast("timestamp")) - F.unix_micros(F.col("ts").cast("timestamp"))) / F.lit(1e6)
     views = timed.filter(F.col("event_type") == "view")
     return views.select("event_id", "ts", F.col("next_time").alias("observed"), F.round(drift, 3).alias("drift_seconds"))

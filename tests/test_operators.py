@@ -95,7 +95,7 @@ def test_compacted_drops_deleted(spark):
 
 def test_last_n_of_a_hot_key(spark):
     hot = spark.range(20_000).select(F.when(F.col("id") % 3 == 0, F.col("id") % 50).otherwise(-1).alias("k"), F.col("id").alias("n"))
-    got = ranking.last_n_per_key(hot, ["k"], [F.desc("n")], 7, spread_on=["n"])
+    got = ranking.last_n_per_key(hot.repartition(13), ["k"], [F.desc("n")], 7, spread=3)
     want = hot.toPandas().sort_values("n", ascending=False).groupby("k").head(7)
     assert rows(got, "k", "n") == sorted(map(tuple, want[["k", "n"]].to_numpy().tolist()), key=repr)
 

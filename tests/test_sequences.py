@@ -58,3 +58,12 @@ def test_share(spark):
     df = spark.createDataFrame([("a", "x"), ("a", "x"), ("a", None), (None, "x")], "line STRING, reason STRING")
     assert rows(sequences.share_within(df, "line", "reason")) == sorted(
         [("a", "x", 2, 2 / 3), ("a", None, 1, 1 / 3), (None, "x", 1, 1.0)], key=repr)
+
+
+def test_slice_width(spark):
+    _, df = readings(spark)
+    span = 12 * 86_400
+    assert span / 2 < sequences.slice_seconds(df, "ts") <= span
+    assert span / 12 < sequences.slice_seconds(df, "ts", rows_per_slice=100) <= span / 9
+    assert sequences.slice_seconds(df, "ts", rows_per_slice=1, hot_share=1e9) == 1
+    assert sequences.slice_seconds(df.filter("false"), "ts") == 86_400

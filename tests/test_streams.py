@@ -231,3 +231,27 @@ def test_all_layers_live(spark, folder):
     assert spark.read.parquet(f"{folder}/analytics/line_topic").count() == events.filter("event_type IN ('signup', 'error')").count()
     arrivals = events.filter("event_type = 'purchase'").count()
     assert spark.read.parquet(f"{folder}/raw/arrivals").count() == arrivals
+
+
+def test_topic_disorder_is_five_seconds(spark, folder):
+    """Counting per minute on a topic: 4 seconds late is in time, 6 seconds late is not."""
+    schema = "key STRING, value STRING, topic STRING, offset BIGINT, timestamp TIMESTAMP"
+
+    def send(*seconds):
+        data = [(None, "x", "t", i, T0 + dt.timedelta(seconds=s)) for i, s in enumerate(seconds)]
+        spark.createDataFrame(data, schema).coalesce(1).write.mode("append").parquet(f"{folder}/t")
+
+    def run():
+        timed = jobs.topic_time(stream_topic(spark, "parquet", path=f"{folder}/t"))
+        counted = timed.groupBy(F.window("timestamp", "1 minute")).count().select("window.start", "count")
+        return jobs.finish(jobs.append_files(counted, f"{folder}/out", f"{folder}/ck"))
+
+    send(30, 64)
+    run()
+    send(59, 66)  # the watermark is at 59 s: the first minute is open
+    run()
+    send(58, 130)  # now it is at 61 s: the first minute is closed
+    query = run()
+    assert sum(s.numRowsDroppedByWatermark for p in query.recentProgress for s in p.stateOperators) == 1
+    got = {r[0].replace(tzinfo=None): r[1] for r in spark.read.parquet(f"{folder}/out").collect()}
+    assert got == {T0: 2, T0 + dt.timedelta(minutes=1): 2}
