@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from headway.constants import M_PER_DEGREE
 from headway.operators import filters, projections, ranking
 
 
@@ -25,6 +26,11 @@ def stations_near(curated: DataFrame, lat: float, lon: float, radius_km: float =
     return projections.station_document(filters.near(curated, lat, lon, radius_km))
 
 
+def stations_within(curated: DataFrame, lat: float, lon: float, radius_m: int = 500) -> DataFrame:
+    """The same with a radius in metres."""
+    return projections.station_document(filters.near(curated, lat, lon, radius_m, M_PER_DEGREE))
+
+
 def station(curated: DataFrame, station_id: str) -> DataFrame:
     return projections.station_document(filters.look_up(curated, "bike_point_id", station_id))
 

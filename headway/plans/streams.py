@@ -13,7 +13,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from headway.operators import projections
 from headway.schemas import ARRIVAL_FIELDS, LINE_STATUS_FIELDS, RAW_SCHEMAS, STATION_FIELDS
-from headway.sinks.tables import with_date
+from headway.sinks.tables import make_folder, with_date
 from headway.sinks.topics import to_changelog
 from headway.sources.readers import stream_layer
 from headway.streaming.jobs import (
@@ -98,6 +98,7 @@ def start_all(
 ) -> list[StreamingQuery]:
     """Start every layer that is not running yet: topics to raw to curated to analytics."""
     def table(name: str, schema: str) -> DataFrame:
+        make_folder(spark, f"{root}/{name}")
         return stream_layer(spark, f"{root}/{name}", schema)
 
     def place(name: str) -> str:

@@ -164,6 +164,21 @@ def serve_station(t: Tables) -> DataFrame:
     return api.station(b.stations(t.events), "Dock_7")
 
 
+@query(
+    "serve_within",
+    f"""
+    WITH {b.STATIONS_SQL}
+    SELECT bike_point_id AS station_id, common_name AS name, lat, lon, coalesce(nb_bikes, 0) AS bikes_available,
+           coalesce(nb_empty_docks, 0) AS docks_available, coalesce(nb_docks, 0) AS total_docks
+    FROM stations
+    WHERE lat BETWEEN CAST(51.6 AS DOUBLE) - CAST(5000 AS DOUBLE) / 111000 AND CAST(51.6 AS DOUBLE) + CAST(5000 AS DOUBLE) / 111000
+      AND lon BETWEEN CAST(-0.4 AS DOUBLE) - CAST(5000 AS DOUBLE) / 111000 AND CAST(-0.4 AS DOUBLE) + CAST(5000 AS DOUBLE) / 111000
+    """,
+)
+def serve_within(t: Tables) -> DataFrame:
+    return api.stations_within(b.stations(t.events), 51.6, -0.4, 5000)
+
+
 @query("sample_rows")
 def sample_rows(t: Tables) -> DataFrame:
     return api.any_stations(curated_stations(t))

@@ -50,8 +50,7 @@ FROM events WHERE event_type IN ('signup', 'error')"""
 def topic_to_raw(t: Tables) -> DataFrame:
     root = run_dir(t.spark, "raw")
     messages = stream_topic(t.spark, "parquet", path=_topic(t))
-    for writer in streams.ingest(messages, root, run_dir(t.spark, "checkpoint")).values():
-        finish(writer)
+    finish(*streams.ingest(messages, root, run_dir(t.spark, "checkpoint")).values())
     columns = {
         "stations": ("bike_point_id", "nb_bikes"), "arrivals": ("arrival_id", "time_to_station"),
         "lines": ("line_id", "status_severity"),
@@ -143,12 +142,14 @@ def stream_to_analytics(t: Tables) -> DataFrame:
     """Curated table to hourly windows; raw lines to the latest log and its keyed topic."""
     spark, root = t.spark, run_dir(t.spark, "analytics")
     curated, out = run_dir(spark, "curated"), run_dir(spark, "checkpoint")
-    finish(append_files(curate_stations(b.stations(t.stream("events")), b.AS_OF), curated, f"{out}/curated"))
+    lines = b.lines(t.stream("events"))
+    finish(
+        append_files(curate_stations(b.stations(t.stream("events")), b.AS_OF), curated, f"{out}/curated"),
+        streams.line_analytics(lines, root, f"{out}/latest"),
+        streams.line_topic(lines, root, f"{out}/topic"),
+    )
     schema = spark.read.parquet(curated).schema
     finish(streams.station_analytics(stream_layer(spark, curated, schema), root, f"{out}/hourly"))
-    lines = b.lines(t.stream("events"))
-    finish(streams.line_analytics(lines, root, f"{out}/latest"))
-    finish(streams.line_topic(lines, root, f"{out}/topic"))
 
     hourly = spark.read.parquet(f"{root}/station_hourly").select(
         F.lit("hourly").alias("kind"), F.col("bike_point_id").alias("id"), F.col("window_start").alias("seen"),

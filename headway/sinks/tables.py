@@ -52,14 +52,25 @@ def replace(
     _swap(df.sparkSession, fresh, table)
 
 
+def _files(spark: SparkSession, path: str):
+    """The file system of a path, and the path in its terms."""
+    located = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return located.getFileSystem(spark._jsc.hadoopConfiguration()), located
+
+
 def _swap(spark: SparkSession, fresh: str, path: str) -> None:
-    make_path = spark._jvm.org.apache.hadoop.fs.Path
-    files = make_path(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    files.delete(make_path(path), True)
-    if not files.rename(make_path(fresh), make_path(path)):
+    files, target = _files(spark, path)
+    files.delete(target, True)
+    if not files.rename(_files(spark, fresh)[1], target):
         raise OSError(f"{fresh} is complete but could not be moved to {path}")
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    """A stream can only watch a folder that exists."""
+    files, target = _files(spark, path)
+    files.mkdirs(target)
+
+
 def replace_days(df: DataFrame, path: str, fmt: str = "parquet", gather: bool = True) -> None:
     """Replace the days that occur in ``event_date``, and no others.
 
@@ -81,12 +92,11 @@ def replace_interval(df: DataFrame, path: str, start: str, fmt: str = "parquet")
 
 def drop_days_before(spark: SparkSession, path: str, before: str) -> list[str]:
     """Retention of a table partitioned by day: delete whole folders, rewrite nothing."""
-    make_path = spark._jvm.org.apache.hadoop.fs.Path
-    files = make_path(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    names = [entry.getPath().getName() for entry in files.listStatus(make_path(path))]
+    files, root = _files(spark, path)
+    names = [entry.getPath().getName() for entry in files.listStatus(root)]
     old = sorted(n for n in names if n.startswith("event_date=") and n[len("event_date="):] < before)
     for name in old:
-        files.delete(make_path(f"{path}/{name}"), True)
+        files.delete(_files(spark, f"{path}/{name}")[1], True)
     return old
 
 
@@ -127,9 +137,9 @@ def write_batch(
     df: DataFrame, path: str, batch_id: int, fmt: str = "parquet", partition_by: list[str] | None = None
 ) -> None:
     """Write a batch unless it is complete already, as when a stream repeats its last batch."""
-    spark, folder = df.sparkSession, f"{path}/batch_id={batch_id}"
-    done = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/_SUCCESS")
-    if done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done):
+    folder = f"{path}/batch_id={batch_id}"
+    files, done = _files(df.sparkSession, f"{folder}/_SUCCESS")
+    if files.exists(done):
         return
     writer = _writer(df, fmt, partition_by or [], gather=False).mode("overwrite")
     writer.option("partitionOverwriteMode", "static").save(folder)

@@ -74,7 +74,8 @@ def fan_out(stream: DataFrame, sinks: dict[str, Sink], checkpoint: str, trigger:
     """One read of the input for several sinks.
 
     The sinks are not written as one transaction. Each has a folder per batch, and a
-    batch repeated after a failure fills in only the folders that are not complete.
+    batch repeated after a failure fills in only the folders that are not complete. A
+    new checkpoint counts batches from 0 again, so it needs new folders too.
     Batches of a paced stream are kept while they are written; a backlog worked off at
     once may exceed the cluster's storage, so there each sink reads what it needs.
     """
@@ -102,8 +103,13 @@ def latest_stream(
     return paced(stream.writeStream.foreachBatch(newest).option("checkpointLocation", checkpoint), trigger)
 
 
-def finish(writer: DataStreamWriter) -> StreamingQuery:
-    """Run a bounded stream to its end; a failure of the stream is raised here."""
-    query = writer.start()
-    query.awaitTermination()
-    return query
+def finish(*writers: DataStreamWriter) -> list[StreamingQuery]:
+    """Run bounded streams side by side to their end; a failure of one is raised here."""
+    running = [writer.start() for writer in writers]
+    try:
+        for query in running:
+            query.awaitTermination()
+    finally:
+        for query in running:
+            query.stop()
+    return running

@@ -37,8 +37,8 @@ def feed(df, path):
 
 
 def run_hourly(spark, folder):
-    return jobs.finish(jobs.append_files(
-        jobs.hourly_stream(stream_layer(spark, f"{folder}/in", CURATED)), f"{folder}/out", f"{folder}/ck"))
+    hourly = jobs.hourly_stream(stream_layer(spark, f"{folder}/in", CURATED))
+    return jobs.finish(jobs.append_files(hourly, f"{folder}/out", f"{folder}/ck"))[0]
 
 
 def counts(spark, folder):
@@ -129,8 +129,8 @@ def test_three_feeds(spark, folder):
     messages = spark.createDataFrame([(None, v, t, i, T0) for i, (t, v) in enumerate(data)],
                                      "key STRING, value STRING, topic STRING, offset BIGINT, timestamp TIMESTAMP")
     messages.write.parquet(f"{folder}/topic")
-    for writer in streams.ingest(stream_topic(spark, "parquet", path=f"{folder}/topic"), f"{folder}/raw", f"{folder}/ck").values():
-        jobs.finish(writer)
+    messages = stream_topic(spark, "parquet", path=f"{folder}/topic")
+    jobs.finish(*streams.ingest(messages, f"{folder}/raw", f"{folder}/ck").values())
     read = lambda t: spark.read.parquet(f"{folder}/raw/{t}")
     assert rows(read("lines"), "line_id", "status_severity", "reason", "event_time", "ingested_at") == [
         ("dlr", 9, None, T0, T0 + dt.timedelta(seconds=1))]
@@ -204,8 +204,6 @@ def test_all_layers_live(spark, folder):
     publish(b.messages(events), "parquet", path=f"{folder}/topic")
     start = lambda: streams.start_all(
         spark, stream_topic(spark, "parquet", path=f"{folder}/topic"), folder, f"{folder}/ck", "1 second", "1 second", b.AS_OF)
-    for layer in ("raw/stations", "raw/lines", "raw/arrivals", "curated/stations"):
-        os.makedirs(f"{folder}/{layer}")
     queries = start()
     try:
         assert {q.id for q in start()} == {q.id for q in queries} and len(queries) == 8
@@ -244,7 +242,7 @@ def test_topic_disorder_is_five_seconds(spark, folder):
     def run():
         timed = jobs.topic_time(stream_topic(spark, "parquet", path=f"{folder}/t"))
         counted = timed.groupBy(F.window("timestamp", "1 minute")).count().select("window.start", "count")
-        return jobs.finish(jobs.append_files(counted, f"{folder}/out", f"{folder}/ck"))
+        return jobs.finish(jobs.append_files(counted, f"{folder}/out", f"{folder}/ck"))[0]
 
     send(30, 64)
     run()
