@@ -7,8 +7,9 @@ by day.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from headway.operators import projections
@@ -17,7 +18,7 @@ from headway.sinks.tables import make_folder, with_date
 from headway.sinks.topics import to_changelog
 from headway.sources.readers import stream_layer
 from headway.streaming.jobs import (
-    CHECKPOINT_PACE, DISCOVERY, append_files, fan_out, hourly_stream, latest_stream, start_once,
+    CHECKPOINT_PACE, DISCOVERY, append_files, fan_out, hourly_stream, latest_stream, send, start_once, to_files, to_topic,
 )
 
 # Topic -> (raw table, payload fields).
@@ -30,31 +31,37 @@ BY_DAY = ["event_date"]
 LINE_TIEBREAK = ["status_severity", "status_description", "reason"]
 
 
-def ingest(messages: DataFrame, root: str, checkpoint: str, trigger: str | None = None) -> dict[str, DataStreamWriter]:
-    """Enveloped messages to one raw table per feed, one stream each."""
+def ingest(
+    source: Callable[[str], DataFrame], root: str, checkpoint: str, trigger: str | None = None
+) -> dict[str, DataStreamWriter]:
+    """Enveloped messages to one raw table per topic; ``source`` gives the stream of a topic."""
     writers = {}
     for topic, (table, fields) in RAW_TOPICS.items():
-        rows = projections.typed_feed(messages.filter(F.col("topic") == topic), fields)
+        rows = projections.typed_feed(source(topic), fields)
         dated = with_date(rows, "event_time")
         writers[table] = append_files(dated, f"{root}/{table}", f"{checkpoint}/{table}", trigger, partition_by=BY_DAY)
     return writers
 
 
 def curate_station_stream(
-    raw: DataFrame, root: str, checkpoint: str, trigger: str | None = None, as_of: str | None = None
+    raw: DataFrame, root: str, checkpoint: str, trigger: str | None = None, as_of: str | None = None,
+    topic: dict[str, str] | None = None,
 ) -> DataStreamWriter:
-    """Raw stations to the curated table and, keyed by station, to the hot topic."""
+    """Raw stations to the curated table and, keyed by station, to the hot topic.
+
+    ``topic`` holds broker options; without them the topic is a folder of files.
+    """
 
     def curated(batch: DataFrame) -> DataFrame:
-        return projections.curate_stations(batch, as_of)
+        return with_date(projections.curate_stations(batch, as_of), "event_time")
 
     def hot(batch: DataFrame) -> DataFrame:
-        rows = projections.hot_stations(curated(batch))
+        rows = projections.hot_stations(projections.curate_stations(batch, as_of))
         return to_changelog(rows, ["bike_point_id"], rows.columns)
 
     sinks = {
-        "table": (lambda batch: with_date(curated(batch), "event_time"), f"{root}/stations", BY_DAY),
-        "topic": (hot, f"{root}/stations_topic", []),
+        "table": to_files(curated, f"{root}/stations", BY_DAY),
+        "topic": to_topic(hot, **topic) if topic else to_files(hot, f"{root}/stations_topic"),
     }
     return fan_out(raw, sinks, checkpoint, trigger)
 
@@ -86,14 +93,19 @@ def line_analytics(raw: DataFrame, root: str, checkpoint: str, trigger: str | No
     )
 
 
-def line_topic(raw: DataFrame, root: str, checkpoint: str, trigger: str | None = None) -> DataStreamWriter:
+def line_topic(
+    raw: DataFrame, root: str, checkpoint: str, trigger: str | None = None, topic: dict[str, str] | None = None
+) -> DataStreamWriter:
     """Raw line status, keyed by line, to the hot topic."""
     rows = projections.hot_status(projections.status_rows(raw))
-    return append_files(to_changelog(rows, ["line_id"], rows.columns), f"{root}/line_topic", checkpoint, trigger)
+    changelog = to_changelog(rows, ["line_id"], rows.columns)
+    if topic:
+        return send(changelog, checkpoint, trigger, **topic)
+    return send(changelog, checkpoint, trigger, "parquet", path=f"{root}/line_topic")
 
 
 def start_all(
-    spark: SparkSession, messages: DataFrame, root: str, checkpoint: str, commit: str = CHECKPOINT_PACE,
+    spark: SparkSession, source: Callable[[str], DataFrame], root: str, checkpoint: str, commit: str = CHECKPOINT_PACE,
     discover: str = DISCOVERY, as_of: str | None = None,
 ) -> list[StreamingQuery]:
     """Start every layer that is not running yet: topics to raw to curated to analytics."""
@@ -105,7 +117,7 @@ def start_all(
         return f"{checkpoint}/{name}"
 
     raw, curated, analytics = f"{root}/raw", f"{root}/curated", f"{root}/analytics"
-    running = [start_once(spark, w, f"raw-{name}") for name, w in ingest(messages, raw, place("raw"), commit).items()]
+    running = [start_once(spark, w, f"raw-{name}") for name, w in ingest(source, raw, place("raw"), commit).items()]
     stations, lines = table("raw/stations", RAW_SCHEMAS["stations"]), table("raw/lines", RAW_SCHEMAS["lines"])
     arrivals = table("raw/arrivals", RAW_SCHEMAS["arrivals"])
     curated_stations = table("curated/stations", RAW_SCHEMAS["curated_stations"])

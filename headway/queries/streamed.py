@@ -8,17 +8,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from headway.operators import ranking
+from headway.operators.projections import curate_stations, typed_feed
 from headway.plans import streams
 from headway.queries import bindings as b
 from headway.queries.registry import Tables, query
 from headway.queries.statistics import HOURLY_MEANS, HOURLY_OUT, HOURLY_SQL, rounded
 from headway.schemas import LINE_STATUS_FIELDS
-from headway.operators.projections import curate_stations, status_rows, typed_feed
 from headway.session import run_dir
 from headway.sinks import tables
 from headway.sinks.topics import publish
-from headway.sources.readers import read_topic, stream_layer, stream_topic
-from headway.streaming.jobs import append_files, fan_out, finish, hourly_stream, latest_stream
+from headway.sources.readers import read_topic, stream_layer, topic_source
+from headway.streaming.jobs import append_files, finish, hourly_stream, latest_stream
 
 CLOSED_SQL = "(SELECT max(event_time) - INTERVAL 5 MINUTE FROM curated)"
 
@@ -49,8 +49,8 @@ FROM events WHERE event_type IN ('signup', 'error')"""
 )
 def topic_to_raw(t: Tables) -> DataFrame:
     root = run_dir(t.spark, "raw")
-    messages = stream_topic(t.spark, "parquet", path=_topic(t))
-    finish(*streams.ingest(messages, root, run_dir(t.spark, "checkpoint")).values())
+    source = topic_source(t.spark, "parquet", path=_topic(t))
+    finish(*streams.ingest(source, root, run_dir(t.spark, "checkpoint")).values())
     columns = {
         "stations": ("bike_point_id", "nb_bikes"), "arrivals": ("arrival_id", "time_to_station"),
         "lines": ("line_id", "status_severity"),

@@ -16,8 +16,6 @@ RUNTIME = {
     "spark.sql.session.timeZone": "UTC",
     # Streaming state grows with the number of keys, so it stays off the heap.
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
-    # Re-running an interval replaces its own date partitions and no others.
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 _local_root: str | None = None

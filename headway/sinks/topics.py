@@ -27,6 +27,6 @@ def to_messages(df: DataFrame, event_type: str | Column, data: Column, ingested_
 
 
 def publish(messages: DataFrame, fmt: str = "kafka", **options: str) -> None:
-    """Send messages: to a broker, or as files with the envelope columns."""
+    """Send messages: to a broker, or as files with the envelope columns, a folder per topic."""
     writer = messages.write.format(fmt).options(**options)
-    writer.save() if fmt == "kafka" else writer.mode("append").save()
+    writer.save() if fmt == "kafka" else writer.partitionBy("topic").mode("append").save()

@@ -6,6 +6,8 @@ is a folder of files with the envelope columns; with one, pass ``kafka`` and its
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -61,6 +63,17 @@ def stream_topic(spark: SparkSession, fmt: str = "kafka", **options: str) -> Dat
     return _topic_rows(spark.readStream.format(fmt).schema(TOPIC_SCHEMA).options(**options).load(path))
 
 
+def topic_source(spark: SparkSession, fmt: str = "kafka", **options: str) -> Callable[[str], DataFrame]:
+    """Streams by topic name, so that each reader fetches its own topic only."""
+
+    def one(topic: str) -> DataFrame:
+        if fmt == "kafka":
+            return stream_topic(spark, fmt, subscribe=topic, **options)
+        return stream_topic(spark, fmt, **options).filter(F.col("topic") == topic)
+
+    return one
+
+
 def read_topic(spark: SparkSession, fmt: str = "kafka", **options: str) -> DataFrame:
     """A topic from its beginning to its present end, then done."""
     if fmt == "kafka":

@@ -11,14 +11,16 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from headway.operators.aggregates import station_hourly_windowed
 from headway.operators.ranking import latest_per_key
 from headway.sinks.tables import write_batch
+from headway.sinks.topics import publish
 
 RAW_DISORDER = "5 seconds"
 TABLE_DISORDER = "5 minutes"
 DISCOVERY = "30 seconds"
 CHECKPOINT_PACE = "60 seconds"
 
-# A sink of a fan-out: what to do with the batch, the folder it goes to, its partitions.
-Sink = tuple[Callable[[DataFrame], DataFrame], str, list[str]]
+Transform = Callable[[DataFrame], DataFrame]
+# A sink of a fan-out writes one batch; it may be called again for the same batch.
+Sink = Callable[[DataFrame, int], None]
 
 
 def is_running(spark: SparkSession, name: str) -> bool:
@@ -70,27 +72,42 @@ def append_files(
     return paced(writer.option("checkpointLocation", checkpoint), trigger)
 
 
+def to_files(transform: Transform, path: str, partition_by: list[str] | None = None) -> Sink:
+    """A table with a folder per batch; a batch that is complete is not written again."""
+    return lambda batch, batch_id: write_batch(transform(batch), path, batch_id, partition_by=partition_by)
+
+
+def to_topic(transform: Transform, **options: str) -> Sink:
+    """A keyed topic; a repeated batch sends its messages again, which its keys absorb."""
+    return lambda batch, batch_id: publish(transform(batch), "kafka", **options)
+
+
 def fan_out(stream: DataFrame, sinks: dict[str, Sink], checkpoint: str, trigger: str | None = None) -> DataStreamWriter:
     """One read of the input for several sinks.
 
-    The sinks are not written as one transaction. Each has a folder per batch, and a
-    batch repeated after a failure fills in only the folders that are not complete. A
-    new checkpoint counts batches from 0 again, so it needs new folders too.
-    Batches of a paced stream are kept while they are written; a backlog worked off at
-    once may exceed the cluster's storage, so there each sink reads what it needs.
+    The sinks are not written as one transaction, so each must stand a repeated batch. A
+    new checkpoint counts batches from 0 again and needs new folders too. Batches of a
+    paced stream are kept while they are written; a backlog worked off at once may exceed
+    the cluster's storage, so there each sink reads what it needs.
     """
 
     def deliver(batch: DataFrame, batch_id: int) -> None:
         if trigger:
             batch.persist()
-        for transform, path, partition_by in sinks.values():
-            write_batch(transform(batch), path, batch_id, partition_by=partition_by)
+        for sink in sinks.values():
+            sink(batch, batch_id)
         if trigger:
             batch.unpersist()
 
     return paced(stream.writeStream.foreachBatch(deliver).option("checkpointLocation", checkpoint), trigger)
 
 
+def send(changelog: DataFrame, checkpoint: str, trigger: str | None = None, fmt: str = "kafka", **options: str) -> DataStreamWriter:
+    """A stream of keyed messages to a topic."""
+    writer = changelog.writeStream.format(fmt).options(**options).outputMode("append")
+    return paced(writer.option("checkpointLocation", checkpoint), trigger)
+
+
 def latest_stream(
     stream: DataFrame, path: str, keys: list[str], order: str, tiebreak: list[str], checkpoint: str,
     trigger: str | None = None,

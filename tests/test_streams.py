@@ -16,7 +16,7 @@ from headway.queries import bindings as b
 from headway.queries.registry import Tables
 from headway.sinks import tables
 from headway.sinks.topics import publish
-from headway.sources.readers import stream_layer, stream_topic, tail_topic
+from headway.sources.readers import stream_layer, stream_topic, tail_topic, topic_source
 from headway.streaming import jobs
 from headway.streaming.progress import ProgressLog
 
@@ -97,8 +97,8 @@ def test_resume_after_stop(spark, folder):
     events = Tables(spark, DATA).events
     events.repartition(8).write.parquet(f"{folder}/in")
     source = lambda: stream_layer(spark, f"{folder}/in", events.schema, maxFilesPerTrigger="2")
-    sinks = {"all": (lambda df: df, f"{folder}/all", []),
-             "errors": (lambda df: df.filter("event_type = 'error'"), f"{folder}/errors", ["event_type"])}
+    sinks = {"all": jobs.to_files(lambda df: df, f"{folder}/all"),
+             "errors": jobs.to_files(lambda df: df.filter("event_type = 'error'"), f"{folder}/errors", ["event_type"])}
     query = jobs.fan_out(source(), sinks, f"{folder}/ck", "1 second").start()
     while not query.recentProgress and query.isActive:
         time.sleep(0.2)
@@ -115,7 +115,7 @@ def test_repeated_batch_changes_nothing(spark, folder):
     events.write.parquet(f"{folder}/in")
     for checkpoint in ("ck1", "ck2"):  # a lost checkpoint delivers batch 0 again
         stream = stream_layer(spark, f"{folder}/in", events.schema)
-        jobs.finish(jobs.fan_out(stream, {"all": (lambda df: df, f"{folder}/all", [])}, f"{folder}/{checkpoint}"))
+        jobs.finish(jobs.fan_out(stream, {"all": jobs.to_files(lambda df: df, f"{folder}/all")}, f"{folder}/{checkpoint}"))
     assert tables.read_batches(spark, f"{folder}/all").count() == events.count()
 
 
@@ -129,8 +129,8 @@ def test_three_feeds(spark, folder):
     messages = spark.createDataFrame([(None, v, t, i, T0) for i, (t, v) in enumerate(data)],
                                      "key STRING, value STRING, topic STRING, offset BIGINT, timestamp TIMESTAMP")
     messages.write.parquet(f"{folder}/topic")
-    messages = stream_topic(spark, "parquet", path=f"{folder}/topic")
-    jobs.finish(*streams.ingest(messages, f"{folder}/raw", f"{folder}/ck").values())
+    source = topic_source(spark, "parquet", path=f"{folder}/topic")
+    jobs.finish(*streams.ingest(source, f"{folder}/raw", f"{folder}/ck").values())
     read = lambda t: spark.read.parquet(f"{folder}/raw/{t}")
     assert rows(read("lines"), "line_id", "status_severity", "reason", "event_time", "ingested_at") == [
         ("dlr", 9, None, T0, T0 + dt.timedelta(seconds=1))]
@@ -203,7 +203,7 @@ def test_all_layers_live(spark, folder):
     events = Tables(spark, DATA).events
     publish(b.messages(events), "parquet", path=f"{folder}/topic")
     start = lambda: streams.start_all(
-        spark, stream_topic(spark, "parquet", path=f"{folder}/topic"), folder, f"{folder}/ck", "1 second", "1 second", b.AS_OF)
+        spark, topic_source(spark, "parquet", path=f"{folder}/topic"), folder, f"{folder}/ck", "1 second", "1 second", b.AS_OF)
     queries = start()
     try:
         assert {q.id for q in start()} == {q.id for q in queries} and len(queries) == 8
