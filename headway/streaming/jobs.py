@@ -92,12 +92,13 @@ def fan_out(stream: DataFrame, sinks: dict[str, Sink], checkpoint: str, trigger:
     """
 
     def deliver(batch: DataFrame, batch_id: int) -> None:
-        if trigger:
-            batch.persist()
-        for sink in sinks.values():
-            sink(batch, batch_id)
-        if trigger:
-            batch.unpersist()
+        kept = batch.persist() if trigger else batch
+        try:
+            for sink in sinks.values():
+                sink(kept, batch_id)
+        finally:
+            if trigger:
+                kept.unpersist()
 
     return paced(stream.writeStream.foreachBatch(deliver).option("checkpointLocation", checkpoint), trigger)
 
