@@ -236,12 +236,11 @@ def _cut(tokens, width: int, k: int, buckets: int, bucket_of: Callable):
             for values, found in read.pieces(width, k):
                 use = _among(found.doc, found.key, batch["keys"])
                 hot = use & _among(found.doc, found.key, batch["hot_keys"])
-                for some in (np.flatnonzero(use & ~hot),):
-                    doc.append(found.doc[some])
-                    start.append(found.start[some])
-                    count.append(found.count[some])
-                    first = read.strings(doc[-1], start[-1] + found.at[some], np.full(len(some), k))
-                    bucket.append(bucket_of(first, found.key[some], buckets))
+                some = np.flatnonzero(use & ~hot)
+                doc.append(found.doc[some])
+                start.append(found.start[some])
+                count.append(found.count[some])
+                bucket.append(bucket_of(read, found.doc[some], found.start[some] + found.at[some], found.key[some], buckets))
                 if hot.any():  # window by window, dealt by a hash of the whole window
                     some = np.repeat(np.flatnonzero(hot), found.count[hot])
                     own = found.start[some] + _ramp(found.count[hot])

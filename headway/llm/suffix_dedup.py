@@ -112,8 +112,11 @@ def splitters(df: DataFrame, text: str, width: int, k: int, buckets: int) -> np.
     return drawn[np.linspace(0, len(drawn) - 1, buckets + 1).astype(int)[1:-1]] if len(drawn) else drawn
 
 
-def _bucket_of(borders: np.ndarray):
-    return lambda leading, _keys, _buckets: np.searchsorted(borders, _leading(leading), "right").astype(np.int32)
+def _bucket_of(borders: np.ndarray, k: int):
+    def range_of(read: Bytes, doc: np.ndarray, at: np.ndarray, _keys, _buckets) -> np.ndarray:
+        return np.searchsorted(borders, _leading(read.strings(doc, at, np.full(len(doc), k))), "right").astype(np.int32)
+
+    return range_of
 
 
 def _finish(width: int):
@@ -152,7 +155,7 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", width
     k = max(1, width // 3, width - 62)
     buckets = _repeats.FINER * shuffle_partitions(df.sparkSession)
     borders = splitters(df, text, width, k, buckets)
-    marks = _repeats.marks(df, key, text, Bytes, width, k, _bucket_of(borders), _equal_windows(width), hot)
+    marks = _repeats.marks(df, key, text, Bytes, width, k, _bucket_of(borders, k), _equal_windows(width), hot)
     others = without(df, [text, *RESULTS])
     body = F.coalesce(F.col(text), F.lit(""))
     rows = df.select(*[F.col(f"`{c}`") for c in others.columns], body.alias("text"), F.col(key).cast("long").alias("_key"), F.xxhash64(body).alias("_print"))
