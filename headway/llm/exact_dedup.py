@@ -173,11 +173,13 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", bits: int
         .select(F.col("sha").alias("of"), "keep", "size")
     )
     first = Window.partitionBy("sha", "key").orderBy("sha")
+    # Numbered before the join: there, a text with very many copies can be split over tasks.
+    rows = rows.withColumn("again", F.row_number().over(first))
     joined = rows.join(equal, rows["suspect"] & (rows["sha"] == F.col("of")), "left")
     size = F.coalesce("size", F.lit(1).cast("long"))
-    marked = joined.select("key", "sha", F.when(F.col("of").isNull(), F.col("key")).otherwise(F.col("keep")).alias("keep_id"), size.alias("group_size"))
+    marked = joined.select("key", "sha", "again", F.when(F.col("of").isNull(), F.col("key")).otherwise(F.col("keep")).alias("keep_id"), size.alias("group_size"))
     stays = F.col("key").eqNullSafe(F.col("keep_id"))
-    return marked.withColumn("again", F.row_number().over(first)).select(
+    return marked.select(
         F.col("key").alias(key), "keep_id", "group_size", (stays & (F.col("again") == 1)).alias("kept"), F.lower(F.hex("sha")).alias("text_sha256"),
     )
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headway.llm import byte_bpe, exact_dedup, language_id, substring_dedup, suffix_dedup
+from headway.llm import byte_bpe, exact_dedup, language_id, ngram_join, substring_dedup, suffix_dedup
 from headway.llm._common import table
 
 QUERIES: dict = {}
@@ -67,3 +67,8 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substring_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query()
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
