@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headway.llm import byte_bpe, exact_dedup, language_id, ngram_join, substring_dedup, suffix_dedup
+from headway.llm import byte_bpe, exact_dedup, html_extract, language_id, ngram_join, substring_dedup, suffix_dedup, url_filter
 from headway.llm._common import table
 
 QUERIES: dict = {}
@@ -72,3 +72,70 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+#: The rules that the query judges by.
+RULES = [
+    url_filter.Rule("allow", "com", "/"), url_filter.Rule("block", "example.com", "/en/"), url_filter.Rule("allow", "www.example.com", "/en/"),
+    url_filter.Rule("block", "net", "/es/"), url_filter.Rule("block", "net", "/fr/"),
+]
+
+
+@query("""
+WITH p AS (
+    SELECT page_id, url, CASE WHEN strpos(url, '://') > 0 THEN substring(url, strpos(url, '://') + 3) END AS rest FROM pages),
+h AS (
+    SELECT page_id, coalesce(translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+        coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path FROM p),
+r AS (
+    SELECT *, CASE
+        WHEN (host = 'www.example.com' OR host LIKE '%.www.example.com') AND starts_with(path, '/en/') THEN 'www.example.com/en/'
+        WHEN (host = 'example.com' OR host LIKE '%.example.com') AND starts_with(path, '/en/') THEN 'example.com/en/'
+        WHEN (host = 'net' OR host LIKE '%.net') AND starts_with(path, '/fr/') THEN 'net/fr/'
+        WHEN (host = 'net' OR host LIKE '%.net') AND starts_with(path, '/es/') THEN 'net/es/'
+        WHEN (host = 'com' OR host LIKE '%.com') AND starts_with(path, '/') THEN 'com/' END AS rule FROM h),
+o AS (
+    SELECT host, count(quality) AS n, coalesce(sum(CASE WHEN quality = 1 AND toxic = 0 THEN 1 WHEN quality IS NOT NULL THEN 0 END), 0) AS g
+    FROM h LEFT JOIN labels ON page_id = doc_id AND quality IS NOT NULL AND toxic IS NOT NULL GROUP BY host),
+s AS (
+    SELECT *, CASE WHEN regexp_matches(host, '\\.(co\\.uk|org\\.uk|ac\\.uk|gov\\.uk|com\\.au|co\\.jp|co\\.nz|com\\.br|co\\.in|co\\.za)$')
+        THEN regexp_extract(host, '([^.]*\\.[^.]*)$', 1) ELSE regexp_extract(host, '([^.]*)$', 1) END AS suffix FROM o),
+d AS (
+    SELECT *, CASE WHEN host = suffix THEN host
+        ELSE regexp_extract(substring(host, 1, greatest(0, length(host) - length(suffix) - 1)), '([^.]*)$', 1) || '.' || suffix END AS domain FROM s),
+dd AS (SELECT suffix, domain, sum(n) AS n, sum(g) AS g FROM d GROUP BY suffix, domain),
+ss AS (SELECT suffix, sum(n) AS n, sum(g) AS g FROM dd GROUP BY suffix),
+u AS (
+    SELECT level, count(*) AS units, sum(n)::DOUBLE AS n, sum(g)::DOUBLE AS g, sum(n * n)::DOUBLE AS nn, sum(g::DOUBLE * g / n) AS gg
+    FROM (SELECT 1 AS level, n, g FROM ss UNION ALL SELECT 2, n, g FROM dd UNION ALL SELECT 3, n, g FROM d) WHERE n > 0 GROUP BY level),
+v AS (
+    SELECT *, (gg - g * g / n) / (units - 1) AS between_, (g - gg) / (n - units) AS inside_, (n - nn / n) / (units - 1) AS size_
+    FROM u WHERE units >= 2 AND n > units),
+k AS (
+    SELECT level, 1 / least(0.5, greatest(0.001, CASE WHEN between_ + (size_ - 1) * inside_ > 0
+        THEN (between_ - inside_) / (between_ + (size_ - 1) * inside_) ELSE 0.001 END)) - 1 AS pull FROM v),
+k1 AS (SELECT coalesce(max(pull), 9.0) AS pull FROM k WHERE level = 1),
+k2 AS (SELECT coalesce(max(pull), 9.0) AS pull FROM k WHERE level = 2),
+k3 AS (SELECT coalesce(max(pull), 9.0) AS pull FROM k WHERE level = 3),
+t AS (SELECT CASE WHEN sum(n) > 0 THEN sum(g)::DOUBLE / sum(n) ELSE 0.5 END AS share FROM ss),
+ps AS (SELECT suffix, (g + k1.pull * share) / (n + k1.pull) AS share FROM ss, k1, t),
+pd AS (SELECT dd.suffix, domain, (g + k2.pull * ps.share) / (n + k2.pull) AS share FROM dd JOIN ps USING (suffix), k2),
+ph AS (SELECT host, n, (g + k3.pull * pd.share) / (n + k3.pull) AS share, k3.pull FROM d JOIN pd USING (suffix, domain), k3),
+m AS (SELECT host, share + 1.645 * sqrt(share * (1 - share) / (n + pull + 1)) AS upper_ FROM ph)
+SELECT page_id, r.host AS host, path, rule, CASE
+    WHEN rule IN ('www.example.com/en/', 'com/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block' WHEN upper_ < 0.5 THEN 'block' ELSE 'allow' END AS verdict
+FROM r JOIN m ON r.host = m.host
+""")
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    labels = table(spark, sf_dir, "labels").where("quality is not null and toxic is not null")
+    # A label belongs to the page with its id; a good page is of good quality and not toxic.
+    good = F.when((F.col("quality") == 1) & (F.col("toxic") == 0), 1).otherwise(0).alias("good")
+    outcomes = pages.join(labels, pages["page_id"] == labels["doc_id"]).select("url", good)
+    return url_filter.judge(pages, RULES, outcomes).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query()
+def op8_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_extract.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
