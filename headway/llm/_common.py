@@ -12,8 +12,13 @@ import headway
 from headway.session import run_dir
 
 
+#: Rows that a Python worker gets at a time; with whole texts, Spark's default holds too many.
+BATCH_ROWS = 4096
+
+
 def importable() -> None:
-    """Python workers look for this package where the driver found it, whatever folder they start in."""
+    """Prepares the session for Python workers: small batches, and this package where the driver found it."""
+    SparkSession.active().conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     home = os.path.dirname(os.path.dirname(os.path.abspath(headway.__file__)))
     environment = SparkSession.active().sparkContext.environment
     if home not in environment.get("PYTHONPATH", "").split(os.pathsep):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headway.llm import byte_bpe, exact_dedup, html_extract, language_id, ngram_join, substring_dedup, suffix_dedup, url_filter
+from headway.llm import byte_bpe, decontaminate, exact_dedup, html_extract, language_id, ngram_join, substring_dedup, suffix_dedup, url_filter
 from headway.llm._common import table
 
 QUERIES: dict = {}
@@ -139,3 +139,9 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = html_extract.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query()
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontaminate.matches(docs, table(spark, sf_dir, "benchmark"))
