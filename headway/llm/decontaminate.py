@@ -133,7 +133,7 @@ def matches(
             found = some if found is None else found.unionByName(some)
     # Few windows are left; they are settled, so the documents are read once and the numbers stay.
     windows = settled(found.withColumn("id", F.monotonically_increasing_id()))
-    printed = posted.select("item", "length", "shingles", sim_hash(F.col("shingles")).alias("print"))
+    printed = settled(posted.select("item", "length", "shingles", sim_hash(F.col("shingles")).alias("print")))
     masks = F.array(*[F.lit(m) for m in near_values()])
     entered = printed.select("item", "length", F.posexplode("print").alias("block", "own"), masks.alias("masks")).select("item", "length", "block", "own", F.explode("masks").alias("mask")).select("item", "length", "block", F.col("own").bitwiseXOR(F.col("mask")).alias("value"))
     looked_up = windows.select(F.col("id").alias("window"), "length", F.posexplode("print").alias("block", "value"))

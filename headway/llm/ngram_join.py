@@ -15,13 +15,16 @@ is at least ``percent`` / 100.
    With these costs each set picks the cheapest signatures that add up to H + 1 (``allocate``).
    What no other set has costs nothing and counts. There are more segments than H + 1, so
    the few with long lists (empty ones, or the words of a line that many texts have) are left out.
-4. Pairs of a signature with its smallest document are verified on the whole sets; then only
-   pairs of different components, so a group of copies costs a row each instead of all pairs.
+4. Lists that a set looks up are known by their smallest document, the centre. All lists of one
+   centre form a group; near copies have few centres, so a set travels once or twice. In a group,
+   a set is compared with those it looks up unless links found before already tie both, first by a
+   bound (classes of hashes of which one set has an odd and the other an even number are
+   differences), then on the whole sets. No pair but a verified link is ever a row.
 5. Links become components (``_graph``).
 
 Documents with equal sets are one node from the start, in a task before anything is sent and in
 all before anything is verified. Signatures only choose candidates; each link is verified with
-both whole sets of shingle hashes (64 bits).
+both whole sets of shingle hashes (56 bits).
 
 Words are runs of bytes other than ASCII white space, A-Z lower-cased. A text with fewer words
 than a shingle is one shingle; without words, or null, it has none and links with nothing. Rows
@@ -41,6 +44,7 @@ from pyspark.sql import functions as F
 from headway.llm import _repeats
 from headway.llm._common import importable, settled, shuffle_partitions
 from headway.llm._graph import components
+from headway.llm.exact_dedup import golomb_decode, golomb_encode
 from headway.llm._repeats import FINER, _ramp, mixed, owner_of, rolling
 from headway.llm.substring_dedup import Words
 
@@ -51,10 +55,10 @@ SPARE = 8
 SMALL, DELETED = 64, 4
 #: Words that are worked on at a time, about.
 CHUNK = 1 << 17
-#: Members of a centre that are verified in one group.
-VERIFIED = 1000
-#: Pairs up to which their documents are broadcast (16 bytes each) instead of shuffling texts.
-BROADCAST_PAIRS = 20_000
+#: Members of a centre that meet in one group; more are divided into blocks of this size.
+MEMBERS = 2000
+#: Bits of a shingle's hash by which sets are compared, and classes of the quick test before that.
+SET_BITS, PARITY_BITS = 56, 2048
 #: Signatures that a task gathers before it sends them.
 GATHERED = 1 << 20
 BAND_BITS, SEGMENT_BITS = 8, 8
@@ -271,102 +275,107 @@ def _allocate(percent: int):
 
 
 def _centres(rows: pa.Table) -> pa.Table:
-    """Of a bucket of signatures those that several nodes have and one looks up, with the smallest node of each."""
-    key, node, n = (rows[c].to_numpy() for c in ("key", "node", "n"))
+    """Nodes of the bucket's signatures that several nodes have and one looks up, with the smallest node of each list."""
+    key, node = rows["key"].to_numpy(), rows["node"].to_numpy()
     probe = rows["probe"].to_numpy()
     order = np.lexsort((~probe, node, key))
-    key, node, n, probe = key[order], node[order], n[order], probe[order]
+    key, node, probe = key[order], node[order], probe[order]
     once = np.concatenate([[True], (key[1:] != key[:-1]) | (node[1:] != node[:-1])])
-    key, node, n, probe = key[once], node[once], n[once], probe[once]
-    heads = np.flatnonzero(np.diff(key, prepend=key[0] - 1) != 0)
+    key, node, probe = key[once], node[once], probe[once]
+    heads = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
     size = np.diff(np.append(heads, len(key)))
     use = np.repeat((size > 1) & np.logical_or.reduceat(probe, heads), size)
-    centre, centre_n, centre_probe = (np.repeat(x[heads], size) for x in (node, n, probe))
-    return pa.table({"key": key[use], "node": node[use], "n": n[use], "probe": probe[use], "centre": centre[use], "centre_n": centre_n[use], "centre_probe": centre_probe[use]})
-
-
-CENTRES = "key long, node long, n long, probe boolean, centre long, centre_n long, centre_probe boolean"
-
-
-def _others(percent: int):
-    """Pairs of a signature that lie in different components and don't include its centre."""
-
-    def others(rows: pa.Table) -> pa.Table:
-        key, node, n, part, centre = (rows[c].to_numpy() for c in ("key", "node", "n", "part", "centre"))
-        probe = rows["probe"].to_numpy()
-        order = np.lexsort((node, key))
-        order = order[node[order] != centre[order]]
-        key, node, n, part, probe = (x[order] for x in (key, node, n, part, probe))
-        found = [np.zeros((0, 2), np.int64)]
-        heads = np.flatnonzero(np.diff(key, prepend=key[0] - 1) != 0) if len(key) else []
-        for a, b in zip(heads, np.append(heads[1:], len(key)) if len(key) else []):
-            if b - a < 2 or (part[a:b] == part[a]).all():
-                continue
-            for i in a + np.flatnonzero(probe[a:b]):
-                fits = (part[a:b] != part[i]) & (100 * np.minimum(n[a:b], n[i]) >= percent * np.maximum(n[a:b], n[i]))
-                fits &= ~probe[a:b] | (node[a:b] > node[i])
-                to = node[a:b][fits]
-                found.append(np.column_stack([np.minimum(to, node[i]), np.maximum(to, node[i])]))
-        pairs = np.unique(np.concatenate(found), axis=0)
-        return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
-
-    return others
+    centre, node, probe = np.repeat(node[heads], size)[use], node[use], probe[use]
+    order = np.lexsort((~probe, node, centre))
+    centre, node, probe = centre[order], node[order], probe[order]
+    once = np.ones(len(node), bool)
+    once[1:] = (centre[1:] != centre[:-1]) | (node[1:] != node[:-1])
+    return pa.table({"centre": centre[once], "node": node[once], "probe": probe[once]})
 
 
 def _spread(width: int):
-    """The set of each document to every group in which it is compared."""
+    """The set of each document to every group in which it is compared, as Golomb-coded hashes."""
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             groups = batch["groups"].to_pylist()
             for docs, sizes, hashes in shingle_sets(batch["text"], width):
-                sets = np.split(hashes, np.cumsum(sizes)[:-1])
-                rows = [(g["a"], g["salt"], batch["doc"][int(i)].as_py(), s.tobytes()) for i, s in zip(docs, sets) for g in groups[i]]
+                rows = []
+                for i, own in zip(docs, np.split(hashes >> np.uint64(64 - SET_BITS), np.cumsum(sizes)[:-1])):
+                    own = np.unique(own)
+                    coded = golomb_encode(own, SET_BITS)
+                    doc = batch["doc"][int(i)].as_py()
+                    for g in groups[i]:
+                        rows += [(g["centre"], low, high, g["block"], doc, g["probe"], len(own), coded) for low, high in (sorted((g["block"], x)) for x in range(g["blocks"]))]
                 for start in range(0, len(rows), 2000):
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[start:start + 2000]), (pa.int64(), pa.int32(), pa.int64(), pa.binary()))], names=["a", "salt", "doc", "set"])
+                    kinds = pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.bool_(), pa.int32(), pa.binary()
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[start:start + 2000]), kinds)], names=GROUPED)
 
     return spread
 
 
+GROUPED = ["centre", "low", "high", "block", "doc", "probe", "n", "set"]
+GROUPED_TYPES = "centre long, low int, high int, block int, doc long, probe boolean, n int, set binary"
+
+
+def parity(hashes: np.ndarray) -> np.ndarray:
+    """For each of PARITY_BITS classes of hashes, whether it has an odd number of them."""
+    return np.packbits((np.bincount(hashes.astype(np.int64) & (PARITY_BITS - 1), minlength=PARITY_BITS) & 1).astype(np.uint8)).view(np.uint64)
+
+
 def _verify(percent: int):
+    """Links between documents of a group of which one looks up the other. Those that already hang together are skipped."""
+
+    def links_of(rows: pa.Table) -> list[tuple[int, int]]:
+        docs, block, n = (rows[c].to_numpy() for c in ("doc", "block", "n"))
+        probe = rows["probe"].to_numpy()
+        low, high = rows["low"][0].as_py(), rows["high"][0].as_py()
+        coded = rows["set"].to_pylist()
+        sets = [golomb_decode(c, int(k), SET_BITS) for c, k in zip(coded, n)]
+        odd = np.stack([parity(s) for s in sets])
+        part, found = np.arange(len(docs)), []
+        for i in range(len(docs) - 1):
+            rest = np.arange(i + 1, len(docs))
+            fits = (part[rest] != part[i]) & (probe[rest] | probe[i]) & (docs[rest] != docs[i])
+            fits &= 100 * np.minimum(n[rest], n[i]) >= percent * np.maximum(n[rest], n[i])
+            if low != high:
+                fits &= block[rest] != block[i]
+            rest = rest[fits]
+            # Two sets differ at least in the classes where one is odd and the other even.
+            apart = np.bitwise_count(odd[rest] ^ odd[i]).sum(axis=1, dtype=np.int64)
+            for j in rest[apart * (100 + percent) <= (100 - percent) * (n[rest].astype(np.int64) + n[i])]:
+                if part[j] != part[i] and _linked(sets[i], sets[j], percent):
+                    found.append((docs[i], docs[j]))
+                    part[part == part[j]] = part[i]
+        return found
+
     def verify(rows: pa.Table) -> pa.Table:
-        centre, doc = rows["a"].to_numpy(), rows["doc"].to_numpy()
-        salt = rows["salt"].to_numpy()
-        sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in rows["set"]]
-        own: dict = {}
-        for i in np.flatnonzero(centre == doc):
-            own.setdefault((centre[i], salt[i]), []).append(sets[i])
-        links = [
-            (centre[i], doc[i]) for i in np.flatnonzero(centre != doc)
-            if any(_linked(s, sets[i], percent) for s in own.get((centre[i], salt[i]), ()))
-        ]
-        return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([x for _, x in links], pa.int64())})
+        rows = rows.sort_by([(c, "ascending") for c in ("centre", "low", "high", "doc")])
+        places = [rows[c].to_numpy() for c in ("centre", "low", "high")]
+        heads = np.flatnonzero(np.concatenate([[True], np.any([p[1:] != p[:-1] for p in places], axis=0)]))
+        found = [pair for a, b in zip(heads, np.append(heads[1:], rows.num_rows)) if b - a > 1 for pair in links_of(rows.slice(a, b - a).combine_chunks())]
+        return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([x for _, x in found], pa.int64())})
 
     return verify
 
 
 def _linked(one: np.ndarray, two: np.ndarray, percent: int) -> bool:
     """Whether two sorted sets have at least the similarity."""
-    if 100 * min(len(one), len(two)) < percent * max(len(one), len(two)):
-        return False
     both = len(np.intersect1d(one, two, assume_unique=True))
     return 100 * both >= percent * (len(one) + len(two) - both)
 
 
-def _links(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) that link. Of each document only its own set travels, to the groups of its centres."""
-    spark, pairs = docs.sparkSession, settled(pairs)
-    buckets = FINER * shuffle_partitions(spark)
-    many = pairs.groupBy("a").agg((F.floor(F.count("*") / VERIFIED) + 1).cast("int").alias("salts")).withColumnRenamed("a", "centre")
-    members = pairs.join(many, pairs["a"] == many["centre"]).select(F.col("b").alias("node"), "a", F.pmod(F.xxhash64("b"), F.col("salts")).cast("int").alias("salt"))
-    centres = many.select(F.col("centre").alias("node"), F.col("centre").alias("a"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
-    groups = members.union(centres).groupBy("node").agg(F.collect_list(F.struct("a", "salt")).alias("groups"))
-    if pairs.count() <= BROADCAST_PAIRS:
-        groups = F.broadcast(groups)
+def _links(docs: DataFrame, members: DataFrame, width: int, percent: int) -> DataFrame:
+    """Verified links (a, b) that tie together what links among the members of each centre; ``members``: centre, node, probe."""
+    buckets = FINER * shuffle_partitions(docs.sparkSession)
+    # A centre with many members is divided into blocks, and each pair of blocks is a group.
+    counts = members.groupBy("centre").agg((F.floor(F.count("*") / MEMBERS) + 1).cast("int").alias("blocks")).withColumnRenamed("centre", "of")
+    placed = members.join(counts, F.col("centre") == F.col("of")).select("node", "centre", "probe", "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"))
+    groups = placed.groupBy("node").agg(F.collect_list(F.struct("centre", "probe", "blocks", "block")).alias("groups"))
     needed = docs.join(groups, docs["doc"] == groups["node"]).select("doc", "text", "groups")
-    sets = needed.mapInArrow(_spread(width), "a long, salt int, doc long, set binary")
-    bucket = F.pmod(F.xxhash64("a", "salt"), F.lit(buckets))
-    return sets.groupBy(bucket.alias("bucket")).applyInArrow(_verify(percent), "a long, b long")
+    sets = needed.mapInArrow(_spread(width), GROUPED_TYPES)
+    bucket = F.pmod(F.xxhash64("centre", "low", "high"), F.lit(buckets)).alias("bucket")
+    return sets.groupBy(bucket).applyInArrow(_verify(percent), "a long, b long")
 
 
 def classes(df: DataFrame, key: str = "doc_id", text: str = "text", width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -386,19 +395,13 @@ def classes(df: DataFrame, key: str = "doc_id", text: str = "text", width: int =
     listed = sent.groupBy("owner").applyInArrow(_lists, "doc long, n int, key long, cost int")
     part = F.pmod(F.xxhash64("doc"), F.lit(buckets)).alias("part")
     allocated = listed.groupBy(part).applyInArrow(_allocate(percent), "doc long, n long, key long, probe boolean")
-    keyed = allocated.join(own.withColumnRenamed("doc", "of"), F.col("doc") == F.col("of")).select("key", "node", "n", "probe")
+    keyed = allocated.join(own.withColumnRenamed("doc", "of"), F.col("doc") == F.col("of")).select("key", "node", "probe")
     by_key = F.pmod(F.xxhash64("key"), F.lit(buckets)).alias("bucket")
-    shared = settled(keyed.groupBy(by_key).applyInArrow(_centres, CENTRES))
-
-    near = "100 * least(n, centre_n) >= {0} * greatest(n, centre_n)".format(percent)
-    star = shared.where("node <> centre and (probe or centre_probe)").where(near).select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
-    links = settled(_links(known, star, width, percent))
-    parts = components(links)
-    labelled = shared.join(parts.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left").select("key", shared["node"], "n", "probe", "centre", F.coalesce("component", shared["node"]).alias("part"))
-    rest = labelled.groupBy(by_key).applyInArrow(_others(percent), "a long, b long").distinct()
+    members = keyed.groupBy(by_key).applyInArrow(_centres, "centre long, node long, probe boolean").groupBy("centre", "node").agg(F.max("probe").alias("probe"))
+    links = _links(known, settled(members), width, percent)
     # Rows that share a key but not a text.
     same = own.groupBy("doc").agg(F.min("node").alias("a"), F.collect_set("node").alias("all")).where(F.size("all") > 1).select("a", F.explode("all").alias("b"))
-    every = components(links.union(_links(known, rest, width, percent)).union(same))
+    every = components(links.union(same))
     component = F.coalesce("component", of["node"])
     return of.join(every.withColumnRenamed("node", "of"), of["node"] == F.col("of"), "left").select(F.col("doc").alias(key), F.col("n").alias("n_shingles"), component.alias("component_id"))
 
