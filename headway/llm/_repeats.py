@@ -30,6 +30,8 @@ from headway.llm._common import importable, shuffle_partitions
 #: Tokens that are worked on at a time; longer documents go in pieces that overlap by a window.
 PIECE = 1 << 17
 POSITION_BITS = 18
+#: Bytes of text that arrays are made for at a time, or one longer document.
+SLICE = 1 << 21
 #: Anchors that a task gathers before it sends them.
 GATHERED = 1 << 20
 #: From so many documents with an anchor on, its windows are dealt one by one. Bounds what meets in a bucket.
@@ -127,10 +129,23 @@ def stretches_of(values: np.ndarray, doc: np.ndarray, start: np.ndarray, stop: n
     return Stretches(doc[piece], at + shift - first[doc[piece]], count, hashes[where], where - at)
 
 
-def docs_sorted(df: DataFrame, key: str, text: str) -> DataFrame:
-    """(doc, print, text): a row is known by its key and a hash of its text, as keys may repeat."""
+#: Stands for a null key, so that joins see no nulls and all read one exchange of the documents.
+NO_KEY = -(1 << 63)
+
+
+def known_rows(df: DataFrame, key: str, text: str, others: list[str] = ()) -> DataFrame:
+    """(doc, print, text, others): a row is known by its key and a hash of its text, as keys may repeat."""
     body = F.coalesce(F.col(text), F.lit(""))
-    return df.select(F.col(key).cast("long").alias("doc"), F.xxhash64(body).alias("print"), body.alias("text"))
+    return df.select(F.coalesce(F.col(key).cast("long"), F.lit(NO_KEY)).alias("doc"), F.hash(body).alias("print"), body.alias("text"), *others)
+
+
+def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with about SLICE bytes of text."""
+    texts = batch["text"]
+    bounds = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + len(texts)].astype(np.int64)
+    heads = np.flatnonzero(np.diff((bounds - bounds[:1]) // SLICE, prepend=-1))
+    for a, b in zip(heads, np.append(heads[1:], len(texts))):
+        yield batch.slice(a, b - a)
 
 
 class Tokens:
@@ -170,7 +185,7 @@ def _send(tokens: Callable[[pa.Array], Tokens], width: int, k: int, owners: int)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, docs, n = [], [], 0
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             doc = batch["doc"].to_numpy()
             for _, found in tokens(batch["text"]).pieces(width, k):
                 keys.append(found.key)
@@ -207,7 +222,7 @@ def repeated(hot: int):
 def anchors(docs: DataFrame, tokens, width: int, k: int, hot: int) -> DataFrame:
     """(doc, keys, hot_keys) of documents with anchors that other documents have too."""
     owners = FINER * shuffle_partitions(docs.sparkSession)
-    sent = docs.where(F.col("doc").isNotNull()).select("doc", "text").mapInArrow(_send(tokens, width, k, owners), "owner int, keys binary, docs binary")
+    sent = docs.where(F.col("doc") != NO_KEY).select("doc", "text").mapInArrow(_send(tokens, width, k, owners), "owner int, keys binary, docs binary")
     named = sent.groupBy("owner").applyInArrow(repeated(hot), "doc long, key long, hot boolean")
     return named.groupBy(F.col("doc").alias("of")).agg(F.collect_list("key").alias("keys"), F.collect_list(F.when(F.col("hot"), F.col("key"))).alias("hot_keys"))
 
@@ -225,12 +240,12 @@ def _among(doc: np.ndarray, key: np.ndarray, named: pa.Array) -> np.ndarray:
         return np.isin(key + mixed(doc.astype(np.uint64)), keys.view(np.uint64) + mixed(docs.astype(np.uint64)))
 
 
-ROWS = "bucket int, body binary, docs array<long>, prints array<long>, starts array<int>"
+ROWS = "bucket int, body binary, docs array<long>, prints array<int>, starts array<int>"
 
 
 def _cut(tokens, width: int, k: int, buckets: int, bucket_of: Callable):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             read = tokens(batch["text"])
             doc, start, count, bucket = [], [], [], []
             for values, found in read.pieces(width, k):
@@ -264,7 +279,7 @@ def _cut(tokens, width: int, k: int, buckets: int, bucket_of: Callable):
             own = batch["doc"].to_numpy()[doc[order]], batch["print"].to_numpy()[doc[order]]
             whole = pa.RecordBatch.from_arrays([
                 pa.array(bucket[order][new], pa.int32()), coded.dictionary,
-                pa.ListArray.from_arrays(offsets, pa.array(own[0], pa.int64())), pa.ListArray.from_arrays(offsets, pa.array(own[1], pa.int64())),
+                pa.ListArray.from_arrays(offsets, pa.array(own[0], pa.int64())), pa.ListArray.from_arrays(offsets, pa.array(own[1], pa.int32())),
                 pa.ListArray.from_arrays(offsets, pa.array(start[order], pa.int32())),
             ], names=["bucket", "body", "docs", "prints", "starts"])
             for at in range(0, whole.num_rows, 20_000):
@@ -325,24 +340,43 @@ def settle(classes_of: Callable[[pa.Array], tuple[np.ndarray, np.ndarray, np.nda
     return run
 
 
-def marks(df: DataFrame, key: str, text: str, tokens, width: int, k: int, bucket_of, classes_of, hot: int = HOT) -> DataFrame:
-    """(of, of_print, starts, masks): windows to remove; bit i of a mask stands for the window at start + i."""
+def marked_rows(docs: DataFrame, tokens, width: int, k: int, bucket_of, classes_of, hot: int = HOT) -> DataFrame:
+    """The rows, with the windows to remove from texts of their key: prints, starts, masks.
+
+    Bit i of a mask stands for the window at start + i of the text with that print. Both joins
+    deal the documents by key, so their texts are shuffled once and read twice.
+    """
     if width - k + 1 > 63:
         raise ValueError("a stretch must have fewer than 64 windows: take a larger k")
     importable()
-    docs = docs_sorted(df, key, text)
-    buckets = FINER * shuffle_partitions(df.sparkSession)
+    buckets = FINER * shuffle_partitions(docs.sparkSession)
     named = anchors(docs, tokens, width, k, hot)
     found = docs.join(named, docs["doc"] == named["of"]).select("doc", "print", "text", "keys", "hot_keys")
     rows = found.mapInArrow(_cut(tokens, width, k, buckets, bucket_of), ROWS)
-    marked = rows.groupBy("bucket").applyInArrow(settle(classes_of), "doc long, print long, start int, mask long")
-    return marked.groupBy(F.col("doc").alias("of"), F.col("print").alias("of_print")).agg(F.collect_list("start").alias("starts"), F.collect_list("mask").alias("masks"))
+    marked = rows.groupBy("bucket").applyInArrow(settle(classes_of), "doc long, print int, start int, mask long")
+    lists = marked.groupBy(F.col("doc").alias("of")).agg(*[F.collect_list(c).alias(f"{c}s") for c in ("print", "start", "mask")])
+    joined = docs.join(lists, docs["doc"] == lists["of"], "left").drop("of")
+    return joined.withColumns({c: F.coalesce(c, F.array().cast(f"array<{kind}>")) for c, kind in (("prints", "int"), ("starts", "int"), ("masks", "long"))})
+
+
+def schema_of(df: DataFrame, others: list[str], results: str) -> str:
+    """Schema of the finished rows: doc, other columns, results."""
+    kinds = {f.name: f.dataType.simpleString() for f in df.schema}
+    return ", ".join(["doc long", *[f"`{c}` {kinds[c]}" for c in others], results])
+
+
+def keyed_again(found: DataFrame, df: DataFrame, key: str) -> DataFrame:
+    """The rows with their key in place of ``doc``."""
+    own = F.when(F.col("doc") != NO_KEY, F.col("doc")).cast(df.schema[key].dataType).alias(key)
+    return found.select(own, *[F.col(f"`{c}`") for c in found.columns if c != "doc"])
 
 
-def covered(bounds: np.ndarray, starts: pa.Array, masks: pa.Array, width: int) -> np.ndarray:
+def covered(bounds: np.ndarray, batch: pa.RecordBatch, width: int) -> np.ndarray:
     """Whether each token of a batch is in a marked window."""
-    begin, row = _lists(starts)
-    mask, _ = _lists(masks)
+    begin, row = _lists(batch["starts"])
+    mask, _ = _lists(batch["masks"])
+    own = _lists(batch["prints"])[0] == batch["print"].to_numpy()[row]
+    begin, row, mask = begin[own], row[own], mask[own]
     delta = np.zeros(int(bounds[-1]) + 1, np.int8)
     if len(begin):
         begin = begin + bounds[row]

@@ -382,7 +382,7 @@ def classes(df: DataFrame, key: str = "doc_id", text: str = "text", width: int =
     """One row per row: key, n_shingles, component_id (the smallest key that links lead to)."""
     importable()
     spark = df.sparkSession
-    docs = _repeats.docs_sorted(df, key, text).select("doc", "text")
+    docs = df.select(F.col(key).cast("long").alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     buckets = FINER * shuffle_partitions(spark)
     meta = settled(docs.mapInArrow(_meta(width), "doc long, n long, one long, two long"))
     # Rows with equal sets are one node, the smallest document of them.

@@ -106,13 +106,13 @@ def _shared_nodes(width: int):
 
 def _finish(width: int):
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in _repeats.slices(whole)):
             read = Words(batch["text"])
-            gone = _repeats.covered(read.bounds, batch["starts"], batch["masks"], width)
+            gone = _repeats.covered(read.bounds, batch, width)
             words = np.diff(read.bounds)
             removed = np.diff(np.concatenate([[0], np.cumsum(gone, dtype=np.int64)])[read.bounds])
             kept = read.joined(np.flatnonzero(~gone), words - removed)
-            out = batch.drop_columns(["text", "starts", "masks"])
+            out = batch.drop_columns(["print", "text", "prints", "starts", "masks"])
             out = out.append_column("kept", kept.view(pa.string()))
             yield out.append_column("n_words", pa.array(words, pa.int64())).append_column("n_removed", pa.array(removed, pa.int64()))
 
@@ -123,12 +123,8 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", width
     """All columns but the text, and: kept (the words left, joined by one space), n_words, n_removed."""
     importable()
     k = max(1, width // 6, width - 62)
-    marks = _repeats.marks(df, key, text, Words, width, k, _group_of, _shared_nodes(width), hot)
-    others = without(df, [text, *RESULTS])
-    body = F.coalesce(F.col(text), F.lit(""))
-    rows = df.select(*[F.col(f"`{c}`") for c in others.columns], body.alias("text"), F.col(key).cast("long").alias("_key"), F.xxhash64(body).alias("_print"))
-    joined = rows.join(marks, (F.col("_key") == F.col("of")) & (F.col("_print") == F.col("of_print")), "left")
-    nothing = F.array().cast("array<int>"), F.array().cast("array<long>")
-    ready = joined.select(*[F.col(f"`{c}`") for c in others.columns], "text", F.coalesce("starts", nothing[0]).alias("starts"), F.coalesce("masks", nothing[1]).alias("masks"))
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in others.schema] + ["kept string", "n_words bigint", "n_removed bigint"])
-    return ready.mapInArrow(_finish(width), schema)
+    others = without(df, [key, text, *RESULTS]).columns
+    rows = _repeats.known_rows(df, key, text, [F.col(f"`{c}`") for c in others])
+    marked = _repeats.marked_rows(rows, Words, width, k, _group_of, _shared_nodes(width), hot)
+    schema = _repeats.schema_of(df, others, "kept string, n_words bigint, n_removed bigint")
+    return _repeats.keyed_again(marked.mapInArrow(_finish(width), schema), df, key)

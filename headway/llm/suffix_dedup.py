@@ -98,7 +98,7 @@ def splitters(df: DataFrame, text: str, width: int, k: int, buckets: int) -> np.
     mine = df.select(body.alias("text")).where(F.pmod(F.xxhash64("text", F.lit("splitters")), F.lit(1_000_000)) < int(share * 1_000_000) + 1)
 
     def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in _repeats.slices(whole)):
             read = Bytes(batch["text"])
             drawn = []
             for _, found in read.pieces(width, k):
@@ -121,9 +121,9 @@ def _bucket_of(borders: np.ndarray, k: int):
 
 def _finish(width: int):
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in _repeats.slices(whole)):
             read = Bytes(batch["text"])
-            gone = _repeats.covered(read.bounds, batch["starts"], batch["masks"], width)
+            gone = _repeats.covered(read.bounds, batch, width)
             lengths = np.diff(read.bounds)
             total = np.concatenate([[0], np.cumsum(gone, dtype=np.int64)])
             removed = np.diff(total[read.bounds])
@@ -138,7 +138,7 @@ def _finish(width: int):
             spans = np.bincount(row, minlength=len(lengths))
             pairs = pa.StructArray.from_arrays([pa.array(opened - read.bounds[row], pa.int64()), pa.array(closed - opened + 1, pa.int64())], ["start", "length"])
             offsets = pa.array(np.concatenate([[0], np.cumsum(spans)]), pa.int32())
-            out = batch.drop_columns(["text", "starts", "masks"])
+            out = batch.drop_columns(["print", "text", "prints", "starts", "masks"])
             for name, column in (
                 ("kept", _binary(read.data[~gone], lengths - removed)), ("spans", pa.ListArray.from_arrays(offsets, pairs)),
                 ("n_bytes", pa.array(lengths, pa.int64())), ("n_removed", pa.array(removed, pa.int64())), ("n_spans", pa.array(spans, pa.int64())),
@@ -152,16 +152,11 @@ def _finish(width: int):
 def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, hot: int = _repeats.HOT) -> DataFrame:
     """All columns but the text, and: kept (bytes), spans (start, length of removed runs), n_bytes, n_removed, n_spans."""
     importable()
-    k = max(1, width // 3, width - 62)
+    k = max(1, width // 2 - 1, width - 62)
     buckets = _repeats.FINER * shuffle_partitions(df.sparkSession)
     borders = splitters(df, text, width, k, buckets)
-    marks = _repeats.marks(df, key, text, Bytes, width, k, _bucket_of(borders, k), _equal_windows(width), hot)
-    others = without(df, [text, *RESULTS])
-    body = F.coalesce(F.col(text), F.lit(""))
-    rows = df.select(*[F.col(f"`{c}`") for c in others.columns], body.alias("text"), F.col(key).cast("long").alias("_key"), F.xxhash64(body).alias("_print"))
-    joined = rows.join(marks, (F.col("_key") == F.col("of")) & (F.col("_print") == F.col("of_print")), "left")
-    nothing = F.array().cast("array<int>"), F.array().cast("array<long>")
-    ready = joined.select(*[F.col(f"`{c}`") for c in others.columns], "text", F.coalesce("starts", nothing[0]).alias("starts"), F.coalesce("masks", nothing[1]).alias("masks"))
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in others.schema] + [
-        "kept binary", "spans array<struct<start: bigint, length: bigint>>", "n_bytes bigint", "n_removed bigint", "n_spans bigint"])
-    return ready.mapInArrow(_finish(width), schema)
+    others = without(df, [key, text, *RESULTS]).columns
+    rows = _repeats.known_rows(df, key, text, [F.col(f"`{c}`") for c in others])
+    marked = _repeats.marked_rows(rows, Bytes, width, k, _bucket_of(borders, k), _equal_windows(width), hot)
+    schema = _repeats.schema_of(df, others, "kept binary, spans array<struct<start: bigint, length: bigint>>, n_bytes bigint, n_removed bigint, n_spans bigint")
+    return _repeats.keyed_again(marked.mapInArrow(_finish(width), schema), df, key)
