@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from headway.llm import exact_dedup, language_id
+from headway.llm import byte_bpe, decontaminate, exact_dedup, language_id, ngram_join
+from headway.llm._common import table
+from headway.llm.queries import tokenizer
 from headway.session import run_dir
 
 
@@ -20,8 +23,28 @@ def copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.deduplicate(docs).select(*docs.columns)
 
 
-STAGES = [("language ID", languages), ("exact dedup", copies)]
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Near copies: of the documents that links tie together the one with the smallest doc_id stays."""
+    return ngram_join.deduplicate(docs).select(*docs.columns)
 
+
+def benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a passage of the benchmark go."""
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark")).select(*docs.columns)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Adds each document's token ids and their number."""
+    ranks, pattern = tokenizer()
+    packed = byte_bpe.encode(docs, ranks, pattern, ids="ids")
+    return packed.withColumn("n_tokens", byte_bpe.n_ids("ids")).withColumn("ids", byte_bpe.unpacked_ids("ids"))
+
+
+STAGES = [
+    ("language ID", languages), ("exact dedup", copies), ("n-gram Jaccard join", near_copies), ("benchmark decontamination", benchmarks), ("byte-level BPE", tokens),
+]
+
+#: Languages and similarity by shingles are beyond SQL; tests hold the result against a brute-force version.
 ORACLE_SQL = None
 
 

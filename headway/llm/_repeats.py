@@ -31,11 +31,13 @@ from headway.llm._common import importable, shuffle_partitions
 PIECE = 1 << 17
 POSITION_BITS = 18
 #: Bytes of text that arrays are made for at a time, or one longer document.
-SLICE = 1 << 21
+SLICE = 1 << 22
 #: Anchors that a task gathers before it sends them.
 GATHERED = 1 << 20
 #: From so many documents with an anchor on, its windows are dealt one by one. Bounds what meets in a bucket.
-HOT = 20_000
+HOT = 200_000
+#: Bits of an anchor that its owner gets. Fewer are sent faster, and more anchors seem to repeat that do not.
+KEY_BITS = 48
 #: Buckets and owners for each shuffle partition, so that one group is a small part of a task.
 FINER = 4
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -126,7 +128,8 @@ def stretches_of(values: np.ndarray, doc: np.ndarray, start: np.ndarray, stop: n
     piece = np.searchsorted(begins, at, "right") - 1
     where = (anchor[at] & np.uint64((1 << POSITION_BITS) - 1)).astype(np.int64)
     shift = start[piece] - begins[piece]
-    return Stretches(doc[piece], at + shift - first[doc[piece]], count, hashes[where], where - at)
+    # Smallest hashes are all small: mixed again, they spread over all owners.
+    return Stretches(doc[piece], at + shift - first[doc[piece]], count, mixed(hashes[where] ^ MULTIPLIER), where - at)
 
 
 #: Stands for a null key, so that joins see no nulls and all read one exchange of the documents.
@@ -134,9 +137,12 @@ NO_KEY = -(1 << 63)
 
 
 def known_rows(df: DataFrame, key: str, text: str, others: list[str] = ()) -> DataFrame:
-    """(doc, print, text, others): a row is known by its key and a hash of its text, as keys may repeat."""
+    """(doc, print, text, others): a row is known by its key and a hash of its text, as keys may repeat.
+
+    Other columns go in a struct, whatever their names are.
+    """
     body = F.coalesce(F.col(text), F.lit(""))
-    return df.select(F.coalesce(F.col(key).cast("long"), F.lit(NO_KEY)).alias("doc"), F.hash(body).alias("print"), body.alias("text"), *others)
+    return df.select(F.coalesce(F.col(key).cast("long"), F.lit(NO_KEY)).alias("doc"), F.hash(body).alias("print"), body.alias("text"), *([F.struct(*[F.col(f"`{c}`") for c in others]).alias("others")] if others else []))
 
 
 def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -170,6 +176,22 @@ def owner_of(keys: np.ndarray, owners: int) -> np.ndarray:
     return ((keys >> np.uint64(32)) * np.uint64(owners) >> np.uint64(32)).astype(np.int32)
 
 
+def _short(keys: np.ndarray) -> bytes:
+    """The upper KEY_BITS of the keys."""
+    return np.ascontiguousarray((keys >> np.uint64(64 - KEY_BITS)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :KEY_BITS // 8]).tobytes()
+
+
+def _long(data: bytes) -> np.ndarray:
+    wide = np.zeros((len(data) * 8 // KEY_BITS, 8), np.uint8)
+    wide[:, :KEY_BITS // 8] = np.frombuffer(data, np.uint8).reshape(len(wide), -1)
+    return wide.view("<u8").ravel()
+
+
+def _named(keys: np.ndarray) -> np.ndarray:
+    """What tells the anchors of a document apart when they come back: the lower 32 of the bits sent."""
+    return keys.astype(np.uint32)
+
+
 def _send(tokens: Callable[[pa.Array], Tokens], width: int, k: int, owners: int):
     def out(keys: list, docs: list) -> pa.RecordBatch:
         keys, docs = np.concatenate(keys), np.concatenate(docs)
@@ -179,7 +201,7 @@ def _send(tokens: Callable[[pa.Array], Tokens], width: int, k: int, owners: int)
         parts = [(o, order[a:b]) for o, (a, b) in enumerate(zip([0, *ends[:-1]], ends)) if b > a]
         return pa.RecordBatch.from_pydict({
             "owner": pa.array([o for o, _ in parts], pa.int32()),
-            "keys": pa.array([keys[p].tobytes() for _, p in parts], pa.binary()),
+            "keys": pa.array([_short(keys[p]) for _, p in parts], pa.binary()),
             "docs": pa.array([docs[p].tobytes() for _, p in parts], pa.binary()),
         })
 
@@ -204,7 +226,7 @@ def repeated(hot: int):
     """Of an owner's anchors those that more than one document has, once for each document."""
 
     def find(sent: pa.Table) -> pa.Table:
-        keys = np.concatenate([np.frombuffer(x.as_buffer(), np.uint64) for x in sent["keys"]])
+        keys = np.concatenate([_long(x) for x in sent["keys"].to_pylist()])
         docs = np.concatenate([np.frombuffer(x.as_buffer(), np.int64) for x in sent["docs"]])
         order = np.lexsort((docs, keys))
         keys, docs = keys[order], docs[order]
@@ -214,7 +236,7 @@ def repeated(hot: int):
         size = np.diff(np.flatnonzero(np.append(new, True)))
         size = np.repeat(size, size)
         many = size > 1
-        return pa.table({"doc": docs[many], "key": keys[many].view(np.int64), "hot": size[many] >= hot})
+        return pa.table({"doc": docs[many], "key": _named(keys[many]).view(np.int32), "hot": size[many] >= hot})
 
     return find
 
@@ -223,10 +245,16 @@ def anchors(docs: DataFrame, tokens, width: int, k: int, hot: int) -> DataFrame:
     """(doc, keys, hot_keys) of documents with anchors that other documents have too."""
     owners = FINER * shuffle_partitions(docs.sparkSession)
     sent = docs.where(F.col("doc") != NO_KEY).select("doc", "text").mapInArrow(_send(tokens, width, k, owners), "owner int, keys binary, docs binary")
-    named = sent.groupBy("owner").applyInArrow(repeated(hot), "doc long, key long, hot boolean")
+    named = sent.groupBy("owner").applyInArrow(repeated(hot), "doc long, key int, hot boolean")
     return named.groupBy(F.col("doc").alias("of")).agg(F.collect_list("key").alias("keys"), F.collect_list(F.when(F.col("hot"), F.col("key"))).alias("hot_keys"))
 
 
+def binary(body: np.ndarray, lengths: np.ndarray) -> pa.Array:
+    """Byte strings of these lengths, one after the other in ``body``."""
+    offsets = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(lengths), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(body))])
+
+
 def _lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Values of a list column and the row of each."""
     lengths = np.diff(column.offsets.to_numpy())
@@ -237,10 +265,12 @@ def _among(doc: np.ndarray, key: np.ndarray, named: pa.Array) -> np.ndarray:
     """Whether the pairs of document and key are among the documents' lists."""
     with np.errstate(over="ignore"):
         keys, docs = _lists(named)
-        return np.isin(key + mixed(doc.astype(np.uint64)), keys.view(np.uint64) + mixed(docs.astype(np.uint64)))
+        own = _named(key >> np.uint64(64 - KEY_BITS)).astype(np.uint64) + (doc.astype(np.uint64) << np.uint64(32))
+        return np.isin(own, keys.view(np.uint32).astype(np.uint64) + (docs.astype(np.uint64) << np.uint64(32)))
 
 
-ROWS = "bucket int, body binary, docs array<long>, prints array<int>, starts array<int>"
+#: What a part of a batch sends to a bucket: texts one after the other with their sizes, how many places each has, and these.
+ROWS = "bucket int, bodies binary, sizes binary, counts binary, docs binary, prints binary, starts binary"
 
 
 def _cut(tokens, width: int, k: int, buckets: int, bucket_of: Callable):
@@ -270,20 +300,30 @@ def _cut(tokens, width: int, k: int, buckets: int, bucket_of: Callable):
             doc, start, count, bucket = (np.concatenate(x) for x in (doc, start, count, bucket))
             if not len(doc):
                 continue
-            # Equal texts of a batch become one row with all their places.
+            # Equal texts of a batch are sent once with all their places.
             coded = read.strings(doc, start, count + width - 1).dictionary_encode()
             code = coded.indices.to_numpy()
-            order = np.argsort(code, kind="stable")
-            new = np.flatnonzero(np.diff(code[order], prepend=-1))
-            offsets = pa.array(np.append(new, len(code)), pa.int32())
-            own = batch["doc"].to_numpy()[doc[order]], batch["print"].to_numpy()[doc[order]]
-            whole = pa.RecordBatch.from_arrays([
-                pa.array(bucket[order][new], pa.int32()), coded.dictionary,
-                pa.ListArray.from_arrays(offsets, pa.array(own[0], pa.int64())), pa.ListArray.from_arrays(offsets, pa.array(own[1], pa.int32())),
-                pa.ListArray.from_arrays(offsets, pa.array(start[order], pa.int32())),
-            ], names=["bucket", "body", "docs", "prints", "starts"])
-            for at in range(0, whole.num_rows, 20_000):
-                yield whole.slice(at, 20_000)
+            of_text = np.empty(len(coded.dictionary), np.int32)
+            of_text[code] = bucket
+            by_bucket = np.argsort(of_text, kind="stable")
+            rank = np.empty(len(by_bucket), np.int64)
+            rank[by_bucket] = np.arange(len(by_bucket))
+            texts = coded.dictionary.take(pa.array(by_bucket))
+            order = np.argsort(rank[code], kind="stable")
+            counts = np.bincount(code, minlength=len(by_bucket))[by_bucket]
+            text_ends = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + len(texts) + 1]
+            body = np.frombuffer(texts.buffers()[2], np.uint8)
+            place_ends = np.concatenate([[0], np.cumsum(counts)])
+            columns = batch["doc"].to_numpy()[doc[order]], batch["print"].to_numpy()[doc[order]], start[order].astype(np.int32)
+            heads = np.flatnonzero(np.diff(of_text[by_bucket], prepend=-1))
+            rows = [
+                (int(of_text[by_bucket[a]]), body[text_ends[a]:text_ends[b]].tobytes(), np.diff(text_ends[a:b + 1]).astype("<u4").tobytes(),
+                 counts[a:b].astype("<u4").tobytes(), *(c[place_ends[a]:place_ends[b]].tobytes() for c in columns))
+                for a, b in zip(heads, np.append(heads[1:], len(by_bucket)))
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, pa.int32() if i == 0 else pa.binary()) for i, c in enumerate(zip(*rows))],
+                names=["bucket", "bodies", "sizes", "counts", "docs", "prints", "starts"])
 
     return cut
 
@@ -317,11 +357,13 @@ def settle(classes_of: Callable[[pa.Array], tuple[np.ndarray, np.ndarray, np.nda
     """Marks of a bucket's rows; classes_of(bodies): windows of each body, members and classes of windows that are equal."""
 
     def run(rows: pa.Table) -> pa.Table:
-        rows = rows.combine_chunks()
-        docs, row = _lists(rows["docs"].chunk(0))
-        windows, members, classes = classes_of(rows["body"].chunk(0))
+        bodies, sizes, counts, docs, prints, starts = (
+            np.concatenate([np.frombuffer(x, kind) for x in rows[c].to_pylist()])
+            for c, kind in (("bodies", np.uint8), ("sizes", "<u4"), ("counts", "<u4"), ("docs", np.int64), ("prints", np.int32), ("starts", np.int32)))
+        row = np.repeat(np.arange(len(counts)), counts)
+        windows, members, classes = classes_of(binary(bodies, sizes))
         first = np.cumsum(windows) - windows
-        smallest_doc = np.minimum.reduceat(docs, rows["docs"].chunk(0).offsets.to_numpy()[:-1])
+        smallest_doc = np.minimum.reduceat(docs, np.cumsum(counts, dtype=np.int64) - counts)
         of_window = np.repeat(smallest_doc, windows)
         if len(members):
             order = np.argsort(classes, kind="stable")
@@ -334,8 +376,7 @@ def settle(classes_of: Callable[[pa.Array], tuple[np.ndarray, np.ndarray, np.nda
         bits = (of_window[first[row[place]] + offset] < docs[place]).astype(np.int64) << offset
         mask = np.bitwise_or.reduceat(bits, np.cumsum(windows[row]) - windows[row]) if len(bits) else np.zeros(0, np.int64)
         some = mask != 0
-        prints, starts = (rows[c].chunk(0).flatten().to_numpy()[some] for c in ("prints", "starts"))
-        return pa.table({"doc": docs[some], "print": prints, "start": starts, "mask": mask[some]})
+        return pa.table({"doc": docs[some], "print": prints[some], "start": starts[some], "mask": mask[some]})
 
     return run
 
@@ -362,13 +403,14 @@ def marked_rows(docs: DataFrame, tokens, width: int, k: int, bucket_of, classes_
 def schema_of(df: DataFrame, others: list[str], results: str) -> str:
     """Schema of the finished rows: doc, other columns, results."""
     kinds = {f.name: f.dataType.simpleString() for f in df.schema}
-    return ", ".join(["doc long", *[f"`{c}` {kinds[c]}" for c in others], results])
+    packed = "struct<{}>".format(", ".join(f"`{c}`: {kinds[c]}" for c in others))
+    return ", ".join(["doc long", *([f"others {packed}"] if others else []), results])
 
 
 def keyed_again(found: DataFrame, df: DataFrame, key: str) -> DataFrame:
     """The rows with their key in place of ``doc``."""
     own = F.when(F.col("doc") != NO_KEY, F.col("doc")).cast(df.schema[key].dataType).alias(key)
-    return found.select(own, *[F.col(f"`{c}`") for c in found.columns if c != "doc"])
+    return found.select(own, *(["others.*"] if "others" in found.columns else []), *[c for c in found.columns if c not in ("doc", "others")])
 
 
 def covered(bounds: np.ndarray, batch: pa.RecordBatch, width: int) -> np.ndarray:

@@ -254,3 +254,13 @@ def decode(df: DataFrame, ranks: str, ids: str = "ids", decoded: str = "decoded"
 
 def n_ids(ids: Column | str) -> Column:
     return (F.octet_length(ids) / 4).cast("long")
+
+
+def unpacked_ids(ids: Column | str) -> Column:
+    """Packed ids as an array of numbers."""
+
+    @pandas_udf("array<int>")
+    def numbers(packed: pd.Series) -> pd.Series:
+        return pd.Series([np.frombuffer(p or b"", "<u4").astype(np.int32) for p in packed], dtype=object)
+
+    return numbers(ids)

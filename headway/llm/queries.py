@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headway.llm import byte_bpe, decontaminate, exact_dedup, html_extract, language_id, ngram_join, substring_dedup, suffix_dedup, url_filter
+from headway.llm import byte_bpe, decontaminate, exact_dedup, html_extract, language_id, ngram_join, secret_scan, substring_dedup, suffix_dedup, url_filter
 from headway.llm._common import table
 
 QUERIES: dict = {}
@@ -145,3 +145,11 @@ def op8_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return decontaminate.matches(docs, table(spark, sf_dir, "benchmark"))
+
+
+@query()
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    forest = secret_scan.train(secret_scan.findings(spark))
+    found = secret_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text"), forest)
+    # The report names a secret by its hash, so that it is not spread further.
+    return found.select("doc_id", F.col("nth").cast("long").alias("nth"), F.length("value").cast("long").alias("n_chars"), F.sha2("value", 256).alias("value_sha256"), "score")

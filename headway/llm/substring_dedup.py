@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from headway.llm import _repeats
 from headway.llm._common import importable, without
 from headway.llm._repeats import Tokens
-from headway.llm.suffix_dedup import _VALUES, Bytes, _binary
+from headway.llm.suffix_dedup import _VALUES, Bytes
 
 WIDTH = 50
 #: Words by which a node of the tree is divided at a time.
@@ -77,7 +77,7 @@ class Words(Tokens):
         keep[ends[last] - 1] = False  # no space behind the last word
         sizes = np.zeros(len(counts), np.int64)
         sizes[counts > 0] = np.diff(ends[last], prepend=0) - 1
-        return _binary(body[keep], sizes)
+        return _repeats.binary(body[keep], sizes)
 
     def strings(self, doc: np.ndarray, start: np.ndarray, count: np.ndarray) -> pa.Array:
         return self.joined(np.repeat(self.bounds[doc] + start, count) + _repeats._ramp(count), count)
@@ -124,7 +124,7 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", width
     importable()
     k = max(1, width // 6, width - 62)
     others = without(df, [key, text, *RESULTS]).columns
-    rows = _repeats.known_rows(df, key, text, [F.col(f"`{c}`") for c in others])
+    rows = _repeats.known_rows(df, key, text, others)
     marked = _repeats.marked_rows(rows, Words, width, k, _group_of, _shared_nodes(width), hot)
     schema = _repeats.schema_of(df, others, "kept string, n_words bigint, n_removed bigint")
     return _repeats.keyed_again(marked.mapInArrow(_finish(width), schema), df, key)

@@ -55,12 +55,7 @@ class Bytes(Tokens):
     def strings(self, doc: np.ndarray, start: np.ndarray, count: np.ndarray) -> pa.Array:
         from_ = self.bounds[doc] + start
         body = self.data[np.repeat(from_, count) + _repeats._ramp(count)]
-        return _binary(body, count)
-
-
-def _binary(body: np.ndarray, lengths: np.ndarray) -> pa.Array:
-    offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
-    return pa.Array.from_buffers(pa.binary(), len(lengths), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(body))])
+        return _repeats.binary(body, count)
 
 
 def _leading(strings: pa.Array) -> np.ndarray:
@@ -140,7 +135,7 @@ def _finish(width: int):
             offsets = pa.array(np.concatenate([[0], np.cumsum(spans)]), pa.int32())
             out = batch.drop_columns(["print", "text", "prints", "starts", "masks"])
             for name, column in (
-                ("kept", _binary(read.data[~gone], lengths - removed)), ("spans", pa.ListArray.from_arrays(offsets, pairs)),
+                ("kept", _repeats.binary(read.data[~gone], lengths - removed)), ("spans", pa.ListArray.from_arrays(offsets, pairs)),
                 ("n_bytes", pa.array(lengths, pa.int64())), ("n_removed", pa.array(removed, pa.int64())), ("n_spans", pa.array(spans, pa.int64())),
             ):
                 out = out.append_column(name, column)
@@ -156,7 +151,7 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", width
     buckets = _repeats.FINER * shuffle_partitions(df.sparkSession)
     borders = splitters(df, text, width, k, buckets)
     others = without(df, [key, text, *RESULTS]).columns
-    rows = _repeats.known_rows(df, key, text, [F.col(f"`{c}`") for c in others])
+    rows = _repeats.known_rows(df, key, text, others)
     marked = _repeats.marked_rows(rows, Bytes, width, k, _bucket_of(borders, k), _equal_windows(width), hot)
     schema = _repeats.schema_of(df, others, "kept binary, spans array<struct<start: bigint, length: bigint>>, n_bytes bigint, n_removed bigint, n_spans bigint")
     return _repeats.keyed_again(marked.mapInArrow(_finish(width), schema), df, key)

@@ -1,0 +1,211 @@
+from __future__ import annotations
+
+import os
+import sys
+
+import pytest
+from pyspark.sql import functions as F
+
+from headway.llm import decontaminate, html_extract, queries, secret_scan, url_filter
+from headway.llm.url_filter import Rule
+from tests.conftest import plan_of
+from tests.llm import brute
+from tests.llm.conftest import SMALL
+
+sys.path.insert(0, os.path.join(os.path.dirname(os.path.abspath(__file__)), "..", "..", "tools"))
+from compare import connect, differences  # noqa: E402
+
+DATA = "/root/testdata/sf0.01"
+
+
+@pytest.mark.parametrize("name", sorted(queries.SQL))
+def test_query_agrees_with_its_sql(spark, name):
+    assert differences(spark, connect(DATA), name, DATA) == []
+
+
+@pytest.mark.parametrize("name", ["op4_secret_scan", "op5_url_filter", "op10_decontaminate"])
+def test_native_plans_have_no_python(spark, name):
+    plan = plan_of(queries.QUERIES[name](spark, SMALL))
+    assert not any(word in plan for word in ("Python", "Pandas", "Arrow", "CartesianProduct"))
+
+
+# Urls
+
+
+def judged(spark, urls, rules, outcomes=()):
+    pages = spark.createDataFrame([(i, u, "clash") for i, u in enumerate(urls)], "page_id long, url string, host string")
+    known = spark.createDataFrame(list(outcomes), "url string, good int")
+    return {r["page_id"]: (r["host"], r["path"], r["rule"], r["verdict"]) for r in url_filter.judge(pages, rules, known).collect()}
+
+
+def test_rules_and_parts_of_urls(spark):
+    urls = [
+        "http://WWW.Example.COM/en/1?q", "https://example.com/en/x#y", "ftp://a.example.com/fr/", "http://notexample.net/es/", "http://x.net/en/", None,
+        "no scheme", "http://com", "http://net?x=/es/", "://net/es/#f", "http://com:80/", "http://x.org/://net/es/", "",
+    ]
+    got = judged(spark, urls, queries.RULES)
+    assert [got[i][:3] for i in range(len(urls))] == [
+        ("www.example.com", "/en/1", "www.example.com/en/"), ("example.com", "/en/x", "example.com/en/"), ("a.example.com", "/fr/", "com/"),
+        ("notexample.net", "/es/", "net/es/"), ("x.net", "/en/", None), ("", "", None), ("", "", None), ("com", "", None), ("net", "", None),
+        ("net", "/es/", "net/es/"), ("com:80", "/", None), ("x.org", "/://net/es/", None), ("", "", None)]
+    assert [got[i][3] for i in (0, 1, 2, 3)] == ["allow", "block", "allow", "block"]
+
+
+def test_known_bad_hosts_are_blocked_and_unknown_ones_stay(spark):
+    outcomes = [("http://bad.one.org/a", 0)] * 60 + [("http://good.one.org/a", 1)] * 60 + [("http://ok.two.org/", 1)] * 60 + [("http://few.two.org/", 0)]
+    got = judged(spark, ["http://bad.one.org/z", "http://good.one.org/", "http://few.two.org/", "http://new.three.org/"], [], outcomes)
+    assert [got[i][3] for i in range(4)] == ["block", "allow", "allow", "allow"]
+
+
+def test_shares_are_pulled_towards_the_domain(spark):
+    outcomes = spark.createDataFrame([("a.bad.org", 50, 1), ("b.bad.org", 50, 2), ("c.bad.org", 0, 0), ("a.good.org", 50, 49), ("b.good.org", 50, 48), ("c.good.org", 0, 0)], "host string, n long, g long")
+    share = {r["host"]: r["share"] for r in url_filter.reputation(outcomes).collect()}
+    assert share["c.bad.org"] < 0.5 < share["c.good.org"]
+    assert share["a.bad.org"] < share["b.bad.org"] < share["c.bad.org"]
+
+
+def test_suffixes_and_domains(spark):
+    hosts = spark.createDataFrame([("a.b.co.uk",), ("b.co.uk",), ("co.uk",), ("x.org",), ("org",), ("",)], "h string")
+    suffix = url_filter.suffix_of(F.col("h"))
+    assert [tuple(r) for r in hosts.select(suffix, url_filter.domain_of(F.col("h"), suffix)).collect()] == [
+        ("co.uk", "b.co.uk"), ("co.uk", "b.co.uk"), ("uk", "co.uk"), ("org", "x.org"), ("org", "org"), ("", "")]
+
+
+def test_no_pages_and_longest_rule(spark):
+    assert judged(spark, [], queries.RULES) == {}
+    got = judged(spark, ["http://a.b/c/d"], [Rule("block", "b", "/c/d"), Rule("allow", "a.b", "/c/d"), Rule("block", "b", "/")])
+    assert got[0][2:] == ("a.b/c/d", "allow")
+
+
+# Pages
+
+
+def text_of(page):
+    return html_extract.main_text(html_extract.read(page), frozenset())
+
+
+@pytest.mark.parametrize("page,text", [
+    ("", ""),
+    ("plain", "plain"),
+    ("<p>a<p>b<br>c</p>d", "a\nb\nc\nd"),
+    ("<nav>n</nav><article><h1>T &amp; U</h1><p>x\n\t y<b>z</b></article><footer>f</footer>", "T & U\nx yz"),
+    ("<div class='side ad'>x</div><main>m<aside>y</aside><form>z</form></main>out", "m"),
+    ("<header>h</header><div>b</div><!-- <p>c</p> --><script>var t='</p>'</script><style>p{}</style>", "b"),
+    ("<div id=comments><article>said</article></div><article>real</article>", "real"),
+    ("<article><header><h1>Title</h1></header><p>&lt;tag&gt; &#65;&nbsp;b", "Title\n<tag> A b"),
+    ("<ul><li>one<li>two</ul><table><tr><td>a<td>b</table>", "one\ntwo\na\nb"),
+    ("<div role=navigation>x</div><p>a < b and c</p>", "a < b and c"),
+    ("</p></div>stray<div>in</span> it</div>", "stray\nin it"),
+    ("<p>never closed <b>bold", "never closed bold"),
+    ("<script>never closed <p>x</p>", ""),
+])
+def test_main_text(page, text):
+    assert text_of(page) == text
+
+
+def test_deep_nesting_and_long_pages():
+    assert text_of("<div>" * 20_000 + "x") == "x"
+    assert len(text_of("<p>" + "word " * 200_000)) == 999_999
+
+
+def test_templates_of_a_site_go(spark):
+    promo = "<div><p>Subscribe to our letter</p></div>"
+    rows = [(i, f"http://h{i % 2}.org/{i}", f"<div><p>own text {i}</p></div>{promo if i % 2 else ''}<p>end {i}</p>") for i in range(40)]
+    rows += [(90, None, "<p>x</p>"), (91, "http://h1.org/9", None), (92, "http://h1.org/9", ""), (1, "http://h1.org/1", rows[1][2])]
+    pages = spark.createDataFrame([(*r, "clash") for r in rows], "page_id long, url string, html string, TEXT string")
+    got = [(r["page_id"], r["text"]) for r in html_extract.extract(pages).collect()]
+    assert sorted(got) == sorted([(i, f"own text {i}\nend {i}") for i in range(40)] + [(90, "x"), (91, ""), (92, ""), (1, "own text 1\nend 1")])
+    assert html_extract.extract(pages.limit(0)).count() == 0
+
+
+def test_articles_of_the_table(spark):
+    import html
+    import re
+
+    pages = {r["page_id"]: r["html"] for r in spark.read.parquet(f"{DATA}/pages.parquet").collect()}
+    got = {r["page_id"]: (r["text"], r["n_chars"]) for r in queries.op8_html_extract(spark, DATA).collect()}
+    assert set(got) == set(pages)
+    for i, page in pages.items():
+        blocks = re.split(r"</?(?:p|h1|br)>", re.search(r"<article>(.*?)</article>", page, re.S)[1])
+        text = "\n".join(t for b in blocks if (t := " ".join(html.unescape(re.sub(r"<[^>]*>", "", b)).split())))
+        assert got[i] == (text, len(text))
+
+
+# Benchmark passages
+
+
+def test_leaks_equal_brute_force(spark, make_docs):
+    words = [f"w{i}" for i in range(400)]
+    items = [(1, " ".join(words[:20])), (2, " ".join(words[40:90])), (3, "three small words"), (4, None), (5, " !! "), (6, " ".join(words[:18])), (7, " ".join(["la"] * 12))]
+    edited = words[40:90]
+    edited[25] = "other"
+    docs = [
+        (1, "before " + " ".join(words[:20]).upper() + "!! behind"), (2, " ".join(edited)), (3, "x three, small WORDS y"), (4, None), (5, ""),
+        (6, " ".join(words[200:300])), (7, " ".join(words[:19])), (8, "la " * 9), (9, "la " * 40), (10, " ".join(words[40:60])), (11, "$".join(words[:20]) + " again " + " ".join(words[:20]))]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r["similarity"] for r in decontaminate.matches(make_docs(docs).withColumn("item_id", F.lit(1)), benchmark).collect()}
+    assert got == pytest.approx(brute.leaks(docs, items))
+
+
+def test_cleaning_keeps_rows_that_share_a_null_key(spark, make_docs):
+    item = " ".join(f"w{i}" for i in range(20))
+    rows = [(None, item), (None, "clean"), (3, item), (3, "clean too"), (4, None)]
+    benchmark = spark.createDataFrame([(1, item)], "item_id long, text string")
+    kept = decontaminate.clean(make_docs(rows), benchmark)
+    assert sorted((r["doc_id"] or 0, r["text"] or "") for r in kept.collect()) == [(0, "clean"), (3, "clean too"), (4, "")]
+    assert decontaminate.clean(make_docs(rows), benchmark.limit(0)).count() == 5
+    assert decontaminate.matches(make_docs(rows).limit(0), benchmark).count() == 0
+
+
+def test_radius_is_guaranteed():
+    masks = set(decontaminate.near_values())
+    assert len(masks) == 1 + 16 + 120 + 560
+    assert decontaminate.RADIUS == decontaminate.BLOCKS * (decontaminate.SLACK + 1) - 1
+
+
+def test_op10_over_the_table(spark):
+    read = {t: [tuple(r) for r in spark.read.parquet(f"{SMALL}/{t}.parquet").select(c, "text").collect()] for t, c in (("documents", "doc_id"), ("benchmark", "item_id"))}
+    got = {(r["doc_id"], r["item_id"]): r["similarity"] for r in queries.op10_decontaminate(spark, SMALL).collect()}
+    assert got == pytest.approx(brute.leaks(read["documents"], read["benchmark"]))
+
+
+# Secrets
+
+
+@pytest.fixture(scope="module")
+def forest(spark):
+    return secret_scan.train(secret_scan.findings(spark, 1200))
+
+
+def test_labelled_findings_are_balanced(spark):
+    got = {r["label"]: r["count"] for r in secret_scan.findings(spark, 400).groupBy("label").count().collect()}
+    assert got == {0.0: 200, 1.0: 200}
+
+
+def test_held_out_findings_are_told_apart(spark, forest):
+    later = secret_scan.findings(spark, 2400).subtract(secret_scan.findings(spark, 1200))
+    scored = forest.transform(secret_scan.described(later))
+    right, n = scored.agg(F.sum((F.col("label") == F.col("prediction")).cast("int")), F.count("*")).first()
+    assert n > 500 and right / n > 0.95
+
+
+def test_scan(spark, make_docs, forest):
+    secret = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff"
+    rows = [
+        (1, f'first token = "{secret}" then'), (2, f"see commit {secret} of it"), (3, None), (4, ""), (5, "words without any candidate"),
+        (6, f'token = "{secret}"' * 2), (None, f'token = "{secret}"'), (7, "the number 4785380592391139 and"), (8, secret), (8, secret)]
+    got = secret_scan.scan(make_docs(rows).withColumn("value", F.lit("clash")), forest).collect()
+    found = sorted((r["doc_id"] or 0, r["nth"]) for r in got if (r["doc_id"] or 0) < 8)
+    assert found == [(0, 0), (1, 0), (6, 0), (6, 1)] and all(r["value"] == secret for r in got)
+    assert secret_scan.scan(make_docs(rows).limit(0), forest).count() == 0
+
+
+def test_planted_tokens_are_found(spark):
+    import re
+
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()}
+    want = {d: len(re.findall(r'token = "[0-9a-f]{40}"', t, re.I)) for d, t in texts.items()}
+    got: dict = {}
+    for r in queries.op4_secret_scan(spark, DATA).collect():
+        got[r["doc_id"]] = got.get(r["doc_id"], 0) + 1
+    assert got == {d: n for d, n in want.items() if n}
