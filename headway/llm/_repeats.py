@@ -261,12 +261,18 @@ def _lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return column.flatten().to_numpy(), np.repeat(np.arange(len(column)), lengths)
 
 
-def _among(doc: np.ndarray, key: np.ndarray, named: pa.Array) -> np.ndarray:
-    """Whether the pairs of document and key are among the documents' lists."""
-    with np.errstate(over="ignore"):
-        keys, docs = _lists(named)
-        own = _named(key >> np.uint64(64 - KEY_BITS)).astype(np.uint64) + (doc.astype(np.uint64) << np.uint64(32))
-        return np.isin(own, keys.view(np.uint32).astype(np.uint64) + (docs.astype(np.uint64) << np.uint64(32)))
+def _pairs(named: pa.Array) -> np.ndarray:
+    """The pairs of document and key in the documents' lists, sorted."""
+    keys, docs = _lists(named)
+    return np.sort(keys.view(np.uint32).astype(np.uint64) + (docs.astype(np.uint64) << np.uint64(32)))
+
+
+def _among(doc: np.ndarray, key: np.ndarray, pairs: np.ndarray) -> np.ndarray:
+    """Whether documents have the keys in their lists."""
+    if not len(pairs):
+        return np.zeros(len(doc), bool)
+    own = _named(key >> np.uint64(64 - KEY_BITS)).astype(np.uint64) + (doc.astype(np.uint64) << np.uint64(32))
+    return pairs[np.minimum(np.searchsorted(pairs, own), len(pairs) - 1)] == own
 
 
 #: What a part of a batch sends to a bucket: texts one after the other with their sizes, how many places each has, and these.
@@ -278,9 +284,10 @@ def _cut(tokens, width: int, k: int, buckets: int, bucket_of: Callable):
         for batch in (part for whole in batches for part in slices(whole)):
             read = tokens(batch["text"])
             doc, start, count, bucket = [], [], [], []
+            named, named_hot = _pairs(batch["keys"]), _pairs(batch["hot_keys"])
             for values, found in read.pieces(width, k):
-                use = _among(found.doc, found.key, batch["keys"])
-                hot = use & _among(found.doc, found.key, batch["hot_keys"])
+                use = _among(found.doc, found.key, named)
+                hot = use & _among(found.doc, found.key, named_hot)
                 some = np.flatnonzero(use & ~hot)
                 doc.append(found.doc[some])
                 start.append(found.start[some])
@@ -339,10 +346,11 @@ def equal_classes(n: int, keys: Iterator[Callable[[np.ndarray], np.ndarray]]) ->
 
     Items are sorted by the first key, ties by the next key and so on; what has no tie is out.
     """
-    items, tie = np.arange(n), np.zeros(n, np.int64)
+    items, tie = np.arange(n), None
     for key in keys:
         own = key(items)
-        order = np.lexsort((own, tie))
+        order = np.argsort(own, kind="stable") if tie is None else np.lexsort((own, tie))
+        tie = np.zeros(n, np.int64) if tie is None else tie
         items, tie, own = items[order], tie[order], own[order]
         new = np.concatenate([[True], (tie[1:] != tie[:-1]) | (own[1:] != own[:-1])])
         size = np.diff(np.flatnonzero(np.append(new, True)))

@@ -99,7 +99,10 @@ def _shared_nodes(width: int):
         step = min(EDGE, width)
         labels = _repeats.rolling(values, step)
         depths = [*range(0, width - step, step), width - step]
-        return windows, *_repeats.equal_classes(len(suffix), (lambda items, d=d: labels[suffix[items] + d] for d in depths))
+        # Windows whose hash is alone would be leaves at once.
+        whole = _repeats.rolling(values, width)
+        keys = [lambda items: whole[suffix[items]], *[lambda items, d=d: labels[suffix[items] + d] for d in depths]]
+        return windows, *_repeats.equal_classes(len(suffix), iter(keys))
 
     return find
 

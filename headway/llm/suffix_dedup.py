@@ -62,15 +62,9 @@ def _leading(strings: pa.Array) -> np.ndarray:
     """The first eight bytes of each string as a number that sorts like them; shorter strings end in zeros."""
     bounds = np.frombuffer(strings.buffers()[1], np.int32)[strings.offset:strings.offset + len(strings) + 1].astype(np.int64)
     data = np.frombuffer(strings.buffers()[2], np.uint8) if len(strings) else np.zeros(0, np.uint8)
-    return _eight(data, bounds[:-1], bounds[1:])
-
-
-def _eight(data: np.ndarray, at: np.ndarray, stop: np.ndarray) -> np.ndarray:
-    """Eight bytes from each place on, big-endian; zeros behind ``stop``."""
-    places = at[:, None] + np.arange(8)
-    inside = places < stop[:, None]
-    taken = np.where(inside, data[np.minimum(places, max(0, len(data) - 1))], 0).astype(np.uint8) if len(data) else np.zeros(places.shape, np.uint8)
-    return np.ascontiguousarray(taken).view(">u8").ravel().astype(np.uint64)
+    places = bounds[:-1, None] + np.arange(8)
+    taken = np.where(places < bounds[1:, None], data[np.minimum(places, max(0, len(data) - 1))], 0) if len(data) else np.zeros(places.shape)
+    return np.ascontiguousarray(taken.astype(np.uint8)).view(">u8").ravel().astype(np.uint64)
 
 
 def _equal_windows(width: int):
@@ -79,12 +73,29 @@ def _equal_windows(width: int):
         data = np.frombuffer(bodies.buffers()[2], np.uint8)
         windows = np.diff(bounds) - width + 1
         suffix = np.repeat(bounds[:-1], windows) + _repeats._ramp(windows)
-        keys = (lambda items, skip=skip: _eight(data, suffix[items] + skip, suffix[items] + width) for skip in range(0, width, 8))
-        return windows, *_repeats.equal_classes(len(suffix), keys)
+        # Suffixes whose hash is alone need no sorting.
+        whole = _repeats.rolling(_VALUES[data], width)
+        eight = _eights(data)
+
+        def character(skip: int):
+            spare = np.uint64(8 * max(0, skip + 8 - width))
+            return lambda items: eight[suffix[items] + skip] >> spare
+
+        keys = [lambda items: whole[suffix[items]], *[character(skip) for skip in range(0, width, 8)]]
+        return windows, *_repeats.equal_classes(len(suffix), iter(keys))
 
     return find
 
 
+def _eights(data: np.ndarray) -> np.ndarray:
+    """Eight bytes from each place on as a number that sorts like them; zeros behind the end."""
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    out = np.zeros(len(data), np.uint64)
+    for k in range(8):
+        out |= padded[k:k + len(data)].astype(np.uint64) << np.uint64(8 * (7 - k))
+    return out
+
+
 def splitters(df: DataFrame, text: str, width: int, k: int, buckets: int) -> np.ndarray:
     """Leading bytes that divide the suffixes into ranges, drawn from about SAMPLED documents."""
     n = df.count()
