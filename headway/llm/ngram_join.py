@@ -12,7 +12,8 @@ is at least ``percent`` / 100.
    segment's shingles without one (one-deletion neighbourhood) are sent too: two such segments
    meet unless they differ by two shingles, so one segment counts as two.
 3. Owners return the signatures that more than one document has, with the length of their lists.
-   With these costs each set picks the cheapest signatures that add up to H + 1 (``allocate``).
+   Sets that share too few segments with others to link are done with. Of the rest, each picks
+   the cheapest signatures that add up to H + 1, by these costs (``_allocate``).
    What no other set has costs nothing and counts. There are more segments than H + 1, so
    the few with long lists (empty ones, or the words of a line that many texts have) are left out.
 4. Lists that a set looks up are known by their smallest document, the centre. All lists of one
@@ -24,7 +25,7 @@ is at least ``percent`` / 100.
 
 Documents with equal sets are one node from the start, in a task before anything is sent and in
 all before anything is verified. Signatures only choose candidates; each link is verified with
-both whole sets of shingle hashes (56 bits).
+both whole sets of shingle hashes (48 bits).
 
 Words are runs of bytes other than ASCII white space, A-Z lower-cased. A text with fewer words
 than a shingle is one shingle; without words, or null, it has none and links with nothing. Rows
@@ -58,10 +59,12 @@ CHUNK = 1 << 17
 #: Members of a centre that meet in one group; more are divided into blocks of this size.
 MEMBERS = 2000
 #: Bits of a shingle's hash by which sets are compared, and classes of the quick test before that.
-SET_BITS, PARITY_BITS = 56, 2048
+SET_BITS, PARITY_BITS = 48, 2048
 #: Signatures that a task gathers before it sends them.
 GATHERED = 1 << 20
 BAND_BITS, SEGMENT_BITS = 8, 8
+#: Bytes of a signature that are sent.
+KEY_BYTES = 7
 
 
 def band_tops(percent: int, limit: int = 1 << 31) -> np.ndarray:
@@ -188,16 +191,27 @@ def _key(held: np.ndarray, segment: np.ndarray, band: np.ndarray, scheme: Scheme
     return hashed | small << np.uint64(BAND_BITS) | band.astype(np.uint64)
 
 
+def short(keys: np.ndarray) -> np.ndarray:
+    """Keys without their highest byte, a row of bytes each."""
+    return np.ascontiguousarray(keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES])
+
+
+def long(data: bytes) -> np.ndarray:
+    wide = np.zeros((len(data) // KEY_BYTES, 8), np.uint8)
+    wide[:, :KEY_BYTES] = np.frombuffer(data, np.uint8).reshape(len(wide), KEY_BYTES)
+    return wide.view("<u8").ravel()
+
+
 def _send(width: int, percent: int, owners: int):
     def out(parts: list) -> pa.RecordBatch:
-        keys, docs, sizes = (np.concatenate(x) for x in zip(*parts))
-        owner = owner_of(keys, owners)
+        keys, docs = (np.concatenate(x) for x in zip(*parts))
+        owner = owner_of(keys << np.uint64(8), owners)
         order = np.argsort(owner, kind="stable")  # documents stay in order, so their keys compress
         ends = np.cumsum(np.bincount(owner, minlength=owners))
         cuts = [(o, order[a:b]) for o, (a, b) in enumerate(zip([0, *ends[:-1]], ends)) if b > a]
         return pa.RecordBatch.from_pydict({
             "owner": pa.array([o for o, _ in cuts], pa.int32()),
-            **{name: pa.array([column[c].tobytes() for _, c in cuts], pa.binary()) for name, column in (("keys", keys), ("docs", docs), ("sizes", sizes))},
+            **{name: pa.array([column[c].tobytes() for _, c in cuts], pa.binary()) for name, column in (("keys", short(keys)), ("docs", docs))},
         })
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -211,7 +225,7 @@ def _send(width: int, percent: int, owners: int):
                 again[order[1:]] = (one[order[1:]] == one[order[:-1]]) & (two[order[1:]] == two[order[:-1]])
                 sizes_left = np.where(again, 0, sizes)  # of equal sets the smallest document speaks for all
                 set_of, keys = signatures_of(scheme, sizes_left, hashes[~np.repeat(again, sizes)])
-                parts.append((keys, doc[some][set_of], sizes[set_of].astype(np.int32)))
+                parts.append((keys, doc[some][set_of]))
                 n += len(keys)
                 if n >= GATHERED:
                     yield out(parts)
@@ -224,25 +238,38 @@ def _send(width: int, percent: int, owners: int):
 
 def _lists(sent: pa.Table) -> pa.Table:
     """Of an owner's signatures those that more than one document has, once a document, with the number of documents."""
-    keys, docs, sizes = (np.concatenate([np.frombuffer(x.as_buffer(), kind) for x in sent[c]]) for c, kind in (("keys", np.uint64), ("docs", np.int64), ("sizes", np.int32)))
+    keys = np.concatenate([long(x) for x in sent["keys"].to_pylist()])
+    docs = np.concatenate([np.frombuffer(x, np.int64) for x in sent["docs"].to_pylist()])
     order = np.lexsort((docs, keys))
-    keys, docs, sizes = keys[order], docs[order], sizes[order]
+    keys, docs = keys[order], docs[order]
     new = np.concatenate([[True], keys[1:] != keys[:-1]])
     once = new | np.concatenate([[True], docs[1:] != docs[:-1]])
-    keys, docs, sizes, new = keys[once], docs[once], sizes[once], new[once]
+    keys, docs, new = keys[once], docs[once], new[once]
     length = np.diff(np.flatnonzero(np.append(new, True)))
     length = np.repeat(length, length)
     many = length > 1
-    return pa.table({"doc": docs[many], "n": sizes[many], "key": keys[many].view(np.int64), "cost": length[many].astype(np.int32)})
+    return pa.table({"doc": docs[many], "key": keys[many].view(np.int64), "cost": length[many].astype(np.int32)})
 
 
 def _allocate(percent: int):
-    """Which of the listed signatures of each document it looks up: the cheapest that are enough."""
+    """Which of the listed signatures of each set it looks up: the cheapest that are enough.
+
+    Sets that link differ in few segments, so they share the others. A set with fewer listed
+    segments than that in a band links with none there, and its signatures go.
+    """
 
-    def allocate(rows: pa.Table) -> pa.Table:
+    def allocate(rows: pa.Table, sets: pa.Table) -> pa.Table:
         scheme = Scheme(percent)
-        doc, n, cost = (rows[c].to_numpy().astype(np.int64) for c in ("doc", "n", "cost"))
-        key = rows["key"].to_numpy().view(np.uint64)
+        order = np.argsort(rows["doc"].to_numpy(), kind="stable")
+        listed_doc = rows["doc"].to_numpy()[order]
+        first, last = (np.searchsorted(listed_doc, sets["doc"].to_numpy(), side) for side in ("left", "right"))
+        where = order[np.repeat(first, last - first) + _ramp(last - first)]
+        if not len(where):
+            return pa.table({"key": np.zeros(0, np.int64), "node": np.zeros(0, np.int64), "probe": np.zeros(0, bool)})
+        doc = np.repeat(np.arange(sets.num_rows), last - first)
+        n = sets["n"].to_numpy()[doc]
+        cost = rows["cost"].to_numpy()[where].astype(np.int64)
+        key = rows["key"].to_numpy()[where].view(np.uint64)
         band = (key & np.uint64((1 << BAND_BITS) - 1)).astype(np.int64)
         segment = (key >> np.uint64(BAND_BITS) & np.uint64((1 << SEGMENT_BITS) - 1)).astype(np.int64)
         order = np.lexsort((cost, segment, band, doc))
@@ -268,8 +295,10 @@ def _allocate(percent: int):
         wanted = scheme.need(n[set_heads], of) - (scheme.segments[of] + scheme.deleted[of] - listed)
         taken = np.empty(len(owner), bool)
         taken[cheap] = before < wanted[owner[cheap]]
-        probe = taken[choice]
-        return pa.table({"doc": doc, "n": n, "key": key.view(np.int64), "probe": probe})
+        most = scheme.differing(np.minimum(n[set_heads], scheme.tops[of]))
+        enough = np.bincount(owner, minlength=len(set_heads)) >= scheme.segments[of] - most
+        probe, use = taken[choice], enough[set_of]
+        return pa.table({"key": key.view(np.int64)[use], "node": sets["node"].to_numpy()[doc][use], "probe": probe[use]})
 
     return allocate
 
@@ -388,14 +417,13 @@ def classes(df: DataFrame, key: str = "doc_id", text: str = "text", width: int =
     # Rows with equal sets are one node, the smallest document of them.
     nodes = meta.where("n > 0 and doc is not null").groupBy("one", "two").agg(F.min("doc").alias("node"))
     of = settled(meta.join(nodes, ["one", "two"], "left").select("doc", "n", F.when(F.col("doc").isNotNull(), F.coalesce("node", "doc")).alias("node")))
-    own = of.where("n > 0 and doc is not null").select("doc", "node").distinct()
+    own = of.where("n > 0 and doc is not null").select("doc", "node", "n").distinct()
 
     known = docs.where(F.col("doc").isNotNull())
-    sent = known.mapInArrow(_send(width, percent, buckets), "owner int, keys binary, docs binary, sizes binary")
-    listed = sent.groupBy("owner").applyInArrow(_lists, "doc long, n int, key long, cost int")
+    sent = known.mapInArrow(_send(width, percent, shuffle_partitions(spark)), "owner int, keys binary, docs binary")
+    listed = sent.groupBy("owner").applyInArrow(_lists, "doc long, key long, cost int")
     part = F.pmod(F.xxhash64("doc"), F.lit(buckets)).alias("part")
-    allocated = listed.groupBy(part).applyInArrow(_allocate(percent), "doc long, n long, key long, probe boolean")
-    keyed = allocated.join(own.withColumnRenamed("doc", "of"), F.col("doc") == F.col("of")).select("key", "node", "probe")
+    keyed = listed.groupBy(part).cogroup(own.groupBy(part)).applyInArrow(_allocate(percent), "key long, node long, probe boolean")
     by_key = F.pmod(F.xxhash64("key"), F.lit(buckets)).alias("bucket")
     members = keyed.groupBy(by_key).applyInArrow(_centres, "centre long, node long, probe boolean").groupBy("centre", "node").agg(F.max("probe").alias("probe"))
     links = _links(known, settled(members), width, percent)
