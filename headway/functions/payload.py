@@ -66,12 +66,8 @@ def last_value_of(pairs: Column, key: str) -> Column:
 
 
 def pairs_to_map(pairs: Column) -> Column:
-    """Array of (key, value) structs to a map; the last of equal keys wins."""
-    last_ones = F.filter(
-        pairs,
-        lambda p, i: ~F.exists(F.slice(pairs, i + 2, F.size(pairs)), lambda later: later["key"] == p["key"]),
-    )
-    return F.map_from_entries(last_ones)
+    """Array of (key, value) structs to a map; the last of equal keys wins (see ``session.RUNTIME``)."""
+    return F.map_from_entries(pairs)
 
 
 def int_of(pairs: Column, key: str) -> Column:

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from headway.constants import FALLBACK_LIMIT, RATE_FLOOR
 
+DAY = 86_400
+
 
 def windowed_counts(
     requests: DataFrame, labels: list[str], measures: dict[str, Column], ts: str,
@@ -50,19 +52,25 @@ def fallback_ratio(
 def lasting(series: DataFrame, labels: list[str], condition: Column, step_seconds: int, min_steps: int) -> DataFrame:
     """Runs of consecutive windows where a condition holds, at least ``min_steps`` long.
 
-    A window without traffic has no row and ends a run. The input is one row per label
-    and window, so a group grows with time covered and not with traffic.
+    A window without traffic has no row and ends a run. Runs are found within each day; only
+    they, not their windows, meet in one group to be joined across midnight.
     """
-    step = F.floor(F.unix_seconds(F.col("window_start").cast("timestamp")) / F.lit(step_seconds))
-    breached = series.filter(condition).withColumn("_step", step)
-    position = F.row_number().over(W.partitionBy(*labels).orderBy("_step"))
-    runs = breached.withColumn("_run", F.col("_step") - position)
-    return (
-        runs.groupBy(*labels, "_run")
+    seconds = F.unix_seconds(F.col("window_start").cast("timestamp"))
+    breached = series.filter(condition).withColumns({"_step": F.floor(seconds / F.lit(step_seconds)), "_day": F.floor(seconds / F.lit(DAY))})
+    position = F.row_number().over(W.partitionBy(*labels, "_day").orderBy("_step"))
+    runs = (
+        breached.withColumn("_run", F.col("_step") - position).groupBy(*labels, "_day", "_run")
         .agg(
             F.min("window_start").alias("since"), F.max("window_start").alias("until"),
-            F.count("*").alias("steps"),
+            F.min("_step").alias("_first"), F.max("_step").alias("_last"), F.count("*").alias("steps"),
         )
+    )
+    order = W.partitionBy(*labels).orderBy("_first")
+    opens = F.coalesce(F.col("_first") != F.lag("_last").over(order) + 1, F.lit(True)).cast("int")
+    joined = runs.withColumn("_opens", opens).withColumn("_run", F.sum("_opens").over(order))
+    return (
+        joined.groupBy(*labels, "_run")
+        .agg(F.min("since").alias("since"), F.max("until").alias("until"), F.sum("steps").alias("steps"))
         .filter(F.col("steps") >= min_steps)
         .drop("_run")
     )

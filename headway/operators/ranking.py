@@ -18,6 +18,11 @@ def _head_per_group(df: DataFrame, group: list[str], order: list[Column], n: int
     return ranked.filter(F.col("_rank") <= n).drop("_rank")
 
 
+def remaining(df: DataFrame, *used: str) -> list[str]:
+    """All other columns that can be ordered, in a fixed order: a tiebreak that leaves only equal rows tied."""
+    return sorted(f.name for f in df.schema if f.name not in used and f.dataType.typeName() not in ("map", "variant"))
+
+
 def latest_per_key(df: DataFrame, keys: list[str], order: str, tiebreak: list[str]) -> DataFrame:
     """Newest row per key.
 

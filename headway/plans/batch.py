@@ -20,7 +20,8 @@ def landing_to_hourly(
     """Landed stations to raw, curated and hourly tables by day; returns rows written.
 
     Without ``days`` the tables are replaced. With a range of days (the last one
-    excluded) only those days are read and replaced.
+    excluded) only those days are read and replaced; a day that has no rows any more goes.
+    Landed files divided by ``landed_date`` are read for the days of the range only.
     """
     def rows(df: DataFrame, date_column: str | None = None) -> DataFrame:
         return filters.in_interval(df, "event_time", *days, date_column) if days else df
@@ -28,7 +29,7 @@ def landing_to_hourly(
     def write(df: DataFrame, layer: str, gather: bool) -> int:
         def into(dated: DataFrame) -> None:
             if days:
-                tables.replace_days(dated, f"{root}/{layer}", gather=gather)
+                tables.replace_days(dated, f"{root}/{layer}", days, gather=gather)
             else:
                 tables.replace(dated, f"{root}/{layer}", partition_by=["event_date"], gather=gather)
 
@@ -37,7 +38,10 @@ def landing_to_hourly(
     def layer(name: str) -> DataFrame:
         return rows(read_layer(spark, f"{root}/{name}"), "event_date").drop("event_date")
 
-    written = {"raw": write(tables.with_date(rows(read_landing(spark, landing)), "event_time"), "raw", True)}
+    landed = read_landing(spark, landing)
+    by_day = "landed_date" if "landed_date" in landed.columns else None
+    fresh = rows(landed, by_day).drop("landed_date")
+    written = {"raw": write(tables.with_date(fresh, "event_time"), "raw", True)}
     # Raw files hold one day each, so curated rows are in place without a shuffle.
     curated = projections.curate_stations(layer("raw"), as_of)
     written["curated"] = write(tables.with_date(curated, "event_time"), "curated", False)

@@ -8,18 +8,23 @@ from headway.constants import M_PER_DEGREE
 from headway.operators import filters, projections, ranking
 
 
-def line_status(latest: DataFrame, line_id: str | None = None, tiebreak: tuple[str, ...] = ("status_severity",)) -> DataFrame:
-    """Present status of all lines, or of one; the key filter goes below the ranking."""
-    rows = ranking.latest_per_key(latest, ["line_id"], "last_updated", list(tiebreak))
+def line_status(latest: DataFrame, line_id: str | None = None, tiebreak: tuple[str, ...] | None = None) -> DataFrame:
+    """Present status of all lines, or of one; the key filter goes below the ranking.
+
+    Without a tiebreak all other columns break ties.
+    """
+    ties = list(tiebreak) if tiebreak else ranking.remaining(latest, "line_id", "last_updated")
+    rows = ranking.latest_per_key(latest, ["line_id"], "last_updated", ties)
     if line_id is not None:
         rows = filters.look_up(rows, "line_id", line_id)
     return projections.status_document(rows)
 
 
-def line_history(raw: DataFrame, line_id: str, as_of: str, tiebreak: tuple[str, ...] = ()) -> DataFrame:
+def line_history(raw: DataFrame, line_id: str, as_of: str, tiebreak: tuple[str, ...] | None = None) -> DataFrame:
     """A line's status over the last 24 hours, newest first."""
     rows = filters.look_up(raw, "line_id", line_id)
-    return ranking.history(rows, "event_time", as_of, "24 hours", tiebreak)
+    ties = tiebreak or tuple(ranking.remaining(rows, "event_time"))
+    return ranking.history(rows, "event_time", as_of, "24 hours", ties)
 
 
 def stations_near(curated: DataFrame, lat: float, lon: float, radius_km: float = 0.5) -> DataFrame:
@@ -41,7 +46,8 @@ def any_stations(curated: DataFrame, n: int = 50) -> DataFrame:
 
 def station_hourly(hourly: DataFrame, station_id: str, n: int = 48) -> DataFrame:
     """The latest hours of a station."""
-    return ranking.recent_for_key(hourly, "bike_point_id", station_id, "window_start", [], n)
+    ties = ranking.remaining(hourly, "bike_point_id", "window_start")
+    return ranking.recent_for_key(hourly, "bike_point_id", station_id, "window_start", ties, n)
 
 
 def stop_arrivals(arrivals: DataFrame, stop_id: str, n: int = 20) -> DataFrame:

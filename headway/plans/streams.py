@@ -18,7 +18,7 @@ from headway.sinks.tables import make_folder, with_date
 from headway.sinks.topics import to_changelog
 from headway.sources.readers import stream_layer
 from headway.streaming.jobs import (
-    CHECKPOINT_PACE, DISCOVERY, append_files, fan_out, hourly_stream, latest_stream, send, start_once, to_files, to_topic,
+    CHECKPOINT_PACE, DISCOVERY, append_files, hourly_stream, latest_stream, send, start_once,
 )
 
 # Topic -> (raw table, payload fields).
@@ -45,25 +45,30 @@ def ingest(
 
 def curate_station_stream(
     raw: DataFrame, root: str, checkpoint: str, trigger: str | None = None, as_of: str | None = None,
-    topic: dict[str, str] | None = None,
+    partition_by: list[str] = BY_DAY,
 ) -> DataStreamWriter:
-    """Raw stations to the curated table and, keyed by station, to the hot topic.
+    """Raw stations to the curated table, exactly once.
 
-    ``topic`` holds broker options; without them the topic is a folder of files.
+    Streams that read the table see finished batches only, and each row once, also when a batch
+    is repeated.
     """
+    dated = with_date(projections.curate_stations(raw, as_of), "event_time")
+    return append_files(dated, f"{root}/stations", checkpoint, trigger, partition_by=partition_by)
 
-    def curated(batch: DataFrame) -> DataFrame:
-        return with_date(projections.curate_stations(batch, as_of), "event_time")
 
-    def hot(batch: DataFrame) -> DataFrame:
-        rows = projections.hot_stations(projections.curate_stations(batch, as_of))
-        return to_changelog(rows, ["bike_point_id"], rows.columns)
+def station_topic(
+    curated: DataFrame, root: str, checkpoint: str, trigger: str | None = None, topic: dict[str, str] | None = None
+) -> DataStreamWriter:
+    """Curated stations, keyed by station, to the hot topic.
 
-    sinks = {
-        "table": to_files(curated, f"{root}/stations", BY_DAY),
-        "topic": to_topic(hot, **topic) if topic else to_files(hot, f"{root}/stations_topic"),
-    }
-    return fan_out(raw, sinks, checkpoint, trigger)
+    Read from the curated table, so rows are curated once. ``topic`` holds broker options;
+    without them the topic is a folder of files.
+    """
+    rows = projections.hot_stations(curated)
+    changelog = to_changelog(rows, ["bike_point_id"], rows.columns)
+    if topic:
+        return send(changelog, checkpoint, trigger, **topic)
+    return send(changelog, checkpoint, trigger, "parquet", path=f"{root}/stations_topic")
 
 
 def curate_arrival_stream(
@@ -123,6 +128,7 @@ def start_all(
     curated_stations = table("curated/stations", RAW_SCHEMAS["curated_stations"])
     later = {
         "curated-stations": curate_station_stream(stations, curated, place("stations"), discover, as_of),
+        "station-topic": station_topic(curated_stations, curated, place("station_topic"), discover),
         "curated-arrivals": curate_arrival_stream(arrivals, curated, place("arrivals"), discover, as_of),
         "station-hourly": station_analytics(curated_stations, analytics, place("hourly"), discover),
         "line-latest": line_analytics(lines, analytics, place("latest"), discover),

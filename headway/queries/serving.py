@@ -21,8 +21,9 @@ latest AS (SELECT * FROM curated QUALIFY row_number() OVER (PARTITION BY bike_po
 
 
 def latest_stations(t: Tables) -> DataFrame:
-    """Latest curated row per station; event times are unique, ties go to the larger count."""
-    return ranking.latest_per_key(curated_stations(t), ["bike_point_id"], "event_time", ["nb_bikes", "nb_docks"])
+    """Latest curated row per station; all other columns break ties."""
+    curated = curated_stations(t)
+    return ranking.latest_per_key(curated, ["bike_point_id"], "event_time", ranking.remaining(curated, "bike_point_id", "event_time"))
 
 
 @query(
@@ -179,9 +180,15 @@ def serve_within(t: Tables) -> DataFrame:
     return api.stations_within(b.stations(t.events), 51.6, -0.4, 5000)
 
 
-@query("sample_rows")
+@query(
+    "sample_rows",
+    f"WITH {b.CURATED_SQL} SELECT least(50, count(*)) AS sampled, least(50, count(*)) AS found FROM curated",
+)
 def sample_rows(t: Tables) -> DataFrame:
-    return api.any_stations(curated_stations(t))
+    """Any 50 rows: how many they are, and how many of them the curated table has."""
+    curated, keys = curated_stations(t), ["bike_point_id", "event_time"]
+    known = curated.select(*keys).distinct().withColumn("known", F.lit(1))
+    return ranking.sample_rows(curated).join(known, keys, "left").agg(F.count("*").alias("sampled"), F.count("known").alias("found"))
 
 
 @query(
@@ -206,16 +213,14 @@ def dashboard_extremes(t: Tables) -> DataFrame:
     "dashboard_status",
     f"""
     WITH {CUSTOMER_STATUS_SQL}
-    SELECT c_custkey AS id, c_name AS name, c_nationkey AS line_order, status_severity,
+    SELECT p_partkey AS id, p_name AS name, p_size AS line_order, status_severity,
            CASE WHEN status_severity IS NULL THEN 'unknown' WHEN status_severity = 10 THEN 'good'
                 WHEN status_severity = 9 THEN 'minor' WHEN status_severity >= 6 THEN 'major' ELSE 'severe' END AS tone
-    FROM customer LEFT JOIN s ON c_custkey = line_id
+    FROM part LEFT JOIN s ON p_partkey = line_id
     """,
 )
 def dashboard_status(t: Tables) -> DataFrame:
-    catalogue = t.customer.select(
-        F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_nationkey").alias("order")
-    )
+    catalogue = t.part.select(F.col("p_partkey").alias("id"), F.col("p_name").alias("name"), F.col("p_size").alias("order"))
     board = dashboard.line_board(catalogue, customer_status(t))
     return board.select("id", "name", F.col("order").alias("line_order"), "status_severity", "tone")
 

@@ -147,11 +147,14 @@ def upsert_latest(t: Tables) -> DataFrame:
     return tables.upsert_latest(first, overlapping, keys, order, tiebreak)
 
 
-def _land(t: Tables) -> str:
-    """Stations as a landing job leaves them: times as ISO text."""
+def _land(t: Tables, without: str | None = None) -> str:
+    """Stations as a landing job leaves them, by day and with times as ISO text."""
     iso = {c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'") for c in ("event_time", "ingested_at")}
     path = run_dir(t.spark, "landing")
-    b.stations(t.events).drop("event_id").withColumns(iso).write.parquet(path)
+    rows = b.stations(t.events).drop("event_id").withColumn("landed_date", F.col("event_time").cast("date"))
+    if without:
+        rows = rows.filter(F.col("landed_date") != F.lit(without).cast("date"))
+    rows.withColumns(iso).hint("rebalance", F.col("landed_date")).write.partitionBy("landed_date").parquet(path)
     return path
 
 
@@ -165,13 +168,15 @@ def landing_to_hourly(t: Tables) -> DataFrame:
 @query(
     "backfill_range",
     f"""WITH {HOURLY_SQL} {HOURLY_ROUNDED_OUT} FROM hourly
-    WHERE window_start >= TIMESTAMP '2024-01-10' AND window_start < TIMESTAMP '2024-01-15'""",
+    WHERE window_start >= TIMESTAMP '2024-01-10' AND window_start < TIMESTAMP '2024-01-15'
+      AND NOT (window_start >= TIMESTAMP '2024-01-11' AND window_start < TIMESTAMP '2024-01-12')""",
 )
 def backfill_range(t: Tables) -> DataFrame:
-    """Two ranges that overlap; the days in both are replaced."""
+    """Two ranges that overlap; the days in both are replaced, and a day landed again without rows goes."""
     root, landing = run_dir(t.spark, "backfill"), _land(t)
-    for first, end in (("2024-01-10", "2024-01-13"), ("2024-01-12", "2024-01-15")):
-        batch.backfill(t.spark, landing, root, first, end, b.AS_OF)
+    again = _land(t, without="2024-01-11")
+    for folder, first, end in ((landing, "2024-01-10", "2024-01-13"), (landing, "2024-01-12", "2024-01-15"), (again, "2024-01-10", "2024-01-13")):
+        batch.backfill(t.spark, folder, root, first, end, b.AS_OF)
     return t.spark.read.parquet(f"{root}/hourly").drop("event_date")
 
 
@@ -188,21 +193,45 @@ def layer_counts(t: Tables) -> DataFrame:
     return small_table(t.spark, list(batch.LAYERS), [tuple(counts[layer] for layer in batch.LAYERS)])
 
 
-@query(
-    "interval_batch",
-    f"""WITH {b.BATCH_SQL} {LOCATED_SQL} FROM enriched
-    WHERE event_time >= TIMESTAMP '{b.WEEK[0]}' AND event_time < TIMESTAMP '{b.WEEK[1]}' GROUP BY ALL""",
-)
+def _interval_tables(t: Tables, root: str, arrivals: DataFrame | None = None) -> None:
+    lines = b.lines(t.events).withColumnRenamed("status_description", "status")
+    batch.run_interval(b.station_batch(t.events), lines, b.arrivals(t.lineitem) if arrivals is None else arrivals, root, *b.WEEK)
+
+
+IN_WEEK = f"event_time >= TIMESTAMP '{b.WEEK[0]}' AND event_time < TIMESTAMP '{b.WEEK[1]}'"
+
+
+@query("interval_batch", f"""WITH {b.BATCH_SQL} {LOCATED_SQL} FROM enriched WHERE {IN_WEEK} GROUP BY ALL""")
 def interval_batch(t: Tables) -> DataFrame:
     """One week, run twice: the interval is replaced, so nothing doubles."""
-    lines = b.lines(t.events).withColumnRenamed("status_description", "status")
     root = run_dir(t.spark, "interval")
     for _ in range(2):
-        batch.run_interval(b.station_batch(t.events), lines, b.arrivals(t.lineitem), root, *b.WEEK)
+        _interval_tables(t, root)
     hourly = t.spark.read.parquet(f"{root}/hourly").drop("interval_start")
     return rounded(hourly, "avg_occupancy_pct", "avg_available_bikes")
 
 
+@query(
+    "interval_rerun",
+    f"""
+    WITH {b.BATCH_SQL}
+    SELECT 'stations' AS table_name, count(*) AS row_count FROM enriched WHERE {IN_WEEK}
+    UNION ALL SELECT 'lines', count(*) FROM events WHERE ts >= TIMESTAMP '{b.WEEK[0]}' AND ts < TIMESTAMP '{b.WEEK[1]}'
+    UNION ALL SELECT 'arrivals', 0
+    """,
+)
+def interval_rerun(t: Tables) -> DataFrame:
+    """The week again, now without arrivals: theirs are gone, the other tables are as before."""
+    root = run_dir(t.spark, "interval")
+    _interval_tables(t, root)
+    _interval_tables(t, root, b.arrivals(t.lineitem).filter("false"))
+    counts = [
+        t.spark.read.parquet(f"{root}/{name}").agg(F.count("*").alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
+        for name in ("stations", "lines", "arrivals")
+    ]
+    return counts[0].union(counts[1]).union(counts[2])
+
+
 @query("smoke_roundtrip", "SELECT count(*) AS written, count(*) AS read_back FROM orders")
 def smoke_roundtrip(t: Tables) -> DataFrame:
     return batch.smoke(t.spark, t.orders, run_dir(t.spark, "smoke"))

@@ -90,9 +90,8 @@ def network_totals(t: Tables) -> DataFrame:
 
 
 def customer_status(t: Tables) -> DataFrame:
-    """Each customer's newest order since 2001 as a line status."""
-    since = filters.in_interval(t.orders, "o_orderdate", "2001-01-01 00:00:00")
-    newest = ranking.latest_per_key(since, ["o_custkey"], "o_orderdate", ["o_orderkey"])
+    """Each customer's newest order as a line status; the catalogue of parts has more ids than there are customers."""
+    newest = ranking.latest_per_key(t.orders, ["o_custkey"], "o_orderdate", ["o_orderkey"])
     severity = F.when(F.col("o_orderpriority") == "1-URGENT", 10).otherwise(F.substring("o_orderpriority", 1, 1).cast("int") + 4)
     return newest.select(F.col("o_custkey").alias("line_id"), severity.alias("status_severity"))
 
@@ -101,7 +100,7 @@ CUSTOMER_STATUS_SQL = """
 s AS (
   SELECT o_custkey AS line_id,
          CASE WHEN o_orderpriority = '1-URGENT' THEN 10 ELSE CAST(o_orderpriority[1] AS INTEGER) + 4 END AS status_severity
-  FROM orders WHERE o_orderdate >= TIMESTAMP '2001-01-01'
+  FROM orders
   QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1)"""
 
 
@@ -112,11 +111,11 @@ s AS (
     SELECT count(*) FILTER (WHERE status_severity = 10) AS good,
            count(*) FILTER (WHERE line_id IS NOT NULL AND status_severity <> 10) AS issues,
            count(*) FILTER (WHERE line_id IS NULL) AS unknown
-    FROM customer LEFT JOIN s ON c_custkey = line_id
+    FROM part LEFT JOIN s ON p_partkey = line_id
     """,
 )
 def status_rollup(t: Tables) -> DataFrame:
-    merged = joins.with_catalogue(t.customer.select("c_custkey"), customer_status(t), "c_custkey", "line_id")
+    merged = joins.with_catalogue(t.part.select("p_partkey"), customer_status(t), "p_partkey", "line_id")
     return aggregates.status_rollup(merged, "line_id")
 
 
@@ -175,21 +174,20 @@ def gates_of_curated(t: Tables) -> DataFrame:
     return batch.gate_table(curated_stations(t), "bike_point_id", "event_time", b.AS_OF)
 
 
-SIX_HOURS = 6 * 3600
+_SLIDING_SQL = f"""{b.REQUESTS_SQL},
+panes AS (SELECT endpoint, source, date_trunc('minute', event_time) - to_minutes(unnest([0, 1, 2, 3, 4])) AS window_start FROM requests)"""
 
-_RATIO_SQL = f"""{b.REQUESTS_SQL},
+_RATIO_SQL = f"""{_SLIDING_SQL},
 ratios AS (
-  SELECT endpoint, time_bucket(INTERVAL 6 HOUR, event_time, TIMESTAMP '1970-01-01') AS window_start,
-         count(*) FILTER (WHERE source = 'fallback') AS fallbacks, count(*) AS requests,
-         (count(*) FILTER (WHERE source = 'fallback') / CAST({SIX_HOURS} AS DOUBLE))
-           / greatest(count(*) / CAST({SIX_HOURS} AS DOUBLE), CAST(0.001 AS DOUBLE)) AS ratio
-  FROM requests GROUP BY ALL)"""
+  SELECT endpoint, window_start, count(*) FILTER (WHERE source = 'fallback') AS fallbacks, count(*) AS requests,
+         (count(*) FILTER (WHERE source = 'fallback') / CAST(300 AS DOUBLE))
+           / greatest(count(*) / CAST(300 AS DOUBLE), CAST(0.001 AS DOUBLE)) AS ratio
+  FROM panes GROUP BY ALL)"""
 
 
 def _ratios(t: Tables) -> DataFrame:
-    return monitoring.fallback_ratio(
-        b.requests(t.events), ["endpoint"], F.col("source") == "fallback", "event_time", "6 hours", "6 hours", float(SIX_HOURS)
-    )
+    """Five minutes wide, every minute."""
+    return monitoring.fallback_ratio(b.requests(t.events), ["endpoint"], F.col("source") == "fallback", "event_time")
 
 
 @query(
@@ -212,7 +210,7 @@ def request_rate(t: Tables) -> DataFrame:
     "fallback_ratio",
     f"""
     WITH {_RATIO_SQL}
-    SELECT endpoint, window_start, window_start + INTERVAL 6 HOUR AS window_end,
+    SELECT endpoint, window_start, window_start + INTERVAL 5 MINUTE AS window_end,
            fallbacks, requests, round(ratio, 6) AS ratio FROM ratios
     """,
 )
@@ -224,34 +222,30 @@ def fallback_ratio(t: Tables) -> DataFrame:
     "sustained_breach",
     f"""
     WITH {_RATIO_SQL},
-    n AS (SELECT endpoint, window_start, epoch(window_start) / {SIX_HOURS}
+    n AS (SELECT endpoint, window_start, epoch(window_start) / 60
                  - row_number() OVER (PARTITION BY endpoint ORDER BY window_start) AS run
           FROM ratios WHERE ratio > CAST(0.2 AS DOUBLE))
     SELECT endpoint, min(window_start) AS since, max(window_start) AS until, count(*) AS steps
-    FROM n GROUP BY endpoint, run HAVING count(*) >= 2
+    FROM n GROUP BY endpoint, run HAVING count(*) >= 10
     """,
 )
 def sustained_breach(t: Tables) -> DataFrame:
-    return monitoring.sustained_fallback(_ratios(t), ["endpoint"], step_seconds=SIX_HOURS, min_steps=2)
+    return monitoring.sustained_fallback(_ratios(t), ["endpoint"])
 
 
 @query(
     "silent_outage",
     f"""
-    WITH {b.REQUESTS_SQL},
-    w AS (SELECT date_trunc('hour', event_time) AS window_start,
-                 count(*) FILTER (WHERE hour(event_time) NOT BETWEEN 2 AND 4) AS good
-          FROM requests GROUP BY ALL),
-    n AS (SELECT window_start, epoch(window_start) / 3600 - row_number() OVER (ORDER BY window_start) AS run
-          FROM w WHERE good = 0)
+    WITH {_SLIDING_SQL},
+    w AS (SELECT window_start, count(*) FILTER (WHERE source = 'primary') AS good FROM panes GROUP BY ALL),
+    n AS (SELECT window_start, epoch(window_start) / 60 - row_number() OVER (ORDER BY window_start) AS run FROM w WHERE good = 0)
     SELECT 'all' AS scope, min(window_start) AS since, max(window_start) AS until, count(*) AS steps
-    FROM n GROUP BY run HAVING count(*) >= 2
+    FROM n GROUP BY run HAVING count(*) >= 15
     """,
 )
 def silent_outage(t: Tables) -> DataFrame:
-    """Requests from 02:00 to 05:00 count as answered by the fallback only."""
-    good = ~F.hour("event_time").between(2, 4)
-    return monitoring.silent_outage(b.requests(t.events), good, "event_time", "1 hour", "1 hour", 3600, 2)
+    """Traffic that only the fallback answers, for a quarter of an hour."""
+    return monitoring.silent_outage(b.requests(t.events), F.col("source") == "primary", "event_time")
 
 
 @query(
@@ -267,7 +261,6 @@ def silent_outage(t: Tables) -> DataFrame:
 def mtbf_by_key(t: Tables) -> DataFrame:
     gaps = sequences.mean_gap_between_starts(
         b.lines(t.events), ["line_id"], "event_time", ["event_id"], F.col("status_severity") != 10,
-        sequences.slice_seconds(t.events, "ts"),
     )
     return gaps.withColumn("mean_seconds_between", F.round("mean_seconds_between", 3))
 
@@ -297,8 +290,7 @@ def churn_by_area(t: Tables) -> DataFrame:
     readings = b.typed(t.events).select(
         "user_id", "ts", "event_id", F.col("event_type").alias("area"), b.k().alias("bikes")
     )
-    hour, width = hour_of(F.col("ts")), sequences.slice_seconds(t.events, "ts")
-    return sequences.churn(readings, "user_id", "area", hour, "bikes", "ts", ["event_id"], width)
+    return sequences.churn(readings, "user_id", "area", hour_of(F.col("ts")), "bikes", "ts", ["event_id"])
 
 
 @query(
@@ -313,8 +305,7 @@ def churn_by_area(t: Tables) -> DataFrame:
 def arrival_drift(t: Tables) -> DataFrame:
     """From each view to the user's next purchase, as from a prediction to the arrival."""
     rows = t.events.filter(F.col("event_type").isin("view", "purchase"))
-    width = sequences.slice_seconds(t.events, "ts")
-    timed = sequences.with_next_time(rows, ["user_id"], "ts", F.col("event_type") == "purchase", width)
+    timed = sequences.with_next_time(rows, ["user_id"], "ts", F.col("event_type") == "purchase")
     drift = (F.unix_micros(F.col("next_time").cast("timestamp")) - F.unix_micros(F.col("ts").cast("timestamp"))) / F.lit(1e6)
     views = timed.filter(F.col("event_type") == "view")
     return views.select("event_id", "ts", F.col("next_time").alias("observed"), F.round(drift, 3).alias("drift_seconds"))

@@ -19,6 +19,7 @@ from headway.sinks import tables
 from headway.sinks.topics import publish
 from headway.sources.readers import read_topic, stream_layer, topic_source
 from headway.streaming.jobs import append_files, finish, hourly_stream, latest_stream
+from headway.streaming.progress import ProgressLog, health
 
 CLOSED_SQL = "(SELECT max(event_time) - INTERVAL 5 MINUTE FROM curated)"
 
@@ -78,6 +79,49 @@ def stream_hourly(t: Tables) -> DataFrame:
     return rounded(t.spark.read.parquet(out), *HOURLY_MEANS)
 
 
+def _two_runs(t: Tables, first: DataFrame, second: DataFrame) -> DataFrame:
+    """Hourly windows of a stream that is stopped after one part of its input and started again with the other."""
+    source, out, checkpoint = (run_dir(t.spark, name) for name in ("feed", "hourly", "checkpoint"))
+    for part in (first, second):
+        part.write.mode("append").parquet(source)
+        events = t.spark.readStream.schema(first.schema).parquet(source)
+        finish(append_files(hourly_stream(curate_stations(b.stations(events), b.AS_OF)), out, checkpoint))
+    return rounded(t.spark.read.parquet(out), *HOURLY_MEANS)
+
+
+RESTART = "2024-01-15 00:00:00"
+
+
+@query("stream_resume", f"WITH {HOURLY_SQL} {HOURLY_OUT} FROM hourly WHERE window_end <= {CLOSED_SQL}")
+def stream_resume(t: Tables) -> DataFrame:
+    """Stopped in between and started again: as if it had never stopped."""
+    later = F.col("ts") >= F.lit(RESTART).cast("timestamp_ntz")
+    return _two_runs(t, t.events.filter(~later), t.events.filter(later))
+
+
+@query(
+    "stream_late_rows",
+    f"WITH {HOURLY_SQL} {HOURLY_OUT} FROM hourly WHERE window_start >= TIMESTAMP '{RESTART}' AND window_end <= {CLOSED_SQL}",
+)
+def stream_late_rows(t: Tables) -> DataFrame:
+    """Rows that come when the watermark has passed their windows change nothing."""
+    later = F.col("ts") >= F.lit(RESTART).cast("timestamp_ntz")
+    return _two_runs(t, t.events.filter(later), t.events.filter(~later))
+
+
+@query("stream_health", "SELECT 'copy' AS name, CAST(0 AS BIGINT) AS failed, count(*) AS rows, CAST(0 AS BIGINT) AS late_rows FROM events")
+def stream_health(t: Tables) -> DataFrame:
+    """Progress records of a stream, appended to a table while it runs."""
+    log = ProgressLog(t.spark, run_dir(t.spark, "progress"), chunk=1)
+    t.spark.streams.addListener(log)
+    try:
+        finish(append_files(t.stream("events"), run_dir(t.spark, "copy"), run_dir(t.spark, "checkpoint")).queryName("copy"))
+        records = log.table(wait=60)
+    finally:
+        t.spark.streams.removeListener(log)
+    return health(records).select("name", "failed", "rows", "late_rows")
+
+
 @query(
     "stream_latest",
     "SELECT * FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1",
@@ -99,9 +143,11 @@ def stream_latest(t: Tables) -> DataFrame:
 def stream_fan_out(t: Tables) -> DataFrame:
     """The curated table and the keyed topic hold the same stations."""
     root = run_dir(t.spark, "curated")
-    finish(streams.curate_station_stream(b.stations(t.stream("events")), root, run_dir(t.spark, "checkpoint"), as_of=b.AS_OF))
-    table = tables.read_batches(t.spark, f"{root}/stations").select(F.lit("table").alias("sink"), "bike_point_id", "nb_bikes")
-    topic = tables.read_batches(t.spark, f"{root}/stations_topic").select(
+    finish(streams.curate_station_stream(b.stations(t.stream("events")), root, run_dir(t.spark, "checkpoint"), as_of=b.AS_OF, partition_by=[]))
+    stored = t.spark.read.parquet(f"{root}/stations")
+    finish(streams.station_topic(stream_layer(t.spark, f"{root}/stations", stored.schema), root, run_dir(t.spark, "checkpoint")))
+    table = stored.select(F.lit("table").alias("sink"), "bike_point_id", "nb_bikes")
+    topic = t.spark.read.parquet(f"{root}/stations_topic").select(
         F.lit("topic").alias("sink"), F.get_json_object("key", "$.bike_point_id").alias("bike_point_id"),
         F.get_json_object("value", "$.nb_bikes").cast("int").alias("nb_bikes"),
     )

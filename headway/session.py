@@ -14,6 +14,8 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 RUNTIME = {
     # Times are stored without a zone; casts to and from zoned ones must not move them.
     "spark.sql.session.timeZone": "UTC",
+    # Key and value lists may repeat a key; the last one counts.
+    "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
     # Streaming state grows with the number of keys, so it stays off the heap.
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
 }
@@ -47,13 +49,13 @@ def prepare(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
-    Only a local-mode session without ``spark.checkpoint.dir`` gets a temporary folder.
+    Only a session that runs in one process (``local[...]``) and is without ``spark.checkpoint.dir`` gets a temporary folder.
     """
     global _local_root
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not (spark.sparkContext.master == "local" or spark.sparkContext.master.startswith("local[")):
         raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
     if _local_root is None or not os.path.isdir(_local_root):
         _local_root = tempfile.mkdtemp(prefix="headway-")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -40,7 +41,7 @@ def replace(
     """Create or replace a table from a query.
 
     A path is written beside the old one and swapped in when complete, so the query may
-    read the table it replaces and a failed write leaves the old one.
+    read the table it replaces, and a failed write or a failed swap leaves the old one.
     """
     writer = _writer(df, fmt, partition_by or [], gather)
     if "/" not in table:
@@ -58,11 +59,28 @@ def _files(spark: SparkSession, path: str):
     return located.getFileSystem(spark._jsc.hadoopConfiguration()), located
 
 
-def _swap(spark: SparkSession, fresh: str, path: str) -> None:
+def _swap(spark: SparkSession, fresh: str | None, path: str) -> None:
+    """Put a complete folder in place of another; without one, take the other away.
+
+    The old folder is moved aside first and moved back should the new one not arrive, so
+    there is always one of the two.
+    """
     files, target = _files(spark, path)
-    files.delete(target, True)
-    if not files.rename(_files(spark, fresh)[1], target):
+    parent, name = path.rstrip("/").rsplit("/", 1)
+    aside = _files(spark, f"{parent}/_old-{uuid.uuid4().hex}-{name}")[1]
+    had = files.exists(target)
+    if had and not files.rename(target, aside):
+        raise OSError(f"{path} could not be moved aside")
+    moved = False
+    try:
+        moved = fresh is None or files.rename(_files(spark, fresh)[1], target)
+    finally:
+        if not moved and had:
+            files.rename(aside, target)
+    if not moved:
         raise OSError(f"{fresh} is complete but could not be moved to {path}")
+    if had:
+        files.delete(aside, True)
 
 
 def make_folder(spark: SparkSession, path: str) -> None:
@@ -71,23 +89,32 @@ def make_folder(spark: SparkSession, path: str) -> None:
     files.mkdirs(target)
 
 
-def replace_days(df: DataFrame, path: str, fmt: str = "parquet", gather: bool = True) -> None:
-    """Replace the days that occur in ``event_date``, and no others.
+def replace_days(df: DataFrame, path: str, days: tuple[str, str], fmt: str = "parquet", gather: bool = True) -> None:
+    """Replace the days of a range (the last one excluded) by the rows of ``df``, and no others.
 
-    The rows must cover those days completely.
+    A day for which there are no rows is gone afterwards. The new days are written beside
+    the table and moved in one by one when all are complete.
     """
-    writer = _writer(df, fmt, ["event_date"], gather).mode("overwrite")
-    writer.option("partitionOverwriteMode", "dynamic").save(path)
+    first, end = (date.fromisoformat(day) for day in days)
+    spark = df.sparkSession
+    fresh = f"{path.rstrip('/')}/_next-{uuid.uuid4().hex}"
+    _writer(df.filter((F.col("event_date") >= F.lit(first)) & (F.col("event_date") < F.lit(end))), fmt, ["event_date"], gather).save(fresh)
+    files, _ = _files(spark, fresh)
+    for n in range((end - first).days):
+        name = f"event_date={first + timedelta(n)}"
+        new = f"{fresh}/{name}"
+        _swap(spark, new if files.exists(_files(spark, new)[1]) else None, f"{path.rstrip('/')}/{name}")
+    files.delete(_files(spark, fresh)[1], True)
 
 
 def replace_interval(df: DataFrame, path: str, start: str, fmt: str = "parquet") -> None:
     """Write one processing interval into its own partition; running it again replaces it.
 
-    Intervals need not start at midnight, so they are kept apart by their start.
+    Intervals need not start at midnight, so they are kept apart by their start. The
+    partition's folder is overwritten itself, so a run without rows empties it.
     """
-    labelled = df.withColumn("interval_start", F.lit(start))
-    writer = _writer(labelled, fmt, ["interval_start"], gather=False).mode("overwrite")
-    writer.option("partitionOverwriteMode", "dynamic").save(path)
+    name = "interval_start=" + start.replace("%", "%25").replace(":", "%3A").replace("/", "%2F")
+    df.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "static").save(f"{path.rstrip('/')}/{name}")
 
 
 def drop_days_before(spark: SparkSession, path: str, before: str) -> list[str]:

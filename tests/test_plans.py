@@ -15,7 +15,7 @@ from headway.queries.registry import Tables
 from headway.sinks import tables
 
 T0 = dt.datetime(2024, 1, 1)
-STREAMED = {"topic_to_raw", "bounded_topic", "stream_hourly", "stream_latest", "stream_fan_out", "stream_arrivals",
+STREAMED = {"interval_rerun", "stream_resume", "stream_late_rows", "stream_health", "topic_to_raw", "bounded_topic", "stream_hourly", "stream_latest", "stream_fan_out", "stream_arrivals",
             "stream_to_analytics", "landing_to_hourly", "backfill_range", "layer_counts", "interval_batch", "smoke_roundtrip",
             "dimension_maintenance"}
 

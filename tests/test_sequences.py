@@ -25,21 +25,21 @@ def readings(spark, n=3000, seed=7):
     return data, spark.createDataFrame(data, "id INT, k STRING, ts TIMESTAMP_NTZ, level INT, hit BOOLEAN").repartition(7)
 
 
-@pytest.mark.parametrize("seconds", [3600, 86_400, 10**9])
-def test_previous(spark, seconds):
+@pytest.mark.parametrize("quantiles", [1, 5, 64])
+def test_previous(spark, quantiles):
     data, df = readings(spark)
     want, last = {}, {}
     for i, key, _, level, _ in sorted(data, key=lambda r: (r[2], r[0])):
         want[i] = last.get(key)
         last[key] = level
-    got = sequences.with_previous(df, ["k"], "ts", ["id"], ["level"], seconds)
+    got = sequences.with_previous(df, ["k"], "ts", ["id"], ["level"], quantiles)
     assert dict(rows(got, "id", "previous.level")) == want
 
 
-@pytest.mark.parametrize("seconds", [3600, 86_400, 10**9])
-def test_next_time(spark, seconds):
+@pytest.mark.parametrize("quantiles", [1, 5, 64])
+def test_next_time(spark, quantiles):
     data, df = readings(spark)
-    got = dict(rows(sequences.with_next_time(df, ["k"], "ts", F.col("hit"), seconds), "id", "next_time"))
+    got = dict(rows(sequences.with_next_time(df, ["k"], "ts", F.col("hit"), quantiles), "id", "next_time"))
     hits = [(key, ts) for _, key, ts, _, hit in data if hit]
     for i, key, ts, _, _ in data:
         assert got[i] == min((h for k, h in hits if k == key and h >= ts), default=None)
@@ -50,7 +50,7 @@ def test_mean_gap(spark):
     data = [("a", minutes(0), 1), ("a", minutes(10), 1), ("a", minutes(20), 10), ("a", minutes(30), 2), ("a", minutes(35), 10),
             ("a", minutes(3000), 2), ("b", minutes(0), 10), ("c", minutes(0), 3), ("d", minutes(0), None)]
     df = spark.createDataFrame(data, "line STRING, ts TIMESTAMP_NTZ, severity INT")
-    got = rows(sequences.mean_gap_between_starts(df, ["line"], "ts", ["severity"], F.col("severity") != 10, 3600))
+    got = rows(sequences.mean_gap_between_starts(df, ["line"], "ts", ["severity"], F.col("severity") != 10, 3))
     assert got == [("a", 3, 90_000.0), ("c", 1, None)]
 
 
@@ -60,10 +60,24 @@ def test_share(spark):
         [("a", "x", 2, 2 / 3), ("a", None, 1, 1 / 3), (None, "x", 1, 1.0)], key=repr)
 
 
-def test_slice_width(spark):
+def test_slices_stand_outliers_and_bursts(spark):
+    """A row in 9999 and one burst: no key and slice holds more than a small multiple of the mean."""
+    spread = [("hot" if i % 3 == 0 else f"k{i % 40}", T0 + dt.timedelta(minutes=5 * i)) for i in range(20_000)]
+    burst = [("hot", T0 + dt.timedelta(days=30, microseconds=i * 4_000_000)) for i in range(10_000)]
+    df = spark.createDataFrame([*spread, *burst, ("hot", dt.datetime(9999, 12, 31)), ("hot", dt.datetime(1, 1, 1)), ("hot", None)], "k STRING, ts TIMESTAMP_NTZ")
+    sizes = [r["count"] for r in sequences.sliced(df, "ts").groupBy("k", "_slice").count().collect()]
+    assert sum(sizes) == 30_003 and max(sizes) <= 30_003 / sequences.QUANTILES * 1.2
+
+
+def test_slices_are_ordered_like_time(spark):
+    _, df = readings(spark)
+    got = sorted((r["ts"], tuple(r["_slice"])) for r in sequences.sliced(df, "ts", 7).collect())
+    assert [s for _, s in got] == sorted(s for _, s in got) and len({p for _, (p, _) in got}) == 7
+    assert sequences.sliced(df.filter("false"), "ts").count() == 0
+
+
+def test_no_query_runs_while_it_is_built(spark):
     _, df = readings(spark)
-    span = 12 * 86_400
-    assert span / 2 < sequences.slice_seconds(df, "ts") <= span
-    assert span / 12 < sequences.slice_seconds(df, "ts", rows_per_slice=100) <= span / 9
-    assert sequences.slice_seconds(df, "ts", rows_per_slice=1, hot_share=1e9) == 1
-    assert sequences.slice_seconds(df.filter("false"), "ts") == 86_400
+    before = spark.sparkContext.statusTracker().getJobIdsForGroup()
+    sequences.with_previous(df, ["k"], "ts", ["id"], ["level"])
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup() == before

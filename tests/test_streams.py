@@ -160,7 +160,7 @@ def test_tail_skips_the_past_and_empty_payloads(spark, folder):
 
 
 def test_one_run_per_name_and_health(spark, folder):
-    log = ProgressLog()
+    log = ProgressLog(spark, f"{folder}/progress", chunk=2)
     spark.streams.addListener(log)
     try:
         feed(curated(spark, 1), f"{folder}/in")
@@ -180,11 +180,11 @@ def test_one_run_per_name_and_health(spark, folder):
         with pytest.raises(Exception, match="sink is down"):
             jobs.finish(broken.option("checkpointLocation", f"{folder}/ck3").trigger(availableNow=True))
         deadline = time.time() + 20
-        while time.time() < deadline and not any(not r[-1] for r in log.records):
+        while time.time() < deadline and not any(not r[-1] for r in log.table().collect()):
             time.sleep(0.2)
     finally:
         spark.streams.removeListener(log)
-    health = log.table(spark).groupBy("name", "completed").agg(F.sum("rows").alias("rows"))
+    health = log.table(20).groupBy("name", "completed").agg(F.sum("rows").alias("rows"))
     assert ("copy", True, 1) in rows(health) and ("broken", False, 0) in rows(health)
 
 

@@ -111,15 +111,34 @@ def events(spark, *hours):
 def test_days_are_replaced_not_doubled(spark, folder):
     path = f"{folder}/days"
     dated = lambda *hours: tables.with_date(events(spark, *hours), "event_time")
-    tables.replace_days(dated(1, 25, 26, 49), path)
-    tables.replace_days(dated(27), path)
+    tables.replace_days(dated(1, 25, 26, 49), path, ("2024-01-01", "2024-01-04"))
+    tables.replace_days(dated(27), path, ("2024-01-02", "2024-01-03"))
     assert rows(spark.read.parquet(path), "n") == [(1,), (27,), (49,)]
+    tables.replace_days(dated(50, 99), path, ("2024-01-02", "2024-01-04"))  # a day without rows goes, a row outside stays out
+    assert rows(spark.read.parquet(path), "n") == [(1,), (50,)]
+    tables.replace_days(dated(27, 49), path, ("2024-01-02", "2024-01-04"))
     tables.rewrite_days(spark, path, f"{folder}/closed", "2024-01-03")
     assert rows(spark.read.parquet(f"{folder}/closed"), "n") == [(1,), (27,)]
     assert tables.drop_days_before(spark, path, "2024-01-02") == ["event_date=2024-01-01"]
     assert rows(spark.read.parquet(path), "n") == [(27,), (49,)]
 
 
+def test_failed_swap_keeps_the_old_table(spark, folder):
+    path = f"{folder}/kept"
+    tables.replace(numbers(spark, 8), path)
+    with pytest.raises(Exception):
+        tables._swap(spark, f"{folder}/missing", path)
+    assert rows(readers.read_layer(spark, path)) == [(8,)]
+
+
+def test_interval_without_rows_replaces_the_old_one(spark, folder):
+    path = f"{folder}/interval"
+    for hours in ((1, 2), ()):
+        tables.replace_interval(events(spark, *hours) if hours else events(spark, 1).filter("false"), path, "2024-01-01 00:30:00")
+        tables.replace_interval(events(spark, 5), path, "2024-01-02 00:30:00")
+        assert spark.read.parquet(path).count() == len(hours) + 1
+
+
 def test_latest_log(spark, folder):
     log, keys = f"{folder}/log", (["k"], "v", ["v"])
     state = lambda *data: spark.createDataFrame(list(data), "k STRING, v INT")
