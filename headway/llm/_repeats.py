@@ -39,7 +39,7 @@ HOT = 200_000
 #: Bits of an anchor that its owner gets. Fewer are sent faster, and more anchors seem to repeat that do not.
 KEY_BITS = 48
 #: Buckets and owners for each shuffle partition, so that one group is a small part of a task.
-FINER = 4
+FINER = 8
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -391,22 +391,42 @@ def settle(classes_of: Callable[[pa.Array], tuple[np.ndarray, np.ndarray, np.nda
     return run
 
 
-def marked_rows(docs: DataFrame, tokens, width: int, k: int, bucket_of, classes_of, hot: int = HOT) -> DataFrame:
-    """The rows, with the windows to remove from texts of their key: prints, starts, masks.
+def copies_of(docs: DataFrame) -> DataFrame:
+    """(copy, copy_prints) of documents whose whole text a smaller document has too (equal by two 64-bit hashes)."""
+    known = docs.where(F.col("doc") != NO_KEY).select("doc", "print", F.xxhash64("text").alias("one"), F.xxhash64("text", F.lit(1)).alias("two"))
+    first = known.groupBy("one", "two").agg(F.min("doc").alias("first"))
+    again = known.join(first, ["one", "two"]).where(F.col("doc") > F.col("first"))
+    return again.groupBy(F.col("doc").alias("copy")).agg(F.collect_set("print").alias("copy_prints"))
 
-    Bit i of a mask stands for the window at start + i of the text with that print. Both joins
-    deal the documents by key, so their texts are shuffled once and read twice.
+
+def marked_rows(docs: DataFrame, tokens, width: int, k: int, bucket_of, classes_of, hot: int = HOT, fold_copies: bool = False) -> DataFrame:
+    """The rows, with the windows to remove from texts of their key: prints, starts, masks, and whether it is a copy.
+
+    Bit i of a mask stands for the window at start + i of the text with that print. All joins
+    deal the documents by key, so their texts are shuffled once and read again. With
+    ``fold_copies``, whole copies of smaller documents are counted with those: all their windows
+    go, and none of them is sent.
     """
     if width - k + 1 > 63:
         raise ValueError("a stretch must have fewer than 64 windows: take a larger k")
     importable()
     buckets = FINER * shuffle_partitions(docs.sparkSession)
-    named = anchors(docs, tokens, width, k, hot)
+    copy = F.lit(False)
+    originals = docs
+    if fold_copies:
+        copies = copies_of(docs)
+        copy = F.coalesce(F.array_contains("copy_prints", F.col("print")), F.lit(False))
+        originals = docs.join(copies, docs["doc"] == copies["copy"], "left").where(~copy).select("doc", "text")
+    named = anchors(originals, tokens, width, k, hot)
     found = docs.join(named, docs["doc"] == named["of"]).select("doc", "print", "text", "keys", "hot_keys")
     rows = found.mapInArrow(_cut(tokens, width, k, buckets, bucket_of), ROWS)
     marked = rows.groupBy("bucket").applyInArrow(settle(classes_of), "doc long, print int, start int, mask long")
     lists = marked.groupBy(F.col("doc").alias("of")).agg(*[F.collect_list(c).alias(f"{c}s") for c in ("print", "start", "mask")])
     joined = docs.join(lists, docs["doc"] == lists["of"], "left").drop("of")
+    if fold_copies:
+        joined = joined.join(copies, joined["doc"] == copies["copy"], "left").withColumn("copy", copy).drop("copy_prints")
+    else:
+        joined = joined.withColumn("copy", copy)
     return joined.withColumns({c: F.coalesce(c, F.array().cast(f"array<{kind}>")) for c, kind in (("prints", "int"), ("starts", "int"), ("masks", "long"))})
 
 
@@ -435,4 +455,7 @@ def covered(bounds: np.ndarray, batch: pa.RecordBatch, width: int) -> np.ndarray
         gone = np.unique(np.concatenate([begin[mask >> i & 1 == 1] + i for i in range(63)]))
         delta[gone] += 1
         delta[gone + width] -= 1
-    return np.cumsum(delta[:-1], dtype=np.int8) > 0
+    gone = np.cumsum(delta[:-1], dtype=np.int8) > 0
+    lengths = np.diff(bounds)
+    whole = batch["copy"].to_numpy(zero_copy_only=False).astype(bool) & (lengths >= width)
+    return gone | np.repeat(whole, lengths) if whole.any() else gone

@@ -115,7 +115,7 @@ def _finish(width: int):
             words = np.diff(read.bounds)
             removed = np.diff(np.concatenate([[0], np.cumsum(gone, dtype=np.int64)])[read.bounds])
             kept = read.joined(np.flatnonzero(~gone), words - removed)
-            out = batch.drop_columns(["print", "text", "prints", "starts", "masks"])
+            out = batch.drop_columns(["print", "text", "prints", "starts", "masks", "copy"])
             out = out.append_column("kept", kept.view(pa.string()))
             yield out.append_column("n_words", pa.array(words, pa.int64())).append_column("n_removed", pa.array(removed, pa.int64()))
 

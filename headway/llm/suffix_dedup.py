@@ -12,6 +12,9 @@ around an anchor that very many documents share are dealt by all their bytes ins
 document with a smaller key. Matches never cross documents; strings are judged on the input, not
 on what is left.
 
+A whole copy of a smaller document loses every window, so copies are told by hashes of their texts
+and only the smallest document of them is sent: a group of copies costs as much as one text.
+
 Null texts count as empty. Rows with a null key neither remove nor lose anything. Of rows with
 the same key none is smaller, so they don't remove from each other. Texts shorter than ``width``
 stay whole. Columns named like the results are replaced.
@@ -74,25 +77,30 @@ def _equal_windows(width: int):
         windows = np.diff(bounds) - width + 1
         suffix = np.repeat(bounds[:-1], windows) + _repeats._ramp(windows)
         # Suffixes whose hash is alone need no sorting.
-        whole = _repeats.rolling(_VALUES[data], width)
-        eight = _eights(data)
+        hashes = np.concatenate([_repeats.rolling(_VALUES[data[a:b]], width)[windows_at - a] for a, b, windows_at in _parts(bounds, suffix, windows)])
 
         def character(skip: int):
-            spare = np.uint64(8 * max(0, skip + 8 - width))
-            return lambda items: eight[suffix[items] + skip] >> spare
+            return lambda items: _eight(data, suffix[items] + skip, min(8, width - skip))
 
-        keys = [lambda items: whole[suffix[items]], *[character(skip) for skip in range(0, width, 8)]]
+        keys = [lambda items: hashes, *[character(skip) for skip in range(0, width, 8)]]
         return windows, *_repeats.equal_classes(len(suffix), iter(keys))
 
     return find
 
 
-def _eights(data: np.ndarray) -> np.ndarray:
-    """Eight bytes from each place on as a number that sorts like them; zeros behind the end."""
-    padded = np.concatenate([data, np.zeros(8, np.uint8)])
-    out = np.zeros(len(data), np.uint64)
-    for k in range(8):
-        out |= padded[k:k + len(data)].astype(np.uint64) << np.uint64(8 * (7 - k))
+def _parts(bounds: np.ndarray, suffix: np.ndarray, windows: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
+    """(first byte, byte after the last, suffixes) of some bodies at a time."""
+    heads = np.flatnonzero(np.diff(bounds[:-1] // _repeats.PIECE, prepend=-1))
+    before = np.concatenate([[0], np.cumsum(windows)])
+    for a, b in zip(heads, np.append(heads[1:], len(windows))):
+        yield int(bounds[a]), int(bounds[b]), suffix[before[a]:before[b]]
+
+
+def _eight(data: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
+    """The n bytes, at most eight, from each place on as a number that sorts like them."""
+    out = np.zeros(len(at), np.uint64)
+    for k in range(n):
+        out = out << np.uint64(8) | data[at + k]
     return out
 
 
@@ -144,7 +152,7 @@ def _finish(width: int):
             spans = np.bincount(row, minlength=len(lengths))
             pairs = pa.StructArray.from_arrays([pa.array(opened - read.bounds[row], pa.int64()), pa.array(closed - opened + 1, pa.int64())], ["start", "length"])
             offsets = pa.array(np.concatenate([[0], np.cumsum(spans)]), pa.int32())
-            out = batch.drop_columns(["print", "text", "prints", "starts", "masks"])
+            out = batch.drop_columns(["print", "text", "prints", "starts", "masks", "copy"])
             for name, column in (
                 ("kept", _repeats.binary(read.data[~gone], lengths - removed)), ("spans", pa.ListArray.from_arrays(offsets, pairs)),
                 ("n_bytes", pa.array(lengths, pa.int64())), ("n_removed", pa.array(removed, pa.int64())), ("n_spans", pa.array(spans, pa.int64())),
@@ -163,6 +171,6 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", width
     borders = splitters(df, text, width, k, buckets)
     others = without(df, [key, text, *RESULTS]).columns
     rows = _repeats.known_rows(df, key, text, others)
-    marked = _repeats.marked_rows(rows, Bytes, width, k, _bucket_of(borders, k), _equal_windows(width), hot)
+    marked = _repeats.marked_rows(rows, Bytes, width, k, _bucket_of(borders, k), _equal_windows(width), hot, fold_copies=True)
     schema = _repeats.schema_of(df, others, "kept binary, spans array<struct<start: bigint, length: bigint>>, n_bytes bigint, n_removed bigint, n_spans bigint")
     return _repeats.keyed_again(marked.mapInArrow(_finish(width), schema), df, key)
