@@ -46,7 +46,10 @@ NOT_TEXT_NAMES = frozenset((
     "footer sidebar aside widget notice notices cookie cookies consent banner alert popup modal newsletter subscribe signup login form search "
     "share sharing social comment comments reply replies disqus related").split())
 ARTICLE, ARTICLE_ROLES = frozenset(("article", "main")), frozenset(("article", "main"))
-#: Elements that end an open element of the same kind.
+#: Elements that end an open paragraph, and those that end an open element of the same kind.
+ENDS_PARAGRAPH = frozenset((
+    "address article aside blockquote center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header "
+    "hgroup hr li main menu nav ol p pre section summary table td th tr ul").split())
 CLOSED_BY = {
     "li": frozenset(("li",)), "dt": frozenset(("dt", "dd")), "dd": frozenset(("dt", "dd")), "tr": frozenset(("tr", "td", "th")),
     "td": frozenset(("td", "th")), "th": frozenset(("td", "th")), "option": frozenset(("option",)),
@@ -92,7 +95,7 @@ def read(page: str) -> Element:
                 if stack[depth].tag in HOLDERS and tag not in HOLDERS:
                     break  # a stray closing tag does not end what is around it
             continue
-        if tag not in INLINE:
+        if tag in ENDS_PARAGRAPH or tag in CLOSED_BY:
             _close_before(stack, tag)
         element = Element(tag, token[3])
         stack[-1].parts.append(element)
@@ -110,7 +113,7 @@ def _close_before(stack: list[Element], tag: str) -> None:
     """Ends a paragraph, and list items, cells and the like, before an element that can't be inside."""
     ends = CLOSED_BY.get(tag, frozenset())
     for depth in range(len(stack) - 1, 0, -1):
-        if stack[depth].tag in ends or stack[depth].tag == "p":
+        if stack[depth].tag in ends or (stack[depth].tag == "p" and tag in ENDS_PARAGRAPH):
             del stack[depth:]
             return
         if stack[depth].tag not in INLINE:
