@@ -5,7 +5,8 @@
    the tasks. A subtree on at least ``share`` of a host's pages, and on ``least`` pages, is part of
    the site's template.
 2. The templates of its host go to every page, at most (elements of a page) / share of them, and
-   their subtrees are deleted.
+   their subtrees are deleted. Up to BROADCAST hashes in all, they go to all executors and pages
+   are not shuffled; beyond, both meet by host, where Spark splits a host with many pages.
 3. What elements, roles, classes and ids call a menu, header, footer, sidebar, notice, advert,
    form, script, style or comments is deleted too. If the page marks its article (article, main),
    the text is what is left in there, else what is left in the body.
@@ -30,10 +31,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from headway.llm._common import importable, without
+from headway.llm._common import importable, settled, without
 from headway.llm.url_filter import host_of
 
 SHARE, LEAST = 0.3, 5
+#: Hashes in all templates (8 bytes each) up to which they are sent to every executor; beyond, pages and templates meet by host.
+BROADCAST = 1_000_000
 #: Fixed values of HTML: elements by what they are.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes".split())
@@ -210,7 +213,10 @@ def extract(pages: DataFrame, url: str = "url", html: str = "html", text: str =
     """All columns but the html, and the text."""
     importable()
     rows = without(pages, [text, "_host", "_html"]).withColumns({"_host": host_of(url), "_html": F.coalesce(F.col(html), F.lit(""))})
-    known = templates(rows.select(F.col("_host").alias("host"), F.col("_html").alias("html")), share, least)
+    # Settled, so that its size is known, and so that a host with many pages can be split over tasks if it is joined.
+    known = settled(templates(rows.select(F.col("_host").alias("host"), F.col("_html").alias("html")), share, least))
+    if (known.agg(F.sum(F.size("subtrees") + 4)).first()[0] or 0) <= BROADCAST:
+        known = F.broadcast(known)
     joined = rows.join(known, F.col("_host") == F.col("of"), "left")
 
     @F.pandas_udf("string")

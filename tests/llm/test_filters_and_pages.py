@@ -118,6 +118,12 @@ def test_templates_of_a_site_go(spark):
     assert html_extract.extract(pages.limit(0)).count() == 0
 
 
+def test_many_templates_are_joined_by_host(spark, monkeypatch):
+    monkeypatch.setattr(html_extract, "BROADCAST", 0)
+    pages = spark.createDataFrame([(i, "http://h.org/", f"<p>own {i}</p><p>same</p>") for i in range(10)], "page_id long, url string, html string")
+    assert {r["text"] for r in html_extract.extract(pages).collect()} == {f"own {i}" for i in range(10)}
+
+
 def test_articles_of_the_table(spark):
     import html
     import re
