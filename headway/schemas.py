@@ -62,7 +62,7 @@ RAW_SCHEMAS = {
     "curated_stations": (
         "bike_point_id STRING, common_name STRING, lat DOUBLE, lon DOUBLE, nb_bikes INT, nb_ebikes INT, "
         "nb_empty_docks INT, nb_docks INT, occupancy_pct DOUBLE, is_empty BOOLEAN, is_full BOOLEAN, "
-        "event_time TIMESTAMP_NTZ, processed_at TIMESTAMP_NTZ, batch_id INT, event_date DATE"
+        "event_time TIMESTAMP_NTZ, processed_at TIMESTAMP_NTZ, event_date DATE"
     ),
 }
 

@@ -206,7 +206,7 @@ def test_all_layers_live(spark, folder):
         spark, topic_source(spark, "parquet", path=f"{folder}/topic"), folder, f"{folder}/ck", "1 second", "1 second", b.AS_OF)
     queries = start()
     try:
-        assert {q.id for q in start()} == {q.id for q in queries} and len(queries) == 8
+        assert {q.id for q in start()} == {q.id for q in queries} and len(queries) == 9
         want = projections.curate_stations(b.stations(events.filter("event_type IN ('view', 'click')")), b.AS_OF)
         newest = want.agg(F.max("event_time")).first()[0] - dt.timedelta(minutes=5)
         hourly = aggregates.station_hourly_windowed(want).filter(F.col("window_end") <= F.lit(newest))
