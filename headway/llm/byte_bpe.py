@@ -18,6 +18,7 @@ with the name of the result is replaced, all others stay.
 from __future__ import annotations
 
 import base64
+import functools
 import re
 import struct
 from collections.abc import Iterator
@@ -31,7 +32,7 @@ from pyspark.sql.functions import pandas_udf
 from headway.llm._common import importable
 
 #: Entries a worker keeps of what it has worked out; they bound memory and change no result.
-CACHED_PIECES, CACHED_PAIRS = 150_000, 1_000_000
+CACHED_PIECES, CACHED_PAIRS = 120_000, 400_000
 #: White space as the pattern's \s has it (Unicode White_Space).
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Parts between which every match of the pattern ends: words with the space before them, and other white space.
@@ -39,6 +40,11 @@ PARTS = rf" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
 NEVER = 1 << 62
 
 
+def read_ranks(path: str) -> dict[bytes, int]:
+    with open(path, "rb") as lines:
+        return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+
+
 class Vocabulary:
     """Ranks of a byte-level BPE, where its tokens end in a text, and which may stand next to each other."""
 
@@ -49,7 +55,7 @@ class Vocabulary:
         self.bytes_of = dict(zip(ranks.values(), ranks))
         self.longest = max(map(len, ranks))
         self.halves = {token: self._halves(token) for token in self.bytes_of}
-        self.follows: dict[tuple[int, int], bool] = {}
+        self.follows: dict[int, bool] = {}  # by left << 32 | right
         self.ends = ahocorasick.Automaton()
         for data, token in ranks.items():
             if self.made_by_merges(token):
@@ -58,8 +64,7 @@ class Vocabulary:
 
     @classmethod
     def read(cls, path: str) -> Vocabulary:
-        with open(path, "rb") as lines:
-            return cls({base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)})
+        return cls(read_ranks(path))
 
     def _halves(self, token: int) -> tuple[int, int] | None:
         """The two tokens whose merge makes this one; None for a single byte or a token no merge makes."""
@@ -82,7 +87,7 @@ class Vocabulary:
         the border must not merge before the part they went into next did. Of equal merges the
         left one goes first.
         """
-        key = (left, right)
+        key = left << 32 | right
         if len(self.follows) >= CACHED_PAIRS:
             self.follows.clear()
         ranks, bytes_of, halves = self.ranks, self.bytes_of, self.halves
@@ -121,7 +126,7 @@ class Prefixes:
             end += base + 1
             if last[end] < 0:
                 start = end - length
-                if start == 0 or (known := follows.get((last[start], token))) or (known is None and may_follow(last[start], token)):
+                if start == 0 or (known := follows.get(last[start] << 32 | token)) or (known is None and may_follow(last[start], token)):
                     last[end] = token
 
     def replace(self, start: int, stop: int, by: bytes) -> int:
@@ -194,38 +199,33 @@ class Encoder:
         return self._encode(text)
 
 
-_vocabularies: dict[str, Vocabulary] = {}
-_encoders: dict[tuple[str, str], Encoder] = {}
-
-
-def _vocabulary(path: str) -> Vocabulary:
-    if path not in _vocabularies:
-        _vocabularies[path] = Vocabulary.read(path)
-    return _vocabularies[path]
+@functools.lru_cache(1)
+def _encoder(path: str, pattern: str) -> Encoder:
+    return Encoder(Vocabulary.read(path), pattern)
 
 
-def _encoder(path: str, pattern: str) -> Encoder:
-    if (path, pattern) not in _encoders:
-        _encoders[path, pattern] = Encoder(_vocabulary(path), pattern)
-    return _encoders[path, pattern]
+@functools.lru_cache(1)
+def _bytes_of(path: str) -> dict[int, bytes]:
+    ranks = read_ranks(path)
+    return dict(zip(ranks.values(), ranks))
 
 
-def ids_of(text: Column | str, ranks: str, pattern: str) -> Column:
-    """Packed ids of a text column; ``ranks`` is the path of a rank file that every machine has.
+def ids_of(text: Column | str, ranks: str, pattern: str, packed: bool = True) -> Column:
+    """Ids of a text column, packed or as an array; ``ranks`` is the path of a rank file that every machine has.
 
     The pattern must end a match wherever a word with the space before it ends; the published
     patterns of byte-level vocabularies do.
     """
-
     importable()
 
-    @pandas_udf("binary")
-    def packed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @pandas_udf("binary" if packed else "array<int>")
+    def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         encode = _encoder(ranks, pattern)
         for texts in batches:
-            yield pd.Series([encode(t) if t else b"" for t in texts], dtype=object)
+            ids = (encode(t) if t else b"" for t in texts)
+            yield pd.Series([i if packed else np.frombuffer(i, "<i4") for i in ids], dtype=object)
 
-    return packed(text)
+    return encoded(text)
 
 
 def bytes_of(ids: Column | str, ranks: str) -> Column:
@@ -235,16 +235,16 @@ def bytes_of(ids: Column | str, ranks: str) -> Column:
 
     @pandas_udf("binary")
     def unpacked(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        token = _vocabulary(ranks).bytes_of.__getitem__
+        token = _bytes_of(ranks).__getitem__
         for packed in batches:
             yield pd.Series([b"".join(map(token, np.frombuffer(p, "<u4").tolist())) if p else b"" for p in packed], dtype=object)
 
     return unpacked(ids)
 
 
-def encode(df: DataFrame, ranks: str, pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:
-    """All columns and the packed ids of the text. One narrow stage, no shuffle."""
-    return df.withColumn(ids, ids_of(F.col(text), ranks, pattern))
+def encode(df: DataFrame, ranks: str, pattern: str, text: str = "text", ids: str = "ids", packed: bool = True) -> DataFrame:
+    """All columns and the ids of the text, packed or as an array. One narrow stage, no shuffle."""
+    return df.withColumn(ids, ids_of(F.col(text), ranks, pattern, packed))
 
 
 def decode(df: DataFrame, ranks: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
@@ -254,13 +254,3 @@ def decode(df: DataFrame, ranks: str, ids: str = "ids", decoded: str = "decoded"
 
 def n_ids(ids: Column | str) -> Column:
     return (F.octet_length(ids) / 4).cast("long")
-
-
-def unpacked_ids(ids: Column | str) -> Column:
-    """Packed ids as an array of numbers."""
-
-    @pandas_udf("array<int>")
-    def numbers(packed: pd.Series) -> pd.Series:
-        return pd.Series([np.frombuffer(p or b"", "<u4").astype(np.int32) for p in packed], dtype=object)
-
-    return numbers(ids)
