@@ -210,8 +210,9 @@ def _send(tokens: Callable[[pa.Array], Tokens], width: int, k: int, owners: int)
         for batch in (part for whole in batches for part in slices(whole)):
             doc = batch["doc"].to_numpy()
             for _, found in tokens(batch["text"]).pieces(width, k):
-                keys.append(found.key)
-                docs.append(doc[found.doc])
+                known = doc[found.doc] != NO_KEY  # filtered here, as a filter in the plan would make it read another exchange
+                keys.append(found.key[known])
+                docs.append(doc[found.doc][known])
                 n += len(found)
                 if n >= GATHERED:
                     yield out(keys, docs)
@@ -244,7 +245,7 @@ def repeated(hot: int):
 def anchors(docs: DataFrame, tokens, width: int, k: int, hot: int) -> DataFrame:
     """(doc, keys, hot_keys) of documents with anchors that other documents have too."""
     owners = FINER * shuffle_partitions(docs.sparkSession)
-    sent = docs.where(F.col("doc") != NO_KEY).select("doc", "text").mapInArrow(_send(tokens, width, k, owners), "owner int, keys binary, docs binary")
+    sent = docs.select("doc", "text").mapInArrow(_send(tokens, width, k, owners), "owner int, keys binary, docs binary")
     named = sent.groupBy("owner").applyInArrow(repeated(hot), "doc long, key int, hot boolean")
     return named.groupBy(F.col("doc").alias("of")).agg(F.collect_list("key").alias("keys"), F.collect_list(F.when(F.col("hot"), F.col("key"))).alias("hot_keys"))
 
