@@ -1,12 +1,16 @@
 """Main text of web pages, with the templates of their sites removed.
 
 1. Every page is read into elements. Each element's subtree (tag, class and id, texts, children)
-   has a hash. (host, hash) pairs, once for a page, are counted in Spark, after partial counts in
-   the tasks. A subtree on at least ``share`` of a host's pages, and on ``least`` pages, is part of
-   the site's template.
+   has a hash. (host, content, hash) rows are made distinct in Spark and (host, hash) pairs counted,
+   each after partial results in the tasks. A page's content is what it marks as its article, else
+   all of it, so copies of a page or of an article count once. A subtree on at least ``share`` of a
+   host's distinct pages, and on ``least`` of them, is part of the site's template.
 2. The templates of its host go to every page, at most (elements of a page) / share of them, and
    their subtrees are deleted. Up to BROADCAST hashes in all, they go to all executors and pages
    are not shuffled; beyond, both meet by host, where Spark splits a host with many pages.
+   Articles (article, main), what is around them, inline elements and cells without blocks stay,
+   however often they recur. So do single paragraphs, headings, items and cells in an article: in
+   there, only whole groups (a div, section, list, table) are taken for the site's.
 3. What elements, roles, classes and ids call a menu, header, footer, sidebar, notice, advert,
    form, script, style or comments is deleted too. If the page marks its article (article, main),
    the text is what is left in there, else what is left in the body.
@@ -15,8 +19,8 @@ Text is cut into blocks at block elements and line breaks; white space in a bloc
 space; blocks are joined by a line feed. Markup may be broken: elements that are not closed end
 with the one around them, closing tags without an opening one are ignored.
 
-Null html is empty; null urls count as one host. Repeated pages count as pages. A page without
-text gives an empty one. Result columns replace columns of the same name.
+Null html is empty; null urls count as one host. Repeated pages count as one page, and each gets its
+text. A page without text gives an empty one. Result columns replace columns of the same name.
 """
 
 from __future__ import annotations
@@ -48,6 +52,8 @@ NOT_TEXT_NAMES = frozenset((
     "ad ads advert adverts advertisement advertising sponsor sponsored promo nav navbar navigation menu breadcrumb breadcrumbs header masthead "
     "footer sidebar aside widget notice notices cookie cookies consent banner alert popup modal newsletter subscribe signup login form search "
     "share sharing social comment comments reply replies disqus related").split())
+#: Parts of a text that are the article's own even if other pages have the same.
+PIECES = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd tr td th thead tbody tfoot caption figcaption blockquote pre".split())
 ARTICLE, ARTICLE_ROLES = frozenset(("article", "main")), frozenset(("article", "main"))
 #: Elements that end an open paragraph, and those that end an open element of the same kind.
 ENDS_PARAGRAPH = frozenset((
@@ -63,17 +69,21 @@ ATTRIBUTE = re.compile(r"([^\s=/\"'<>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\
 
 
 class Element:
-    __slots__ = ("tag", "names", "role", "parts", "hash")
+    __slots__ = ("tag", "names", "role", "parts", "hash", "holds")
 
     def __init__(self, tag: str, attributes: str):
         self.tag, self.names, self.role = tag, "", ""
         self.parts: list = []  # texts and elements in page order
         self.hash = 0
+        self.holds = False  # whether an article is in it
         if "=" in attributes:
             found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(attributes)}
             self.names = f"{found.get('class', '')} {found.get('id', '')}".lower()
             self.role = found.get("role", "").lower()
 
+    def is_article(self) -> bool:
+        return self.tag in ARTICLE or self.role in ARTICLE_ROLES
+
 
 def read(page: str) -> Element:
     """The page's elements as a tree."""
@@ -102,6 +112,11 @@ def read(page: str) -> Element:
             _close_before(stack, tag)
         element = Element(tag, token[3])
         stack[-1].parts.append(element)
+        if element.is_article():
+            for around in reversed(stack):
+                if around.holds:
+                    break
+                around.holds = True
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
             stop = end.start() if end else len(page)
@@ -148,6 +163,26 @@ def hashes(root: Element) -> list[int]:
     return list(found)
 
 
+def content(root: Element) -> int:
+    """Hash of what tells a page from its copies, after ``hashes``: its articles, else all of it."""
+    digest, todo = xxhash.xxh3_64(), [root]
+    while todo:
+        element = todo.pop()
+        if not element.is_article():
+            todo.extend(p for p in reversed(element.parts) if type(p) is Element and (p.holds or p.is_article()))
+        elif element.hash:
+            digest.update(element.hash.to_bytes(8, "little"))
+    return digest.intdigest() if digest.intdigest() != xxhash.xxh3_64_intdigest(b"") else root.hash
+
+
+def _of_template(element: Element, in_article: bool, template: frozenset[int]) -> bool:
+    if element.hash not in template or element.holds or element.tag in INLINE or element.is_article():
+        return False
+    if in_article:
+        return element.tag not in PIECES
+    return element.tag not in ("td", "th") or any(type(p) is Element and p.tag not in INLINE for p in element.parts)
+
+
 def _boilerplate(element: Element, in_article: bool) -> bool:
     if element.tag in NOT_TEXT or element.role in NOT_TEXT_ROLES or (element.tag == "header" and not in_article):
         return True
@@ -174,10 +209,10 @@ def main_text(root: Element, template: frozenset[int]) -> str:
         if type(part) is str:
             open_parts.append(part)
             continue
-        if part.hash in template or _boilerplate(part, inside):
+        if _of_template(part, inside, template) or _boilerplate(part, inside):
             end(inside)
             continue
-        article = part.tag in ARTICLE or part.role in ARTICLE_ROLES
+        article = part.is_article()
         marked = marked or article
         if part.tag not in INLINE:
             end(inside)
@@ -189,22 +224,27 @@ def main_text(root: Element, template: frozenset[int]) -> str:
 
 def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        hosts, found = [], []
+        hosts, contents, found = [], [], []
         for host, page in zip(batch["host"].to_pylist(), batch["html"].to_pylist()):
+            root = read(page)
             # 0 counts the page itself.
-            own = [0, *hashes(read(page))]
+            own = [0, *hashes(root)]
             hosts += [host] * len(own)
+            contents += [content(root)] * len(own)
             found += own
-        yield pa.RecordBatch.from_pydict({"host": pa.array(hosts, pa.string()), "subtree": pa.array([h - (1 << 63) for h in found], pa.int64())})
+        numbers = {name: pa.array([h - (1 << 63) for h in of], pa.int64()) for name, of in (("content", contents), ("subtree", found))}
+        yield pa.RecordBatch.from_pydict({"host": pa.array(hosts, pa.string()), **numbers})
 
 
 def templates(pages: DataFrame, share: float = SHARE, least: int = LEAST) -> DataFrame:
-    """(of, subtrees) of hosts with subtrees that are on many of their pages; ``pages``: host, html."""
-    counted = pages.mapInArrow(_subtrees, "host string, subtree long").groupBy("host", "subtree").agg(F.count("*").alias("n"))
-    itself = F.col("subtree") == -(1 << 63)
+    """(of, subtrees) of hosts with subtrees that are on many of their distinct pages; ``pages``: host, html."""
+    once = pages.mapInArrow(_subtrees, "host string, content long, subtree long").distinct()
+    # What tells the rows of pages is an aggregate, so that no filter goes below and both sides read one exchange.
+    itself = F.max(F.col("subtree") == -(1 << 63)).alias("itself")
+    counted = once.groupBy("host", "subtree").agg(F.count("*").alias("n"), itself)
     # Subtrees on fewer than ``least`` pages are gone before hosts meet their number of pages.
-    totals = counted.where(itself).select(F.col("host").alias("of"), F.col("n").alias("pages"))
-    often = counted.where(~itself & (F.col("n") >= least))
+    totals = counted.where("itself").select(F.col("host").alias("of"), F.col("n").alias("pages"))
+    often = counted.where(~F.col("itself") & (F.col("n") >= least))
     both = often.join(totals, F.col("host") == F.col("of")).where(F.col("n") >= share * F.col("pages"))
     return both.groupBy("of").agg(F.collect_list("subtree").alias("subtrees"))
 

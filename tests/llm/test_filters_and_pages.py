@@ -118,6 +118,30 @@ def test_templates_of_a_site_go(spark):
     assert html_extract.extract(pages.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("copies,others", [(12, 24), (5, 11)])
+def test_copies_of_a_page_are_no_template(spark, copies, others):
+    # The copies differ around their article, as pages with a time or a counter do.
+    wanted = [(i, "<article><h1>Same</h1><div><p>copied text</p></div></article>", "Same\ncopied text") for i in range(copies)]
+    wanted += [(copies + i, f"<article><h1>T{i}</h1><div><p>own {i}</p></div></article>", f"T{i}\nown {i}") for i in range(others)]
+    rows = [(i, "http://h.org/", f"<div><p>seen {i // 2} times</p></div>{page}") for i, page, _ in wanted]
+    rows += [(100 + i, "http://plain.org/", f"<div><p>copied {max(i, copies)}</p></div><div>all pages</div>") for i in range(copies + others)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    got = {r["page_id"]: r["text"] for r in html_extract.extract(pages).collect()}
+    assert got == {**{i: text for i, _, text in wanted}, **{100 + i: f"copied {max(i, copies)}" for i in range(copies + others)}}
+
+
+def test_templates_take_no_articles_and_no_pieces_of_them(spark):
+    same = "<h2>Note</h2><p>Yes.</p><table><tr><td>0</td><td>{0}</td></tr></table><p>so <b>Note</b> {0}</p><div><p>Follow us</p></div>"
+    pages = [(i, "http://h.org/", f"<main>{same.format(i)}</main>") for i in range(20)]
+    pages += [(20 + i, "http://plain.org/", f"<p>so <b>Note</b> {i}</p><table><tr><td>0</td><td>{i}</td></tr></table><p>Follow us</p>") for i in range(20)]
+    # The same article on pages that are different by a second one.
+    pages += [(40 + i, "http://two.org/", f"<div><article>one</article></div><article>two {i}</article>") for i in range(20)]
+    got = {r["page_id"]: r["text"] for r in html_extract.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert got == {
+        **{i: f"Note\nYes.\n0\n{i}\nso Note {i}" for i in range(20)}, **{20 + i: f"so Note {i}\n0\n{i}" for i in range(20)},
+        **{40 + i: f"one\ntwo {i}" for i in range(20)}}
+
+
 def test_many_templates_are_joined_by_host(spark, monkeypatch):
     monkeypatch.setattr(html_extract, "BROADCAST", 0)
     pages = spark.createDataFrame([(i, "http://h.org/", f"<p>own {i}</p><p>same</p>") for i in range(10)], "page_id long, url string, html string")
