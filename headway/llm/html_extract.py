@@ -12,7 +12,9 @@
    however often they recur. So do single paragraphs, headings, items and cells in an article: in
    there, only whole groups (a div, section, list, table) are taken for the site's.
 3. What elements, roles, classes and ids call a menu, header, footer, sidebar, notice, advert,
-   form, script, style or comments is deleted too. If the page marks its article (article, main),
+   form, script, style or comments is deleted too. Classes and ids count as whole names. They say
+   nothing about html, body and articles, nor about what holds an article unless one is left
+   elsewhere; nor, in an article, about its headings and headers. If the page marks its article (article, main),
    the text is what is left in there, else what is left in the body.
 
 Text is cut into blocks at block elements and line breaks; white space in a block becomes one
@@ -54,6 +56,23 @@ NOT_TEXT_NAMES = frozenset((
     "share sharing social comment comments reply replies disqus related").split())
 #: Parts of a text that are the article's own even if other pages have the same.
 PIECES = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd tr td th thead tbody tfoot caption figcaption blockquote pre".split())
+#: The same in names of several words, with one '-' for any run of '-' and '_'.
+NOT_TEXT_COMPOUNDS = frozenset((
+    "site-header main-header global-header page-masthead site-footer page-footer main-footer global-footer footer-widgets footer-links footer-nav footer-menu "
+    "site-nav site-navigation main-nav main-navigation main-menu site-menu primary-nav primary-navigation primary-menu secondary-nav secondary-menu top-nav "
+    "top-menu top-bar side-nav side-menu mobile-nav mobile-menu nav-bar nav-menu nav-links post-navigation posts-navigation page-navigation header-nav header-menu "
+    "breadcrumb-trail breadcrumb-nav breadcrumbs-nav side-bar left-sidebar right-sidebar sidebar-left sidebar-right main-sidebar primary-sidebar sidebar-primary "
+    "sidebar-secondary sidebar-widget sidebar-area widget-area widget-container ad-slot ad-container ad-wrapper ad-box ad-banner ad-block ad-unit ad-label ad-space "
+    "ads-container ads-wrapper ads-banner banner-ad banner-ads google-ad google-ads top-ad side-ad sidebar-ad bottom-ad advert-container advertisement-container "
+    "sponsored-content sponsored-links sponsored-post promo-box promo-banner cookie-banner cookie-bar cookie-notice cookie-consent cookie-popup cookie-message "
+    "cookies-banner cookies-notice consent-banner site-notice alert-banner pop-up popup-overlay modal-dialog modal-content modal-overlay newsletter-signup "
+    "newsletter-form newsletter-box email-signup signup-form signup-box sign-up subscribe-form subscribe-box subscription-form login-form login-box search-form "
+    "search-box search-bar search-widget share-bar share-box share-buttons share-links sharing-buttons social-bar social-buttons social-icons social-links "
+    "social-media social-share social-sharing comment-area comment-form comment-list comment-respond comment-section comments-area comments-list comments-section "
+    "user-comments reply-form disqus-thread related-articles related-content related-links related-news related-pages related-posts related-stories").split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: What a head holds; anything else ends it.
+IN_HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
 ARTICLE, ARTICLE_ROLES = frozenset(("article", "main")), frozenset(("article", "main"))
 #: Elements that end an open paragraph, and those that end an open element of the same kind.
 ENDS_PARAGRAPH = frozenset((
@@ -92,9 +111,13 @@ def read(page: str) -> Element:
     while at < len(page):
         token = TOKEN.search(page, at)
         if token is None:
+            if stack[-1].tag == "head" and not page[at:].isspace():
+                stack.pop()
             stack[-1].parts.append(page[at:])
             break
         if token.start() > at:
+            if stack[-1].tag == "head" and not page[at:token.start()].isspace():
+                stack.pop()
             stack[-1].parts.append(page[at:token.start()])
         at = token.end()
         if token[2] is None:
@@ -108,6 +131,14 @@ def read(page: str) -> Element:
                 if stack[depth].tag in HOLDERS and tag not in HOLDERS:
                     break  # a stray closing tag does not end what is around it
             continue
+        if stack[-1].tag == "head" and tag not in IN_HEAD:
+            stack.pop()
+        elif tag == "body":
+            # Also with something left open in the head.
+            for depth in range(1, min(len(stack), 3)):
+                if stack[depth].tag == "head":
+                    del stack[depth:]
+                    break
         if tag in ENDS_PARAGRAPH or tag in CLOSED_BY:
             _close_before(stack, tag)
         element = Element(tag, token[3])
@@ -183,17 +214,36 @@ def _of_template(element: Element, in_article: bool, template: frozenset[int]) -
     return element.tag not in ("td", "th") or any(type(p) is Element and p.tag not in INLINE for p in element.parts)
 
 
-def _boilerplate(element: Element, in_article: bool) -> bool:
+def _boilerplate(element: Element, in_article: bool, others: bool) -> bool:
+    """Whether it is none of the page's text; ``others``: whether articles are left when those in named elements go."""
     if element.tag in NOT_TEXT or element.role in NOT_TEXT_ROLES or (element.tag == "header" and not in_article):
         return True
-    return bool(element.names.strip()) and any(word in NOT_TEXT_NAMES for name in element.names.split() for word in re.split(r"[-_]+", name))
+    if not element.names.strip() or element.tag in ("html", "body") or element.is_article() or (element.holds and not others):
+        return False
+    if in_article and element.tag in HEADINGS:
+        return False
+    names = element.names.split()
+    if in_article:
+        names = [name for name in names if name != "header"]
+    return any(name in NOT_TEXT_NAMES or ("-" in name or "_" in name) and re.sub(r"[-_]+", "-", name).strip("-") in NOT_TEXT_COMPOUNDS for name in names)
+
+
+def _stays(root: Element) -> bool:
+    """Whether an article is left if what holds one goes by its names, too."""
+    todo = [root]
+    while todo:
+        element = todo.pop()
+        if element.is_article():
+            return True
+        todo.extend(p for p in element.parts if type(p) is Element and (p.holds or p.is_article()) and not _boilerplate(p, False, True))
+    return False
 
 
 def main_text(root: Element, template: frozenset[int]) -> str:
     """Text of what is neither boilerplate nor in the site's template."""
     blocks: list[tuple[bool, str]] = []
     open_parts: list[str] = []
-    marked = False
+    marked, others = False, root.holds and _stays(root)
 
     def end(inside: bool) -> None:
         if text := " ".join(entities.unescape("".join(open_parts)).split()):
@@ -209,7 +259,7 @@ def main_text(root: Element, template: frozenset[int]) -> str:
         if type(part) is str:
             open_parts.append(part)
             continue
-        if _of_template(part, inside, template) or _boilerplate(part, inside):
+        if _of_template(part, inside, template) or _boilerplate(part, inside, others):
             end(inside)
             continue
         article = part.is_article()

@@ -103,6 +103,27 @@ def test_main_text(page, text):
     assert text_of(page) == text
 
 
+@pytest.mark.parametrize("page,text", [
+    ('<html class="no-nav"><body class="home no-sidebar search"><p>a</p></body></html>', "a"),
+    ('<div class="content has-header"><p>a</p></div>', "a"),
+    ('<article class="post comments-open widget">a</article>', "a"),
+    ('<main id="search">a</main>', "a"),
+    ('<div class="widget"><article>a</article></div>', "a"),
+    ('<div class="widget"><article>a</article></div><div><main>b</main></div>', "b"),
+    ('<article><h2 id="related-work">r</h2><p>a</p><h2 id="search">s</h2></article>', "r\na\ns"),
+    ('<article><div class="article-header"><h1>t</h1></div><div class="header"><p>u</p></div>a</article>', "t\nu\na"),
+    ('<section id="search-algorithms"><p>a</p></section>', "a"),
+    ('<div class="cookie-banner">x</div><div id="site__header">y</div><div class="box sidebar">z</div><p>a</p><div id="disqus_thread">c</div>', "a"),
+    ("<html><head><title>t</title><body><p>a</p></body></html>", "a"),
+    ("<head><template><b>t<body>a", "a"),
+    ("<head><meta charset=x><title>t</title> <p>a", "a"),
+    ("<head><title>t</title>\n a", "a"),
+    ("<head><script>s</script><style>p{}</style><noscript>n</noscript></head><body>a", "a"),
+])
+def test_names_and_open_heads_take_no_text(page, text):
+    assert text_of(page) == text
+
+
 def test_deep_nesting_and_long_pages():
     assert text_of("<div>" * 20_000 + "x") == "x"
     assert len(text_of("<p>" + "word " * 200_000)) == 999_999
