@@ -5,9 +5,8 @@ words in a row; its weight is how often it occurs. Two texts are as similar as t
 smaller weights over the sum of the larger ones (weighted Jaccard).
 
 1. A window as long as an item starts wherever a shingle of the document and one of the item agree
-   and line up. A window that is similar to an item shares a run of shingles with it, so it is
-   enough to look at every second word for shingles that any item has. That takes no shuffle, and
-   documents without such a shingle are done with.
+   and line up. Every place of the document is looked at, as an item may be one shingle only. That
+   takes no shuffle, and documents without such a shingle are done with.
 2. Windows and items get a SimHash of 128 bits in 8 blocks: bit by bit, the sign of the weighted
    votes of the shingles' hashes.
 3. Multi-index: if two fingerprints differ in at most RADIUS = 31 bits, they differ in at most 3 of
@@ -42,8 +41,6 @@ BLOCKS, BLOCK_BITS, SLACK = 8, 16, 3
 RADIUS = BLOCKS * (SLACK + 1) - 1
 #: Shingles of the benchmark that one pass over the documents looks for.
 BLOCK = 100_000
-#: A window at the threshold has two shingles in a row in common, so every second place is enough.
-STRIDE = 2
 
 
 def words_of(text: Column) -> Column:
@@ -57,8 +54,8 @@ def shingle_at(words: Column, i: Column, size: int) -> Column:
     return F.xxhash64(*[words[i + k] for k in range(size)])
 
 
-def places(count: Column, size: int, stride: int = 1) -> Column:
-    return F.when(count >= size, F.sequence(F.lit(0), count - size, F.lit(stride))).otherwise(F.array().cast("array<int>"))
+def places(count: Column, size: int) -> Column:
+    return F.when(count >= size, F.sequence(F.lit(0), count - size, F.lit(1))).otherwise(F.array().cast("array<int>"))
 
 
 def shingles_of(words: Column, count: Column, size: int) -> Column:
@@ -129,7 +126,7 @@ def matches(
     for size in sizes:
         own = sorted(s for n, s in wanted if n == size)
         for start in range(0, len(own), BLOCK):
-            some = _windows(docs, key, text, posting.where(F.col("size") == size), own[start:start + BLOCK], size, shingle)
+            some = _windows(docs, key, text, posting.where(F.col("size") == size), own[start:start + BLOCK], size)
             found = some if found is None else found.unionByName(some)
     # Few windows are left; they are settled, so the documents are read once and the numbers stay.
     windows = settled(found.withColumn("id", F.monotonically_increasing_id()))
@@ -147,12 +144,10 @@ def matches(
         F.col("key").alias(key), F.col("item").alias(item), (-F.col("best.back")).alias("start_word"), F.col("best.length").alias("n_words"), F.col("best.similarity").alias("similarity"))
 
 
-def _windows(docs: DataFrame, key: str, text: str, posting: DataFrame, wanted: list[int], size: int, shingle: int) -> DataFrame:
+def _windows(docs: DataFrame, key: str, text: str, posting: DataFrame, wanted: list[int], size: int) -> DataFrame:
     """(key, start, length, shingles, print) of the windows that line up with an item at a wanted shingle."""
     read = docs.select(F.col(key).alias("key"), words_of(F.col(text)).alias("words")).withColumn("count", F.size("words"))
-    stride = STRIDE if size == shingle else 1
-
-    shingled = F.transform(places(F.col("count"), size, stride), lambda i: F.struct(i.alias("place"), shingle_at(F.col("words"), i, size).alias("shingle")))
+    shingled = F.transform(places(F.col("count"), size), lambda i: F.struct(i.alias("place"), shingle_at(F.col("words"), i, size).alias("shingle")))
     hits = F.filter(shingled, lambda x: x["shingle"].isin(wanted))
     # The places of a document's hits travel with their shingles; the items that have them are joined by shingle.
     # An outer generator: from an inner one, or a filter on the hits, Spark would infer a predicate and push it

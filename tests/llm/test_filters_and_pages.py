@@ -198,6 +198,23 @@ def test_leaks_equal_brute_force(spark, make_docs):
     assert got == pytest.approx(brute.leaks(docs, items))
 
 
+def test_items_of_few_shingles_at_odd_and_even_places(spark, make_docs):
+    items = [(1, "five words are one shingle"), (2, "while six words have two shingles"), (3, " ".join(f"w{i}" for i in range(12)))]
+    docs = [(10 * n + k, "x " * k + text + " y" * (k % 3)) for n, text in items for k in range(4)]
+    docs += [(90, "a five words are two shingles"), (91, "w0 w1 w2 w3 w4 z w6 w7 w8 w9 w10 w11"), (92, "b w0 w1 w2 w3 w4 w5 z w7 w8 w9 w10 w11")]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    for threshold in (0.8, 0.2):
+        got = {(r["doc_id"], r["item_id"]): r["similarity"] for r in decontaminate.matches(make_docs(docs), benchmark, threshold=threshold).collect()}
+        want = brute.leaks(docs, items, threshold)
+        assert {k for k in want if want[k] == 1} == {(10 * n + k, n) for n, _ in items for k in range(4)}
+        if threshold == 0.8:
+            assert got == pytest.approx(want)
+        else:
+            # Fingerprints bound what a lower threshold finds; copies are found by any.
+            assert {k for k in got if got[k] == 1} == {k for k in want if want[k] == 1} and set(got) <= set(want)
+    assert {r["doc_id"] for r in decontaminate.clean(make_docs(docs), benchmark).collect()} == {90, 91, 92}
+
+
 def test_cleaning_keeps_rows_that_share_a_null_key(spark, make_docs):
     item = " ".join(f"w{i}" for i in range(20))
     rows = [(None, item), (None, "clean"), (3, item), (3, "clean too"), (4, None)]
