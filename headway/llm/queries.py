@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headway.llm import byte_bpe, decontaminate, exact_dedup, html_extract, language_id, ngram_join, secret_scan, substring_dedup, suffix_dedup, url_filter
+from headway.llm import byte_bpe, code_compression, decontaminate, exact_dedup, html_extract, language_id, ngram_join, secret_scan, substring_dedup, suffix_dedup, url_filter
 from headway.llm._common import table
 
 QUERIES: dict = {}
@@ -153,3 +153,12 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text"), forest)
     # The report names a secret by its hash, so that it is not spread further.
     return found.select("doc_id", F.col("nth").cast("long").alias("nth"), F.length("value").cast("long").alias("n_chars"), F.sha2("value", 256).alias("value_sha256"), "score")
+
+
+@query()
+def op12_code_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    books = code_compression.fit(rows)
+    found = code_compression.with_label_error(code_compression.encode(rows, books).drop("embedding"))
+    sha = books.sha256() if books else None
+    return found.select("vec_id", "code", "error", "label_error", F.lit(sha).cast("string").alias("codebooks_sha256"))
