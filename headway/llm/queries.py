@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headway.llm import byte_bpe, code_compression, decontaminate, exact_dedup, html_extract, language_id, ngram_join, secret_scan, substring_dedup, suffix_dedup, url_filter
+from headway.llm import byte_bpe, code_compression, decontaminate, exact_dedup, html_extract, language_id, ngram_join, secret_scan, substring_dedup, suffix_dedup, token_alignment, url_filter
 from headway.llm._common import table
 
 QUERIES: dict = {}
@@ -162,3 +162,12 @@ def op12_code_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = code_compression.with_label_error(code_compression.encode(rows, books).drop("embedding"))
     sha = books.sha256() if books else None
     return found.select("vec_id", "code", "error", "label_error", F.lit(sha).cast("string").alias("codebooks_sha256"))
+
+
+@query()
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    a, b = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    found = token_alignment.counted(table(spark, sf_dir, "documents").select("doc_id", "text"), a, b, digest=True)
+    return found.withColumnRenamed("groups", "groups_sha256")
