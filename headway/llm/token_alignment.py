@@ -8,6 +8,10 @@ Both encode a text as plain text: A a space and the text, B the text, before whi
   bytes since the cut before are as many as the token's own. Where they are not (a token ends inside
   a character, or is one byte of it), the cut is moved on by the decoded bytes of the tokens since the last
   right one. Texts whose tokens, joined as bytes, are not a space and the text have no tokens.
+* **Words.** Neither tokenizer joins what stands before a single blank between two other characters with
+  what stands behind it, which is checked on its vocabulary; so texts are cut there, and a word is
+  aligned once for many documents. A text with a word whose tokens don't join to it is aligned
+  as a whole, as all texts are where the check fails.
 * **Groups** are cut where tokens of both end. **Links** are the pairs of occurrences of an A and a
   B token whose bytes overlap: one for each stretch between two ends of either.
 * **Counts.** An id pair's count is the number of documents that hold it linked. The rows of a task
@@ -17,8 +21,8 @@ Both encode a text as plain text: A a space and the text, B the text, before whi
   goes to every task. Then the rows of a block meet its answers: links by count, without an exploded pair.
 
 What blocks found is written to the shared folder before counts are asked for, so a lost executor
-cannot change which list an answer belongs to. Tokenizers run once a text. A task holds one block; a text larger than a block
-is a block of its own, as tokenizers need it whole.
+cannot change which list an answer belongs to. A task holds one block and a table of words bounded by
+characters; a text larger than a block is a block of its own, as tokenizers need it whole.
 
 Null and empty texts have no tokens: zeros, and no groups. Repeated rows are rows of their own and count as
 documents of their own; keys may be null. An empty table gives an empty result. Only key and text
@@ -43,8 +47,12 @@ from pyspark.sql.pandas.types import to_arrow_type
 from headway.llm._common import importable, shuffle_partitions
 from headway.session import run_dir
 
-#: Characters of text in a block, and most rows.
-BLOCK_CHARS, BLOCK_ROWS = 8 << 20, 1 << 16
+#: Characters of text in a block, and most rows; characters of words that a task remembers from block to block.
+BLOCK_CHARS, BLOCK_ROWS, WORD_CHARS = 4 << 20, 1 << 16, 12 << 20
+#: Characters of new words that are aligned in one go.
+JOINED_CHARS = 1 << 18
+#: A blank between two characters that aren't white space.
+CUT = re.compile(r"(?<=\S) (?=\S)")
 SPACE, PIECE_SPACE = " ", "▁"
 
 
@@ -61,18 +69,25 @@ class Aligned:
 
     def __init__(self, ids_a: np.ndarray, ends_a: np.ndarray, ids_b: np.ndarray, ends_b: np.ndarray):
         self.ids_a, self.ends_a, self.ids_b, self.ends_b = ids_a, ends_a, ids_b, ends_b
-        self.common = np.intersect1d(ends_a, ends_b)
+        every = np.sort(np.concatenate([ends_a, ends_b]), kind="stable")
+        again = every[1:] == every[:-1]
+        #: Ends of both, and all ends: tokens have bytes, so those of one are distinct.
+        self.common, self.every = every[1:][again], every[np.append(~again, [True] * min(1, len(every)))]
 
     def links(self) -> np.ndarray:
         """A pair of ids for each stretch of bytes between two ends, as a << 32 | b."""
-        ends = np.union1d(self.ends_a, self.ends_b)
+        ends = self.every
         a = self.ids_a[np.searchsorted(self.ends_a, ends)]
         return a.astype(np.int64) << 32 | self.ids_b[np.searchsorted(self.ends_b, ends)]
 
     def groups(self, names: np.ndarray) -> str:
         """``a1,a2|b1;a3|b2,b3``; names are decimal ids as texts."""
+        return "".join(self.spelled(names)[:-1])
+
+    def spelled(self, names: np.ndarray) -> list[str]:
+        """The tokens of both in the order of groups, and behind each what parts it from the next."""
         if not len(self.common):
-            return ""
+            return []
         in_a, in_b = np.searchsorted(self.common, self.ends_a), np.searchsorted(self.common, self.ends_b)
         last_a, last_b = np.searchsorted(self.ends_a, self.common, "right"), np.searchsorted(self.ends_b, self.common, "right")
         out = np.empty((len(in_a) + len(in_b), 2), object)
@@ -83,8 +98,7 @@ class Aligned:
         out[:, 1] = ","
         out[place_a[last_a - 1], 1] = "|"
         out[place_b[last_b - 1], 1] = ";"
-        out[-1, 1] = ""
-        return "".join(out.ravel().tolist())
+        return out.ravel().tolist()
 
 
 NOTHING = Aligned(*[np.zeros(0, np.int64)] * 4)
@@ -108,12 +122,13 @@ class Tokenizers:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.a, self.b = tokenizers.Tokenizer.from_str(a), sentencepiece.SentencePieceProcessor(model_proto=b)
         self.a.encode_special_tokens = True
-        own = byte_characters()
-        added = {t["content"] for t in json.loads(a).get("added_tokens", [])}
+        own, file = byte_characters(), json.loads(a)
+        added = {t["content"] for t in file.get("added_tokens", [])}
         vocabulary = {i: t.encode() if t in added else bytes(own[c] for c in t) for t, i in self.a.get_vocab().items()}
         self.bytes_a = [vocabulary.get(i, b"") for i in range(max(vocabulary, default=-1) + 1)]
         self.bytes_b = [self._piece(self.b.id_to_piece(i)) for i in range(self.b.get_piece_size())]
         self.lengths_a, self.lengths_b = (np.array([len(t) for t in table], np.int64) for table in (self.bytes_a, self.bytes_b))
+        self.by_word = self._words_apart(file, b)
         self.names = np.array([str(i) for i in range(max(len(self.bytes_a), len(self.bytes_b)))], object)
 
     @staticmethod
@@ -121,6 +136,18 @@ class Tokenizers:
         single = re.fullmatch("<0x([0-9A-Fa-f]{2})>", piece)
         return bytes([int(single[1], 16)]) if single else piece.replace(PIECE_SPACE, SPACE).encode()
 
+    def _words_apart(self, a: dict, b: bytes) -> bool:
+        """Whether no token of either can go over a blank that stands alone."""
+        from sentencepiece import sentencepiece_model_pb2
+
+        cutter = a.get("pre_tokenizer") or {}
+        plain = all(t["special"] for t in a.get("added_tokens", [])) and a.get("normalizer") is None
+        model = sentencepiece_model_pb2.ModelProto.FromString(b)
+        rules = model.normalizer_spec
+        own = not rules.precompiled_charsmap and rules.add_dummy_prefix and not rules.remove_extra_whitespaces and rules.escape_whitespaces
+        split = not any(PIECE_SPACE in p.piece.lstrip(PIECE_SPACE) for p in model.pieces)
+        return plain and own and split and cutter.get("type") == "ByteLevel" and cutter.get("use_regex", True) and not cutter.get("add_prefix_space")
+
     def align(self, text: str | None) -> Aligned:
         if not text:
             return NOTHING
@@ -154,16 +181,15 @@ def _shared(spark, a: str, b: str):
         return spark.sparkContext.broadcast((first.read(), second.read()))
 
 
-_loaded: dict[int, Tokenizers] = {}
+_loaded: dict[tuple[str, bytes], Tokenizers] = {}
 
 
 def _tokenizers(shared) -> Tokenizers:
-    """A worker loads the tokenizers once; the last pair is kept."""
-    value = shared.value
-    if id(value) not in _loaded:
+    """A worker loads the tokenizers once, also for later queries; the last pair is kept."""
+    if shared.value not in _loaded:
         _loaded.clear()
-        _loaded[id(value)] = Tokenizers(*value)
-    return _loaded[id(value)]
+        _loaded[shared.value] = Tokenizers(*shared.value)
+    return _loaded[shared.value]
 
 
 def aligned(docs: DataFrame, a: str, b: str, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -187,38 +213,125 @@ def aligned(docs: DataFrame, a: str, b: str, key: str = "doc_id", text: str = "t
     return rows.mapInArrow(align, f"key {kind}, {arrays}, groups string").withColumnRenamed("key", key)
 
 
+class Words(dict):
+    """Words by number. Those asked for the first time are aligned when ``learn`` is called, many in one text."""
+
+    def __init__(self, own: Tokenizers):
+        self.own, self.chars, self.pending, self.total = own, 0, [], 0
+        #: Of each word: its numbers, and where its links begin among all; no tokens where they don't join to it.
+        self.table, self.pairs, self.groups = np.zeros((0, len(NUMBERS) + 1), np.int64), np.zeros(0, np.int64), []
+
+    def __missing__(self, word: str) -> int:
+        self[word] = number = self.number(len(word))
+        self.pending.append((number, word))
+        return number
+
+    def number(self, chars: int) -> int:
+        self.chars, self.total = self.chars + chars + 32, self.total + 1
+        return self.total - 1
+
+    def learn(self) -> None:
+        part, chars = [], 0
+        for number, word in self.pending:
+            if word[0].isspace() or word[-1].isspace():  # joined to others it would be cut differently
+                self._align([(number, word)])
+                continue
+            part.append((number, word))
+            chars += len(word)
+            if chars >= JOINED_CHARS:
+                self._align(part)
+                part, chars = [], 0
+        if part:
+            self._align(part)
+        self.pending = []
+
+    def whole(self, text: str) -> int:
+        """The number of a text that is aligned as it is."""
+        number = self.number(len(text))
+        self._align([(number, text)])
+        return number
+
+    def _align(self, part: list[tuple[int, str]]) -> None:
+        while len(self.table) < self.total:
+            self.table = np.concatenate([self.table, np.zeros((max(1024, len(self.table)), self.table.shape[1]), np.int64)])
+        self.groups += [""] * (self.total - len(self.groups))
+        found = self.own.align(" ".join(word for _, word in part))
+        if not len(found.ids_a):
+            for half in (part[:len(part) // 2], part[len(part) // 2:]) if len(part) > 1 else ():
+                self._align(half)
+            return
+        ends = np.cumsum([len(word.encode()) + 1 for _, word in part])
+        upto = np.stack([np.searchsorted(x, ends, "right") for x in (found.ends_a, found.ends_b, found.common, found.every)], axis=1)
+        numbers = np.diff(upto, axis=0, prepend=0)
+        at = np.array([number for number, _ in part])
+        self.table[at, :-1] = numbers
+        self.table[at, -1] = len(self.pairs) + upto[:, 3] - numbers[:, 3]
+        self.pairs = np.concatenate([self.pairs, found.links()])
+        spelled, start = found.spelled(self.own.names), 0
+        for (number, _), end in zip(part, (2 * (upto[:, 0] + upto[:, 1])).tolist()):
+            self.groups[number] = "".join(spelled[start:end - 1])
+            start = end
+
+
 class Block:
-    """Documents of a task until there are enough: their numbers, and their pairs with how often each is linked."""
+    """Documents of a task until there are enough: keys, texts, and their words by number."""
 
-    def __init__(self):
-        self.keys, self.rows, self.groups, self.pairs, self.times, self.chars = [], [], [], [], [], 0
+    def __init__(self, words: Words):
+        self.words, self.keys, self.texts, self.at, self.chars = words, [], [], [], 0
 
-    def add(self, key: pa.Array, found: Aligned, groups: str, chars: int) -> None:
-        pairs, times = np.unique(found.links(), return_counts=True)
+    def add(self, key: pa.Array, text: str) -> None:
         self.keys.append(key)
-        self.rows.append((len(found.ids_a), len(found.ids_b), len(found.common), int(times.sum())))
-        self.groups.append(groups)
-        self.pairs.append(pairs)
-        self.times.append(times.astype("<u4"))
-        self.chars += chars
-
-    def sent(self, block: int, owners: int, key_type: pa.DataType, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+        self.texts.append(text)
+        self.at.append([self.words[w] for w in CUT.split(text)] if text and self.words.own.by_word else [])
+        self.chars += len(text)
+
+    def settle(self) -> None:
+        """Aligns what is new; a text with a word that has no tokens of its own is aligned as a whole."""
+        self.words.learn()
+        for i, (text, at) in enumerate(zip(self.texts, self.at)):
+            if text and not (at and self.words.table[at, 0].all()):
+                self.at[i] = [self.words.whole(text)]
+
+    def groups(self, digest: bool) -> list[str]:
+        groups = [";".join(filter(None, map(self.words.groups.__getitem__, at))) for at in self.at]
+        return [hashlib.sha256(g.encode()).hexdigest() if g else g for g in groups] if digest else groups
+
+    def counted(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Numbers of each document; the pairs of all; then, by document, which pairs it holds, how many, and how often each."""
+        sizes, at = np.array([len(x) for x in self.at]), np.array([n for x in self.at for n in x], np.int64)
+        doc = np.repeat(np.arange(len(sizes)), sizes)
+        words = self.words.table[at]
+        numbers = np.zeros((len(sizes), len(NUMBERS)), np.int64)
+        np.add.at(numbers, doc, words[:, :-1])
+        pairs, of = np.unique(self.words.pairs, return_inverse=True)
+        first, held = words[:, -1], words[:, -2]
+        ends = np.cumsum(held)
+        places = of[np.repeat(first - (ends - held), held) + np.arange(held.sum())]
+        both, times = np.unique(np.repeat(doc, held) * max(1, len(pairs)) + places, return_counts=True)
+        doc, which = np.divmod(both, max(1, len(pairs)))
+        return numbers, pairs, which, np.bincount(doc, minlength=len(sizes)), times
+
+    def sent(self, block: int, owners: int, digest: bool, key_type: pa.DataType, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
         """Rows of the documents, then a list of pairs for each owner; documents name pairs by their place in the lists."""
-        pairs, at, counts = np.unique(np.concatenate(self.pairs), return_inverse=True, return_counts=True)
-        owner = _owner(pairs, owners)
+        self.settle()
+        numbers, pairs, which, sizes, times = self.counted()
+        counts = np.bincount(which, minlength=len(pairs))
+        used = np.flatnonzero(counts)
+        owner = _owner(pairs[used], owners)
         order = np.argsort(owner, kind="stable")
-        place = np.empty(len(order), "<u4")
-        place[order] = np.arange(len(order))
-        ends = np.cumsum([len(p) for p in self.pairs])
-        places = [x.astype("<u4").tobytes() for x in np.split(place[at], ends[:-1])]
-        n = len(self.rows)
+        owner, used = owner[order], used[order]
+        place = np.zeros(len(pairs), "<u4")
+        place[used] = np.arange(len(used))
+        pairs, counts = pairs[used], counts[used].astype("<i8")
+        ends = np.cumsum(sizes)[:-1]
+        places, times = ([x.tobytes() for x in np.split(v.astype("<u4"), ends)] for v in (place[which], times))
+        n = len(sizes)
         columns = {
             "block": pa.array([block] * n, pa.int64()), "owner": pa.nulls(n, pa.int32()), "key": pa.concat_arrays(self.keys),
-            **{name: pa.array([r[i] for r in self.rows], pa.int64()) for i, name in enumerate(NUMBERS)},
-            "groups": pa.array(self.groups, pa.string()), "pairs": pa.array(places, pa.binary()), "times": pa.array([t.tobytes() for t in self.times], pa.binary()),
+            **{name: pa.array(numbers[:, i]) for i, name in enumerate(NUMBERS)},
+            "groups": pa.array(self.groups(digest), pa.string()), "pairs": pa.array(places, pa.binary()), "times": pa.array(times, pa.binary()),
         }
         yield pa.RecordBatch.from_pydict(columns, schema)
-        owner, pairs, counts = owner[order], pairs[order], counts[order].astype("<i8")
         starts = np.flatnonzero(np.diff(owner, prepend=-1))
         ends = np.append(starts[1:], len(owner))
         n = len(starts)
@@ -247,20 +360,17 @@ def _send(shared, owners: int, digest: bool, key_type: pa.DataType, block_chars:
     ])
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, number, block = _tokenizers(shared), TaskContext.get().partitionId() << 32, Block()
+        own, number = _tokenizers(shared), TaskContext.get().partitionId() << 32
+        block = Block(Words(own))
         for batch in batches:
             for i, t in enumerate(batch["text"]):
                 text = t.as_py() or ""
-                found = own.align(text)
-                groups = found.groups(own.names)
-                if digest and len(found.ids_a):
-                    groups = hashlib.sha256(groups.encode()).hexdigest()
-                if block.rows and (block.chars + len(text) > block_chars or len(block.rows) == BLOCK_ROWS):
-                    yield from block.sent(number, owners, key_type, schema)
-                    number, block = number + 1, Block()
-                block.add(batch["key"].slice(i, 1), found, groups, len(text))
-        if block.rows:
-            yield from block.sent(number, owners, key_type, schema)
+                if block.keys and (block.chars + len(text) > block_chars or len(block.keys) == BLOCK_ROWS):
+                    yield from block.sent(number, owners, digest, key_type, schema)
+                    number, block = number + 1, Block(block.words if block.words.chars < WORD_CHARS else Words(own))
+                block.add(batch["key"].slice(i, 1), text)
+        if block.keys:
+            yield from block.sent(number, owners, digest, key_type, schema)
 
     return send
 

@@ -4,6 +4,7 @@ import hashlib
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import public_tokenizers
 import pytest
 from conftest import plan_of
@@ -101,17 +102,34 @@ def test_counts_equal_brute_force(spark, tools, block):
     assert sorted((str(r["doc_id"]), r["groups"]) for r in hashed) == sorted((r[0], hashlib.sha256(r[-1].encode()).hexdigest() if r[1] else "") for r in expected)
 
 
-def test_blocks_of_any_size_count_the_same(tools):
-    """Lists of many small blocks and of one large one add up to the same counts."""
-    import pyarrow as pa
-
-    block = ta.Block()
-    for i, t in texts(3, 30):
-        block.add(pa.array([i], pa.int64()), tools.align(t), "", 1)
-    schema = pa.schema([("block", pa.int64()), ("owner", pa.int32()), ("key", pa.int64()), *[(n, pa.int64()) for n in ta.NUMBERS], ("groups", pa.string()), ("pairs", pa.binary()), ("times", pa.binary())])
-    docs, lists = block.sent(5, 3, pa.int64(), schema)
-    assert docs.num_rows == len(block.rows) and lists.num_rows == 3
-    assert sum(len(p.as_py()) for p in lists["pairs"]) == sum(len(p.as_py()) for p in lists["times"])
+def test_words_of_a_block_are_aligned_as_whole_texts_are(tools):
+    assert tools.by_word
+    words, rows = ta.Words(tools), texts(3, 120)
+    rows += [(0, "a word a  word\ta word 's ' s don't"), (0, " lead a"), (0, "end "), (0, "x \x1c y z"), (0, "a \u0085b c\u2028 d")]
+    for by_word in (True, False):
+        tools.by_word = by_word
+        block = ta.Block(words)
+        for i, (_, t) in enumerate(rows):
+            block.add(None, t or "")
+        block.settle()
+        groups = block.groups(False)
+        numbers, pairs, which, sizes, times = block.counted()
+        held = [dict(zip(pairs[w].tolist(), n.tolist())) for w, n in zip(*(iter(np.split(x, sizes.cumsum()[:-1])) for x in (which, times)))]
+        for i, (_, t) in enumerate(rows):
+            found = tools.align(t)
+            assert numbers[i].tolist() == [len(found.ids_a), len(found.ids_b), len(found.common), len(found.links())]
+            assert groups[i] == found.groups(tools.names)
+            assert held[i] == dict(Counter(found.links().tolist()))
+        tools.by_word = True
+
+
+def test_words_are_not_cut_for_other_vocabularies(tools):
+    import json
+
+    a, b = json.load(open(A, encoding="utf-8")), open(B, "rb").read()
+    assert tools._words_apart(a, b)
+    for change in ({"normalizer": {"type": "NFC"}}, {"pre_tokenizer": {"type": "Whitespace"}}, {"added_tokens": [{"content": "a b", "special": False}]}):
+        assert not tools._words_apart({**a, **change}, b)
 
 
 def test_real_outputs_and_odd_tables(spark, tools):
