@@ -72,7 +72,7 @@ class Aligned:
         every = np.sort(np.concatenate([ends_a, ends_b]), kind="stable")
         again = every[1:] == every[:-1]
         #: Ends of both, and all ends: tokens have bytes, so those of one are distinct.
-        self.common, self.every = every[1:][again], every[np.append(~again, [True] * min(1, len(every)))]
+        self.common, self.every = every[1:][again], np.append(every[:-1][~again], every[-1:])
 
     def links(self) -> np.ndarray:
         """A pair of ids for each stretch of bytes between two ends, as a << 32 | b."""
