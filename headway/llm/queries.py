@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headway.llm import byte_bpe, code_compression, decontaminate, exact_dedup, html_extract, language_id, ngram_join, secret_scan, substring_dedup, suffix_dedup, token_alignment, url_filter
+from headway.llm import byte_bpe, code_compression, decontaminate, exact_dedup, html_extract, language_id, ngram_join, pii, secret_scan, substring_dedup, suffix_dedup, token_alignment, url_filter
 from headway.llm._common import table
 
 QUERIES: dict = {}
@@ -171,3 +171,17 @@ def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     a, b = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
     found = token_alignment.counted(table(spark, sf_dir, "documents").select("doc_id", "text"), a, b, digest=True)
     return found.withColumnRenamed("groups", "groups_sha256")
+
+
+@query()
+def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    field = pii.train(pii.findings(spark))
+    found = pii.scan(table(spark, sf_dir, "documents").select("doc_id", "text"), field)
+
+    def joined(spans: str):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def number(kind: str):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", *map(number, pii.KINDS), F.sha2(joined("base"), 256).alias("base_sha256"), joined("spans").alias("spans"))
