@@ -5,8 +5,11 @@
    Golomb-Rice-coded gaps: some 4 bytes a text.
 2. An owner merges the lists of all blocks and answers each block with a bitmap: which of its
    fingerprints occur elsewhere too. A block adds those it had seen twice itself.
-3. Only the texts of rows marked so (suspects) are shuffled. Grouping by the text itself compares
-   their bytes, after copies within a task have been counted together.
+3. Only the texts of rows marked so (suspects) are shuffled: the texts are read again and kept where
+   their hash is one of a suspect's. Each hash counts once, however many rows have it; up to
+   ``BROADCAST_SUSPECTS`` of them, as counted, go to every task, so no other text moves. With more, the
+   texts are dealt by key and hash instead. Grouping by the text itself compares the suspects' bytes,
+   after copies within a task have been counted together.
 
 The blocks' lists and rows are settled in the shared folder before the answers come, so a lost
 executor cannot change which row a bit stands for. A text with a third of all rows is one entry a
@@ -34,6 +37,8 @@ from headway.llm._common import importable, settled, shuffle_partitions, without
 FINGERPRINT_BITS = 48
 #: Most rows in a block; it bounds a task's memory.
 BLOCK_ROWS = 1 << 16
+#: Most hashes of suspects that are sent to every task: 8 bytes each, some 100 MB as Spark's hash table.
+BROADCAST_SUSPECTS = 2_000_000
 MARKS = ("keep_id", "group_size", "kept", "text_sha256")
 
 
@@ -130,19 +135,19 @@ def _answer(bits: int):
     return answer
 
 
-def _receive(_, rows: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-    """A block's rows with the bit of each."""
-    found = []
-    answers = answers.sort_values("owner")
-    marks = [np.unpackbits(np.frombuffer(m, np.uint8))[:n] for m, n in zip(answers["marks"], answers["n"])]
+def _receive(rows: pa.Table, answers: pa.Table) -> pa.Table:
+    """A block's rows with the bit of each; keys stay in Arrow, where a null among them changes no other."""
+    answers = answers.sort_by("owner")
+    marks = [np.unpackbits(np.frombuffer(m.as_py(), np.uint8))[:n.as_py()] for m, n in zip(answers["marks"], answers["n"])]
     bits = np.concatenate(marks) if marks else np.zeros(0, np.uint8)
+    found = []
     for keys, shas, at in zip(rows["keys"], rows["shas"], rows["data"]):
-        at = np.frombuffer(at, "<u4")
-        found.append(pd.DataFrame({
-            "key": pd.array([None if k is None or k != k else int(k) for k in keys], "Int64"),
-            "sha": [shas[i:i + 32] for i in range(0, len(shas), 32)], "suspect": bits[at].astype(bool),
+        shas = shas.as_py()
+        found.append(pa.table({
+            "key": pa.array(keys.values, pa.int64()), "sha": pa.array([shas[i:i + 32] for i in range(0, len(shas), 32)], pa.binary()),
+            "suspect": pa.array(bits[np.frombuffer(at.as_py(), "<u4")].astype(bool)),
         }))
-    return pd.concat(found) if found else pd.DataFrame({"key": pd.array([], "Int64"), "sha": [], "suspect": np.zeros(0, bool)})
+    return pa.concat_tables(found) if found else pa.table({"key": pa.nulls(0, pa.int64()), "sha": pa.nulls(0, pa.binary()), "suspect": pa.nulls(0, pa.bool_())})
 
 
 def _keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -158,17 +163,37 @@ def exchange(docs: DataFrame, key: str = "doc_id", text: str = "text", bits: int
     lists = sent.where(F.col("owner").isNotNull()).select("block", "owner", "n", "data", "twice")
     answers = lists.groupBy("owner").applyInPandas(_answer(bits), "block long, owner int, n int, marks binary")
     own = sent.where(F.col("owner").isNull()).select("block", "keys", "shas", "data")
-    return own.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(_receive, "key long, sha binary, suspect boolean")
+    return own.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_receive, "key long, sha binary, suspect boolean")
+
+
+def _mark(sha: str = "sha") -> Column:
+    return F.xxhash64(sha)
+
+
+def _suspects(rows: DataFrame) -> DataFrame | None:
+    """The distinct hashes of suspects, to be sent to every task; None if they are too many for that."""
+    marks = settled(rows.where("suspect").select(_mark().alias("mark")).distinct())
+    return F.broadcast(marks) if marks.limit(BROADCAST_SUSPECTS + 1).count() <= BROADCAST_SUSPECTS else None
+
+
+def _only(texts: DataFrame, rows: DataFrame, marks: DataFrame | None) -> DataFrame:
+    """The texts (key, sha, ...) of suspects."""
+    if marks is not None:
+        return texts.join(marks, _mark() == marks["mark"], "left_semi")
+    suspects = rows.where("suspect").select("key", "sha").distinct()
+    return texts.join(suspects, (texts["key"].eqNullSafe(suspects["key"])) & (texts["sha"] == suspects["sha"]), "left_semi")
 
 
 def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", bits: int = FINGERPRINT_BITS) -> DataFrame:
     """One row per row: key, keep_id (key of the row that stays), group_size, kept, text_sha256."""
     rows = settled(exchange(docs, key, text, bits))
-    suspects = rows.where("suspect").select("key", "sha").distinct()
-    texts = _keyed(docs, key, text)
+    return _classes(docs, rows, _suspects(rows), key, text)
+
+
+def _classes(docs: DataFrame, rows: DataFrame, marks: DataFrame | None, key: str, text: str) -> DataFrame:
     # Grouping by the text compares bytes; the sum over a task's copies comes before the shuffle.
     equal = (
-        texts.join(suspects, (texts["key"].eqNullSafe(suspects["key"])) & (texts["sha"] == suspects["sha"]), "left_semi")
+        _only(_keyed(docs, key, text), rows, marks)
         .groupBy("body").agg(F.max("key").alias("keep"), F.count("*").alias("size"), F.first("sha").alias("sha"))
         .select(F.col("sha").alias("of"), "keep", "size")
     )
@@ -184,13 +209,19 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", bits: int
     )
 
 
-def _sha(text: str) -> Column:
-    return F.sha2(F.coalesce(F.col(text), F.lit("")), 256)
-
-
-def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows that stay, with all their columns."""
-    keep = classes(docs, key, text).where("kept").select(F.col(key).alias("_key"), F.col("text_sha256").alias("_sha"))
-    own = docs.withColumn("_own", _sha(text))
-    stays = own[key].cast("long").eqNullSafe(keep["_key"]) & (own["_own"] == keep["_sha"])
-    return without(own.join(keep, stays, "left_semi").dropDuplicates([key, "_own"]), ["_own"])
+def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", bits: int = FINGERPRINT_BITS) -> DataFrame:
+    """The rows that stay, with all their columns. Rows that are no suspects stay where they are."""
+    rows = settled(exchange(docs, key, text, bits))
+    marks = _suspects(rows)
+    keep = _classes(docs, rows, marks, key, text).where("kept").select(F.col(key).alias("_key"), F.unhex("text_sha256").alias("_sha"))
+    own = docs.withColumn("_own", F.unhex(F.sha2(F.coalesce(F.col(text), F.lit("")), 256)))
+
+    def chosen(own: DataFrame) -> DataFrame:
+        stays = own[key].cast("long").eqNullSafe(keep["_key"]) & (own["_own"] == keep["_sha"])
+        return own.join(keep, stays, "left_semi").dropDuplicates([key, "_own"])
+
+    if marks is None:
+        return without(chosen(own), ["_own"])
+    own = own.withColumn("_mark", _mark("_own"))
+    alone = own.join(marks, own["_mark"] == marks["mark"], "left_anti")
+    return without(alone.unionByName(chosen(own.join(marks, own["_mark"] == marks["mark"], "left_semi"))), ["_own", "_mark"])

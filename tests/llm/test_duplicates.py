@@ -4,12 +4,14 @@ import collections
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from headway.llm import _graph, exact_dedup, ngram_join, queries, substring_dedup, suffix_dedup
+from headway.llm import _graph, _repeats, exact_dedup, ngram_join, queries, substring_dedup, suffix_dedup
+from tests.conftest import plan_of
 from tests.llm import brute
-from tests.llm.conftest import SMALL, prose
+from tests.llm.conftest import SMALL, docs_of, prose
 
 
 def texts(spark):
@@ -203,3 +205,40 @@ def test_components_of_paths_and_stars(spark):
     got = {r["node"]: r["component"] for r in _graph.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 100 for i in range(100, 131)}, **{i: 5 for i in [5, *range(200, 230)]}, 1: 1, 2: 1}
     assert _graph.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_a_null_key_changes_no_other(spark, monkeypatch):
+    large = 2**60
+    rows = [(None, "one text"), (large + 1, "same"), (large + 3, "same"), (large + 5, "other"), (None, "same"), (large + 7, None), (large + 9, "")]
+    docs = docs_of(spark, rows).coalesce(1)  # one block
+    kept = {large + 3, large + 5, large + 9, None}
+    for limit in (exact_dedup.BROADCAST_SUSPECTS, 0):
+        monkeypatch.setattr(exact_dedup, "BROADCAST_SUSPECTS", limit)
+        found = exact_dedup.classes(docs).collect()
+        assert sorted((str(r["doc_id"]), str(r["keep_id"]), r["group_size"], r["kept"]) for r in found) == sorted([
+            ("None", "None", 1, True), (str(large + 1), str(large + 3), 3, False), (str(large + 3), str(large + 3), 3, True), (str(large + 5), str(large + 5), 1, True),
+            ("None", str(large + 3), 3, False), (str(large + 7), str(large + 9), 2, False), (str(large + 9), str(large + 9), 2, True)])
+        assert {r["doc_id"] for r in exact_dedup.deduplicate(docs).collect()} == kept
+
+
+def test_only_texts_of_suspects_are_dealt(spark, make_docs):
+    """The one exchange that carries texts stands behind the join that keeps suspects."""
+    plan = plan_of(exact_dedup.classes(make_docs([(1, "a"), (2, "a"), (3, "b")])), "simple")
+    carries = [line for line in plan.splitlines() if "Exchange hashpartitioning(body" in line]
+    assert len(carries) == 1 and "BroadcastHashJoin" in plan[plan.index(carries[0]):]
+    assert "ENSURE_REQUIREMENTS" in plan and "key#" not in "".join(carries)
+
+
+def test_hot_anchors_are_told_apart_by_all_their_bits():
+    key = np.array([5 << 16, (5 + (1 << 40)) << 16], np.uint64)  # equal in the lower 32 of the 48 bits
+    pairs = _repeats._hot_pairs(pa.array([[5]], pa.list_(pa.int64())))
+    assert _repeats._among(np.zeros(2, np.int64), key, pairs, hot=True).tolist() == [True, False]
+
+
+def test_copies_are_found_by_two_hashes_of_their_own(spark):
+    docs = spark.createDataFrame([(1, 7, "x"), (2, 8, "x"), (3, 9, "y")], "doc long, print long, text string")
+    found = _repeats.copies_of(docs)
+    assert [(r["copy"], r["copy_prints"]) for r in found.collect()] == [(2, [8])]
+    hashes = docs.select(F.xxhash64("text").alias("one"), F.xxhash64(F.lit(1), "text").alias("two"), F.xxhash64("text", F.lit(1)).alias("chained")).first()
+    seeded = docs.select(F.xxhash64(F.lit(hashes["one"]))).first()
+    assert hashes["two"] != hashes["one"] and seeded is not None
