@@ -2,8 +2,8 @@
 
 A candidate is
 
-* a value that a name of a secret is given (``:``, ``=``): in quotes, also words with blanks
-  between, or up to the next white space; of any signs and at least 4 characters,
+* a value that a name with a name of a secret in it is given (``:``, ``=``): in quotes, also words with
+  blanks between, or up to the next white space; of any signs and at least 4 characters,
 * the password of a url's ``user:password@``,
 * what stands between quotes, without white space, of at least 4 characters,
 * a run of at least 16 characters of the base64 and url-safe alphabets.
@@ -43,6 +43,9 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from headway.llm._common import settled
+from headway.session import run_dir
+
 LETTERS = "A-Za-z0-9+/_="
 BEFORE, BEHIND = 40, 24
 #: Words by which people name secrets, harmless long values, and placeholders; and pairs of letters that words are made of.
@@ -50,16 +53,17 @@ SECRET_NAMES = "token|secret|passw(?:or)?d|passwd|pwd|api[_-]?key|access[_-]?key
 #: What keys of known kinds begin with.
 KEY_PREFIXES = "A[KS]IA[A-Z2-7]{12}|gh[pousr]_|github_pat_|sk_(?:live|test)_|xox[abprs]-|glpat-|AIza|eyJ[A-Za-z0-9]"
 #: Candidates: pairs of groups, what leads to a value and the value.
-GIVEN = rf"(?=[a-cpstA-CPST])(?i:{SECRET_NAMES})[\w-]{{0,12}}[\"'`\])]{{0,2}}\s{{0,8}}(?::=|=>|[:=])\s{{0,8}}"
+GIVEN = rf"(?<![\w-])(?=[\w-]++[\"'`\])]{{0,2}}\s*+[:=])(?=[\w-]*?(?=[a-cpstA-CPST])(?i:{SECRET_NAMES}))[\w-]++[\"'`\])]{{0,2}}\s*+(?::=|=>|[:=])\s*+"
+PHRASE = r"\w++(?: \w++)++"
 UNQUOTED = r"[^\s\"'`][^\s\"`]{2,}[^\s\"'`,;.)\]}>]"
 CANDIDATE = "|".join((
-    rf"({GIVEN}\")([^\s\"]{{4,}}|\w{{1,15}}(?: \w{{1,15}}){{1,11}})(?=\")",
-    rf"({GIVEN}')([^\s']{{4,}}|\w{{1,15}}(?: \w{{1,15}}){{1,11}})(?=')",
-    rf"({GIVEN}`)([^\s`]{{4,}}|\w{{1,15}}(?: \w{{1,15}}){{1,11}})(?=`)",
+    rf"({GIVEN}\")([^\s\"]{{4,}}|{PHRASE})(?=\")",
+    rf"({GIVEN}')([^\s']{{4,}}|{PHRASE})(?=')",
+    rf"({GIVEN}`)([^\s`]{{4,}}|{PHRASE})(?=`)",
     rf"({GIVEN}[\"'`]?)({UNQUOTED})",
-    r"(://[^\s/:@\"'<>]{0,256}:)([^\s/@\"<>]{4,})(?=@)",
-    rf"((?<!\w)[\"'`])(?![^\s\"'`]{{0,256}}?{GIVEN}[\"'`]?[^\s\"'`]{{4}})(?![a-zA-Z]{{1,20}}://[^\s/:@]{{0,256}}:[^\s/@]{{4,}}@)([^\s\"'`]{{4,}})(?=[\"'`](?!\w))",
-    rf"()(?<![{LETTERS}-])(?=[{LETTERS}-]{{16}})(?=[+/_=-]*[A-Za-z0-9])(?![{LETTERS}-]{{0,256}}?{GIVEN}[\"'`]?[^\s\"'`]{{4}})([{LETTERS}-]{{16,}})",
+    r"(://[^\s/:@\"'<>]*+:)([^\s/@\"<>]{4,})(?=@)",
+    rf"((?<!\w)[\"'`])(?![^\s\"'`]*?{GIVEN}[\"'`]?[^\s\"'`]{{4}})(?![a-zA-Z]++://[^\s/:@]*+:[^\s/@]{{4,}}@)([^\s\"'`]{{4,}})(?=[\"'`](?!\w))",
+    rf"()(?<![{LETTERS}-])(?=[{LETTERS}-]{{16}})(?=[+/_=-]*[A-Za-z0-9])(?![{LETTERS}-]*?{GIVEN}[\"'`]?[^\s\"'`]{{4}})([{LETTERS}-]{{16,}})",
 ))
 OPENS, CLOSES = "\ufdd0", "\ufdd1"
 HARMLESS_NAMES = "commit|sha-?[0-9]*|md5|checksum|digest|hash|etag|uuid|guid|version|revision|integrity|id|ref|build|image"
@@ -196,7 +200,11 @@ def train(labelled: DataFrame) -> PipelineModel:
     """A forest from labelled findings: value, before, behind, label (1: a secret)."""
     assembler = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
     forest = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=11, labelCol="label", featuresCol="features")
-    return Pipeline(stages=[assembler, forest]).fit(described(labelled))
+    # The features are computed once for all passes. A model as trained holds on to the session through its
+    # summary, and cannot be sent to tasks where the session has listeners; one that is read has none.
+    spark = labelled.sparkSession
+    Pipeline(stages=[assembler, forest]).fit(settled(described(labelled))).save(path := run_dir(spark, "forest"))
+    return PipelineModel.load(path)
 
 
 def scan(docs: DataFrame, forest: PipelineModel, key: str = "doc_id", text: str = "text", least: float = LEAST_SCORE) -> DataFrame:

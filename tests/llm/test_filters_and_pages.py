@@ -4,6 +4,7 @@ import os
 import sys
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from headway.llm import decontaminate, html_extract, queries, secret_scan, url_filter
@@ -296,3 +297,29 @@ def test_short_secrets_are_found_and_their_likes_are_not(spark, make_docs, fores
     others = ["author: Henderson wrote", "password: required", "password=${DB_PASSWORD}", 'the word "house" is', "the tokens: 4096 in all", "internationalisation of it"]
     got = {r["doc_id"] for r in secret_scan.scan(make_docs(list(enumerate(secrets + others))), forest).collect()}
     assert got == set(range(len(secrets)))
+
+
+@pytest.mark.parametrize("text, value", [
+    ('passphrase_secret: "' + " ".join(f"word{i}" for i in range(14)) + '"', " ".join(f"word{i}" for i in range(14))),
+    ('secret: "antidisestablishment over hill"', "antidisestablishment over hill"),
+    ("password_for_the_database=hunter2", "hunter2"), ("my-very-own-api-key-of-the-week = abcd1234", "abcd1234"),
+    ("db://" + "u" * 400 + ":S3cr3t!x@host/", "S3cr3t!x"), ("password" + " " * 30 + "= abcd1234", "abcd1234"),
+])
+def test_candidates_have_no_bounds(make_docs, text, value):
+    assert value in [r["value"] for r in secret_scan.candidates(make_docs([(1, "see " + text + " end")])).collect()]
+
+
+def test_very_long_texts_are_scanned_whole(make_docs, forest):
+    secret = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff"
+    runs = ["a" * 400_000, "token" * 60_000, "password " * 60_000, 'secret: "' + "word " * 80_000, "x:" * 100_000, '"' * 100_000]
+    got = secret_scan.scan(make_docs([(i, run + f' the token = "{secret}" end') for i, run in enumerate(runs)]), forest).where(F.col("value") == secret).collect()
+    assert {r["doc_id"] for r in got} == set(range(len(runs)))
+
+
+def test_scan_after_an_observation(spark, make_docs, forest):
+    """A session with listeners cannot be sent to tasks; the forest must not hold on to it."""
+    seen = Observation()
+    spark.range(3).observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get["n"] == 3
+    trained = secret_scan.train(secret_scan.findings(spark, 200))
+    assert secret_scan.scan(make_docs([(1, 'token = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff"')]), trained).count() == 1
