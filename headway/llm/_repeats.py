@@ -224,7 +224,7 @@ def _send(tokens: Callable[[pa.Array], Tokens], width: int, k: int, owners: int)
 
 
 def repeated(hot: int):
-    """Of an owner's anchors those that more than one document has, once for each document."""
+    """Of an owner's anchors those that more than one document has, once for each document; hot ones in full."""
 
     def find(sent: pa.Table) -> pa.Table:
         keys = np.concatenate([_long(x) for x in sent["keys"].to_pylist()])
@@ -237,7 +237,7 @@ def repeated(hot: int):
         size = np.diff(np.flatnonzero(np.append(new, True)))
         size = np.repeat(size, size)
         many = size > 1
-        return pa.table({"doc": docs[many], "key": _named(keys[many]).view(np.int32), "hot": size[many] >= hot})
+        return pa.table({"doc": docs[many], "key": _named(keys[many]).view(np.int32), "hot": pa.array(keys[many].view(np.int64), mask=size[many] < hot)})
 
     return find
 
@@ -246,8 +246,8 @@ def anchors(docs: DataFrame, tokens, width: int, k: int, hot: int) -> DataFrame:
     """(doc, keys, hot_keys) of documents with anchors that other documents have too."""
     owners = FINER * shuffle_partitions(docs.sparkSession)
     sent = docs.select("doc", "text").mapInArrow(_send(tokens, width, k, owners), "owner int, keys binary, docs binary")
-    named = sent.groupBy("owner").applyInArrow(repeated(hot), "doc long, key int, hot boolean")
-    return named.groupBy(F.col("doc").alias("of")).agg(F.collect_list("key").alias("keys"), F.collect_list(F.when(F.col("hot"), F.col("key"))).alias("hot_keys"))
+    named = sent.groupBy("owner").applyInArrow(repeated(hot), "doc long, key int, hot long")
+    return named.groupBy(F.col("doc").alias("of")).agg(F.collect_list("key").alias("keys"), F.collect_list("hot").alias("hot_keys"))
 
 
 def binary(body: np.ndarray, lengths: np.ndarray) -> pa.Array:
@@ -268,11 +268,18 @@ def _pairs(named: pa.Array) -> np.ndarray:
     return np.sort(keys.view(np.uint32).astype(np.uint64) + (docs.astype(np.uint64) << np.uint64(32)))
 
 
-def _among(doc: np.ndarray, key: np.ndarray, pairs: np.ndarray) -> np.ndarray:
+def _hot_pairs(named: pa.Array) -> np.ndarray:
+    """The same of hot keys. All their bits count, since every document must deal an anchor the same way."""
+    keys, docs = _lists(named)
+    return np.sort(keys.view(np.uint64) + (docs.astype(np.uint64) << np.uint64(KEY_BITS)))
+
+
+def _among(doc: np.ndarray, key: np.ndarray, pairs: np.ndarray, hot: bool = False) -> np.ndarray:
     """Whether documents have the keys in their lists."""
     if not len(pairs):
         return np.zeros(len(doc), bool)
-    own = _named(key >> np.uint64(64 - KEY_BITS)).astype(np.uint64) + (doc.astype(np.uint64) << np.uint64(32))
+    sent = key >> np.uint64(64 - KEY_BITS)
+    own = sent + (doc.astype(np.uint64) << np.uint64(KEY_BITS)) if hot else _named(sent).astype(np.uint64) + (doc.astype(np.uint64) << np.uint64(32))
     return pairs[np.minimum(np.searchsorted(pairs, own), len(pairs) - 1)] == own
 
 
@@ -285,10 +292,10 @@ def _cut(tokens, width: int, k: int, buckets: int, bucket_of: Callable):
         for batch in (part for whole in batches for part in slices(whole)):
             read = tokens(batch["text"])
             doc, start, count, bucket = [], [], [], []
-            named, named_hot = _pairs(batch["keys"]), _pairs(batch["hot_keys"])
+            named, named_hot = _pairs(batch["keys"]), _hot_pairs(batch["hot_keys"])
             for values, found in read.pieces(width, k):
                 use = _among(found.doc, found.key, named)
-                hot = use & _among(found.doc, found.key, named_hot)
+                hot = use & _among(found.doc, found.key, named_hot, hot=True)
                 some = np.flatnonzero(use & ~hot)
                 doc.append(found.doc[some])
                 start.append(found.start[some])
@@ -393,8 +400,12 @@ def settle(classes_of: Callable[[pa.Array], tuple[np.ndarray, np.ndarray, np.nda
 
 
 def copies_of(docs: DataFrame) -> DataFrame:
-    """(copy, copy_prints) of documents whose whole text a smaller document has too (equal by two 64-bit hashes)."""
-    known = docs.where(F.col("doc") != NO_KEY).select("doc", "print", F.xxhash64("text").alias("one"), F.xxhash64("text", F.lit(1)).alias("two"))
+    """(copy, copy_prints) of documents whose whole text a smaller document has too (equal by two 64-bit hashes).
+
+    A hash starts from that of the column before, so the salt of the second comes first: two texts
+    that share one hash do not share the other by that.
+    """
+    known = docs.where(F.col("doc") != NO_KEY).select("doc", "print", F.xxhash64("text").alias("one"), F.xxhash64(F.lit(1), "text").alias("two"))
     first = known.groupBy("one", "two").agg(F.min("doc").alias("first"))
     again = known.join(first, ["one", "two"]).where(F.col("doc") > F.col("first"))
     return again.groupBy(F.col("doc").alias("copy")).agg(F.collect_set("print").alias("copy_prints"))
