@@ -101,11 +101,16 @@ def sample(labelled: DataFrame, lang: str, key: str, text: str, max_rows: int) -
     langs = sorted(r[0] for r in rows.select(F.col(lang)).distinct().collect())  # as many as there are languages
     part = max(1, max_rows // max(1, len(langs)) // PARTS)
     mark = F.xxhash64(F.col(key).cast("string"), F.lit("language sample"))
-    lots = rows.select(F.col(key).alias("_key"), F.col(lang).alias("_lang"), mark.alias("_mark"), F.pmod(F.hash(mark), F.lit(PARTS)).alias("_part"))
+    # Ranked without texts, so that what is sorted is small; one row a key, and none without one.
+    lots = rows.where(F.col(key).isNotNull()).select(F.col(key).alias("_key"), F.col(lang).alias("_lang"), F.xxhash64(text).alias("_hash"), mark.alias("_mark"))
+    lots = lots.groupBy("_key").agg(F.min(F.struct("_lang", "_hash", "_mark")).alias("_one")).select("_key", "_one.*")
+    lots = lots.withColumn("_part", F.pmod(F.hash("_mark"), F.lit(PARTS)))
     order = Window.partitionBy("_lang", "_part").orderBy("_mark", "_key")
-    chosen = lots.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= part).select("_key").distinct()
-    # At most max_rows keys, so the broadcast is bounded; rows of one key repeated are cut off below.
-    return langs, rows.join(F.broadcast(chosen), rows[key] == chosen["_key"], "left_semi").select(F.col(lang).alias("lang"), F.col(text).alias("text"))
+    chosen = lots.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= part).select("_key", "_lang", "_hash")
+    # At most one key for each place, so the broadcast is bounded; equal rows of a key are one row.
+    same = (rows[key] == chosen["_key"]) & (rows[lang] == chosen["_lang"]) & (F.xxhash64(rows[text]) == chosen["_hash"])
+    found = rows.join(F.broadcast(chosen), same, "left_semi").groupBy(F.col(key).alias("_key"), F.col(lang).alias("lang")).agg(F.first(text).alias("text"))
+    return langs, found.select("lang", "text")
 
 
 class Machines:
@@ -157,7 +162,7 @@ def fit(labelled: DataFrame, lang: str = "lang", key: str = "doc_id", text: str
     if not signs:
         return Machines(langs, {})
     importable()
-    spark, limit = labelled.sparkSession, max_rows
+    spark = labelled.sparkSession
 
     @pandas_udf("binary")
     def packed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -165,7 +170,7 @@ def fit(labelled: DataFrame, lang: str = "lang", key: str = "doc_id", text: str
             yield pd.Series([features(t).tobytes() for t in texts], dtype=object)
 
     def train(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["sign", "x"])[:2 * limit]
+        rows = rows.sort_values(["sign", "x"])
         x = np.stack([np.frombuffer(v, np.float32) for v in rows["x"]])
         return pd.DataFrame({"machine": rows["machine"][:1], "weights": [fit_machine(x, rows["sign"].to_numpy(np.float64)).tobytes()]})
 

@@ -132,3 +132,12 @@ def test_the_sample_is_bounded(spark, make_docs):
 def test_families_tell_related_languages_apart():
     assert language_id.family_of("de") == language_id.family_of("en") != language_id.family_of("fr")
     assert language_id.family_of("xx") == "xx"
+
+
+def test_a_sample_has_one_row_a_key_and_both_signs(spark):
+    langs = [f"l{i:03}" for i in range(300)]
+    rows = [(i, f"{lang} {lang[::-1]} text", lang) for i, lang in enumerate(langs)] + [(0, "l000 again", "l000")] * 50 + [(None, "no key", "l001")] * 50
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    names, found = language_id.sample(docs, "lang", "doc_id", "text", 2000)
+    counts = {r["lang"]: r["count"] for r in found.groupBy("lang").count().collect()}
+    assert names == langs and counts == dict.fromkeys(langs, 1)
