@@ -33,17 +33,15 @@ def first_versions(staged: DataFrame, as_of: str) -> DataFrame:
     )
 
 
-def scd2(target: DataFrame, incoming: DataFrame, keys: list[str], tracked: list[str], as_of: str) -> DataFrame:
-    """Apply one row per key to a history table with one current row per key.
+def scd2_step(current: DataFrame, incoming: DataFrame, keys: list[str], tracked: list[str], as_of: str) -> DataFrame:
+    """Current rows after one row per key came in, and the versions that this closes.
 
-    Changed current rows are closed at ``as_of`` and followed by a new version, new keys
-    get their first, and keys not seen stay as they are. One join on the key serves
-    closing and inserting; closed history is only passed on. Comparison is null-safe, so
-    applying the same input again changes nothing.
+    Changed rows are closed at ``as_of`` and followed by a new version, new keys get their first,
+    and keys not seen stay as they are. One join on the key serves closing and inserting.
+    Comparison is null-safe, so applying the same input again changes nothing.
     """
     columns = [*keys, *tracked, *VALIDITY]
-    history = target.filter(~F.col("_is_current") | F.col("_is_current").isNull()).select(columns)
-    current = target.filter("_is_current").select(F.struct(*columns).alias("cur"), *keys)
+    known = current.select(F.struct(*columns).alias("cur"), *keys)
     fresh = first_versions(incoming.select(*keys, *tracked), as_of).select(F.struct(*columns).alias("inc"), *keys)
 
     cur, inc = F.col("cur"), F.col("inc")
@@ -56,5 +54,10 @@ def scd2(target: DataFrame, incoming: DataFrame, keys: list[str], tracked: list[
         .when(inc.isNull() | same, F.array(cur))
         .otherwise(F.array(closed, inc))
     )
-    merged = current.join(fresh, keys, "full").select(F.inline(rows))
-    return history.unionByName(merged)
+    return known.join(fresh, keys, "full").select(F.inline(rows))
+
+
+def scd2(target: DataFrame, incoming: DataFrame, keys: list[str], tracked: list[str], as_of: str) -> DataFrame:
+    """Apply one row per key to a history table with one current row per key; closed history is only passed on."""
+    history = target.filter(~F.col("_is_current") | F.col("_is_current").isNull()).select(*keys, *tracked, *VALIDITY)
+    return history.unionByName(scd2_step(target.filter("_is_current"), incoming, keys, tracked, as_of))

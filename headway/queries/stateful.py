@@ -12,6 +12,8 @@ from headway.queries.registry import Tables, query
 from headway.queries.statistics import HOURLY_ROUNDED_OUT, HOURLY_SQL, LOCATED_SQL, rounded
 from headway.session import run_dir
 from headway.sinks import tables
+from headway.sinks.history import History
+from headway.sinks.keyed import KeyedTable
 from headway.sources.readers import small_table
 
 CUT = "2024-01-15 00:00:00"
@@ -102,9 +104,7 @@ def scd2_apply(t: Tables) -> DataFrame:
     return dimensions.scd2(_old(t), _new(t), KEYS, TRACKED, SECOND)
 
 
-@query(
-    "dimension_maintenance",
-    f"""
+VERSIONS_SQL = f"""
     WITH {OLD_SQL},
     mid AS (SELECT o_custkey, o_orderpriority, o_orderstatus FROM orders
             WHERE o_orderdate >= TIMESTAMP '{FIRST}' AND o_orderdate < TIMESTAMP '{SECOND}'
@@ -120,8 +120,10 @@ def scd2_apply(t: Tables) -> DataFrame:
     SELECT o_custkey, o_orderpriority, o_orderstatus, seen AS _valid_from,
            coalesce(lead(seen) OVER w, TIMESTAMP '9999-12-31') AS _valid_until, lead(seen) OVER w IS NULL AS _is_current
     FROM k WINDOW w AS (PARTITION BY o_custkey ORDER BY step)
-    """,
-)
+    """
+
+
+@query("dimension_maintenance", VERSIONS_SQL)
 def dimension_maintenance(t: Tables) -> DataFrame:
     """Two loads in a row; the state in between is a written table, as between two runs."""
     seen = t.orders.filter(F.col("o_orderdate") < F.lit(SECOND).cast("timestamp_ntz"))
@@ -134,6 +136,41 @@ def dimension_maintenance(t: Tables) -> DataFrame:
     )
 
 
+@query("dimension_history", VERSIONS_SQL)
+def dimension_history(t: Tables) -> DataFrame:
+    """Three loads of a stored history, the last one twice: closed versions are written once, current rows by each load."""
+    history = History(t.spark, run_dir(t.spark, "history"), KEYS, TRACKED)
+    first = dimensions.stage_latest(t.orders.filter(F.col("o_orderdate") < F.lit(FIRST).cast("timestamp_ntz")), KEYS, TRACKED, "o_orderdate", "1970-01-01 00:00:00", ["o_orderkey"])
+    second = dimensions.stage_latest(t.orders.filter(F.col("o_orderdate") < F.lit(SECOND).cast("timestamp_ntz")), KEYS, TRACKED, "o_orderdate", FIRST, ["o_orderkey"])
+    third = dimensions.stage_latest(t.orders, KEYS, TRACKED, "o_orderdate", SECOND, ["o_orderkey"])
+    for staged, as_of in ((first, FIRST), (second, SECOND), (third, "2002-01-01 00:00:00"), (third, "2002-01-01 00:00:00")):
+        history.load(staged, as_of)
+    return history.read()
+
+
+@query(
+    "latest_compacted",
+    """
+    WITH r AS (
+        SELECT 'open' AS reader, * FROM events WHERE event_id % 5 < 3
+        UNION ALL SELECT 'last', * FROM events)
+    SELECT * FROM r QUALIFY row_number() OVER (PARTITION BY reader, user_id ORDER BY ts DESC, event_id DESC) = 1
+    """,
+)
+def latest_compacted(t: Tables) -> DataFrame:
+    """A keyed table after five batches with compactions in between; a reader opened after three still sees those."""
+    table = KeyedTable(t.spark, run_dir(t.spark, "keyed"), ["user_id"], "ts", ["event_id"], buckets=16)
+    for batch in range(3):
+        table.add(t.events.filter(F.col("event_id") % 5 == batch), batch)
+        if batch == 1:
+            table.compact()
+    opened = table.read()
+    table.compact()
+    for batch in (3, 3, 4):  # one of them comes twice
+        table.add(t.events.filter(F.col("event_id") % 5 == batch), batch)
+    return opened.withColumn("reader", F.lit("open")).unionByName(table.read().withColumn("reader", F.lit("last")))
+
+
 @query(
     "upsert_latest",
     "SELECT * FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1",

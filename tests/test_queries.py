@@ -6,6 +6,7 @@ import pytest
 from conftest import DATA
 
 import __spark_entry__ as entry_module
+from headway.queries import QUERIES, SQL
 from tools.compare import connect, differences
 
 
@@ -14,7 +15,7 @@ def con():
     return connect(DATA)
 
 
-@pytest.mark.parametrize("name", list(entry_module.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_agrees_with_sql(spark, con, name):
     assert differences(spark, con, name, DATA) == []
 
@@ -24,5 +25,6 @@ def test_entry_runs(spark):
     assert df.count() > 0 and "avg_bikes" in df.columns
 
 
-def test_all_but_samples_have_sql():
-    assert set(entry_module.queries()) - set(entry_module.oracle_sql()) == {"sample_rows"}
+def test_all_have_sql():
+    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry_module.queries()) and set(SQL) <= set(entry_module.oracle_sql())
