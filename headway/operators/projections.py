@@ -34,6 +34,43 @@ def typed_feed(messages: DataFrame, fields: dict[str, tuple[str, str]]) -> DataF
     return extract_json(envelope, "data", fields).select(*fields, "event_time", "ingested_at")
 
 
+REJECTS = ["outcome", "reject_reason", "reject_value"]
+READ, REJECTED = "read", "rejected"
+
+
+def checked_feed(messages: DataFrame, fields: dict[str, tuple[str, str]]) -> DataFrame:
+    """The same rows, and for messages that give none what is wrong with them and their text.
+
+    ``envelope``: no text, no JSON or no payload in it; ``payload``: none of the fields can be read
+    from it. Both come out of the one parse that types the fields.
+    """
+    opened = messages.select("timestamp", "value", F.json_tuple("value", "data", "ingested_at").alias("data", "ingested_at"))
+    envelope = opened.select(
+        "value", "data", F.col("timestamp").cast("timestamp_ntz").alias("event_time"), to_time(F.col("ingested_at")).alias("ingested_at")
+    )
+    typed = extract_json(envelope, "data", fields)
+    nothing = F.coalesce(*[F.col(name).cast("string") for name in fields]).isNull()
+    reason = F.when(F.col("data").isNull(), "envelope").when(nothing, "payload")
+    return typed.select(
+        *fields, "event_time", "ingested_at", F.when(reason.isNull(), READ).otherwise(REJECTED).alias("outcome"), reason.alias("reject_reason"),
+        F.when(reason.isNotNull(), F.col("value")).alias("reject_value"),
+    )
+
+
+def accepted(checked: DataFrame) -> DataFrame:
+    """Rows of readable messages.
+
+    By a column of the files: a stream that starts on an empty folder doesn't know its partitions.
+    Files of rejects are passed over by their statistics.
+    """
+    return checked.filter(F.col("reject_reason").isNull()).drop(*REJECTS)
+
+
+def rejects(checked: DataFrame) -> DataFrame:
+    """Unreadable messages: reason, text and time."""
+    return checked.filter(F.col("reject_reason").isNotNull()).select("reject_reason", "reject_value", "event_time")
+
+
 def curate_stations(raw: DataFrame, as_of: str | None = None) -> DataFrame:
     """Streaming-vocabulary station rows: filtered, with occupancy and edge flags."""
     bikes, ebikes = F.col("nb_bikes"), F.col("nb_ebikes")

@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from headway.operators import projections
@@ -28,21 +29,36 @@ RAW_TOPICS = {
     "tfl.raw.line-status": ("lines", LINE_STATUS_FIELDS),
 }
 BY_DAY = ["event_date"]
+BY_OUTCOME = ["outcome", *BY_DAY]
 LINE_TIEBREAK = ["status_severity", "status_description", "reason"]
 
 
 def ingest(
     source: Callable[[str], DataFrame], root: str, checkpoint: str, trigger: str | None = None
 ) -> dict[str, DataStreamWriter]:
-    """Enveloped messages to one raw table per topic; ``source`` gives the stream of a topic."""
+    """Enveloped messages to one raw table per topic; ``source`` gives the stream of a topic.
+
+    A message is parsed once and written once, exactly: unreadable ones go to files of their own
+    with their text (``raw_rows`` and ``raw_rejects`` read the two). Each batch's progress counts both.
+    """
     writers = {}
     for topic, (table, fields) in RAW_TOPICS.items():
-        rows = projections.typed_feed(source(topic), fields)
-        dated = with_date(rows, "event_time")
-        writers[table] = append_files(dated, f"{root}/{table}", f"{checkpoint}/{table}", trigger, partition_by=BY_DAY)
+        checked = with_date(projections.checked_feed(source(topic), fields), "event_time")
+        checked = checked.observe(f"ingest_{table}", F.count_if(F.col("reject_reason").isNull()).alias("rows"), F.count("reject_reason").alias("rejects"))
+        writers[table] = append_files(checked, f"{root}/{table}", f"{checkpoint}/{table}", trigger, partition_by=BY_OUTCOME)
     return writers
 
 
+def raw_rows(raw: DataFrame) -> DataFrame:
+    """A raw table's rows, read or streamed."""
+    return projections.accepted(raw)
+
+
+def raw_rejects(raw: DataFrame) -> DataFrame:
+    """What could not be read, with its text."""
+    return projections.rejects(raw)
+
+
 def curate_station_stream(
     raw: DataFrame, root: str, checkpoint: str, trigger: str | None = None, as_of: str | None = None,
     partition_by: list[str] = BY_DAY,
@@ -123,8 +139,7 @@ def start_all(
 
     raw, curated, analytics = f"{root}/raw", f"{root}/curated", f"{root}/analytics"
     running = [start_once(spark, w, f"raw-{name}") for name, w in ingest(source, raw, place("raw"), commit).items()]
-    stations, lines = table("raw/stations", RAW_SCHEMAS["stations"]), table("raw/lines", RAW_SCHEMAS["lines"])
-    arrivals = table("raw/arrivals", RAW_SCHEMAS["arrivals"])
+    stations, lines, arrivals = (raw_rows(table(f"raw/{name}", RAW_SCHEMAS[name])) for name in ("stations", "lines", "arrivals"))
     curated_stations = table("curated/stations", RAW_SCHEMAS["curated_stations"])
     later = {
         "curated-stations": curate_station_stream(stations, curated, place("stations"), discover, as_of),

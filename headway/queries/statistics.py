@@ -12,7 +12,8 @@ from headway.queries import bindings as b
 from headway.queries.registry import Tables, query
 
 _STATS_SQL = """
-       avg(nb_bikes) AS avg_bikes, avg(nb_ebikes) AS avg_ebikes, avg(occupancy_pct) AS avg_occupancy_pct,
+       avg(nb_bikes) AS avg_bikes, avg(nb_ebikes) AS avg_ebikes,
+       CAST(sum(CAST(round(occupancy_pct * 10) AS BIGINT)) AS DOUBLE) / (count(occupancy_pct) * 10) AS avg_occupancy_pct,
        min(nb_bikes) AS min_bikes, max(nb_bikes) AS max_bikes,
        count(*) FILTER (WHERE is_empty) AS empty_count, count(*) FILTER (WHERE is_full) AS full_count,
        count(*) AS sample_count"""

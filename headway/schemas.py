@@ -51,7 +51,11 @@ STATION_FIELDS = {
 
 def _raw_schema(fields: dict[str, tuple[str, str]]) -> str:
     columns = ", ".join(f"{name} {kind}" for name, (_, kind) in fields.items())
-    return f"{columns}, event_time TIMESTAMP_NTZ, ingested_at TIMESTAMP_NTZ, event_date DATE"
+    # Partition columns come last and in the order of the folders: a stream of files goes by position.
+    return (
+        f"{columns}, event_time TIMESTAMP_NTZ, ingested_at TIMESTAMP_NTZ, reject_reason STRING, reject_value STRING, "
+        "outcome STRING, event_date DATE"
+    )
 
 
 # Tables that later layers read as streams.

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headway.operators.dimensions import VALIDITY, first_versions, scd2_step
-from headway.sinks.tables import create_once, folders, read_text
+from headway.sinks.files import create_once, folders, read_text
 
 CURRENT = "_is_current"
 

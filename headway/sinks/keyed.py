@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from headway.operators.ranking import latest_per_key
-from headway.sinks.tables import create_once, folders, read_text, remove, write_batch
+from headway.sinks.files import create_once, folders, read_text, remove
+from headway.sinks.tables import write_batch
 from headway.streaming.jobs import paced
 
 BUCKET = "_bucket"

@@ -6,11 +6,11 @@ import uuid
 from collections.abc import Callable
 from datetime import date, timedelta
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from headway.operators.ranking import latest_per_key
+from headway.sinks.files import files_of
 
 
 def _writer(df: DataFrame, fmt: str, partition_by: list[str], gather: bool = True):
@@ -42,7 +42,7 @@ def replace(
     """Create or replace a table from a query.
 
     A path is written beside the old one and swapped in when complete, so the query may
-    read the table it replaces, and a failed write or a failed swap leaves the old one.
+    read the table it replaces, and a failed write or a failed swap leaves the old one (see ``_swap``).
     """
     writer = _writer(df, fmt, partition_by or [], gather)
     if "/" not in table:
@@ -54,27 +54,23 @@ def replace(
     _swap(df.sparkSession, fresh, table)
 
 
-def _files(spark: SparkSession, path: str):
-    """The file system of a path, and the path in its terms."""
-    located = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return located.getFileSystem(spark._jsc.hadoopConfiguration()), located
-
-
 def _swap(spark: SparkSession, fresh: str | None, path: str) -> None:
     """Put a complete folder in place of another; without one, take the other away.
 
-    The old folder is moved aside first and moved back should the new one not arrive, so
-    there is always one of the two.
+    The old folder is moved aside first and moved back should the new one not arrive. Between the
+    two renames there is no folder of that name, and a driver that dies right there leaves the old one
+    aside (``_old-``), complete. Readers that must not meet this, and stores on which a rename copies, want a
+    table whose versions are named by a file (``sinks.keyed``, ``sinks.history``) or a catalog's.
     """
-    files, target = _files(spark, path)
+    files, target = files_of(spark, path)
     parent, name = path.rstrip("/").rsplit("/", 1)
-    aside = _files(spark, f"{parent}/_old-{uuid.uuid4().hex}-{name}")[1]
+    aside = files_of(spark, f"{parent}/_old-{uuid.uuid4().hex}-{name}")[1]
     had = files.exists(target)
     if had and not files.rename(target, aside):
         raise OSError(f"{path} could not be moved aside")
     moved = False
     try:
-        moved = fresh is None or files.rename(_files(spark, fresh)[1], target)
+        moved = fresh is None or files.rename(files_of(spark, fresh)[1], target)
     finally:
         if not moved and had:
             files.rename(aside, target)
@@ -86,57 +82,10 @@ def _swap(spark: SparkSession, fresh: str | None, path: str) -> None:
 
 def make_folder(spark: SparkSession, path: str) -> None:
     """A stream can only watch a folder that exists."""
-    files, target = _files(spark, path)
+    files, target = files_of(spark, path)
     files.mkdirs(target)
 
 
-def folders(spark: SparkSession, path: str) -> list[str]:
-    """Names of what is in a folder; none if it does not exist."""
-    files, target = _files(spark, path)
-    return [entry.getPath().getName() for entry in files.listStatus(target)] if files.exists(target) else []
-
-
-def remove(spark: SparkSession, path: str) -> None:
-    files, target = _files(spark, path)
-    files.delete(target, True)
-
-
-def read_text(spark: SparkSession, path: str) -> str:
-    """A small file as text."""
-    files, target = _files(spark, path)
-    stream = files.open(target)
-    try:
-        return bytes(stream.readAllBytes()).decode()
-    finally:
-        stream.close()
-
-
-def create_once(spark: SparkSession, path: str, text: str) -> bool:
-    """Make a small file appear, whole, unless there is one of that name; False if there is.
-
-    It is written beside and renamed without replacing. The file system does that in one step,
-    so of several writers one succeeds.
-    """
-    jvm, files = spark._jvm, _files(spark, path)[0]
-    parent, name = path.rsplit("/", 1)
-    target, beside = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(f"{parent}/.{uuid.uuid4().hex}-{name}")
-    files.mkdirs(jvm.org.apache.hadoop.fs.Path(parent))
-    stream = files.create(beside, False)
-    try:
-        stream.write(bytearray(text.encode()))
-    finally:
-        stream.close()
-    nothing = spark._sc._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
-    try:
-        jvm.org.apache.hadoop.fs.FileContext.getFileContext(files.getUri(), spark._jsc.hadoopConfiguration()).rename(files.makeQualified(beside), files.makeQualified(target), nothing)
-    except Py4JJavaError as error:
-        files.delete(beside, False)
-        if "FileAlreadyExistsException" in str(error.java_exception):
-            return False
-        raise
-    return True
-
-
 def replace_days(df: DataFrame, path: str, days: tuple[str, str], fmt: str = "parquet", gather: bool = True) -> None:
     """Replace the days of a range (the last one excluded) by the rows of ``df``, and no others.
 
@@ -147,12 +96,12 @@ def replace_days(df: DataFrame, path: str, days: tuple[str, str], fmt: str = "pa
     spark = df.sparkSession
     fresh = f"{path.rstrip('/')}/_next-{uuid.uuid4().hex}"
     _writer(df.filter((F.col("event_date") >= F.lit(first)) & (F.col("event_date") < F.lit(end))), fmt, ["event_date"], gather).save(fresh)
-    files, _ = _files(spark, fresh)
+    files, _ = files_of(spark, fresh)
     for n in range((end - first).days):
         name = f"event_date={first + timedelta(n)}"
         new = f"{fresh}/{name}"
-        _swap(spark, new if files.exists(_files(spark, new)[1]) else None, f"{path.rstrip('/')}/{name}")
-    files.delete(_files(spark, fresh)[1], True)
+        _swap(spark, new if files.exists(files_of(spark, new)[1]) else None, f"{path.rstrip('/')}/{name}")
+    files.delete(files_of(spark, fresh)[1], True)
 
 
 def replace_interval(df: DataFrame, path: str, start: str, fmt: str = "parquet") -> None:
@@ -167,11 +116,11 @@ def replace_interval(df: DataFrame, path: str, start: str, fmt: str = "parquet")
 
 def drop_days_before(spark: SparkSession, path: str, before: str) -> list[str]:
     """Retention of a table partitioned by day: delete whole folders, rewrite nothing."""
-    files, root = _files(spark, path)
+    files, root = files_of(spark, path)
     names = [entry.getPath().getName() for entry in files.listStatus(root)]
     old = sorted(n for n in names if n.startswith("event_date=") and n[len("event_date="):] < before)
     for name in old:
-        files.delete(_files(spark, f"{path}/{name}")[1], True)
+        files.delete(files_of(spark, f"{path}/{name}")[1], True)
     return old
 
 
@@ -213,7 +162,7 @@ def write_batch(
 ) -> None:
     """Write a batch unless it is complete already, as when a stream repeats its last batch."""
     folder = f"{path}/batch_id={batch_id}"
-    files, done = _files(df.sparkSession, f"{folder}/_SUCCESS")
+    files, done = files_of(df.sparkSession, f"{folder}/_SUCCESS")
     if files.exists(done):
         return
     writer = _writer(df, fmt, partition_by or [], gather=False).mode("overwrite")

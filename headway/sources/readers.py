@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from headway.functions.text_time import at, to_time
 from headway.schemas import TOPIC_SCHEMA
+from headway.sinks.files import create_once, read_text
 
 TOPIC_COLUMNS = ["key", "value", "topic", "offset", "timestamp"]
 
@@ -91,3 +92,9 @@ def tail_topic(spark: SparkSession, since: str | None = None, fmt: str = "kafka"
     start = {"startingOffsets": "latest"} if fmt == "kafka" else {}
     rows = stream_topic(spark, fmt, **{**start, **options}).filter(F.col("value").isNotNull())
     return rows.filter(F.col("timestamp") >= at(since).cast("timestamp")) if since else rows
+
+
+def tail_from(spark: SparkSession, store: str, now: str) -> str:
+    """Where a tail starts: at ``now`` the first time, at the stored time whenever it is started again."""
+    create_once(spark, f"{store.rstrip('/')}/start", now)
+    return read_text(spark, f"{store.rstrip('/')}/start")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from headway.operators.aggregates import station_hourly_windowed
+from headway.operators.joins import deliver
 from headway.operators.ranking import latest_per_key
 from headway.sinks.tables import write_batch
 from headway.sinks.topics import publish
@@ -53,6 +54,45 @@ def topic_time(messages: DataFrame) -> DataFrame:
     return watermarked(messages, "timestamp", RAW_DISORDER)
 
 
+def once_each(messages: DataFrame, identity: tuple[str, ...] = ("topic", "offset")) -> DataFrame:
+    """Messages of a topic, each once, however often it is delivered within the disorder allowed.
+
+    State holds identities of the last seconds only. A message older than that is late and dropped, so a
+    delivery that comes again much later does not count twice either.
+    """
+    return topic_time(messages).dropDuplicatesWithinWatermark(list(identity))
+
+
+def latest_state(stream: DataFrame, keys: list[str], order: str, tiebreak: list[str]) -> DataFrame:
+    """The newest row per key of all that came so far, for update mode: a batch gives the keys it touched.
+
+    Partial results combine within map tasks. State is one row per key, in RocksDB; rows that come late or again
+    change nothing.
+    """
+    newest = F.max_by(F.struct(*stream.columns), F.struct(order, *tiebreak))
+    return stream.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(newest.alias("_row")).select("_row.*")
+
+
+def keep_latest(stream: DataFrame, table, checkpoint: str, trigger: str | None = None) -> DataStreamWriter:
+    """A keyed table that holds the newest row per key after each batch; ``table`` is a ``KeyedTable``."""
+    newest = latest_state(stream, table.keys, table.order, table.tiebreak)
+    return paced(newest.writeStream.outputMode("update").foreachBatch(table.add).option("checkpointLocation", checkpoint), trigger)
+
+
+def deliver_live(
+    messages: DataFrame, subscriptions: Callable[[], DataFrame], path: str, checkpoint: str, trigger: str | None = None
+) -> DataStreamWriter:
+    """Messages to the sessions that are subscribed when a batch begins.
+
+    The subscriptions are read anew for each batch; a batch that is complete is not delivered again.
+    """
+
+    def send_batch(batch: DataFrame, batch_id: int) -> None:
+        write_batch(deliver(batch, subscriptions()), path, batch_id)
+
+    return paced(messages.writeStream.foreachBatch(send_batch).option("checkpointLocation", checkpoint), trigger)
+
+
 def hourly_stream(curated: DataFrame, ts: str = "event_time", delay: str = TABLE_DISORDER) -> DataFrame:
     """Hourly station statistics, each window once, when the watermark closes it.
 

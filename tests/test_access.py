@@ -23,35 +23,35 @@ def catalog(name):
 ADMIN, ENGINE, VIEWER = ["service_admin"], ["trino_service"], ["polaris_viewer"]
 CASES = [
     # administrators: every data operation everywhere, no privilege management
-    (ADMIN, "CREATE_CATALOG", [catalog("new_catalog")], True),
+    (ADMIN, "CREATE_CATALOG", [catalog("fresh_store")], True),
     (ADMIN, "DROP_TABLE_WITH_PURGE", [table("analytics")], True),
     (ADMIN, "COMMIT_TRANSACTION", [table("raw")], True),
     (ADMIN, "ADD_TABLE_SNAPSHOT", [table("raw")], True),
     (ADMIN, "SET_TABLE_SNAPSHOT_REF", [table("analytics")], True),
     (ADMIN, "SET_TABLE_PROPERTIES", [table("curated")], True),
     (ADMIN, "ADD_PRINCIPAL_GRANT_TO_PRINCIPAL_ROLE", [("PRINCIPAL_ROLE", "trino_service", [])], False),
-    (ADMIN, "CREATE_PRINCIPAL", [("PRINCIPAL", "evil", [])], False),
-    (ADMIN, "CREATE_POLICY", [("POLICY", "my_policy", [])], False),
-    (ADMIN, "SOME_NEW_FUTURE_OP", [catalog("analytics")], False),
+    (ADMIN, "CREATE_PRINCIPAL", [("PRINCIPAL", "somebody", [])], False),
+    (ADMIN, "CREATE_POLICY", [("POLICY", "some_policy", [])], False),
+    (ADMIN, "UNHEARD_OF_REQUEST", [catalog("analytics")], False),
     # the query engine: tables, views and namespaces within the warehouses
     (ENGINE, "LOAD_TABLE_WITH_READ_DELEGATION", [table("analytics")], True),
     (ENGINE, "LOAD_TABLE_WITH_WRITE_DELEGATION", [table("curated")], True),
     (ENGINE, "LIST_NAMESPACES", [catalog("analytics")], True),
     (ENGINE, "CREATE_TABLE_DIRECT", [table("curated")], True),
     (ENGINE, "ADD_TABLE_SNAPSHOT", [table("curated")], True),
-    (ENGINE, "ADD_TABLE_SNAPSHOT", [table("shadow_warehouse")], False),
-    (ENGINE, "CREATE_CATALOG", [catalog("shadow_catalog")], False),
+    (ENGINE, "ADD_TABLE_SNAPSHOT", [table("elsewhere")], False),
+    (ENGINE, "CREATE_CATALOG", [catalog("other_store")], False),
     (ENGINE, "DELETE_CATALOG", [catalog("analytics")], False),
-    (ENGINE, "CREATE_TABLE_DIRECT", [table("shadow_warehouse")], False),
+    (ENGINE, "CREATE_TABLE_DIRECT", [table("elsewhere")], False),
     (ENGINE, "ADD_CATALOG_ROLE_TO_PRINCIPAL_ROLE", [("PRINCIPAL_ROLE", "trino_service", [])], False),
-    (ENGINE, "SOME_NEW_FUTURE_OP", [table("analytics")], False),
-    (ENGINE, "RENAME_TABLE", [table("curated", "x"), table("shadow_warehouse", "x")], False),
+    (ENGINE, "UNHEARD_OF_REQUEST", [table("analytics")], False),
+    (ENGINE, "RENAME_TABLE", [table("curated", "x"), table("elsewhere", "x")], False),
     (ENGINE, "RENAME_TABLE", [table("curated", "x"), table("curated", "y")], True),
     # viewers: reads within the warehouses
     (VIEWER, "LOAD_TABLE_WITH_READ_DELEGATION", [table("analytics")], True),
     (VIEWER, "UPDATE_TABLE", [table("analytics")], False),
     (VIEWER, "LOAD_TABLE_WITH_WRITE_DELEGATION", [table("curated")], False),
-    (VIEWER, "LOAD_TABLE", [table("shadow_warehouse")], False),
+    (VIEWER, "LOAD_TABLE", [table("elsewhere")], False),
     # nobody in particular
     ([], "LOAD_TABLE_WITH_READ_DELEGATION", [table("analytics")], False),
     (["not_a_role"], "LOAD_TABLE_WITH_READ_DELEGATION", [table("analytics")], False),

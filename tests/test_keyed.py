@@ -9,7 +9,7 @@ from conftest import plan_of, rows
 from pyspark.sql import functions as F
 
 from headway.operators.ranking import latest_per_key
-from headway.sinks import tables
+from headway.sinks import files as file_system
 from headway.sinks.history import History
 from headway.sinks.keyed import KeyedTable
 
@@ -69,7 +69,7 @@ def test_an_open_reader_keeps_its_version(spark, table):
     assert rows(reader, "id", "what") == [("a", "mid"), ("b", "old")]
     table.vacuum(versions=1)
     assert rows(table.read(), "id", "what") == [("a", "new"), ("b", "old")]
-    assert tables.folders(spark, f"{table.path}/deltas") == []
+    assert file_system.folders(spark, f"{table.path}/deltas") == []
 
 
 def test_repeated_batches_and_racing_compactions(spark, table, monkeypatch):
@@ -119,9 +119,9 @@ def test_a_stream_feeds_a_table(spark, folder, table):
 
 def test_a_file_appears_once(spark, folder):
     path = f"{folder}/versions/1.json"
-    assert tables.create_once(spark, path, "one é") and not tables.create_once(spark, path, "two")
-    assert tables.read_text(spark, path) == "one é" and tables.folders(spark, f"{folder}/versions") == ["1.json"]
-    assert tables.folders(spark, f"{folder}/none") == []
+    assert file_system.create_once(spark, path, "one é") and not file_system.create_once(spark, path, "two")
+    assert file_system.read_text(spark, path) == "one é" and file_system.folders(spark, f"{folder}/versions") == ["1.json"]
+    assert file_system.folders(spark, f"{folder}/none") == []
 
 
 def test_closed_versions_are_written_once(spark, folder):

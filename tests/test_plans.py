@@ -83,7 +83,7 @@ def test_heads_need_no_full_sort(typed_table):
 
 def test_hourly_shuffles_once_after_partial_aggregation(typed_table):
     plan = plan_of(aggregates.station_hourly_windowed(typed_table), "simple")
-    assert plan.count("Exchange") == 1 and "partial_avg" in plan[plan.index("Exchange"):]
+    assert plan.count("Exchange") == 1 and "partial_sum" in plan[plan.index("Exchange"):]
 
 
 def test_gates_scan_once(typed_table):

@@ -253,3 +253,76 @@ def test_topic_disorder_is_five_seconds(spark, folder):
     assert sum(s.numRowsDroppedByWatermark for p in query.recentProgress for s in p.stateOperators) == 1
     got = {r[0].replace(tzinfo=None): r[1] for r in spark.read.parquet(f"{folder}/out").collect()}
     assert got == {T0: 2, T0 + dt.timedelta(minutes=1): 2}
+
+
+def broken(spark):
+    """Messages of one feed: two readable ones, and one of each kind that isn't."""
+    texts = [
+        '{"data":"{\\"line_id\\":\\"l1\\",\\"status_severity\\":\\"5\\"}","ingested_at":"2024-01-01T00:00:02.000"}', '{"data":"{\\"status_severity\\":\\"x\\",\\"reason\\":\\"r\\"}"}',
+        None, "", '{"data":', '{"event_type":"x"}', '{"data":"oops"}', '{"data":"{}"}', '{"data":"{\\"status_severity\\":\\"x\\"}"}', "[1]",
+    ]
+    data = [(None, text, "tfl.raw.line-status", n, T0 + dt.timedelta(seconds=n)) for n, text in enumerate(texts)]
+    return spark.createDataFrame(data, "key string, value string, topic string, offset long, timestamp timestamp")
+
+
+def test_every_message_is_a_row_or_a_reject(spark, folder):
+    publish(broken(spark), "parquet", path=f"{folder}/topic")
+    writer = streams.ingest(topic_source(spark, "parquet", path=f"{folder}/topic"), f"{folder}/raw", f"{folder}/ck")["lines"]
+    (query,) = jobs.finish(writer)
+    raw = spark.read.parquet(f"{folder}/raw/lines")
+    assert rows(streams.raw_rows(raw), "line_id", "reason") == sorted([("l1", None), (None, "r")], key=repr)
+    assert rows(streams.raw_rejects(raw), "reject_reason", "reject_value") == sorted([
+        ("envelope", None), ("envelope", ""), ("envelope", '{"data":'), ("envelope", '{"event_type":"x"}'), ("envelope", "[1]"),
+        ("payload", '{"data":"oops"}'), ("payload", '{"data":"{}"}'), ("payload", '{"data":"{\\"status_severity\\":\\"x\\"}"}'),
+    ], key=repr)
+    counted = [p.observedMetrics["ingest_lines"] for p in query.recentProgress if p.numInputRows]
+    assert [(c["rows"], c["rejects"]) for c in counted] == [(2, 8)]
+    assert "PushedFilters: [IsNull(reject_reason)]" in streams.raw_rows(raw)._jdf.queryExecution().toString()
+
+
+def test_a_checked_feed_parses_once(spark):
+    from headway.schemas import LINE_STATUS_FIELDS
+
+    plan = projections.checked_feed(broken(spark), LINE_STATUS_FIELDS)._jdf.queryExecution().toString()
+    assert plan[plan.index("Physical Plan"):].count("json_tuple") == 2  # the envelope and the payload
+
+
+def test_state_keeps_the_newest_row_of_late_and_repeated_ones(spark, folder):
+    from headway.sinks.keyed import KeyedTable
+
+    table = KeyedTable(spark, f"{folder}/table", ["id"], "at", ["n"], buckets=4)
+    schema, seen = "id string, at int, n int", spark.createDataFrame([], "id string, at int, n int")
+    for values in ([("a", 5, 1), ("b", 1, 1)], [("a", 3, 9), ("b", 1, 2), ("a", 5, 1)], [("c", None, 1), ("b", 1, 1), (None, 2, 2)]):
+        part = spark.createDataFrame(values, schema)
+        seen = seen.union(part)
+        feed(part, f"{folder}/in")
+        jobs.finish(jobs.keep_latest(spark.readStream.schema(schema).parquet(f"{folder}/in"), table, f"{folder}/ck"))
+        assert rows(table.read()) == rows(ranking.latest_per_key(seen, ["id"], "at", ["n"]))
+
+
+def test_messages_count_once_within_the_disorder(spark, folder):
+    def run(*messages):
+        feed(spark.createDataFrame([(None, "v", "t", n, T0 + dt.timedelta(seconds=s)) for n, s in messages], "key string, value string, topic string, offset long, timestamp timestamp"), f"{folder}/in/topic=t")
+        jobs.finish(jobs.append_files(jobs.once_each(stream_topic(spark, "parquet", path=f"{folder}/in")), f"{folder}/out", f"{folder}/ck"))
+        return rows(spark.read.parquet(f"{folder}/out"), "offset")
+
+    assert run((1, 0), (1, 0), (2, 60)) == [(1,), (2,)]
+    assert run((2, 60), (3, 58), (4, 40)) == [(1,), (2,), (3,)]  # 2 again, 3 out of order, 4 too late
+    assert run((2, 60), (5, 100)) == [(1,), (2,), (3,), (5,)]
+
+
+def test_a_tail_goes_on_from_where_it_first_began(spark, folder):
+    from headway.sources.readers import tail_from
+
+    assert tail_from(spark, f"{folder}/start", "2024-01-01 00:00:00") == "2024-01-01 00:00:00"
+    assert tail_from(spark, f"{folder}/start", "2024-06-01 00:00:00") == "2024-01-01 00:00:00"
+
+
+def test_subscriptions_of_the_moment_count(spark, folder):
+    schema, subscribed = "event_id int, topic string", {"now": [("s1", "t")]}
+    for values, sessions in (([(1, "t")], [("s1", "t"), ("s1", "t")]), ([(2, "t"), (3, "u")], []), ([(4, "t")], [("s2", "t"), ("s3", "t")])):
+        subscribed["now"] = sessions
+        feed(spark.createDataFrame(values, schema), f"{folder}/in")
+        current = lambda: spark.createDataFrame(subscribed["now"], "session_id string, topic string")
+        jobs.finish(jobs.deliver_live(spark.readStream.schema(schema).parquet(f"{folder}/in"), current, f"{folder}/out", f"{folder}/ck"))
+    assert rows(tables.read_batches(spark, f"{folder}/out"), "event_id", "session_id") == [(1, "s1"), (4, "s2"), (4, "s3")]
