@@ -70,6 +70,8 @@ NOT_TEXT_COMPOUNDS = frozenset((
     "search-box search-bar search-widget share-bar share-box share-buttons share-links sharing-buttons social-bar social-buttons social-icons social-links "
     "social-media social-share social-sharing comment-area comment-form comment-list comment-respond comment-section comments-area comments-list comments-section "
     "user-comments reply-form disqus-thread related-articles related-content related-links related-news related-pages related-posts related-stories").split())
+#: Names by which an article says that it is a reader's.
+READERS_NAMES = frozenset("comment comments reply replies comment-body comment-item comment-wrapper user-comment user-comments reader-comment reader-comments".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: What a head holds; anything else ends it.
 IN_HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
@@ -228,6 +230,22 @@ def _boilerplate(element: Element, in_article: bool, others: bool) -> bool:
     return any(name in NOT_TEXT_NAMES or ("-" in name or "_" in name) and re.sub(r"[-_]+", "-", name).strip("-") in NOT_TEXT_COMPOUNDS for name in names)
 
 
+def _readers(element: Element) -> bool:
+    """Whether it is an article that is named as a reader's comment."""
+    return element.is_article() and element.tag != "main" and any(re.sub("[-_]+", "-", name).strip("-") in READERS_NAMES for name in element.names.split())
+
+
+def _has_own(root: Element) -> bool:
+    """Whether there is an article that isn't a reader's; then readers' articles in it or beside it aren't the page's text."""
+    todo = [root]
+    while todo:
+        element = todo.pop()
+        if element.is_article() and element.tag != "main" and not _readers(element):
+            return True
+        todo.extend(p for p in element.parts if type(p) is Element and (p.holds or p.is_article()) and not _readers(p))
+    return False
+
+
 def _stays(root: Element) -> bool:
     """Whether an article is left if what holds one goes by its names, too."""
     todo = [root]
@@ -244,6 +262,7 @@ def main_text(root: Element, template: frozenset[int]) -> str:
     blocks: list[tuple[bool, str]] = []
     open_parts: list[str] = []
     marked, others = False, root.holds and _stays(root)
+    own = root.holds and _has_own(root)
 
     def end(inside: bool) -> None:
         if text := " ".join(entities.unescape("".join(open_parts)).split()):
@@ -259,7 +278,7 @@ def main_text(root: Element, template: frozenset[int]) -> str:
         if type(part) is str:
             open_parts.append(part)
             continue
-        if _of_template(part, inside, template) or _boilerplate(part, inside, others):
+        if _of_template(part, inside, template) or _boilerplate(part, inside, others) or (own and _readers(part)):
             end(inside)
             continue
         article = part.is_article()

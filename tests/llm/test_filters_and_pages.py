@@ -323,3 +323,16 @@ def test_scan_after_an_observation(spark, make_docs, forest):
     assert seen.get["n"] == 3
     trained = secret_scan.train(secret_scan.findings(spark, 200))
     assert secret_scan.scan(make_docs([(1, 'token = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff"')]), trained).count() == 1
+
+
+@pytest.mark.parametrize("html, text", [
+    ("<body><main><article><p>own</p><section><article class='comment'><p>not</p></article></section></article></main></body>", "own"),
+    ("<body><main><article class='post comments-open'><p>own</p></article><article class='comment depth-1'><p>not</p></article></main></body>", "own"),
+    ("<body><article><p>own</p></article><div><article id='x' class='reader_comment'><p>not</p><article class='reply'>nor</article></article></div></body>", "own"),
+    ("<body><main><article class='comment'><p>a page of comments only</p></article></main></body>", "a page of comments only"),
+    ("<body><main class='comment'><article><p>own</p></article></main></body>", "own"),
+    ("<body><article class='commentary'><p>one</p></article><article><p>two</p></article></body>", "one\ntwo"),
+])
+def test_readers_articles_are_not_the_pages_text(spark, html, text):
+    pages = spark.createDataFrame([(1, "http://a.org/", html)], "page_id long, url string, html string")
+    assert [r["text"] for r in html_extract.extract(pages).collect()] == [text]
