@@ -187,6 +187,7 @@ class Encoder:
         matches, parts = regex.compile(pattern), re.compile(PARTS)
         by_match = _Pieces(self._match)
         by_part = _Pieces(lambda part: b"".join([by_match[m] for m in matches.findall(part)]))
+        self._caches = (by_match, by_part)
         self._encode = lambda text: b"".join(map(by_part.__getitem__, parts.findall(text)))
 
     def _match(self, match: str) -> bytes:
@@ -198,6 +199,12 @@ class Encoder:
     def __call__(self, text: str) -> bytes:
         return self._encode(text)
 
+    def release(self) -> None:
+        """Forget the pieces; the vocabulary stays."""
+        for cache in self._caches:
+            cache.clear()
+            cache.before = {}
+
 
 @functools.lru_cache(1)
 def _encoder(path: str, pattern: str) -> Encoder:
@@ -210,11 +217,12 @@ def _bytes_of(path: str) -> dict[int, bytes]:
     return dict(zip(ranks.values(), ranks))
 
 
-def ids_of(text: Column | str, ranks: str, pattern: str, packed: bool = True) -> Column:
+def ids_of(text: Column | str, ranks: str, pattern: str, packed: bool = True, release: bool = False) -> Column:
     """Ids of a text column, packed or as an array; ``ranks`` is the path of a rank file that every machine has.
 
     The pattern must end a match wherever a word with the space before it ends; the published
-    patterns of byte-level vocabularies do.
+    patterns of byte-level vocabularies do. With ``release`` a worker forgets its pieces at the end of a
+    task, for jobs whose other stages run in the same workers and want the memory.
     """
     importable()
 
@@ -224,6 +232,8 @@ def ids_of(text: Column | str, ranks: str, pattern: str, packed: bool = True) ->
         for texts in batches:
             ids = (encode(t) if t else b"" for t in texts)
             yield pd.Series([i if packed else np.frombuffer(i, "<i4") for i in ids], dtype=object)
+        if release:
+            encode.release()
 
     return encoded(text)
 
@@ -242,9 +252,9 @@ def bytes_of(ids: Column | str, ranks: str) -> Column:
     return unpacked(ids)
 
 
-def encode(df: DataFrame, ranks: str, pattern: str, text: str = "text", ids: str = "ids", packed: bool = True) -> DataFrame:
+def encode(df: DataFrame, ranks: str, pattern: str, text: str = "text", ids: str = "ids", packed: bool = True, release: bool = False) -> DataFrame:
     """All columns and the ids of the text, packed or as an array. One narrow stage, no shuffle."""
-    return df.withColumn(ids, ids_of(F.col(text), ranks, pattern, packed))
+    return df.withColumn(ids, ids_of(F.col(text), ranks, pattern, packed, release))
 
 
 def decode(df: DataFrame, ranks: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:

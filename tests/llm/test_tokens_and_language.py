@@ -141,3 +141,10 @@ def test_a_sample_has_one_row_a_key_and_both_signs(spark):
     names, found = language_id.sample(docs, "lang", "doc_id", "text", 2000)
     counts = {r["lang"]: r["count"] for r in found.groupBy("lang").count().collect()}
     assert names == langs and counts == dict.fromkeys(langs, 1)
+
+
+def test_released_pieces_are_worked_out_again(vocabulary):
+    encoder = byte_bpe.Encoder(vocabulary, PATTERN)
+    before = encoder("the naïve 😀 words, again and again")
+    encoder.release()
+    assert not any(encoder._caches) and encoder("the naïve 😀 words, again and again") == before
