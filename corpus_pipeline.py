@@ -36,7 +36,7 @@ def benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Adds each document's token ids and their number."""
     ranks, pattern = tokenizer()
-    return byte_bpe.encode(docs, ranks, pattern, ids="ids", packed=False).withColumn("n_tokens", F.size("ids").cast("long"))
+    return byte_bpe.encode(docs, ranks, pattern, ids="ids", packed=False, release=True).withColumn("n_tokens", F.size("ids").cast("long"))
 
 
 STAGES = [
