@@ -13,12 +13,12 @@ windows long, so there are 20 times fewer stretches than windows.
    place the windows whose smallest document is smaller than its own.
 4. ``marks``: the marks of a document come back to it.
 
-Hashes only choose what is compared; equal windows are found by the operator itself.
+Hashes only choose what is compared; equal windows are found by the operator itself, from all their bytes or words.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -349,26 +349,34 @@ def _ramp(lengths: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - lengths, lengths)
 
 
-def equal_classes(n: int, keys: Iterator[Callable[[np.ndarray], np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+def equal_classes(
+    n: int, keys: Iterable[Callable[[np.ndarray], np.ndarray]], levels: list[tuple[int, int]] | None = None
+) -> tuple[np.ndarray, np.ndarray]:
     """(members, class of each) of the items that agree with another one in all keys.
 
-    Items are sorted by the first key, ties by the next key and so on; what has no tie is out.
+    Items are sorted by the first key, then each tie that disagrees in the next key by that, and so on; what has
+    no tie is out. ``levels`` takes (items looked at, items sorted) of each key.
     """
-    items, tie = np.arange(n), None
+    items, tie = np.arange(n), np.zeros(n, np.int64)
     for key in keys:
+        if not len(items):
+            break
         own = key(items)
-        if tie is not None and ((tie[1:] != tie[:-1]) | (own[1:] == own[:-1])).all():
-            continue  # every tie agrees
-        order = np.argsort(own, kind="stable") if tie is None else np.lexsort((own, tie))
-        tie = np.zeros(n, np.int64) if tie is None else tie
-        items, tie, own = items[order], tie[order], own[order]
+        apart = np.flatnonzero((tie[1:] == tie[:-1]) & (own[1:] != own[:-1]))
+        disagree = np.zeros(int(tie[-1]) + 1, bool)
+        disagree[tie[apart]] = True
+        some = np.flatnonzero(disagree[tie])  # whole ties, one after the other
+        if levels is not None:
+            levels.append((len(items), len(some)))
+        if not len(some):
+            continue
+        order = some[np.lexsort((own[some], tie[some])) if tie[-1] else np.argsort(own[some])]
+        items[some], own[some] = items[order], own[order]
         new = np.concatenate([[True], (tie[1:] != tie[:-1]) | (own[1:] != own[:-1])])
         size = np.diff(np.flatnonzero(np.append(new, True)))
         many = np.repeat(size > 1, size)
-        items, tie = items[many], np.cumsum(new[many])
-        if not len(items):
-            break
-    return items, tie
+        items, tie = items[many], np.cumsum(new[many]) - 1
+    return (items, tie) if n > 1 else (items[:0], tie[:0])
 
 
 def settle(classes_of: Callable[[pa.Array], tuple[np.ndarray, np.ndarray, np.ndarray]]):

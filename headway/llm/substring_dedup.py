@@ -4,10 +4,11 @@ A suffix (here: the words from some word on) is taken up only if the fingerprint
 occurs in more than one document (see ``_repeats``). Prefixes of variable length split the
 suffixes into groups that fit in memory: the anchor's words where few documents share them, all
 the words of a window where many do. For each group a suffix tree is grown from the root, level
-by level: the suffixes of a node are divided by the next words, equal ones go on together, and a
-suffix that is alone in its node is a leaf and done. A node as deep as the window that is still
-shared stands for a maximal repeat's window; the smallest document below it is the one that keeps
-its words.
+by level: the suffixes of a node are divided by the next words (as many as fit in a label of 64
+bits, each word by its number in the group, so labels are exact), equal ones go on together, and a
+suffix that is alone in its node is a leaf and done. A node whose suffixes agree in the next words is
+not divided: its edge gets longer. A node as deep as the window that is still shared stands for
+a maximal repeat's window; the smallest document below it is the one that keeps its words.
 
 ``remove_repeats`` removes each word in a window of ``width`` consecutive words whose sequence
 also starts in a document with a smaller key. Windows never cross documents and are judged on the
@@ -34,8 +35,6 @@ from headway.llm._repeats import Tokens
 from headway.llm.suffix_dedup import _VALUES, Bytes
 
 WIDTH = 50
-#: Words by which a node of the tree is divided at a time.
-EDGE = 10
 RESULTS = ("kept", "n_words", "n_removed")
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -66,6 +65,13 @@ class Words(Tokens):
             sums = np.add.reduceat(parts, np.cumsum(lengths) - lengths) if len(lengths) else parts
             return _repeats.mixed(sums + lengths.astype(np.uint64))
 
+    def numbered(self) -> tuple[np.ndarray, int]:
+        """A number for each word, the same for equal words only, and how many numbers there are."""
+        lengths = self.stops - self.starts
+        body = self.data[np.repeat(self.starts, lengths) + _repeats._ramp(lengths)]
+        coded = _repeats.binary(body, lengths).dictionary_encode()
+        return coded.indices.to_numpy().astype(np.uint64), len(coded.dictionary)
+
     def joined(self, words: np.ndarray, counts: np.ndarray) -> pa.Array:
         """Strings of ``counts`` of the words each, joined by one space."""
         lengths = self.stops[words] - self.starts[words] + 1
@@ -88,21 +94,23 @@ def _group_of(_read, _doc, _at, keys: np.ndarray, groups: int) -> np.ndarray:
     return _repeats.owner_of(keys, groups)
 
 
-def _shared_nodes(width: int):
+def _shared_nodes(width: int, levels: list[tuple[int, int]] | None = None):
     """Windows of each body, and the suffixes below nodes of the tree that are ``width`` words deep and shared."""
 
     def find(bodies: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         read = Words(bodies)
-        values = read.values(0, len(read.starts))
         windows = np.diff(read.bounds) - width + 1
         suffix = np.repeat(read.bounds[:-1], windows) + _repeats._ramp(windows)
-        step = min(EDGE, width)
-        labels = _repeats.rolling(values, step)
+        words, kinds = read.numbered()
+        bits = max(1, (kinds - 1).bit_length())
+        step = min(64 // bits, width)  # as many words as fit in one edge label
+        labels = np.zeros(max(0, len(words) - step + 1), np.uint64)
+        for k in range(step):
+            labels = labels << np.uint64(bits) | words[k:k + len(labels)]
+        # The last edge begins early, so that it ends with the window: what is read twice agrees.
         depths = [*range(0, width - step, step), width - step]
-        # Windows whose hash is alone would be leaves at once.
-        whole = _repeats.rolling(values, width)
-        keys = [lambda items: whole[suffix[items]], *[lambda items, d=d: labels[suffix[items] + d] for d in depths]]
-        return windows, *_repeats.equal_classes(len(suffix), iter(keys))
+        keys = [lambda items, d=d: labels[suffix[items] + d] for d in depths]
+        return windows, *_repeats.equal_classes(len(suffix), keys, levels)
 
     return find
 

@@ -3,10 +3,12 @@
 A suffix is taken up only if the fingerprint of its anchor occurs in more than one document (see
 ``_repeats``). Splitters, drawn from a bounded sample of documents, range-partition the suffixes
 by their leading bytes from the anchor on. A bucket sorts its suffixes by multikey quicksort with
-eight bytes as one character: by the first eight bytes, ties by the next eight, and so on up to
-the width; what has no tie is out. Equal runs tell the smallest document. A range border never
-divides suffixes with the same leading bytes, so a run never goes on in the next bucket; windows
-around an anchor that very many documents share are dealt by all their bytes instead.
+eight bytes as one character: by the first eight bytes, ties that disagree by the next eight, and so
+on up to the width; what has no tie is out. No hash decides whether suffixes are equal. Equal runs
+tell the smallest document. Equal windows have equal anchors and a border never divides equal
+leading bytes, so no run goes on in the next bucket and nothing is left to compare across
+boundaries; windows around an anchor that very many documents share are dealt by all their bytes
+instead.
 
 ``remove_repeats`` removes each byte that a ``width``-byte string covers which also starts in a
 document with a smaller key. Matches never cross documents; strings are judged on the input, not
@@ -34,6 +36,8 @@ from headway.llm._common import importable, shuffle_partitions, without
 from headway.llm._repeats import Tokens
 
 WIDTH = 50
+#: Bytes that make up one character of the sort.
+CHARACTER = 8
 #: Documents that the splitters are drawn from, about. They balance buckets and change no result.
 SAMPLED = 2000
 #: Leading bytes that splitters have, drawn from each sampled document.
@@ -70,34 +74,27 @@ def _leading(strings: pa.Array) -> np.ndarray:
     return np.ascontiguousarray(taken.astype(np.uint8)).view(">u8").ravel().astype(np.uint64)
 
 
-def _equal_windows(width: int):
+def _equal_windows(width: int, levels: list[tuple[int, int]] | None = None):
+    """Windows of each body, and the suffixes that agree in their first ``width`` bytes, by multikey quicksort."""
+
     def find(bodies: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         bounds = np.frombuffer(bodies.buffers()[1], np.int32)[bodies.offset:bodies.offset + len(bodies) + 1].astype(np.int64)
         data = np.frombuffer(bodies.buffers()[2], np.uint8)
         windows = np.diff(bounds) - width + 1
         suffix = np.repeat(bounds[:-1], windows) + _repeats._ramp(windows)
-        # Suffixes whose hash is alone need no sorting.
-        hashes = np.concatenate([_repeats.rolling(_VALUES[data[a:b]], width)[windows_at - a] for a, b, windows_at in _parts(bounds, suffix, windows)])
-
-        def character(skip: int):
-            return lambda items: _eight(data, suffix[items] + skip, min(8, width - skip))
-
-        keys = [lambda items: hashes, *[character(skip) for skip in range(0, width, 8)]]
-        return windows, *_repeats.equal_classes(len(suffix), iter(keys))
+        step = min(CHARACTER, width)
+        # The last character begins early, so that it ends with the window: what is read twice agrees.
+        depths = [*range(0, width - step, step), width - step]
+        keys = [lambda items, skip=skip: _character(data, suffix[items] + skip, step) for skip in depths]
+        return windows, *_repeats.equal_classes(len(suffix), keys, levels)
 
     return find
 
 
-def _parts(bounds: np.ndarray, suffix: np.ndarray, windows: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
-    """(first byte, byte after the last, suffixes) of some bodies at a time."""
-    heads = np.flatnonzero(np.diff(bounds[:-1] // _repeats.PIECE, prepend=-1))
-    before = np.concatenate([[0], np.cumsum(windows)])
-    for a, b in zip(heads, np.append(heads[1:], len(windows))):
-        yield int(bounds[a]), int(bounds[b]), suffix[before[a]:before[b]]
-
-
-def _eight(data: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
-    """The n bytes, at most eight, from each place on as a number that sorts like them."""
+def _character(data: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
+    """The n bytes, at most CHARACTER, from each place on as a number that sorts like them."""
+    if n == CHARACTER:
+        return np.ndarray(len(data) - n + 1, ">u8", data, strides=(1,))[at].astype(np.uint64)
     out = np.zeros(len(at), np.uint64)
     for k in range(n):
         out = out << np.uint64(8) | data[at + k]

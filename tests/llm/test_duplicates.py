@@ -242,3 +242,48 @@ def test_copies_are_found_by_two_hashes_of_their_own(spark):
     hashes = docs.select(F.xxhash64("text").alias("one"), F.xxhash64(F.lit(1), "text").alias("two"), F.xxhash64("text", F.lit(1)).alias("chained")).first()
     seeded = docs.select(F.xxhash64(F.lit(hashes["one"]))).first()
     assert hashes["two"] != hashes["one"] and seeded is not None
+
+
+@pytest.mark.parametrize("width", [5, 8, 20])
+def test_suffixes_are_sorted_by_their_bytes(width):
+    """Classes equal those of a dictionary, and only ties that disagree are sorted again."""
+    bodies = [b"ab" * 20, b"ab" * 19 + b"xy", b"q" * 30, b"only here, only now and then never again", "é".encode() * 12]
+    levels = []
+    windows, members, classes = suffix_dedup._equal_windows(width, levels)(pa.array(bodies, pa.binary()))
+    strings = [b[i:i + width] for b in bodies for i in range(len(b) - width + 1)]
+    assert windows.tolist() == [max(0, len(b) - width + 1) for b in bodies] and levels[0] == (len(strings), len(strings))
+    assert all(held <= looked for looked, held in levels) and (width <= 8 or levels[-1][1] < levels[-1][0] < len(strings))
+    assert classes_of(members, classes) == repeats_of(strings)
+
+
+@pytest.mark.parametrize("width", [3, 20, 70])
+def test_nodes_of_the_tree_are_divided_by_words(width):
+    vocabulary = [f"w{i}" for i in range(300)]
+    same, other = vocabulary[:90], vocabulary[:40] + ["z"] + vocabulary[41:90]
+    bodies = [" ".join(words) for words in (same, other, ["la"] * 80, vocabulary[200:], same[3:])]
+    levels = []
+    windows, members, classes = substring_dedup._shared_nodes(width, levels)(pa.array([b.encode() for b in bodies], pa.binary()))
+    words = [b.split(" ") for b in bodies]
+    strings = [tuple(w[i:i + width]) for w in words for i in range(len(w) - width + 1)]
+    assert windows.sum() == len(strings) and classes_of(members, classes) == repeats_of(strings)
+    assert levels[0] == (len(strings), len(strings)) and all(held < len(strings) for _, held in levels[1:])
+
+
+def test_few_and_no_items_have_no_classes():
+    for n in (0, 1):
+        members, classes = _repeats.equal_classes(n, [lambda items: np.zeros(len(items), np.uint64)])
+        assert len(members) == len(classes) == 0
+
+
+def classes_of(members, classes):
+    groups = collections.defaultdict(set)
+    for member, own in zip(members.tolist(), classes.tolist()):
+        groups[own].add(member)
+    return sorted(map(sorted, groups.values()))
+
+
+def repeats_of(strings):
+    groups = collections.defaultdict(list)
+    for i, s in enumerate(strings):
+        groups[s].append(i)
+    return sorted(g for g in groups.values() if len(g) > 1)
