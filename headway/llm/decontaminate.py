@@ -17,8 +17,10 @@ smaller weights over the sum of the larger ones (weighted Jaccard).
    practically always.
 4. Distance and then the exact similarity decide about each candidate.
 
-Only DataFrame functions are used. The benchmark is a stated query set: its shingles go into the
-filter in blocks of at most BLOCK, each a narrow pass over the documents.
+Only DataFrame functions are used, and one scan reads the documents, whatever the benchmark's size. Its
+shingles, with their places, go to every task while they are at most BROADCAST, as counted. A larger
+benchmark is joined by shingle: the documents' places are dealt without their texts, each shingle to
+SALT parts, and the windows that line up go back to their documents (a second scan). The rows are the same.
 
 Null and empty texts match nothing; nor do items without words. Items shorter than a shingle are
 one shingle of their own length. A document shorter than an item has one window, all of it.
@@ -39,8 +41,10 @@ SHINGLE, SIMILARITY = 5, 0.8
 BLOCKS, BLOCK_BITS, SLACK = 8, 16, 3
 #: Distance up to which the blocks guarantee that fingerprints are found.
 RADIUS = BLOCKS * (SLACK + 1) - 1
-#: Shingles of the benchmark that one pass over the documents looks for.
-BLOCK = 100_000
+#: Shingles of the benchmark, with their places, that are sent to every task (some 100 bytes each).
+BROADCAST = 500_000
+#: Parts that the places of a shingle are dealt to when the benchmark is larger.
+SALT = 16
 
 
 def words_of(text: Column) -> Column:
@@ -98,13 +102,9 @@ def _items(benchmark: DataFrame, item: str, text: str, shingle: int) -> DataFram
     return read.where("length > 0").withColumn("size", F.least("length", F.lit(shingle)))
 
 
-def _by_size(df: DataFrame, sizes: list[int], make) -> DataFrame:
-    """The rows of each shingle size through ``make(rows, size)``."""
-    out = None
-    for size in sizes:
-        rows = make(df.where(F.col("size") == size), size)
-        out = rows if out is None else out.unionByName(rows)
-    return out
+def _of_size(sizes: list[int], make) -> Column:
+    """``make(size)`` for the shingle size of the row."""
+    return F.coalesce(*[F.when(F.col("size") == size, make(size)) for size in sizes])
 
 
 def matches(
@@ -118,19 +118,11 @@ def matches(
     nothing = empty.select(key, item, F.lit(0).alias("start_word"), F.lit(0).alias("n_words"), F.lit(0.0).alias("similarity"))
     if not sizes:
         return nothing
-    posted = _by_size(items, sizes, lambda rows, size: rows.withColumn("shingles", shingles_of(F.col("words"), F.col("length"), size)))
-    posting = posted.select("item", "length", "size", F.posexplode("shingles").alias("at", "shingle"))
-    # The benchmark is given, not grown from the documents: its distinct shingles, in blocks.
-    wanted = [tuple(r) for r in posting.select("size", "shingle").distinct().collect()]
-    found = None
-    for size in sizes:
-        own = sorted(s for n, s in wanted if n == size)
-        for start in range(0, len(own), BLOCK):
-            some = _windows(docs, key, text, posting.where(F.col("size") == size), own[start:start + BLOCK], size)
-            found = some if found is None else found.unionByName(some)
+    posted = items.withColumn("shingles", _of_size(sizes, lambda size: shingles_of(F.col("words"), F.col("length"), size)))
+    printed = settled(posted.select("item", "length", "size", "shingles", sim_hash(F.col("shingles")).alias("print")))
+    posting = printed.select("size", "length", F.posexplode("shingles").alias("at", "shingle")).distinct()
     # Few windows are left; they are settled, so the documents are read once and the numbers stay.
-    windows = settled(found.withColumn("id", F.monotonically_increasing_id()))
-    printed = settled(posted.select("item", "length", "shingles", sim_hash(F.col("shingles")).alias("print")))
+    windows = settled(_windows(docs, key, text, posting, sizes).withColumn("id", F.monotonically_increasing_id()))
     masks = F.array(*[F.lit(m) for m in near_values()])
     entered = printed.select("item", "length", F.posexplode("print").alias("block", "own"), masks.alias("masks")).select("item", "length", "block", "own", F.explode("masks").alias("mask")).select("item", "length", "block", F.col("own").bitwiseXOR(F.col("mask")).alias("value"))
     looked_up = windows.select(F.col("id").alias("window"), "length", F.posexplode("print").alias("block", "value"))
@@ -144,20 +136,33 @@ def matches(
         F.col("key").alias(key), F.col("item").alias(item), (-F.col("best.back")).alias("start_word"), F.col("best.length").alias("n_words"), F.col("best.similarity").alias("similarity"))
 
 
-def _windows(docs: DataFrame, key: str, text: str, posting: DataFrame, wanted: list[int], size: int) -> DataFrame:
-    """(key, start, length, shingles, print) of the windows that line up with an item at a wanted shingle."""
-    read = docs.select(F.col(key).alias("key"), words_of(F.col(text)).alias("words")).withColumn("count", F.size("words"))
-    shingled = F.transform(places(F.col("count"), size), lambda i: F.struct(i.alias("place"), shingle_at(F.col("words"), i, size).alias("shingle")))
-    hits = F.filter(shingled, lambda x: x["shingle"].isin(wanted))
-    # The places of a document's hits travel with their shingles; the items that have them are joined by shingle.
-    # An outer generator: from an inner one, or a filter on the hits, Spark would infer a predicate and push it
-    # down to the scan, with the words worked out again for each place.
-    at = read.withColumn("hits", hits).select("key", "words", "count", F.inline_outer("hits")).where(F.col("place").isNotNull())
-    aligned = at.join(posting.select("shingle", F.col("at"), "length"), "shingle")
+def _windows(docs: DataFrame, key: str, text: str, posting: DataFrame, sizes: list[int]) -> DataFrame:
+    """(key, start, length, shingles, print) of the windows that line up with an item at a shared shingle."""
+    body = F.coalesce(F.col(text), F.lit(""))
+    read = docs.select(F.col(key).alias("key"), F.xxhash64(body).alias("body"), words_of(F.col(text)).alias("words")).withColumn("count", F.size("words"))
+
+    def of_size(size: int) -> Column:
+        def place(i: Column) -> Column:
+            return F.struct(i.alias("place"), F.lit(size).alias("size"), shingle_at(F.col("words"), i, size).alias("shingle"))
+
+        return F.transform(places(F.col("count"), size), place)
+
+    # An outer generator: from an inner one Spark would infer a predicate and push it down to the scan,
+    # with the words worked out again for each place.
+    found = read.withColumn("found", F.concat(*[of_size(size) for size in sizes]))
     start = F.greatest(F.lit(0), F.least(F.col("place") - F.col("at"), F.col("count") - F.col("length")))
     held = F.slice("words", F.col("start") + 1, F.col("length"))
-    windows = aligned.withColumn("start", start).select("key", "start", "length", held.alias("held")).distinct()
-    shingles = windows.withColumn("n", F.size("held")).withColumn("shingles", shingles_of(F.col("held"), F.col("n"), size))
+    if posting.count() <= BROADCAST:
+        at = found.select("key", "words", "count", F.inline_outer("found")).where(F.col("place").isNotNull())
+        lined_up = at.join(F.broadcast(posting), ["size", "shingle"]).withColumn("start", start)
+    else:
+        at = found.select("key", "body", "count", F.inline_outer("found")).where(F.col("place").isNotNull())
+        at = at.withColumn("salt", F.pmod(F.xxhash64("body", "place"), F.lit(SALT)).cast("int"))
+        salted = posting.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
+        starts = at.join(salted, ["size", "shingle", "salt"]).select(F.col("key").alias("of"), F.col("body").alias("of_body"), start.alias("start"), "length", "size").distinct()
+        lined_up = read.join(starts, F.col("key").eqNullSafe(F.col("of")) & (F.col("body") == F.col("of_body")))
+    windows = lined_up.select("key", "start", "length", "size", held.alias("held")).distinct()
+    shingles = windows.withColumn("n", F.size("held")).withColumn("shingles", _of_size(sizes, lambda size: shingles_of(F.col("held"), F.col("n"), size)))
     return shingles.where(F.size("shingles") > 0).withColumn("print", sim_hash(F.col("shingles"))).select("key", "start", "length", "shingles", "print")
 
 

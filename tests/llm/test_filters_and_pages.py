@@ -226,6 +226,34 @@ def test_cleaning_keeps_rows_that_share_a_null_key(spark, make_docs):
     assert decontaminate.matches(make_docs(rows).limit(0), benchmark).count() == 0
 
 
+@pytest.mark.parametrize("limit", [0, 500_000])
+def test_large_and_small_benchmarks_give_the_same_matches(spark, make_docs, monkeypatch, limit):
+    """Beyond the size that goes to every task the shingles are joined; repeated rows, null keys and one key's texts too."""
+    monkeypatch.setattr(decontaminate, "BROADCAST", limit)
+    words = [f"w{i}" for i in range(120)]
+    items = [(1, " ".join(words[:30])), (2, "three small words"), (3, " ".join(words[20:60])), (4, " ".join(words[:30]))]
+    edited = " ".join(words[20:40] + ["z"] + words[41:60])
+    docs = [(1, " ".join(words)), (1, " ".join(words)), (2, edited), (3, "x three small words y"), (3, "clean"), (4, None), (5, ""), (6, " ".join(words[:29]))]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r["similarity"] for r in decontaminate.matches(make_docs(docs), benchmark).collect()}
+    assert got == pytest.approx(brute.leaks([docs[0], *docs[2:4], *docs[5:]], items))
+    null = decontaminate.matches(make_docs([(None, items[0][1]), (None, "clean")]), benchmark).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in null} == {(None, 1), (None, 4)}
+
+
+def test_a_benchmark_of_many_shingles_takes_one_scan(spark, make_docs):
+    """200,000 distinct shingles: none is a literal of the plan or passes through the driver, and documents are read once."""
+    words = F.concat_ws(" ", F.transform(F.sequence(F.lit(0), F.lit(203)), lambda k: F.concat(F.lit("w"), F.col("id") * 1000 + k)))
+    benchmark = spark.range(1000).select(F.col("id").alias("item_id"), words.alias("text"))
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    known = benchmark.where("item_id in (7, 300)").select((F.col("item_id") + 10**9).alias("doc_id"), "text")
+    got = decontaminate.matches(docs.select("doc_id", "text").unionByName(known), benchmark).collect()
+    assert {(r["doc_id"], r["item_id"], r["similarity"]) for r in got} == {(10**9 + 7, 7, 1.0), (10**9 + 300, 300, 1.0)}
+    posting = spark.createDataFrame([(5, 20, 0, 1)], "size int, length int, at int, shingle long")
+    plan = plan_of(decontaminate._windows(docs, "doc_id", "text", posting, [5]), "simple")
+    assert plan.count("FileScan parquet") == 1 and "BroadcastHashJoin" in plan
+
+
 def test_radius_is_guaranteed():
     masks = set(decontaminate.near_values())
     assert len(masks) == 1 + 16 + 120 + 560
