@@ -38,8 +38,11 @@ GATHERED = 1 << 20
 HOT = 200_000
 #: Bits of an anchor that its owner gets. Fewer are sent faster, and more anchors seem to repeat that do not.
 KEY_BITS = 48
-#: Buckets and owners for each shuffle partition, so that one group is a small part of a task.
+#: Buckets for each shuffle partition, and owners at most, so that one group is a small part of a task.
 FINER = 8
+#: Bytes of text, as the planner estimates them, from which an owner gets anchors. A task sends a row to each owner,
+#: so more owners than the text needs only make its rows small.
+OWNED = 1 << 22
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -244,7 +247,9 @@ def repeated(hot: int):
 
 def anchors(docs: DataFrame, tokens, width: int, k: int, hot: int) -> DataFrame:
     """(doc, keys, hot_keys) of documents with anchors that other documents have too."""
-    owners = FINER * shuffle_partitions(docs.sparkSession)
+    parts = shuffle_partitions(docs.sparkSession)
+    estimate = int(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    owners = min(FINER * parts, max(parts, estimate // OWNED))
     sent = docs.select("doc", "text").mapInArrow(_send(tokens, width, k, owners), "owner int, keys binary, docs binary")
     named = sent.groupBy("owner").applyInArrow(repeated(hot), "doc long, key int, hot long")
     return named.groupBy(F.col("doc").alias("of")).agg(F.collect_list("key").alias("keys"), F.collect_list("hot").alias("hot_keys"))
