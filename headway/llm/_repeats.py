@@ -248,7 +248,7 @@ def repeated(hot: int):
 def anchors(docs: DataFrame, tokens, width: int, k: int, hot: int) -> DataFrame:
     """(doc, keys, hot_keys) of documents with anchors that other documents have too."""
     parts = shuffle_partitions(docs.sparkSession)
-    estimate = int(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    estimate = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     owners = min(FINER * parts, max(parts, estimate // OWNED))
     sent = docs.select("doc", "text").mapInArrow(_send(tokens, width, k, owners), "owner int, keys binary, docs binary")
     named = sent.groupBy("owner").applyInArrow(repeated(hot), "doc long, key int, hot long")
