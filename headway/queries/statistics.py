@@ -310,3 +310,19 @@ def arrival_drift(t: Tables) -> DataFrame:
     drift = (F.unix_micros(F.col("next_time").cast("timestamp")) - F.unix_micros(F.col("ts").cast("timestamp"))) / F.lit(1e6)
     views = timed.filter(F.col("event_type") == "view")
     return views.select("event_id", "ts", F.col("next_time").alias("observed"), F.round(drift, 3).alias("drift_seconds"))
+
+
+@query(
+    "distinct_rolling_day",
+    """
+    WITH h AS (SELECT DISTINCT user_id, date_trunc('hour', ts) AS hour FROM events WHERE user_id IS NOT NULL AND ts IS NOT NULL),
+    r AS (SELECT user_id, hour + to_hours(i) AS hour FROM h, range(24) AS w(i))
+    SELECT hour, count(DISTINCT user_id) AS distinct_keys, true AS sketch_agrees FROM r GROUP BY 1
+    """,
+)
+def distinct_rolling_day(t: Tables) -> DataFrame:
+    """Distinct users of the last 24 hours, hour by hour, and whether the merged sketches are within 5 % of them."""
+    exact = aggregates.rolling_distinct_exact(t.events, "user_id", "ts")
+    sketched = aggregates.rolling_distinct(t.events, "user_id", "ts", bits=14).withColumnRenamed("distinct_keys", "sketched")
+    near = F.abs(F.col("sketched") - F.col("distinct_keys")) <= F.greatest(F.lit(1.0), F.col("distinct_keys") * F.lit(0.05))
+    return exact.join(sketched, "hour", "left").select("hour", "distinct_keys", F.coalesce(near, F.lit(False)).alias("sketch_agrees"))

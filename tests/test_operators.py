@@ -259,3 +259,17 @@ def test_snapshot_then_live(spark):
     df = spark.createDataFrame([("t", at(h), h) for h in range(10)] + [("u", at(20), 20)], "topic STRING, ts TIMESTAMP_NTZ, n INT")
     got = rows(ranking.snapshot_then_live(df, str(at(5)), ["topic"], "ts", ["n"], 2), "n", "snapshot")
     assert got == sorted([(3, True), (4, True)] + [(n, False) for n in (5, 6, 7, 8, 9, 20)], key=repr)
+
+
+def test_rolling_distinct_by_sketches(spark):
+    from headway.operators import aggregates
+
+    rows = spark.sql("SELECT id % 700 AS k, TIMESTAMP_NTZ '2024-01-01 00:10:00' + make_dt_interval(0, id % 60) AS t FROM range(4000)")
+    rows = rows.unionByName(spark.sql("SELECT CAST(NULL AS BIGINT) AS k, TIMESTAMP_NTZ '2024-01-01 00:10:00' AS t UNION ALL SELECT 1L, NULL"))
+    exact = {r["hour"]: r["distinct_keys"] for r in aggregates.rolling_distinct_exact(rows, "k", "t").collect()}
+    sketched = {r["hour"]: r["distinct_keys"] for r in aggregates.rolling_distinct(rows, "k", "t").collect()}
+    read = {(r["k"], r["t"].replace(minute=0)) for r in rows.collect() if r["k"] is not None and r["t"] is not None}
+    assert exact == {h: len({k for k, own in read if 0 <= (h - own).total_seconds() < 24 * 3600}) for h in exact}
+    assert len(exact) == 60 + 23 and exact.keys() == sketched.keys()
+    assert all(abs(sketched[h] - n) <= max(1, 0.05 * n) for h, n in exact.items())
+    assert aggregates.rolling_distinct(rows.limit(0), "k", "t").count() == 0
