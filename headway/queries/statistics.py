@@ -175,10 +175,10 @@ def gates_of_curated(t: Tables) -> DataFrame:
     return batch.gate_table(curated_stations(t), "bike_point_id", "event_time", b.AS_OF)
 
 
-_SLIDING_SQL = f"""{b.REQUESTS_SQL},
+SLIDING_SQL = f"""{b.REQUESTS_SQL},
 panes AS (SELECT endpoint, source, date_trunc('minute', event_time) - to_minutes(unnest([0, 1, 2, 3, 4])) AS window_start FROM requests)"""
 
-_RATIO_SQL = f"""{_SLIDING_SQL},
+RATIO_SQL = f"""{SLIDING_SQL},
 ratios AS (
   SELECT endpoint, window_start, count(*) FILTER (WHERE source = 'fallback') AS fallbacks, count(*) AS requests,
          (count(*) FILTER (WHERE source = 'fallback') / CAST(300 AS DOUBLE))
@@ -210,7 +210,7 @@ def request_rate(t: Tables) -> DataFrame:
 @query(
     "fallback_ratio",
     f"""
-    WITH {_RATIO_SQL}
+    WITH {RATIO_SQL}
     SELECT endpoint, window_start, window_start + INTERVAL 5 MINUTE AS window_end,
            fallbacks, requests, round(ratio, 6) AS ratio FROM ratios
     """,
@@ -222,7 +222,7 @@ def fallback_ratio(t: Tables) -> DataFrame:
 @query(
     "sustained_breach",
     f"""
-    WITH {_RATIO_SQL},
+    WITH {RATIO_SQL},
     n AS (SELECT endpoint, window_start, epoch(window_start) / 60
                  - row_number() OVER (PARTITION BY endpoint ORDER BY window_start) AS run
           FROM ratios WHERE ratio > CAST(0.2 AS DOUBLE))
@@ -237,7 +237,7 @@ def sustained_breach(t: Tables) -> DataFrame:
 @query(
     "silent_outage",
     f"""
-    WITH {_SLIDING_SQL},
+    WITH {SLIDING_SQL},
     w AS (SELECT window_start, count(*) FILTER (WHERE source = 'primary') AS good FROM panes GROUP BY ALL),
     n AS (SELECT window_start, epoch(window_start) / 60 - row_number() OVER (ORDER BY window_start) AS run FROM w WHERE good = 0)
     SELECT 'all' AS scope, min(window_start) AS since, max(window_start) AS until, count(*) AS steps
